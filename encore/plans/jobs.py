@@ -184,16 +184,21 @@ def artist_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def revenue_leader_changelog(spark: SparkSession, sf_dir: str, **scan_kw) -> DataFrame:
+    return revenue_leader_changelog_from(_tickets_with_event(spark, sf_dir, with_customer=False),
+                                         domain.artist(spark, sf_dir), **scan_kw)
+
+
+def revenue_leader_changelog_from(t: DataFrame, artists: DataFrame, **scan_kw) -> DataFrame:
     """The leader re-emitted after every ticket (with known event and artist).
 
+    ``t``: tickets joined to their event (``id, price, arrival, artistid``).
     Running total per artist; a row sets a record when its total is strictly
     greater than every earlier row's total; the leader is the last record at
     or before the row (it holds on ties, and is a high-water mark if totals
     fall).
     """
-    t = _tickets_with_event(spark, sf_dir, with_customer=False)
-    a = domain.artist(spark, sf_dir).select(F.col("id").alias("artistid"), F.col("name").alias("artist_name"),
-                                            F.col("genre").alias("artist_genre"))
+    a = artists.select(F.col("id").alias("artistid"), F.col("name").alias("artist_name"),
+                       F.col("genre").alias("artist_genre"))
     rows = t.select("id", "price", "arrival", "artistid", F.col("price").cast("bigint").alias("rev"))
     totals = prefix_scan(rows, ["artistid"], ticket_pos(), "arrival", [Spec("total", "sum", "rev")], **scan_kw)
     # Known artists only take part in the leaderboard.
@@ -330,7 +335,11 @@ def customer_stream_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def customer_stream_count_changelog(spark: SparkSession, sf_dir: str, **scan_kw) -> DataFrame:
-    l = domain.listen(spark, sf_dir).where(F.col("customerid").isNotNull())
+    return customer_stream_count_changelog_from(domain.listen(spark, sf_dir), **scan_kw)
+
+
+def customer_stream_count_changelog_from(listens: DataFrame, **scan_kw) -> DataFrame:
+    l = listens.where(F.col("customerid").isNotNull())
     r = prefix_scan(l, ["customerid"], listen_pos(), "streamtime", [Spec("n", "count")], **scan_kw)
     return r.select("customerid", F.col("id").alias("listen_id"), "streamtime", "n")
 
@@ -343,7 +352,11 @@ def artist_ticket_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def artist_ticket_count_changelog(spark: SparkSession, sf_dir: str, **scan_kw) -> DataFrame:
-    t = _tickets_with_event(spark, sf_dir, with_customer=False).where(F.col("artistid").isNotNull())
+    return artist_ticket_count_changelog_from(_tickets_with_event(spark, sf_dir, with_customer=False), **scan_kw)
+
+
+def artist_ticket_count_changelog_from(tickets_with_event: DataFrame, **scan_kw) -> DataFrame:
+    t = tickets_with_event.where(F.col("artistid").isNotNull())
     r = prefix_scan(t, ["artistid"], ticket_pos(), "arrival", [Spec("n", "count")], **scan_kw)
     return r.select("artistid", F.col("id").alias("ticket_id"), "arrival", "n")
 
