@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from encore.plans import jobs as J
+from encore.plans import scenarios as R
 from encore.plans import sql as S
+from encore.plans.scenarios_sql import SCENARIO_SQL
 from encore.plans.jobs_sql import JOB_SQL
 
 
@@ -15,6 +17,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
     q.update(S.QUERIES)
     q.update(J.QUERIES)
+    q.update(R.QUERIES)
     return q
 
 
@@ -22,4 +25,5 @@ def oracle_sql() -> dict[str, str]:
     o: dict[str, str] = {}
     o.update({k: S.oracle(k) for k in S.QUERIES})
     o.update({k: v for k, v in JOB_SQL.items() if k in J.QUERIES})
+    o.update({k: v for k, v in SCENARIO_SQL.items() if k in R.QUERIES})
     return o
