@@ -40,6 +40,13 @@ QUERY_WINDOW_SECONDS = 86400
 TOPK_SALT = 8
 
 
+def _scan(spark, sf_dir, views, scan_kw) -> dict:
+    """Default the bucket spec of running operators to the tables' statistics."""
+    if "bucket" not in scan_kw:
+        scan_kw = dict(scan_kw, bucket=domain.time_buckets(spark, sf_dir, views, scan_kw.get("rows_per_bucket")))
+    return scan_kw
+
+
 def listen_pos() -> list[Column]:
     return [F.col("streamtime"), F.col("id")]
 
@@ -116,7 +123,7 @@ def confirm_tickets(joined: DataFrame, **scan_kw) -> DataFrame:
 
 
 def purchase_event_ticket(spark: SparkSession, sf_dir: str, **scan_kw) -> DataFrame:
-    return confirm_tickets(_tickets_with_event(spark, sf_dir), **scan_kw)
+    return confirm_tickets(_tickets_with_event(spark, sf_dir), **_scan(spark, sf_dir, ("ticket",), scan_kw))
 
 
 def confirmation_records(confirmations: DataFrame, events: DataFrame) -> DataFrame:
@@ -169,7 +176,7 @@ def customer_conversion_tally(spark: SparkSession, sf_dir: str) -> DataFrame:
 def customer_conversion_tally_changelog(spark: SparkSession, sf_dir: str, **scan_kw) -> DataFrame:
     m = conversion_matches(conversion_events(spark, sf_dir))
     r = prefix_scan(m, [], [F.col("time"), F.col("side"), F.col("lid"), F.col("tid")], "time",
-                    [Spec("value", "count")], **scan_kw)
+                    [Spec("value", "count")], **_scan(spark, sf_dir, ("listen", "ticket"), scan_kw))
     return r.select(F.lit(fx.TALLY_KEY).alias("key"), "customerid", "time", "side", "lid", "tid", "value")
 
 
@@ -185,7 +192,7 @@ def artist_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def revenue_leader_changelog(spark: SparkSession, sf_dir: str, **scan_kw) -> DataFrame:
     return revenue_leader_changelog_from(_tickets_with_event(spark, sf_dir, with_customer=False),
-                                         domain.artist(spark, sf_dir), **scan_kw)
+                                         domain.artist(spark, sf_dir), **_scan(spark, sf_dir, ("ticket",), scan_kw))
 
 
 def revenue_leader_changelog_from(t: DataFrame, artists: DataFrame, **scan_kw) -> DataFrame:
@@ -249,7 +256,7 @@ def _lag_last(df: DataFrame, order: list[Column], value: str, out: str, **scan_k
 
 def artist_revenue_leader(spark: SparkSession, sf_dir: str, **scan_kw) -> DataFrame:
     """Current leader after all tickets: the changelog's last row."""
-    ch = revenue_leader_changelog(spark, sf_dir, **scan_kw)
+    ch = revenue_leader_changelog(spark, sf_dir, **_scan(spark, sf_dir, ("ticket",), scan_kw))
     last = ch.agg(F.max(F.struct("arrival", "ticket_id", "price", "artistId", "artist_name", "artist_genre",
                                  "revenue")).alias("m"))
     return last.select(F.lit(fx.LEADER_KEY).alias("key"), F.col("m.artistId").alias("artistId"),
@@ -273,7 +280,8 @@ def windowed_stream_counts_from(listens: DataFrame, size_seconds: int, grace_sec
 
 def windowed_stream_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     l = domain.listen(spark, sf_dir)
-    c = windowed_stream_counts_from(l, QUERY_WINDOW_SECONDS, GRACE_SECONDS, arrival_order=listen_pos())
+    c = windowed_stream_counts_from(l, QUERY_WINDOW_SECONDS, GRACE_SECONDS, arrival_order=listen_pos(),
+                                    **_scan(spark, sf_dir, ("listen",), {}))
     return c.select("artistid", "customerid", "window_start", "window_end", "n")
 
 
@@ -291,7 +299,7 @@ def thank_you_from(counts: DataFrame, artists: DataFrame, customers: DataFrame)
 
 def thank_you_top_streamer(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = windowed_stream_counts_from(domain.listen(spark, sf_dir), QUERY_WINDOW_SECONDS, GRACE_SECONDS,
-                                         arrival_order=listen_pos())
+                                         arrival_order=listen_pos(), **_scan(spark, sf_dir, ("listen",), {}))
     return thank_you_from(counts, domain.artist(spark, sf_dir), domain.customer(spark, sf_dir))
 
 
@@ -335,7 +343,8 @@ def customer_stream_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def customer_stream_count_changelog(spark: SparkSession, sf_dir: str, **scan_kw) -> DataFrame:
-    return customer_stream_count_changelog_from(domain.listen(spark, sf_dir), **scan_kw)
+    return customer_stream_count_changelog_from(domain.listen(spark, sf_dir),
+                                                **_scan(spark, sf_dir, ("listen",), scan_kw))
 
 
 def customer_stream_count_changelog_from(listens: DataFrame, **scan_kw) -> DataFrame:
@@ -352,7 +361,8 @@ def artist_ticket_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def artist_ticket_count_changelog(spark: SparkSession, sf_dir: str, **scan_kw) -> DataFrame:
-    return artist_ticket_count_changelog_from(_tickets_with_event(spark, sf_dir, with_customer=False), **scan_kw)
+    return artist_ticket_count_changelog_from(_tickets_with_event(spark, sf_dir, with_customer=False),
+                                              **_scan(spark, sf_dir, ("ticket",), scan_kw))
 
 
 def artist_ticket_count_changelog_from(tickets_with_event: DataFrame, **scan_kw) -> DataFrame:

@@ -53,7 +53,8 @@ def customers_by_top_artist(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ticket_sequence(spark: SparkSession, sf_dir: str, **scan_kw) -> DataFrame:
     """Tickets joined to their event, with the running count per event."""
     t = J._tickets_with_event(spark, sf_dir, with_customer=False)
-    return prefix_scan(t, ["eventid"], J.ticket_pos(), "arrival", [Spec("sold", "count")], **scan_kw)
+    return prefix_scan(t, ["eventid"], J.ticket_pos(), "arrival", [Spec("sold", "count")],
+                       **J._scan(spark, sf_dir, ("ticket",), scan_kw))
 
 
 def event_near_capacity_alert(spark: SparkSession, sf_dir: str, **scan_kw) -> DataFrame:

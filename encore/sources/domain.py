@@ -176,3 +176,48 @@ def register_views(spark: SparkSession, sf_dir: str) -> None:
     """Register the domain views as temp views for ``spark.sql`` text queries."""
     for name, fn in VIEWS.items():
         fn(spark, sf_dir).createOrReplaceTempView(name)
+
+
+# ---------------------------------------------------------------- time statistics
+#
+# The running (prefix) operators cut rows into time buckets sized from the
+# input's row count and time range. Those are table statistics, computed once
+# per table per session with one aggregate over the base scan (no joins), the
+# way ANALYZE would store them in a catalog. Only three numbers reach the driver.
+
+_TIME_STATS: dict[tuple[str, str], tuple[int, int, int]] = {}
+
+
+def time_stats(spark: SparkSession, sf_dir: str, view: str) -> tuple[int, int, int]:
+    """(rows, min_micros, max_micros) of the arrival time of ``ticket`` or ``listen``."""
+    key = (sf_dir.rstrip("/"), view)
+    if key not in _TIME_STATS:
+        if view == "ticket":
+            li = read_table(spark, sf_dir, "lineitem")
+            t = ticket_arrival(F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey"))
+            df = li.select(t.alias("t"))
+        elif view == "listen":
+            df = read_table(spark, sf_dir, "events").select(F.col("ts").alias("t"))
+        else:
+            raise ValueError(view)
+        us = F.unix_micros(F.col("t").cast("timestamp"))
+        r = df.agg(F.count(F.lit(1)).alias("n"), F.min(us).alias("lo"), F.max(us).alias("hi")).first()
+        _TIME_STATS[key] = (int(r["n"] or 0), int(r["lo"] or 0), int(r["hi"] or 0))
+    return _TIME_STATS[key]
+
+
+def time_buckets(spark: SparkSession, sf_dir: str, views: tuple[str, ...],
+                 rows_per_bucket: int | None = None) -> tuple[int, int] | None:
+    """Bucket spec ``(origin_micros, width_micros)`` for ``prefix_scan`` over rows
+    drawn from ``views``; None when all rows fit in one bucket."""
+    import math
+    from encore.operators.running import DEFAULT_ROWS_PER_BUCKET
+    per = rows_per_bucket or DEFAULT_ROWS_PER_BUCKET
+    stats = [time_stats(spark, sf_dir, v) for v in views]
+    n = sum(s[0] for s in stats)
+    if n <= per:
+        return None
+    lo = min(s[1] for s in stats if s[0])
+    hi = max(s[2] for s in stats if s[0])
+    buckets = math.ceil(n / per)
+    return lo, max(1, math.ceil((hi - lo + 1) / buckets))
