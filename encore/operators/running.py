@@ -62,10 +62,19 @@ def _time_micros(c: Column) -> Column:
     return F.unix_micros(c.cast("timestamp"))
 
 
+def bucket_value(df: DataFrame, name: str) -> Column:
+    """The bucketing column as a bigint: microseconds for times, else the number."""
+    from pyspark.sql import types as T
+    dt = df.schema[name].dataType
+    if isinstance(dt, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        return _time_micros(F.col(name))
+    return F.col(name).cast("bigint")
+
+
 def bucket_width_micros(df: DataFrame, time_col: str, rows_per_bucket: int) -> tuple[int, int] | None:
     """(origin, width) in microseconds so a bucket holds about
     ``rows_per_bucket`` rows; None when one bucket suffices."""
-    t = _time_micros(F.col(time_col))
+    t = bucket_value(df, time_col)
     st = df.agg(F.count(F.lit(1)).alias("n"), F.min(t).alias("lo"), F.max(t).alias("hi")).first()
     n, lo, hi = st["n"], st["lo"], st["hi"]
     if not n or lo is None or n <= rows_per_bucket:
@@ -81,7 +90,7 @@ def prefix_scan(df: DataFrame, keys: list[str], order: list[Column], time_col: s
     """Add one column per ``Spec`` holding its inclusive running value.
 
     ``order`` must be a total order whose leading column is ``time_col`` (a
-    timestamp), so time buckets respect it. ``bucket`` is ``"auto"``, None
+    timestamp or a number), so buckets respect it. ``bucket`` is ``"auto"``, None
     (plain window) or an explicit ``(origin_micros, width_micros)``.
     """
     if bucket == "auto":
@@ -91,7 +100,7 @@ def prefix_scan(df: DataFrame, keys: list[str], order: list[Column], time_col: s
         return df.select("*", *[_window_expr(s, w).alias(s.out) for s in specs])
 
     origin, width = bucket
-    b = F.floor((_time_micros(F.col(time_col)) - F.lit(origin)) / F.lit(width)).cast("bigint")
+    b = F.floor((bucket_value(df, time_col) - F.lit(origin)) / F.lit(width)).cast("bigint")
     staged = df.withColumn("__b", b)
     part = [*keys, "__b"]
     w = Window.partitionBy(*part).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -4,7 +4,7 @@ Every job has a *snapshot* form (state after all input) and, where the
 reference emits one record per input, a *changelog* form (one row per input,
 in arrival order). Arrival order:
 
-* listens: ``(streamtime, id)``
+* listens: ``pos``, the record sequence number (equal to ``(streamtime, id)`` order)
 * tickets: ``(arrival, id, price)`` -- unique at every scale
 * merged listens + tickets (P3): ``(time, side, id)`` with side 0 = listen
 
@@ -40,15 +40,21 @@ QUERY_WINDOW_SECONDS = 86400
 TOPK_SALT = 8
 
 
-def _scan(spark, sf_dir, views, scan_kw) -> dict:
-    """Default the bucket spec of running operators to the tables' statistics."""
+def _scan(spark, sf_dir, views, scan_kw, global_scan: bool = False) -> dict:
+    """Default the bucket spec of running operators to the tables' statistics.
+
+    A scan with no key (a global running value) gets at least one bucket per
+    core so it never runs in a single task."""
     if "bucket" not in scan_kw:
-        scan_kw = dict(scan_kw, bucket=domain.time_buckets(spark, sf_dir, views, scan_kw.get("rows_per_bucket")))
+        floor = spark.sparkContext.defaultParallelism if global_scan else 1
+        scan_kw = dict(scan_kw, bucket=domain.time_buckets(spark, sf_dir, views, scan_kw.get("rows_per_bucket"),
+                                                           min_buckets=floor))
     return scan_kw
 
 
 def listen_pos() -> list[Column]:
-    return [F.col("streamtime"), F.col("id")]
+    """Listen arrival order: the record's sequence number."""
+    return [F.col("pos")]
 
 
 def ticket_pos() -> list[Column]:
@@ -69,7 +75,7 @@ def _tickets_with_event(spark, sf_dir, with_customer=True) -> DataFrame:
 
 def artist_counts(listens: DataFrame) -> DataFrame:
     """Per (customer, artist): listen count, first and last position."""
-    pos = F.struct(*listen_pos())
+    pos = F.col("pos")
     return (listens.where(F.col("customerid").isNotNull())
                    .groupBy("customerid", "artistid")
                    .agg(F.count(F.lit(1)).alias("n"), F.min(pos).alias("first_pos"), F.max(pos).alias("last_pos")))
@@ -176,7 +182,7 @@ def customer_conversion_tally(spark: SparkSession, sf_dir: str) -> DataFrame:
 def customer_conversion_tally_changelog(spark: SparkSession, sf_dir: str, **scan_kw) -> DataFrame:
     m = conversion_matches(conversion_events(spark, sf_dir))
     r = prefix_scan(m, [], [F.col("time"), F.col("side"), F.col("lid"), F.col("tid")], "time",
-                    [Spec("value", "count")], **_scan(spark, sf_dir, ("listen", "ticket"), scan_kw))
+                    [Spec("value", "count")], **_scan(spark, sf_dir, ("ticket",), scan_kw, global_scan=True))
     return r.select(F.lit(fx.TALLY_KEY).alias("key"), "customerid", "time", "side", "lid", "tid", "value")
 
 
@@ -192,7 +198,8 @@ def artist_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def revenue_leader_changelog(spark: SparkSession, sf_dir: str, **scan_kw) -> DataFrame:
     return revenue_leader_changelog_from(_tickets_with_event(spark, sf_dir, with_customer=False),
-                                         domain.artist(spark, sf_dir), **_scan(spark, sf_dir, ("ticket",), scan_kw))
+                                         domain.artist(spark, sf_dir),
+                                         **_scan(spark, sf_dir, ("ticket",), scan_kw, global_scan=True))
 
 
 def revenue_leader_changelog_from(t: DataFrame, artists: DataFrame, **scan_kw) -> DataFrame:
@@ -256,7 +263,7 @@ def _lag_last(df: DataFrame, order: list[Column], value: str, out: str, **scan_k
 
 def artist_revenue_leader(spark: SparkSession, sf_dir: str, **scan_kw) -> DataFrame:
     """Current leader after all tickets: the changelog's last row."""
-    ch = revenue_leader_changelog(spark, sf_dir, **_scan(spark, sf_dir, ("ticket",), scan_kw))
+    ch = revenue_leader_changelog(spark, sf_dir, **_scan(spark, sf_dir, ("ticket",), scan_kw, global_scan=True))
     last = ch.agg(F.max(F.struct("arrival", "ticket_id", "price", "artistId", "artist_name", "artist_genre",
                                  "revenue")).alias("m"))
     return last.select(F.lit(fx.LEADER_KEY).alias("key"), F.col("m.artistId").alias("artistId"),
@@ -267,7 +274,7 @@ def artist_revenue_leader(spark: SparkSession, sf_dir: str, **scan_kw) -> DataFr
 # ---------------------------------------------------------------- P5
 
 def windowed_stream_counts_from(listens: DataFrame, size_seconds: int, grace_seconds: int,
-                                arrival_order: list[Column] | None = None, arrival_time: str = "streamtime",
+                                arrival_order: list[Column] | None = None, arrival_time: str = "pos",
                                 **scan_kw) -> DataFrame:
     """Count per (artist, customer, tumbling window), late records dropped."""
     kept = listens
@@ -275,7 +282,7 @@ def windowed_stream_counts_from(listens: DataFrame, size_seconds: int, grace_sec
         kept = drop_late_records(listens, "streamtime", arrival_order, arrival_time, size_seconds,
                                  grace_seconds, **scan_kw)
     return tumbling_counts(kept, ["artistid", "customerid"], "streamtime", size_seconds,
-                           last_order=F.struct(*listen_pos()))
+                           last_order=F.col("pos"))
 
 
 def windowed_stream_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -349,7 +356,7 @@ def customer_stream_count_changelog(spark: SparkSession, sf_dir: str, **scan_kw)
 
 def customer_stream_count_changelog_from(listens: DataFrame, **scan_kw) -> DataFrame:
     l = listens.where(F.col("customerid").isNotNull())
-    r = prefix_scan(l, ["customerid"], listen_pos(), "streamtime", [Spec("n", "count")], **scan_kw)
+    r = prefix_scan(l, ["customerid"], listen_pos(), "pos", [Spec("n", "count")], **scan_kw)
     return r.select("customerid", F.col("id").alias("listen_id"), "streamtime", "n")
 
 

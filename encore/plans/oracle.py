@@ -25,7 +25,7 @@ VIEW_SQL = {
               "FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey",
     "listen": "SELECT event_id AS id, user_id AS customerid, "
               "CAST(props->>'k' AS BIGINT) % (SELECT count(*) FROM supplier) AS artistid, "
-              "ts AS streamtime FROM events",
+              "ts AS streamtime, event_id AS pos FROM events",
     "patron": "SELECT c_custkey AS id, c_mktsegment AS type, c_name AS fullname, "
               "strftime(DATE '1985-01-01' + CAST((c_custkey * 37) % 7300 AS INTEGER), '%Y-%m-%d') AS birthdt "
               "FROM customer",

@@ -122,7 +122,7 @@ def customer_top_genre(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each customer's most streamed genre (ties: first to reach the count)."""
     l = domain.listen(spark, sf_dir).where(F.col("customerid").isNotNull())
     a = domain.artist(spark, sf_dir).select(F.col("id").alias("artistid"), "genre")
-    pos = F.struct(*J.listen_pos())
+    pos = F.col("pos")
     g = (l.join(a, "artistid").groupBy("customerid", "genre")
           .agg(F.count(F.lit(1)).alias("n"), F.max(pos).alias("last_pos")))
     return arg_max_first(g, "customerid", "n", [F.col("last_pos")], ["genre"])
@@ -205,7 +205,7 @@ def monthly_top_weekly_streamer(spark: SparkSession, sf_dir: str) -> DataFrame:
     name and email; ties go to who reached the count first."""
     l = domain.listen(spark, sf_dir).where(F.col("customerid").isNotNull() & F.col("artistid").isNotNull())
     wk = l.withColumn("week_start", F.date_trunc("week", "streamtime"))
-    pos = F.struct(*J.listen_pos())
+    pos = F.col("pos")
     c = (wk.groupBy("artistid", "customerid", "week_start")
            .agg(F.count(F.lit(1)).alias("n"), F.max(pos).alias("last_pos"))
            .withColumn("month", F.date_trunc("month", "week_start")))

@@ -95,7 +95,13 @@ def ticket(spark: SparkSession, sf_dir: str, with_customer: bool = True) -> Data
 
 
 def listen(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Listens (the model's ``stream`` entity) in order ``(streamtime, id)``."""
+    """Listens (the model's ``stream`` entity).
+
+    ``pos`` is the record's arrival sequence number: the events table's
+    ``event_id``, along which ``ts`` never decreases, so arrival order equals
+    ``(streamtime, id)`` order. A single bigint keeps every first/last-position
+    aggregate a hash aggregate.
+    """
     e = read_table(spark, sf_dir, "events")
     k = F.get_json_object("props", "$.k").cast("bigint")
     return e.select(
@@ -103,6 +109,7 @@ def listen(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("user_id").alias("customerid"),
         (k % _artist_count(spark, sf_dir)).alias("artistid"),
         F.col("ts").alias("streamtime"),
+        F.col("event_id").alias("pos"),
     )
 
 
@@ -189,7 +196,8 @@ _TIME_STATS: dict[tuple[str, str], tuple[int, int, int]] = {}
 
 
 def time_stats(spark: SparkSession, sf_dir: str, view: str) -> tuple[int, int, int]:
-    """(rows, min_micros, max_micros) of the arrival time of ``ticket`` or ``listen``."""
+    """(rows, min, max) of the bucketing column: arrival time in microseconds
+    for ``ticket``, the ``pos`` sequence number for ``listen``."""
     key = (sf_dir.rstrip("/"), view)
     if key not in _TIME_STATS:
         if view == "ticket":
@@ -197,27 +205,29 @@ def time_stats(spark: SparkSession, sf_dir: str, view: str) -> tuple[int, int, i
             t = ticket_arrival(F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey"))
             df = li.select(t.alias("t"))
         elif view == "listen":
-            df = read_table(spark, sf_dir, "events").select(F.col("ts").alias("t"))
+            df = read_table(spark, sf_dir, "events").select(F.col("event_id").alias("t"))
         else:
             raise ValueError(view)
-        us = F.unix_micros(F.col("t").cast("timestamp"))
+        us = (F.unix_micros(F.col("t").cast("timestamp")) if view == "ticket" else F.col("t").cast("bigint"))
         r = df.agg(F.count(F.lit(1)).alias("n"), F.min(us).alias("lo"), F.max(us).alias("hi")).first()
         _TIME_STATS[key] = (int(r["n"] or 0), int(r["lo"] or 0), int(r["hi"] or 0))
     return _TIME_STATS[key]
 
 
 def time_buckets(spark: SparkSession, sf_dir: str, views: tuple[str, ...],
-                 rows_per_bucket: int | None = None) -> tuple[int, int] | None:
-    """Bucket spec ``(origin_micros, width_micros)`` for ``prefix_scan`` over rows
-    drawn from ``views``; None when all rows fit in one bucket."""
+                 rows_per_bucket: int | None = None, min_buckets: int = 1) -> tuple[int, int] | None:
+    """Bucket spec ``(origin, width)`` for ``prefix_scan`` over rows drawn from
+    ``views`` (all views must share the bucketing unit); None when all rows fit
+    in one bucket. ``min_buckets`` spreads a scan with no key over that many
+    tasks even when it is small."""
     import math
     from encore.operators.running import DEFAULT_ROWS_PER_BUCKET
     per = rows_per_bucket or DEFAULT_ROWS_PER_BUCKET
     stats = [time_stats(spark, sf_dir, v) for v in views]
     n = sum(s[0] for s in stats)
-    if n <= per:
+    buckets = max(math.ceil(n / per), min_buckets)
+    if n == 0 or buckets <= 1:
         return None
     lo = min(s[1] for s in stats if s[0])
     hi = max(s[2] for s in stats if s[0])
-    buckets = math.ceil(n / per)
     return lo, max(1, math.ceil((hi - lo + 1) / buckets))

@@ -20,5 +20,17 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
+# Schemas read from the parquet footers, once per table per session (like a
+# catalog entry); later reads skip the footer inference.
+_SCHEMAS: dict[tuple[int, str], object] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(table_path(sf_dir, name))
+    path = table_path(sf_dir, name)
+    key = (id(spark), path)
+    sch = _SCHEMAS.get(key)
+    if sch is None:
+        df = spark.read.parquet(path)
+        _SCHEMAS[key] = df.schema
+        return df
+    return spark.read.schema(sch).parquet(path)

@@ -27,6 +27,7 @@ def at(pos: int, step_seconds: float = 1.0) -> dt.datetime:
 def listens(spark):
     """Listens from (customer, artist) pairs in arrival order, one second apart."""
     def make(pairs, step_seconds=1.0, start=0):
-        rows = [(str(start + i), c, a, at(start + i, step_seconds)) for i, (c, a) in enumerate(pairs)]
-        return spark.createDataFrame(rows, "id string, customerid string, artistid string, streamtime timestamp")
+        rows = [(str(start + i), c, a, at(start + i, step_seconds), start + i) for i, (c, a) in enumerate(pairs)]
+        return spark.createDataFrame(rows, "id string, customerid string, artistid string, streamtime timestamp, "
+                                           "pos bigint")
     return make
