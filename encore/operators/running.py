@@ -81,7 +81,7 @@ def bucket_width_micros(df: DataFrame, time_col: str, rows_per_bucket: int) -> t
         return None
     buckets = math.ceil(n / rows_per_bucket)
     width = max(1, math.ceil((hi - lo + 1) / buckets))
-    return lo, width
+    return lo, width, buckets
 
 
 def prefix_scan(df: DataFrame, keys: list[str], order: list[Column], time_col: str,
@@ -99,7 +99,8 @@ def prefix_scan(df: DataFrame, keys: list[str], order: list[Column], time_col: s
         w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
         return df.select("*", *[_window_expr(s, w).alias(s.out) for s in specs])
 
-    origin, width = bucket
+    origin, width = bucket[0], bucket[1]
+    n_buckets = bucket[2] if len(bucket) > 2 else None
     b = F.floor((bucket_value(df, time_col) - F.lit(origin)) / F.lit(width)).cast("bigint")
     staged = df.withColumn("__b", b)
     part = [*keys, "__b"]
@@ -124,6 +125,9 @@ def prefix_scan(df: DataFrame, keys: list[str], order: list[Column], time_col: s
         else:
             carried.append(F.last(t, ignorenulls=True).over(wb).alias(f"__c_{s.out}"))
     prefix = per_bucket.select(*part, *carried)
+    if not keys:
+        # One row per bucket: its size is known, so it is broadcast.
+        prefix = _small(prefix, n_buckets)
 
     joined = local.join(prefix, on=part, how="left")
     outs = []
@@ -151,3 +155,64 @@ def running_count(df: DataFrame, keys: list[str], order: list[Column], time_col:
 def running_sum(df: DataFrame, keys: list[str], order: list[Column], time_col: str,
                 value, out: str, **kw) -> DataFrame:
     return prefix_scan(df, keys, order, time_col, [Spec(out, "sum", value)], **kw)
+
+
+# Tables with one row per bucket are broadcast below this many buckets (the
+# bucket count is computed from the input size, so the bound is known).
+MAX_BROADCAST_BUCKETS = 1_000_000
+
+
+def _small(df: DataFrame, n_buckets: int | None) -> DataFrame:
+    return F.broadcast(df) if n_buckets is not None and n_buckets <= MAX_BROADCAST_BUCKETS else df
+
+
+def running_leader(df: DataFrame, order: list[Column], time_col: str, value: str, payload: list[str],
+                   out: str = "leader", bucket: tuple[int, int] | None | str = "auto",
+                   rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET) -> DataFrame:
+    """Running arg-max in global ``order`` with a strict ``>``: a row sets a
+    record when its ``value`` exceeds every earlier row's value; ``out`` is the
+    last record at or before the row (``struct(payload..., value)``). Ties keep
+    the earlier leader, and the leader is a high-water mark.
+
+    Bucketed like ``prefix_scan`` (one shuffle into order-preserving buckets,
+    one window per bucket); the carry from earlier buckets is a max and a
+    last-record over the per-bucket table, broadcast when its size is bounded.
+    """
+    if bucket == "auto":
+        bucket = bucket_width_micros(df, time_col, rows_per_bucket)
+    v = F.col(value)
+    rec_struct = F.struct(*[F.col(p) for p in payload], v.alias(value))
+    if bucket is None:
+        w_prev = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+        w_incl = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        staged = df.withColumn("__pm", F.max(v).over(w_prev))
+        staged = staged.withColumn("__rec", F.when(v.isNotNull() & (F.col("__pm").isNull() | (v > F.col("__pm"))),
+                                                   rec_struct))
+        return staged.withColumn(out, F.last("__rec", ignorenulls=True).over(w_incl)).drop("__pm", "__rec")
+
+    origin, width = bucket[0], bucket[1]
+    n_buckets = bucket[2] if len(bucket) > 2 else None
+    b = F.floor((bucket_value(df, time_col) - F.lit(origin)) / F.lit(width)).cast("bigint")
+    staged = df.withColumn("__b", b)
+    # Max of each earlier bucket, carried forward.
+    bmax = staged.groupBy("__b").agg(F.max(v).alias("__bm"))
+    carry_max = bmax.select("__b", F.max("__bm").over(
+        Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)).alias("__cm"))
+    w_prev = Window.partitionBy("__b").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    w_incl = Window.partitionBy("__b").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = (staged.join(_small(carry_max, n_buckets), "__b", "left")
+                   .withColumn("__pm", F.greatest(F.max(v).over(w_prev), F.col("__cm"))))
+    local = local.withColumn("__rec", F.when(v.isNotNull() & (F.col("__pm").isNull() | (v > F.col("__pm"))),
+                                             rec_struct))
+    local = local.withColumn("__ll", F.last("__rec", ignorenulls=True).over(w_incl))
+    # Last record of each earlier bucket, carried forward.
+    last_rec = (local.where(F.col("__rec").isNotNull()).groupBy("__b")
+                     .agg(F.max(F.struct(*[c.alias(f"__o{i}") for i, c in enumerate(order)],
+                                         F.col("__rec").alias("r"))).alias("__t")))
+    # Over every bucket (with or without records): the last record of the
+    # strictly earlier buckets.
+    carry_all = (bmax.select("__b").join(last_rec, "__b", "left")
+                     .select("__b", F.last("__t.r", ignorenulls=True).over(
+                         Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)).alias("__cr")))
+    res = local.join(_small(carry_all, n_buckets), "__b", "left")
+    return res.withColumn(out, F.coalesce(F.col("__ll"), F.col("__cr"))).select(*df.columns, out)

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from encore import functions as fx
 from encore.operators.keyed import arg_max_first
 from encore.operators.route import route
-from encore.operators.running import Spec, prefix_scan
+from encore.operators.running import Spec, prefix_scan, running_leader
 from encore.operators.topk import top_k_per_group
 from encore.operators.windows import drop_late_records, tumbling_counts
 from encore.sources import domain
@@ -197,12 +197,13 @@ def artist_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def revenue_leader_changelog(spark: SparkSession, sf_dir: str, **scan_kw) -> DataFrame:
+    keyed = _scan(spark, sf_dir, ("ticket",), scan_kw)
+    glob = _scan(spark, sf_dir, ("ticket",), scan_kw, global_scan=True)
     return revenue_leader_changelog_from(_tickets_with_event(spark, sf_dir, with_customer=False),
-                                         domain.artist(spark, sf_dir),
-                                         **_scan(spark, sf_dir, ("ticket",), scan_kw, global_scan=True))
+                                         domain.artist(spark, sf_dir), leader_bucket=glob["bucket"], **keyed)
 
 
-def revenue_leader_changelog_from(t: DataFrame, artists: DataFrame, **scan_kw) -> DataFrame:
+def revenue_leader_changelog_from(t: DataFrame, artists: DataFrame, leader_bucket="auto", **scan_kw) -> DataFrame:
     """The leader re-emitted after every ticket (with known event and artist).
 
     ``t``: tickets joined to their event (``id, price, arrival, artistid``).
@@ -217,53 +218,18 @@ def revenue_leader_changelog_from(t: DataFrame, artists: DataFrame, **scan_kw) -
     totals = prefix_scan(rows, ["artistid"], ticket_pos(), "arrival", [Spec("total", "sum", "rev")], **scan_kw)
     # Known artists only take part in the leaderboard.
     reports = totals.join(a, "artistid")
-    order = ticket_pos()
-    ex = _exclusive_max(reports, order, **scan_kw)
-    is_record = F.col("__prev_max").isNull() | (F.col("total") > F.col("__prev_max"))
-    marked = ex.withColumn("__rec", F.when(is_record, F.struct(
-        F.col("artistid").alias("artistId"), F.col("artist_name"), F.col("artist_genre"),
-        F.col("total").alias("revenue"))))
-    led = prefix_scan(marked, [], order, "arrival", [Spec("leader", "last", "__rec")], **scan_kw)
+    if "bucket" in scan_kw and leader_bucket == "auto":
+        leader_bucket = scan_kw["bucket"]
+    led = running_leader(reports, ticket_pos(), "arrival", "total", ["artistid", "artist_name", "artist_genre"],
+                         out="leader", bucket=leader_bucket)
     return led.select(F.lit(fx.LEADER_KEY).alias("key"), F.col("id").alias("ticket_id"), "arrival", "price",
-                      F.col("leader.artistId").alias("artistId"), F.col("leader.artist_name").alias("artist_name"),
-                      F.col("leader.artist_genre").alias("artist_genre"), F.col("leader.revenue").alias("revenue"))
-
-
-def _exclusive_max(df: DataFrame, order: list[Column], **scan_kw) -> DataFrame:
-    """``__prev_max`` = max(total) over rows strictly before, in global ``order``:
-    the inclusive running max of the previous row."""
-    inc = prefix_scan(df, [], order, "arrival", [Spec("__incl", "max", "total")], **scan_kw)
-    return _lag_last(inc, order, "__incl", "__prev_max", **scan_kw).drop("__incl")
-
-
-def _lag_last(df: DataFrame, order: list[Column], value: str, out: str, **scan_kw) -> DataFrame:
-    """``out`` = ``value`` of the immediately preceding row in global ``order``.
-
-    Bucketed: within a bucket the window ``lag``; the first row of a bucket
-    takes the last value of the nearest earlier non-empty bucket.
-    """
-    from pyspark.sql import Window
-    from encore.operators.running import bucket_width_micros, DEFAULT_ROWS_PER_BUCKET
-    bucket = scan_kw.get("bucket", "auto")
-    if bucket == "auto":
-        bucket = bucket_width_micros(df, "arrival", scan_kw.get("rows_per_bucket", DEFAULT_ROWS_PER_BUCKET))
-    if bucket is None:
-        return df.withColumn(out, F.lag(value).over(Window.orderBy(*order)))
-    origin, width = bucket
-    b = F.floor((F.unix_micros(F.col("arrival")) - F.lit(origin)) / F.lit(width)).cast("bigint")
-    staged = df.withColumn("__b", b)
-    local = staged.withColumn(out, F.lag(value).over(Window.partitionBy("__b").orderBy(*order)))
-    last_in_bucket = (staged.groupBy("__b")
-                      .agg(F.max(F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)],
-                                          F.col(value).alias("v"))).alias("__t")))
-    carry = last_in_bucket.select("__b", F.lag("__t.v").over(Window.orderBy("__b")).alias("__carry"))
-    return (local.join(carry, "__b", "left")
-                 .withColumn(out, F.coalesce(F.col(out), F.col("__carry"))).drop("__b", "__carry"))
+                      F.col("leader.artistid").alias("artistId"), F.col("leader.artist_name").alias("artist_name"),
+                      F.col("leader.artist_genre").alias("artist_genre"), F.col("leader.total").alias("revenue"))
 
 
 def artist_revenue_leader(spark: SparkSession, sf_dir: str, **scan_kw) -> DataFrame:
     """Current leader after all tickets: the changelog's last row."""
-    ch = revenue_leader_changelog(spark, sf_dir, **_scan(spark, sf_dir, ("ticket",), scan_kw, global_scan=True))
+    ch = revenue_leader_changelog(spark, sf_dir, **scan_kw)
     last = ch.agg(F.max(F.struct("arrival", "ticket_id", "price", "artistId", "artist_name", "artist_genre",
                                  "revenue")).alias("m"))
     return last.select(F.lit(fx.LEADER_KEY).alias("key"), F.col("m.artistId").alias("artistId"),

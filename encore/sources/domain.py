@@ -230,4 +230,4 @@ def time_buckets(spark: SparkSession, sf_dir: str, views: tuple[str, ...],
         return None
     lo = min(s[1] for s in stats if s[0])
     hi = max(s[2] for s in stats if s[0])
-    return lo, max(1, math.ceil((hi - lo + 1) / buckets))
+    return lo, max(1, math.ceil((hi - lo + 1) / buckets)), buckets
