@@ -194,25 +194,30 @@ def running_leader(df: DataFrame, order: list[Column], time_col: str, value: str
     n_buckets = bucket[2] if len(bucket) > 2 else None
     b = F.floor((bucket_value(df, time_col) - F.lit(origin)) / F.lit(width)).cast("bigint")
     staged = df.withColumn("__b", b)
-    # Max of each earlier bucket, carried forward.
-    bmax = staged.groupBy("__b").agg(F.max(v).alias("__bm"))
-    carry_max = bmax.select("__b", F.max("__bm").over(
-        Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)).alias("__cm"))
+    # One pass per bucket: local records (beating every earlier row of the
+    # bucket) and the last local record so far. Local records have rising
+    # values, so the true records of a bucket are its local records above the
+    # max carried from earlier buckets -- a suffix of them.
     w_prev = Window.partitionBy("__b").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     w_incl = Window.partitionBy("__b").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = (staged.join(_small(carry_max, n_buckets), "__b", "left")
-                   .withColumn("__pm", F.greatest(F.max(v).over(w_prev), F.col("__cm"))))
-    local = local.withColumn("__rec", F.when(v.isNotNull() & (F.col("__pm").isNull() | (v > F.col("__pm"))),
-                                             rec_struct))
-    local = local.withColumn("__ll", F.last("__rec", ignorenulls=True).over(w_incl))
-    # Last record of each earlier bucket, carried forward.
-    last_rec = (local.where(F.col("__rec").isNotNull()).groupBy("__b")
-                     .agg(F.max(F.struct(*[c.alias(f"__o{i}") for i, c in enumerate(order)],
-                                         F.col("__rec").alias("r"))).alias("__t")))
-    # Over every bucket (with or without records): the last record of the
-    # strictly earlier buckets.
-    carry_all = (bmax.select("__b").join(last_rec, "__b", "left")
-                     .select("__b", F.last("__t.r", ignorenulls=True).over(
-                         Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)).alias("__cr")))
-    res = local.join(_small(carry_all, n_buckets), "__b", "left")
-    return res.withColumn(out, F.coalesce(F.col("__ll"), F.col("__cr"))).select(*df.columns, out)
+    local = staged.withColumn("__pm", F.max(v).over(w_prev))
+    local = local.withColumn("__lrec", F.when(v.isNotNull() & (F.col("__pm").isNull() | (v > F.col("__pm"))),
+                                              rec_struct))
+    local = local.withColumn("__ll", F.last("__lrec", ignorenulls=True).over(w_incl))
+    # Per bucket, from the window output (already partitioned by bucket, so no
+    # second pass over the input): its final local leader = its max.
+    per_bucket = (local.groupBy("__b")
+                       .agg(F.max(F.struct(*[c.alias(f"__o{i}") for i, c in enumerate(order)],
+                                           F.col("__ll").alias("ll"))).alias("__t"))
+                       .select("__b", F.col("__t.ll").alias("__brec")))
+    wb_prev = Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    bt = per_bucket.withColumn("__cm", F.max(F.col(f"__brec.{value}")).over(wb_prev))
+    bt = bt.withColumn("__own", F.when(F.col("__brec").isNotNull() & (F.col("__cm").isNull()
+                                                                        | (F.col(f"__brec.{value}") > F.col("__cm"))),
+                                       F.col("__brec")))
+    bt = bt.select("__b", "__cm", F.last("__own", ignorenulls=True).over(wb_prev).alias("__cr"))
+    res = local.join(_small(bt, n_buckets), "__b", "left")
+    ll = F.col("__ll")
+    lead = F.when(ll.isNotNull() & (F.col("__cm").isNull() | (F.col(f"__ll.{value}") > F.col("__cm"))), ll) \
+            .otherwise(F.col("__cr"))
+    return res.withColumn(out, lead).select(*df.columns, out)
