@@ -106,7 +106,7 @@ def venue_most_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def venue_most_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = domain.ticket(spark, sf_dir).select("customerid", "eventid").where(F.col("customerid").isNotNull()).distinct()
+    t = domain.ticket(spark, sf_dir).select("customerid", "eventid").where(F.col("customerid").isNotNull())
     ev = domain.event(spark, sf_dir).select(F.col("id").alias("eventid"), "venueid")
     pairs = t.join(ev, "eventid").select("venueid", "customerid").distinct()
     per_venue = pairs.groupBy("venueid").agg(F.count(F.lit(1)).alias("customers"))

@@ -9,9 +9,9 @@ Scale choices, shared by all six:
 * tickets are aggregated by ``eventid`` *before* joining events (eager
   aggregation), so the big join sees one row per event instead of one per
   ticket and a hot event collapses to one row per map task;
-* conversion queries reduce listens and purchases to distinct
-  ``(customerid, artistid)`` pairs (partial + final aggregation) before
-  joining, which removes the listen x ticket fan-out of the text form;
+* conversion queries tag listens and purchases and group them once by
+  ``(customerid, artistid)`` (partial + final aggregation), which replaces
+  the listen x ticket fan-out of the text form and its semi join;
 * money is summed as exact integer cents.
 """
 
@@ -32,12 +32,12 @@ def _revenue_by_event(t: DataFrame) -> DataFrame:
     return t.groupBy("eventid").agg(F.sum(cents("price")).alias("cents"))
 
 
-def _revenue_by_artist(spark: SparkSession, sf_dir: str, as_of: str | None = None) -> DataFrame:
+def _revenue_by_artist(tickets: DataFrame, events: DataFrame, as_of: str | None = None) -> DataFrame:
     """(artistid, cents) over tickets whose event exists (inner join)."""
-    ev = domain.event(spark, sf_dir)
+    ev = events
     if as_of is not None:
         ev = ev.where(parse_event_time("eventdate") > F.lit(as_of).cast("timestamp"))
-    per_event = _revenue_by_event(domain.ticket(spark, sf_dir, with_customer=False))
+    per_event = _revenue_by_event(tickets.select("eventid", "price"))
     j = per_event.join(ev.select(F.col("id").alias("eventid"), "artistid"), "eventid")
     return j.groupBy("artistid").agg(F.sum("cents").alias("cents"))
 
@@ -46,78 +46,92 @@ def _money(c: str = "cents"):
     return F.col(c).cast("double") / 100
 
 
-def total_revenue_by_artist(spark: SparkSession, sf_dir: str, limit: int = TOP_N) -> DataFrame:
-    r = _revenue_by_artist(spark, sf_dir)
-    a = domain.artist(spark, sf_dir)
-    j = r.join(a, r.artistid == a.id)
+def revenue_by_artist_from(tickets: DataFrame, events: DataFrame, artists: DataFrame, limit: int = TOP_N) -> DataFrame:
+    r = _revenue_by_artist(tickets, events)
+    j = r.join(artists, r.artistid == artists.id)
     return (j.select(F.col("id").alias("artist_id"), F.col("name").alias("artist_name"),
                      _money().alias("total_revenue"))
              .orderBy(F.desc("total_revenue"), "artist_id").limit(limit))
 
 
-def total_revenue_by_genre(spark: SparkSession, sf_dir: str, limit: int = TOP_N) -> DataFrame:
-    r = _revenue_by_artist(spark, sf_dir)
-    a = domain.artist(spark, sf_dir)
-    g = r.join(a, r.artistid == a.id).groupBy("genre").agg(F.sum("cents").alias("cents"))
+def revenue_by_genre_from(tickets: DataFrame, events: DataFrame, artists: DataFrame, limit: int = TOP_N) -> DataFrame:
+    r = _revenue_by_artist(tickets, events)
+    g = r.join(artists, r.artistid == artists.id).groupBy("genre").agg(F.sum("cents").alias("cents"))
     return (g.select("genre", _money().alias("total_revenue_by_genre"))
              .orderBy(F.desc("total_revenue_by_genre"), "genre").limit(limit))
 
 
+def revenue_by_artist_future_from(tickets: DataFrame, events: DataFrame, artists: DataFrame,
+                                  as_of: str = DEFAULT_AS_OF, limit: int = TOP_N) -> DataFrame:
+    r = _revenue_by_artist(tickets, events, as_of=as_of)
+    g = (r.join(artists, r.artistid == artists.id).groupBy(F.col("name").alias("artist_name"))
+          .agg(F.sum("cents").alias("cents")))
+    return (g.select("artist_name", _money().alias("upcoming_revenue"))
+             .orderBy(F.desc("upcoming_revenue"), "artist_name").limit(limit))
+
+
+def total_revenue_by_artist(spark: SparkSession, sf_dir: str, limit: int = TOP_N) -> DataFrame:
+    return revenue_by_artist_from(domain.ticket(spark, sf_dir, with_customer=False), domain.event(spark, sf_dir),
+                                  domain.artist(spark, sf_dir), limit)
+
+
+def total_revenue_by_genre(spark: SparkSession, sf_dir: str, limit: int = TOP_N) -> DataFrame:
+    return revenue_by_genre_from(domain.ticket(spark, sf_dir, with_customer=False), domain.event(spark, sf_dir),
+                                 domain.artist(spark, sf_dir), limit)
+
+
 def total_revenue_by_artist_future(spark: SparkSession, sf_dir: str, as_of: str = DEFAULT_AS_OF,
                                    limit: int = TOP_N) -> DataFrame:
     """Revenue of events dated after ``as_of`` (the reference compares with NOW();
     a fixed instant keeps results reproducible), grouped by artist name."""
-    r = _revenue_by_artist(spark, sf_dir, as_of=as_of)
-    a = domain.artist(spark, sf_dir)
-    g = r.join(a, r.artistid == a.id).groupBy(F.col("name").alias("artist_name")).agg(F.sum("cents").alias("cents"))
-    return (g.select("artist_name", _money().alias("upcoming_revenue"))
-             .orderBy(F.desc("upcoming_revenue"), "artist_name").limit(limit))
+    return revenue_by_artist_future_from(domain.ticket(spark, sf_dir, with_customer=False),
+                                         domain.event(spark, sf_dir), domain.artist(spark, sf_dir), as_of, limit)
 
 
-def listen_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return domain.listen(spark, sf_dir).select("customerid", "artistid").distinct()
+def conversion_pairs_from(listens: DataFrame, tickets: DataFrame, events: DataFrame) -> DataFrame:
+    """One row per (customer, artist) seen in listens or purchases, with
+    ``listened`` / ``purchased`` flags: a tagged union and one grouping (partial
+    aggregation before the single shuffle). A purchase can only match a listen
+    on non-null keys, so purchases with a null key are left out."""
+    l = listens.select("customerid", "artistid", F.lit(1).alias("l"), F.lit(0).alias("p"))
+    e = events.select(F.col("id").alias("eventid"), "artistid")
+    p = (tickets.select("customerid", "eventid").join(e, "eventid")
+                .where(F.col("customerid").isNotNull() & F.col("artistid").isNotNull())
+                .select("customerid", "artistid", F.lit(0).alias("l"), F.lit(1).alias("p")))
+    return (l.unionByName(p).groupBy("customerid", "artistid")
+             .agg((F.max("l") == 1).alias("listened"), (F.max("p") == 1).alias("purchased")))
 
 
-def purchase_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Distinct (customer, artist) of tickets joined to their event.
+def conversion_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversion_pairs_from(domain.listen(spark, sf_dir), domain.ticket(spark, sf_dir),
+                                 domain.event(spark, sf_dir))
 
-    Tickets are first reduced to distinct (customer, event) pairs, so the join
-    to events sees at most one row per pair.
-    """
-    t = domain.ticket(spark, sf_dir).select("customerid", "eventid").distinct()
-    e = domain.event(spark, sf_dir).select(F.col("id").alias("eventid"), "artistid")
-    return t.join(e, "eventid").select("customerid", "artistid").distinct()
 
+def _per_customer(pairs: DataFrame) -> DataFrame:
+    """Per listening customer: converted iff some artist is both listened and purchased."""
+    return (pairs.where(F.col("listened") & F.col("customerid").isNotNull())
+                 .groupBy("customerid").agg(F.max(F.col("purchased").cast("int")).alias("converted")))
 
-def _converted_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lp = listen_pairs(spark, sf_dir)
-    pp = purchase_pairs(spark, sf_dir)
-    return (lp.join(pp, (lp.customerid == pp.customerid) & (lp.artistid == pp.artistid), "left_semi")
-              .select("customerid").distinct())
 
-
-def customer_conversion(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _converted_customers(spark, sf_dir).agg(F.count("customerid").alias("conversionCount"))
+def conversion_count_from(pairs: DataFrame) -> DataFrame:
+    c = _per_customer(pairs)
+    return c.agg(F.count(F.when(F.col("converted") == 1, F.lit(1))).alias("conversionCount"))
 
 
-def customer_conversion_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    listeners = (domain.listen(spark, sf_dir).select("customerid").distinct()
-                 .select(F.count("customerid")).scalar())
-    converted = _converted_customers(spark, sf_dir).agg(F.count("customerid").alias("n"))
+def conversion_rate_from(pairs: DataFrame) -> DataFrame:
+    c = _per_customer(pairs)
+    agg = c.agg(F.count(F.when(F.col("converted") == 1, F.lit(1))).alias("n"), F.count(F.lit(1)).alias("listeners"))
     # NULLIF guard: no listeners gives null instead of a division error.
-    return converted.select((F.col("n").cast("double") / F.nullif(listeners, F.lit(0))).alias("conversionRate"))
+    return agg.select((F.col("n").cast("double") / F.nullif(F.col("listeners"), F.lit(0))).alias("conversionRate"))
 
 
-def conversion_rate_by_artist(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lp = listen_pairs(spark, sf_dir)
-    pp = purchase_pairs(spark, sf_dir).select(F.col("customerid").alias("buyer"),
-                                              F.col("artistid").alias("bought_artist"))
-    j = lp.join(pp, (lp.customerid == pp.buyer) & (lp.artistid == pp.bought_artist), "left")
-    per_artist = j.groupBy("artistid").agg(
-        F.count("buyer").alias("converted_customers"),
+def conversion_rate_by_artist_from(pairs: DataFrame, artists: DataFrame) -> DataFrame:
+    p = pairs.where(F.col("listened"))
+    per_artist = p.groupBy("artistid").agg(
+        F.count(F.when(F.col("purchased"), F.col("customerid"))).alias("converted_customers"),
         F.count("customerid").alias("streamed_customers"),
     )
-    a = domain.artist(spark, sf_dir).select(F.col("id").alias("artistid"), F.col("name").alias("artist_name"))
+    a = artists.select(F.col("id").alias("artistid"), F.col("name").alias("artist_name"))
     r = per_artist.join(a, "artistid", "left")
     return (r.select("artistid", "artist_name", "converted_customers", "streamed_customers",
                      (F.col("converted_customers").cast("double")
@@ -125,6 +139,18 @@ def conversion_rate_by_artist(spark: SparkSession, sf_dir: str) -> DataFrame:
              .orderBy(F.desc("conversion_rate"), "artistid"))
 
 
+def customer_conversion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversion_count_from(conversion_pairs(spark, sf_dir))
+
+
+def customer_conversion_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversion_rate_from(conversion_pairs(spark, sf_dir))
+
+
+def conversion_rate_by_artist(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversion_rate_by_artist_from(conversion_pairs(spark, sf_dir), domain.artist(spark, sf_dir))
+
+
 # SQL text, engine-neutral except where noted. Money is summed as integer cents
 # and rates are doubles so that Spark and DuckDB return identical values.
 MONEY_SUM = "CAST(SUM(CAST(ROUND(t.price * 100) AS BIGINT)) AS DOUBLE) / 100"
