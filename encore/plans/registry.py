@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from encore.plans import jobs as J
 from encore.plans import scenarios as R
 from encore.plans import sql as S
+from encore.plans import streams as ST
 from encore.plans.scenarios_sql import SCENARIO_SQL
 from encore.plans.jobs_sql import JOB_SQL
 
@@ -18,6 +19,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q.update(S.QUERIES)
     q.update(J.QUERIES)
     q.update(R.QUERIES)
+    q.update({k: fn for k, (fn, _) in ST.QUERIES.items()})
     return q
 
 
@@ -26,4 +28,5 @@ def oracle_sql() -> dict[str, str]:
     o.update({k: S.oracle(k) for k in S.QUERIES})
     o.update({k: v for k, v in JOB_SQL.items() if k in J.QUERIES})
     o.update({k: v for k, v in SCENARIO_SQL.items() if k in R.QUERIES})
+    o.update({k: o[batch] for k, (_, batch) in ST.QUERIES.items() if batch in o})
     return o

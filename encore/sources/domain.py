@@ -34,6 +34,11 @@ VENUE_COUNT = 25
 VENUE_MAX_CAPACITY = 50
 
 
+def artist_count(spark: SparkSession, sf_dir: str) -> Column:
+    """Number of artists, as a scalar subquery (evaluated once per query)."""
+    return _artist_count(spark, sf_dir)
+
+
 def _artist_count(spark: SparkSession, sf_dir: str) -> Column:
     return read_table(spark, sf_dir, "supplier").select(F.count(F.lit(1))).scalar()
 
@@ -80,16 +85,23 @@ def ticket(spark: SparkSession, sf_dir: str, with_customer: bool = True) -> Data
     ``customerid`` comes from ``orders`` by a left join (a ticket whose order is
     missing keeps a null customer); ``with_customer=False`` leaves it out.
     """
-    li = read_table(spark, sf_dir, "lineitem")
+    orders = read_table(spark, sf_dir, "orders") if with_customer else None
+    return ticket_from(read_table(spark, sf_dir, "lineitem"), orders)
+
+
+def ticket_from(lineitem: DataFrame, orders: DataFrame | None = None) -> DataFrame:
+    """The ticket projection of ``lineitem`` rows (static or streaming); with
+    ``orders`` (a static table), the customer is looked up by a left join."""
+    li = lineitem
     cols = [
         F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("id"),
         F.col("l_partkey").alias("eventid"),
         F.col("l_extendedprice").alias("price"),
         ticket_arrival(F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey")).alias("arrival"),
     ]
-    if not with_customer:
+    if orders is None:
         return li.select(*cols)
-    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    o = orders.select("o_orderkey", "o_custkey")
     j = li.join(o, li.l_orderkey == o.o_orderkey, "left")
     return j.select(cols[0], F.col("o_custkey").alias("customerid"), *cols[1:])
 
@@ -102,12 +114,16 @@ def listen(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``(streamtime, id)`` order. A single bigint keeps every first/last-position
     aggregate a hash aggregate.
     """
-    e = read_table(spark, sf_dir, "events")
+    return listen_from(read_table(spark, sf_dir, "events"), _artist_count(spark, sf_dir))
+
+
+def listen_from(events: DataFrame, artist_count: Column) -> DataFrame:
+    """The listen projection of ``events`` rows (static or streaming)."""
     k = F.get_json_object("props", "$.k").cast("bigint")
-    return e.select(
+    return events.select(
         F.col("event_id").alias("id"),
         F.col("user_id").alias("customerid"),
-        (k % _artist_count(spark, sf_dir)).alias("artistid"),
+        (k % artist_count).alias("artistid"),
         F.col("ts").alias("streamtime"),
         F.col("event_id").alias("pos"),
     )
@@ -120,7 +136,10 @@ def _birthdt() -> Column:
 
 
 def customer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = read_table(spark, sf_dir, "customer")
+    return customer_from(read_table(spark, sf_dir, "customer"))
+
+
+def customer_from(c: DataFrame) -> DataFrame:
     return c.select(
         F.col("c_custkey").alias("id"),
         F.col("c_mktsegment").alias("type"),
@@ -140,9 +159,11 @@ def customer_legacy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def address(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = read_table(spark, sf_dir, "customer")
-    n = read_table(spark, sf_dir, "nation")
-    r = read_table(spark, sf_dir, "region")
+    return address_from(read_table(spark, sf_dir, "customer"), read_table(spark, sf_dir, "nation"),
+                        read_table(spark, sf_dir, "region"))
+
+
+def address_from(c: DataFrame, n: DataFrame, r: DataFrame) -> DataFrame:
     nr = n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey, "inner")
     j = c.join(F.broadcast(nr), c.c_nationkey == nr.n_nationkey, "inner")
     return j.select(

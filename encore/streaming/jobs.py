@@ -37,46 +37,58 @@ def _event_lookup(events: DataFrame) -> DataFrame:
 def top_customer_artists_changelog(listens: DataFrame, k: int = J.TOP_ARTISTS,
                                    tracked: int = J.TRACKED_ARTISTS) -> DataFrame:
     """The customer's top-k artists after every listen."""
-    return (_nn(listens, "customerid").select("customerid", "artistid", "pos")
-            .groupBy("customerid")
-            .applyInPandasWithState(S.top_artists(k, tracked), S.TOP_ARTISTS_OUT, S.TOP_ARTISTS_STATE,
-                                    "update", GroupStateTimeout.NoTimeout))
+    src = _nn(listens, "customerid").select("customerid", F.col("artistid").cast("string").alias("artistid"), "pos")
+    return src.groupBy("customerid").applyInPandasWithState(
+        S.top_artists(k, tracked), S.out_schema(src, "customerid", [], S.TOP_ARTISTS_EXTRA), S.TOP_ARTISTS_STATE,
+        "append", GroupStateTimeout.NoTimeout)
 
 
-def purchase_event_ticket(tickets: DataFrame, events: DataFrame) -> DataFrame:
-    """One confirmation per ticket request (stream-static join to events)."""
+def purchase_event_ticket(tickets: DataFrame, events: DataFrame, order=("pos",),
+                          passthrough=("id", "customerid", "pos")) -> DataFrame:
+    """One confirmation per ticket request (stream-static join to events).
+    ``order``: the tickets' arrival order columns."""
     j = tickets.join(_event_lookup(events), "eventid")
-    return (j.select("eventid", "id", "customerid", "pos", "capacity")
-             .groupBy("eventid")
-             .applyInPandasWithState(S.confirm_tickets, S.CONFIRM_OUT, S.CONFIRM_STATE, "update",
-                                     GroupStateTimeout.NoTimeout)
-             .withColumn("confirmationId", fx.stable_id(F.col("ticket_id"), F.col("eventid"), F.col("request_no"))))
-
-
-def conversion_matches(listens: DataFrame, tickets: DataFrame, events: DataFrame) -> DataFrame:
-    """The records that re-emit a true match (listens and purchases share
-    one ``pos`` order). Count them for the tally (``tally_batches``)."""
-    l = listens.select("customerid", "artistid", "pos", F.lit(0).alias("side"))
-    t = tickets.join(_event_lookup(events), "eventid").select("customerid", "artistid", "pos",
-                                                              F.lit(1).alias("side"))
+    src = j.select("eventid", "capacity", *dict.fromkeys([*order, *passthrough]))
+    out = src.groupBy("eventid").applyInPandasWithState(
+        S.confirm_tickets(order, passthrough), S.out_schema(src, "eventid", passthrough, S.CONFIRM_EXTRA),
+        S.CONFIRM_STATE, "append", GroupStateTimeout.NoTimeout)
+    return out.withColumn("confirmationId", fx.stable_id(F.col("id"), F.col("eventid"), F.col("request_no")))
+
+
+def conversion_matches(listens: DataFrame, tickets: DataFrame, events: DataFrame,
+                       order=("pos", "side"), passthrough=("pos", "side")) -> DataFrame:
+    """The records that re-emit a true match. ``listens`` and ``tickets``
+    carry the shared order columns (``pos`` by default). Count them for the
+    tally (``tally_batches``)."""
+    cols = list(dict.fromkeys([*order, *passthrough]))
+    l = listens.withColumn("side", F.lit(0)).select("customerid", F.col("artistid").cast("string").alias("artistid"),
+                                                    *cols)
+    t = (tickets.join(_event_lookup(events), "eventid").withColumn("side", F.lit(1))
+                .select("customerid", F.col("artistid").cast("string").alias("artistid"), *cols))
     u = _nn(l.unionByName(t), "customerid")
-    return u.groupBy("customerid").applyInPandasWithState(S.conversion, S.CONVERSION_OUT, S.CONVERSION_STATE,
-                                                          "update", GroupStateTimeout.NoTimeout)
+    return u.groupBy("customerid").applyInPandasWithState(
+        S.conversion(order, passthrough), S.out_schema(u, "customerid", passthrough), S.CONVERSION_STATE,
+        "append", GroupStateTimeout.NoTimeout)
 
 
-def customer_stream_count_changelog(listens: DataFrame) -> DataFrame:
+def customer_stream_count_changelog(listens: DataFrame, order=("pos",), passthrough=("id", "pos")) -> DataFrame:
     """P8."""
-    return (_nn(listens, "customerid").select("customerid", "id", "pos").groupBy("customerid")
-            .applyInPandasWithState(S.running_count("customerid"), S.RUNNING_COUNT_OUT.format(key="customerid"),
-                                    S.RUNNING_COUNT_STATE, "update", GroupStateTimeout.NoTimeout))
+    src = _nn(listens, "customerid").select("customerid", *dict.fromkeys([*order, *passthrough]))
+    return src.groupBy("customerid").applyInPandasWithState(
+        S.running_count("customerid", order, passthrough),
+        S.out_schema(src, "customerid", passthrough, S.RUNNING_COUNT_EXTRA),
+        S.RUNNING_COUNT_STATE, "append", GroupStateTimeout.NoTimeout)
 
 
-def artist_ticket_count_changelog(tickets: DataFrame, events: DataFrame) -> DataFrame:
+def artist_ticket_count_changelog(tickets: DataFrame, events: DataFrame, order=("pos",),
+                                  passthrough=("id", "pos")) -> DataFrame:
     """P9."""
     j = _nn(tickets.join(_event_lookup(events), "eventid"), "artistid")
-    return (j.select("artistid", "id", "pos").groupBy("artistid")
-             .applyInPandasWithState(S.running_count("artistid"), S.RUNNING_COUNT_OUT.format(key="artistid"),
-                                     S.RUNNING_COUNT_STATE, "update", GroupStateTimeout.NoTimeout))
+    src = j.select("artistid", *dict.fromkeys([*order, *passthrough]))
+    return src.groupBy("artistid").applyInPandasWithState(
+        S.running_count("artistid", order, passthrough),
+        S.out_schema(src, "artistid", passthrough, S.RUNNING_COUNT_EXTRA),
+        S.RUNNING_COUNT_STATE, "append", GroupStateTimeout.NoTimeout)
 
 
 # ---------------------------------------------------------------- snapshots per micro-batch (built-in state)

@@ -4,22 +4,28 @@ These give the per-record changelog of the stateful jobs on a stream: one
 output row per input record, computed from the key's state and the record.
 Spark shards keys over tasks and checkpoints the state (RocksDB provider for
 large state); the functions only hold one key's rows of one micro-batch, sort
-them by ``pos`` (rows arrive unordered within a micro-batch) and walk them.
-Bound the rows per key per batch with ``maxFilesPerTrigger`` /
+them by the arrival order (rows arrive unordered within a micro-batch) and walk
+them. Bound the rows per key per batch with ``maxFilesPerTrigger`` /
 ``maxOffsetsPerTrigger`` at the source.
 
 State per key stays small: a counter for running counts, (capacity, requests)
 for ticket confirmation, at most ``tracked`` counters for the top-artists map,
 and for the conversion tally two artist sets that are dropped as soon as the
 customer matches (a match never goes back).
+
+Each factory takes ``order`` (columns giving the arrival order) and
+``passthrough`` (input columns copied to the output); ``out_schema`` builds the
+matching output schema from the input schema.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from encore.functions import LIMITED_PERCENT
 
@@ -29,72 +35,97 @@ TOP_ARTISTS_STATE = "artists array<string>, counts array<long>, lasts array<long
 CONVERSION_STATE = "matched boolean, listened array<string>, purchased array<string>"
 
 
-def _rows(pdfs: Iterator[pd.DataFrame], order: list[str]) -> pd.DataFrame:
+def out_schema(df: DataFrame, key: str, passthrough: Sequence[str], extra: str = "") -> T.StructType:
+    """``key`` and ``passthrough`` with their input types, then ``extra`` (DDL)."""
+    fields = [df.schema[key]] + [df.schema[c] for c in passthrough]
+    st = T.StructType([T.StructField(f.name, f.dataType, True) for f in fields])
+    if extra:
+        for f in T._parse_datatype_string(extra).fields:
+            st = st.add(f)
+    return st
+
+
+def _rows(pdfs: Iterator[pd.DataFrame], order: Sequence[str]) -> pd.DataFrame:
+    """One key's rows of the micro-batch, in arrival order (numpy lexsort;
+    no reordering when they already arrive in order)."""
     parts = [p for p in pdfs if len(p)]
     if not parts:
         return pd.DataFrame()
     pdf = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
-    return pdf.sort_values(order, kind="mergesort").reset_index(drop=True)
+    if len(pdf) > 1:
+        idx = np.lexsort([pdf[c].to_numpy() for c in reversed(order)])
+        if (idx[1:] < idx[:-1]).any():
+            pdf = pdf.take(idx)
+    return pdf
 
 
-def running_count(key_name: str, id_col: str = "id"):
-    """Changelog of a per-key count: ``(key, id, pos, n)`` per record."""
+def _frame(key_name: str, key, pdf: pd.DataFrame, passthrough: Sequence[str], **cols) -> pd.DataFrame:
+    out = {key_name: np.full(len(pdf), key, dtype=object if isinstance(key, str) else None)}
+    for c in passthrough:
+        out[c] = pdf[c].to_numpy()
+    out.update(cols)
+    return pd.DataFrame(out)
+
+
+def running_count(key_name: str, order: Sequence[str] = ("pos",), passthrough: Sequence[str] = ("id", "pos")):
+    """Changelog of a per-key count: key, passthrough..., ``n`` per record."""
     def fn(key, pdfs, state):
-        pdf = _rows(pdfs, ["pos"])
+        pdf = _rows(pdfs, order)
         if pdf.empty:
             return
         n0 = state.get[0] if state.exists else 0
         n = n0 + np.arange(1, len(pdf) + 1, dtype=np.int64)
         state.update((int(n[-1]),))
-        yield pd.DataFrame({key_name: [key[0]] * len(pdf), "id": pdf[id_col].astype(str).values,
-                            "pos": pdf["pos"].astype(np.int64).values, "n": n})
+        yield _frame(key_name, key[0], pdf, passthrough, n=n)
     return fn
 
 
-RUNNING_COUNT_OUT = "{key} string, id string, pos long, n long"
+RUNNING_COUNT_EXTRA = "n long"
 
 
-def confirm_tickets(key, pdfs, state):
+def confirm_tickets(order: Sequence[str] = ("pos",), passthrough: Sequence[str] = ("id", "customerid", "pos")):
     """Per event: every request uses a seat; capacity is frozen at the first
-    request's copy of the event."""
-    pdf = _rows(pdfs, ["pos"])
-    if pdf.empty:
-        return
-    if state.exists:
-        cap, n0 = state.get
-    else:
-        cap, n0 = int(pdf["capacity"].iloc[0]), 0
-    n = n0 + np.arange(1, len(pdf) + 1, dtype=np.int64)
-    state.update((int(cap), int(n[-1])))
-    remaining = (cap - n).astype(np.float64)
-    pct = np.where(remaining < 0, 0.0, remaining / cap * 100 if cap else np.nan)
-    status = np.where(remaining < 0, "REJECTED", "CONFIRMED")
-    avail = np.select([remaining < 0, remaining == 0, pct <= LIMITED_PERCENT],
-                      ["NONE", "SOLD_OUT_NOW", "LIMITED"], default="AVAILABLE")
-    yield pd.DataFrame({"eventid": [key[0]] * len(pdf), "ticket_id": pdf["id"].astype(str).values,
-                        "customerid": pdf["customerid"].values, "pos": pdf["pos"].astype(np.int64).values,
-                        "request_no": n, "remainingTickets": remaining,
-                        "confirmationStatus": status, "availability": avail})
-
-
-CONFIRM_OUT = ("eventid string, ticket_id string, customerid string, pos long, request_no long, "
-               "remainingTickets double, confirmationStatus string, availability string")
-
-
-def top_artists(k: int = 3, tracked: int = 1000):
+    request's copy of the event (input column ``capacity``)."""
+    def fn(key, pdfs, state):
+        pdf = _rows(pdfs, order)
+        if pdf.empty:
+            return
+        if state.exists:
+            cap, n0 = state.get
+        else:
+            cap, n0 = int(pdf["capacity"].iloc[0]), 0
+        n = n0 + np.arange(1, len(pdf) + 1, dtype=np.int64)
+        state.update((int(cap), int(n[-1])))
+        remaining = (cap - n).astype(np.float64)
+        pct = np.where(remaining < 0, 0.0, remaining / cap * 100 if cap else np.nan)
+        status = np.where(remaining < 0, "REJECTED", "CONFIRMED")
+        avail = np.select([remaining < 0, remaining == 0, pct <= LIMITED_PERCENT],
+                          ["NONE", "SOLD_OUT_NOW", "LIMITED"], default="AVAILABLE")
+        yield _frame("eventid", key[0], pdf, passthrough, request_no=n, remainingTickets=remaining,
+                     confirmationStatus=status, availability=avail)
+    return fn
+
+
+CONFIRM_EXTRA = "request_no long, remainingTickets double, confirmationStatus string, availability string"
+
+
+def top_artists(k: int = 3, tracked: int = 1000, order: Sequence[str] = ("pos",)):
     """Per customer: counter map of at most ``tracked`` artists (new artists are
     not counted once it is full); after each listen, the top ``k`` by count,
-    ties to who reached the count first."""
+    ties to who reached the count first. Input columns: artistid, pos."""
     def fn(key, pdfs, state):
-        pdf = _rows(pdfs, ["pos"])
+        pdf = _rows(pdfs, order)
         if pdf.empty:
             return
         if state.exists:
-            artists, counts, lasts = state.get
+            artists, counts, lasts = (list(x) for x in state.get)
             idx = {a: i for i, a in enumerate(artists)}
-            counts, lasts, artists = list(counts), list(lasts), list(artists)
         else:
             idx, artists, counts, lasts = {}, [], [], []
+        # Only the incremented artist's rank changes, so the new top k is the
+        # best k of the old top k plus that artist: O(k log k) per record.
+        rank = lambda j: (-counts[j], lasts[j])
+        top = sorted(range(len(artists)), key=rank)[:k]
         tops, poss = [], []
         for a, p in zip(pdf["artistid"].astype(str).values, pdf["pos"].astype(np.int64).values):
             i = idx.get(a)
@@ -102,47 +133,45 @@ def top_artists(k: int = 3, tracked: int = 1000):
                 counts[i] += 1
                 lasts[i] = int(p)
             elif len(artists) < tracked:
-                idx[a] = len(artists)
+                i = idx[a] = len(artists)
                 artists.append(a)
                 counts.append(1)
                 lasts.append(int(p))
-            order = sorted(range(len(artists)), key=lambda j: (-counts[j], lasts[j]))[:k]
-            tops.append([{"artistid": artists[j], "n": int(counts[j])} for j in order])
+            if i is not None:
+                top = sorted(set(top) | {i}, key=rank)[:k]
+            tops.append([{"artistid": artists[j], "n": int(counts[j])} for j in top])
             poss.append(int(p))
         state.update((artists, counts, lasts))
         yield pd.DataFrame({"customerid": [key[0]] * len(poss), "pos": poss, "top": tops})
     return fn
 
 
-TOP_ARTISTS_OUT = "customerid string, pos long, top array<struct<artistid:string,n:long>>"
+TOP_ARTISTS_EXTRA = "pos long, top array<struct<artistid:string,n:long>>"
 
 
-def conversion(key, pdfs, state):
+def conversion(order: Sequence[str] = ("pos", "side"), passthrough: Sequence[str] = ("pos", "side")):
     """Per customer over listens (side 0) and purchases (side 1): emit every
     record from the first one at which some artist is both listened to and
-    purchased."""
-    pdf = _rows(pdfs, ["pos", "side"])
-    if pdf.empty:
-        return
-    if state.exists:
-        matched, listened, purchased = state.get
-        listened, purchased = set(listened or []), set(purchased or [])
-    else:
-        matched, listened, purchased = False, set(), set()
-    out_pos, out_side = [], []
-    for a, side, p in zip(pdf["artistid"].astype(str).values, pdf["side"].values, pdf["pos"].values):
-        if not matched:
-            mine, other = (listened, purchased) if side == 0 else (purchased, listened)
-            mine.add(a)
-            if a in other:
-                matched = True
-                listened, purchased = set(), set()
-        if matched:
-            out_pos.append(int(p))
-            out_side.append(int(side))
-    state.update((matched, sorted(listened), sorted(purchased)))
-    if out_pos:
-        yield pd.DataFrame({"customerid": [key[0]] * len(out_pos), "pos": out_pos, "side": out_side})
-
-
-CONVERSION_OUT = "customerid string, pos long, side int"
+    purchased. Input columns: artistid, side."""
+    def fn(key, pdfs, state):
+        pdf = _rows(pdfs, order)
+        if pdf.empty:
+            return
+        if state.exists:
+            matched, listened, purchased = state.get
+            listened, purchased = set(listened or []), set(purchased or [])
+        else:
+            matched, listened, purchased = False, set(), set()
+        keep = np.zeros(len(pdf), dtype=bool)
+        for i, (a, side) in enumerate(zip(pdf["artistid"].astype(str).values, pdf["side"].values)):
+            if not matched:
+                mine, other = (listened, purchased) if side == 0 else (purchased, listened)
+                mine.add(a)
+                if a in other:
+                    matched = True
+                    listened, purchased = set(), set()
+            keep[i] = matched
+        state.update((bool(matched), sorted(listened), sorted(purchased)))
+        if keep.any():
+            yield _frame("customerid", key[0], pdf[keep], passthrough)
+    return fn

@@ -43,7 +43,7 @@ def test_stream_customer_count_changelog(spark, tmp_path):
     d = _write(str(tmp_path / "listens"), [_listens([("1", "2"), ("1", "3")]),
                                            _listens([("1", "4"), ("2", "3")], start=2)])
     s = entity_stream(spark, d, "stream", max_files_per_trigger=1)
-    out = _run(SJ.customer_stream_count_changelog(s), tmp_path)
+    out = _run(SJ.customer_stream_count_changelog(s), tmp_path, mode="append")
     assert [(r["customerid"], r["n"]) for r in out.orderBy("pos").collect()] == \
         [("1", 1), ("1", 2), ("1", 3), ("2", 1)]
 
@@ -54,7 +54,7 @@ def test_stream_top_artists_changelog(spark, tmp_path):
     p3 = [("1", "3"), ("1", "3")]
     d = _write(str(tmp_path / "listens"), [_listens(p1), _listens(p2, 6), _listens(p3, 8)])
     s = entity_stream(spark, d, "stream", max_files_per_trigger=1)
-    rows = _run(SJ.top_customer_artists_changelog(s), tmp_path).orderBy("pos").collect()
+    rows = _run(SJ.top_customer_artists_changelog(s), tmp_path, mode="append").orderBy("pos").collect()
     assert len(rows) == 10
     top = lambda r: [(x["artistid"], x["n"]) for x in r["top"]]
     assert top(rows[5]) == [("4", 3), ("2", 2), ("3", 1)]
@@ -71,7 +71,8 @@ def test_stream_purchase_event_ticket(spark, tmp_path):
            for i, c in enumerate(custs)]
     t_dir = _write(str(tmp_path / "tickets"), [tix[:3], tix[3:6], tix[6:]])
     t = entity_stream(spark, t_dir, "ticket", max_files_per_trigger=1)
-    out = _run(SJ.purchase_event_ticket(t, entity_table(spark, ev_dir, "event")), tmp_path).orderBy("pos").collect()
+    out = _run(SJ.purchase_event_ticket(t, entity_table(spark, ev_dir, "event")), tmp_path,
+               mode="append").orderBy("pos").collect()
     assert [r["confirmationStatus"] for r in out] == ["CONFIRMED"] * 5 + ["REJECTED"] * 3
     assert [r["remainingTickets"] for r in out] == [4.0, 3.0, 2.0, 1.0, 0.0, -1.0, -2.0, -3.0]
 
@@ -89,7 +90,7 @@ def test_stream_conversion_tally(spark, tmp_path):
     m = SJ.conversion_matches(l, t, entity_table(spark, ev_dir, "event"))
     tally_path = str(tmp_path / "tally")
     name = "t_" + uuid.uuid4().hex[:10]
-    q = sinks.start_batches(m, name, SJ.tally_batches(tally_path), trigger={"availableNow": True},
+    q = sinks.start_batches(m, name, SJ.tally_batches(tally_path), mode="append", trigger={"availableNow": True},
                             checkpoint=str(tmp_path / f"ckpt-{name}"))
     q.awaitTermination()
     assert SJ.read_tally(spark, tally_path).collect()[0]["value"] == 2
