@@ -45,6 +45,14 @@ def out_schema(df: DataFrame, key: str, passthrough: Sequence[str], extra: str =
     return st
 
 
+def _sort_key(col: pd.Series) -> np.ndarray:
+    """Ascending sort key; nulls first (as Spark orders ascending)."""
+    if col.dtype == object or col.isna().any():
+        codes, _ = pd.factorize(col, sort=True)   # nulls get -1
+        return codes
+    return col.to_numpy()
+
+
 def _rows(pdfs: Iterator[pd.DataFrame], order: Sequence[str]) -> pd.DataFrame:
     """One key's rows of the micro-batch, in arrival order (numpy lexsort;
     no reordering when they already arrive in order)."""
@@ -53,7 +61,7 @@ def _rows(pdfs: Iterator[pd.DataFrame], order: Sequence[str]) -> pd.DataFrame:
         return pd.DataFrame()
     pdf = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
     if len(pdf) > 1:
-        idx = np.lexsort([pdf[c].to_numpy() for c in reversed(order)])
+        idx = np.lexsort([_sort_key(pdf[c]) for c in reversed(order)])
         if (idx[1:] < idx[:-1]).any():
             pdf = pdf.take(idx)
     return pdf
