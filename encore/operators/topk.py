@@ -30,4 +30,4 @@ def top_k_per_group(df: DataFrame, group, order: list[Column], k: int,
         df = (salted.withColumn("__r1", F.row_number().over(w1))
                     .where(F.col("__r1") <= k).drop("__r1", "__salt"))
     w = Window.partitionBy(*groups).orderBy(*order)
-    return df.withColumn(rank_col, F.row_number().over(w)).where(F.col(rank_col) <= k)
+    return df.withColumn(rank_col, F.row_number().over(w).cast("bigint")).where(F.col(rank_col) <= k)

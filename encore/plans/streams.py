@@ -95,7 +95,7 @@ def stream_top_customer_artists(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = run_to_table(SJ.top_customer_artists_changelog(listens), "p1")
     last = out.groupBy("customerid").agg(F.max(F.struct("pos", "top")).alias("m"))
     ex = last.select("customerid", F.posexplode("m.top").alias("i", "a"))
-    return ex.select("customerid", (F.col("i") + 1).alias("rank"),
+    return ex.select("customerid", (F.col("i") + 1).cast("bigint").alias("rank"),
                      F.col("a.artistid").cast("bigint").alias("artistid"), F.col("a.n").alias("n"))
 
 
