@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from encore import functions as fx
-from encore.operators.keyed import arg_max_first
+from encore.operators.keyed import arg_max_first, latest_by_key
 from encore.plans import jobs as J
 from encore.streaming import stateful as S
 
@@ -28,7 +28,10 @@ def _nn(df: DataFrame, *cols: str) -> DataFrame:
 
 
 def _event_lookup(events: DataFrame) -> DataFrame:
-    """Static event table keyed for the stream-static join (latest per id)."""
+    """Static event table keyed for the stream-static join. When the table is a
+    changelog (rows carry ``pos``), only the latest version per id is kept."""
+    if "pos" in events.columns:
+        events = latest_by_key(events, "id", [F.col("pos")])
     return events.select(F.col("id").alias("eventid"), "artistid", "capacity")
 
 

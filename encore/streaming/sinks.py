@@ -94,3 +94,44 @@ def progress_logger(log=print):
             log(f"stream {event.id} terminated" + (f": {event.exception}" if event.exception else ""))
 
     return _Progress()
+
+
+# ---------------------------------------------------------------- record shapes and multi-sink writes
+
+def to_records(df: DataFrame, key: str) -> DataFrame:
+    """``(key string, value string)`` with the row as a JSON document, the shape a
+    Kafka sink writes; longs stay longs (``from_json`` with the schema reads
+    them back exactly)."""
+    return df.select(F.col(key).cast("string").alias("key"), F.to_json(F.struct(*df.columns)).alias("value"))
+
+
+def from_records(records: DataFrame, schema) -> DataFrame:
+    """Parse ``value`` JSON documents with a fixed schema (once, at the source)."""
+    return records.select("key", F.from_json("value", schema).alias("v")).select("key", "v.*")
+
+
+def start_kafka(df: DataFrame, name: str, bootstrap: str, topic: str, key: str,
+                trigger: dict | None = None, checkpoint: str | None = None) -> StreamingQuery:
+    """Write JSON records to a Kafka topic (Spark's Kafka sink; its package must
+    be on the classpath -- it is not in this image)."""
+    spark = df.sparkSession
+    w = (to_records(df, key).writeStream.format("kafka").queryName(name)
+         .option("kafka.bootstrap.servers", bootstrap).option("topic", topic)
+         .option("checkpointLocation", checkpoint or checkpoint_for(spark, name)))
+    if trigger:
+        w = w.trigger(**trigger)
+    return w.start()
+
+
+def split_writer(paths: dict[str, str], route_col: str = "sink"):
+    """``foreachBatch`` function writing each route's rows to its own parquet
+    path (one sink per branch). The batch is persisted once and each branch is
+    written into its ``batch_id`` partition, so a replayed batch is idempotent."""
+    def fn(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            for route, path in paths.items():
+                write_batch(batch.where(F.col(route_col) == route).drop(route_col), path, batch_id)
+        finally:
+            batch.unpersist()
+    return fn

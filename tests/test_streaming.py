@@ -165,3 +165,37 @@ def test_stream_observed_metrics(spark, tmp_path):
         spark.streams.removeListener(listener)
     progress = [x for x in lines if "metrics" in x and "listens_in" in x]
     assert progress and any("'records': 2" in x for x in progress)
+
+
+def test_stream_split_sinks_and_records(spark, tmp_path):
+    a = _write(str(tmp_path / "addr"), [[{"line1": "111 1st St", "line2": "Apt 2", "citynm": "Madison", "state": "WI",
+                                          "zip5": "55555", "zip4": "1234", "countrycd": "USA", "pos": 0},
+                                         {"line1": "222 1st St", "line2": "Suite 4", "citynm": "Minneapolis",
+                                          "state": "MN", "zip5": "55419", "zip4": "1234", "countrycd": "USA",
+                                          "pos": 1}]])
+    paths = {"priority": str(tmp_path / "priority"), "default": str(tmp_path / "default")}
+    name = "t_" + uuid.uuid4().hex[:10]
+    q = sinks.start_batches(SJ.addresses_by_state(entity_stream(spark, a, "address")), name,
+                            sinks.split_writer(paths), mode="append", trigger={"availableNow": True},
+                            checkpoint=str(tmp_path / f"ckpt-{name}"))
+    q.awaitTermination()
+    pri = [(r["key"], r["value"]) for r in spark.read.parquet(paths["priority"]).collect()]
+    dft = [(r["key"], r["value"]) for r in spark.read.parquet(paths["default"]).collect()]
+    assert pri == [("MN", "222 1st St, Suite 4, Minneapolis, MN 55419-1234 USA")]
+    assert dft == [("WI", "111 1st St, Apt 2, Madison, WI 55555-1234 USA")]
+    # JSON records keep longs as longs.
+    df = spark.createDataFrame([("artist-1", 2**40 + 1)], "artistId string, revenue bigint")
+    back = sinks.from_records(sinks.to_records(df, "artistId"), "artistId string, revenue bigint").collect()[0]
+    assert back["key"] == "artist-1" and back["revenue"] == 2**40 + 1
+
+
+def test_stream_event_table_latest_version(spark, tmp_path):
+    # The event table is a changelog: capacity 2 is replaced by 3 before tickets arrive.
+    ev_dir = _write(str(tmp_path / "events"), [[{"id": "e", "artistid": "a", "venueid": "v", "capacity": 2,
+                                                 "eventdate": "x", "pos": 0},
+                                                {"id": "e", "artistid": "a", "venueid": "v", "capacity": 3,
+                                                 "eventdate": "x", "pos": 1}]])
+    tix = [{"id": f"t{i}", "customerid": "c", "eventid": "e", "price": 1.0, "pos": 10 + i} for i in range(4)]
+    t = entity_stream(spark, _write(str(tmp_path / "tickets"), [tix]), "ticket")
+    out = _run(SJ.purchase_event_ticket(t, entity_table(spark, ev_dir, "event")), tmp_path, mode="append")
+    assert [r["confirmationStatus"] for r in out.orderBy("pos").collect()] == ["CONFIRMED"] * 3 + ["REJECTED"]
