@@ -254,7 +254,7 @@ def windowed_stream_counts_from(listens: DataFrame, size_seconds: int, grace_sec
 def windowed_stream_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     l = domain.listen(spark, sf_dir)
     c = windowed_stream_counts_from(l, QUERY_WINDOW_SECONDS, GRACE_SECONDS, arrival_order=listen_pos(),
-                                    **_scan(spark, sf_dir, ("listen",), {}))
+                                    **_scan(spark, sf_dir, ("listen",), {}, global_scan=True))
     return c.select("artistid", "customerid", "window_start", "window_end", "n")
 
 
@@ -272,7 +272,8 @@ def thank_you_from(counts: DataFrame, artists: DataFrame, customers: DataFrame)
 
 def thank_you_top_streamer(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = windowed_stream_counts_from(domain.listen(spark, sf_dir), QUERY_WINDOW_SECONDS, GRACE_SECONDS,
-                                         arrival_order=listen_pos(), **_scan(spark, sf_dir, ("listen",), {}))
+                                         arrival_order=listen_pos(),
+                                         **_scan(spark, sf_dir, ("listen",), {}, global_scan=True))
     return thank_you_from(counts, domain.artist(spark, sf_dir), domain.customer(spark, sf_dir))
 
 
