@@ -10,9 +10,11 @@ rows are cut into time buckets of the leading order column: the window runs
 per ``(key, bucket)`` (a hot key is spread over many tasks), each bucket's
 total is carried forward by an exclusive prefix over the small per-bucket
 table, and the two are combined. The bucket width comes from one cheap
-statistics pass (count, min, max) so a bucket holds about
-``rows_per_bucket`` rows over all keys; when everything fits in one bucket,
-the plain window is used.
+statistics pass (count, then approximate quantiles of the leading order
+column) so a bucket holds about ``rows_per_bucket`` rows over all keys however
+the rows crowd in time; when everything fits in one bucket, the plain window
+is used. Rows sharing one exact value of the leading column stay in one
+bucket (the orders used here are unique per key).
 """
 
 from __future__ import annotations
@@ -71,17 +73,45 @@ def bucket_value(df: DataFrame, name: str) -> Column:
     return F.col(name).cast("bigint")
 
 
-def bucket_width_micros(df: DataFrame, time_col: str, rows_per_bucket: int) -> tuple[int, int] | None:
-    """(origin, width) in microseconds so a bucket holds about
-    ``rows_per_bucket`` rows; None when one bucket suffices."""
-    t = bucket_value(df, time_col)
-    st = df.agg(F.count(F.lit(1)).alias("n"), F.min(t).alias("lo"), F.max(t).alias("hi")).first()
-    n, lo, hi = st["n"], st["lo"], st["hi"]
-    if not n or lo is None or n <= rows_per_bucket:
+def bucket_count(bucket) -> int | None:
+    """Number of buckets of a spec, when known."""
+    if isinstance(bucket, dict):
+        return len(bucket["splits"]) + 1
+    return bucket[2] if len(bucket) > 2 else None
+
+
+def assign_buckets(df: DataFrame, time_col: str, bucket) -> DataFrame:
+    """Add ``__b``: the bucket of each row, in the order of ``time_col``.
+
+    ``bucket`` is ``(origin, width[, n])`` for equal-width buckets, or
+    ``{"splits": [...]}`` with ascending boundaries (quantiles of the column,
+    so a crowded stretch of time is split into as many buckets as its rows
+    need); boundaries are applied with Spark's ``Bucketizer`` (JVM-side).
+    """
+    if isinstance(bucket, dict):
+        from pyspark.ml.feature import Bucketizer
+        splits = [float("-inf"), *bucket["splits"], float("inf")]
+        staged = df.withColumn("__bv", bucket_value(df, time_col).cast("double"))
+        out = Bucketizer(splits=splits, inputCol="__bv", outputCol="__bd", handleInvalid="keep").transform(staged)
+        return out.withColumn("__b", F.col("__bd").cast("bigint")).drop("__bv", "__bd")
+    origin, width = bucket[0], bucket[1]
+    b = F.floor((bucket_value(df, time_col) - F.lit(origin)) / F.lit(width)).cast("bigint")
+    return df.withColumn("__b", b)
+
+
+def auto_buckets(df: DataFrame, time_col: str, rows_per_bucket: int, min_buckets: int = 1) -> dict | None:
+    """Bucket spec from the data: ``count`` decides the number of buckets, and
+    approximate quantiles of ``time_col`` their boundaries (two aggregate
+    passes; only the boundaries reach the driver). None when one bucket suffices."""
+    n = df.count()
+    buckets = max(math.ceil(n / rows_per_bucket), min_buckets) if n else 0
+    if buckets <= 1:
         return None
-    buckets = math.ceil(n / rows_per_bucket)
-    width = max(1, math.ceil((hi - lo + 1) / buckets))
-    return lo, width, buckets
+    probs = [i / buckets for i in range(1, buckets)]
+    q = (df.select(bucket_value(df, time_col).cast("double").alias("t"))
+           .agg(F.percentile_approx("t", probs, max(10_000, 20 * buckets)).alias("q")).first()["q"] or [])
+    splits = sorted({float(x) for x in q if x is not None})
+    return {"splits": splits} if splits else None
 
 
 def prefix_scan(df: DataFrame, keys: list[str], order: list[Column], time_col: str,
@@ -91,18 +121,17 @@ def prefix_scan(df: DataFrame, keys: list[str], order: list[Column], time_col: s
 
     ``order`` must be a total order whose leading column is ``time_col`` (a
     timestamp or a number), so buckets respect it. ``bucket`` is ``"auto"``, None
-    (plain window) or an explicit ``(origin_micros, width_micros)``.
+    (plain window), ``(origin, width[, n])`` or ``{"splits": [...]}`` (see
+    ``assign_buckets``).
     """
     if bucket == "auto":
-        bucket = bucket_width_micros(df, time_col, rows_per_bucket)
+        bucket = auto_buckets(df, time_col, rows_per_bucket)
     if bucket is None:
         w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
         return df.select("*", *[_window_expr(s, w).alias(s.out) for s in specs])
 
-    origin, width = bucket[0], bucket[1]
-    n_buckets = bucket[2] if len(bucket) > 2 else None
-    b = F.floor((bucket_value(df, time_col) - F.lit(origin)) / F.lit(width)).cast("bigint")
-    staged = df.withColumn("__b", b)
+    n_buckets = bucket_count(bucket)
+    staged = assign_buckets(df, time_col, bucket)
     part = [*keys, "__b"]
     w = Window.partitionBy(*part).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = staged.select("*", *[_window_expr(s, w).alias(f"__l_{s.out}") for s in specs])
@@ -179,7 +208,7 @@ def running_leader(df: DataFrame, order: list[Column], time_col: str, value: str
     last-record over the per-bucket table, broadcast when its size is bounded.
     """
     if bucket == "auto":
-        bucket = bucket_width_micros(df, time_col, rows_per_bucket)
+        bucket = auto_buckets(df, time_col, rows_per_bucket)
     v = F.col(value)
     rec_struct = F.struct(*[F.col(p) for p in payload], v.alias(value))
     if bucket is None:
@@ -190,10 +219,8 @@ def running_leader(df: DataFrame, order: list[Column], time_col: str, value: str
                                                    rec_struct))
         return staged.withColumn(out, F.last("__rec", ignorenulls=True).over(w_incl)).drop("__pm", "__rec")
 
-    origin, width = bucket[0], bucket[1]
-    n_buckets = bucket[2] if len(bucket) > 2 else None
-    b = F.floor((bucket_value(df, time_col) - F.lit(origin)) / F.lit(width)).cast("bigint")
-    staged = df.withColumn("__b", b)
+    n_buckets = bucket_count(bucket)
+    staged = assign_buckets(df, time_col, bucket)
     # One pass per bucket: local records (beating every earlier row of the
     # bucket) and the last local record so far. Local records have rising
     # values, so the true records of a bucket are its local records above the

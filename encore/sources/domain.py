@@ -235,12 +235,32 @@ def time_stats(spark: SparkSession, sf_dir: str, view: str) -> tuple[int, int, i
     return _TIME_STATS[key]
 
 
+_SPLITS: dict[tuple, list[float]] = {}
+
+
+def _bucket_column(spark: SparkSession, sf_dir: str, view: str) -> DataFrame:
+    if view == "ticket":
+        li = read_table(spark, sf_dir, "lineitem")
+        t = ticket_arrival(F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey"))
+        return li.select(F.unix_micros(t).cast("double").alias("t"))
+    if view == "listen":
+        return read_table(spark, sf_dir, "events").select(F.col("event_id").cast("double").alias("t"))
+    raise ValueError(view)
+
+
 def time_buckets(spark: SparkSession, sf_dir: str, views: tuple[str, ...],
-                 rows_per_bucket: int | None = None, min_buckets: int = 1) -> tuple[int, int] | None:
-    """Bucket spec ``(origin, width)`` for ``prefix_scan`` over rows drawn from
-    ``views`` (all views must share the bucketing unit); None when all rows fit
-    in one bucket. ``min_buckets`` spreads a scan with no key over that many
-    tasks even when it is small."""
+                 rows_per_bucket: int | None = None, min_buckets: int = 1) -> dict | None:
+    """Bucket spec for ``prefix_scan`` / ``running_leader`` over rows drawn from
+    ``views`` (all views must share the bucketing unit): ``{"splits": [...]}``
+    at approximate quantiles of the bucketing column, so every bucket holds
+    about the same number of rows however the rows crowd in time; None when
+    all rows fit in one bucket. ``min_buckets`` spreads a scan with no key over
+    that many tasks even when it is small.
+
+    The quantiles come from one ``percentile_approx`` pass per table and bucket
+    count (cached for the session); only the boundaries reach the driver, and
+    their number is the bucket count computed here.
+    """
     import math
     from encore.operators.running import DEFAULT_ROWS_PER_BUCKET
     per = rows_per_bucket or DEFAULT_ROWS_PER_BUCKET
@@ -249,6 +269,17 @@ def time_buckets(spark: SparkSession, sf_dir: str, views: tuple[str, ...],
     buckets = max(math.ceil(n / per), min_buckets)
     if n == 0 or buckets <= 1:
         return None
-    lo = min(s[1] for s in stats if s[0])
-    hi = max(s[2] for s in stats if s[0])
-    return lo, max(1, math.ceil((hi - lo + 1) / buckets)), buckets
+    key = (sf_dir.rstrip("/"), tuple(views), buckets)
+    if key not in _SPLITS:
+        col = None
+        for v in views:
+            c = _bucket_column(spark, sf_dir, v)
+            col = c if col is None else col.unionByName(c)
+        probs = [i / buckets for i in range(1, buckets)]
+        accuracy = max(10_000, 20 * buckets)
+        q = col.agg(F.percentile_approx("t", probs, accuracy).alias("q")).first()["q"] or []
+        _SPLITS[key] = sorted({float(x) for x in q if x is not None})
+    splits = _SPLITS[key]
+    if not splits:
+        return None
+    return {"splits": splits}
