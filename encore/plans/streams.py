@@ -99,6 +99,14 @@ def stream_top_customer_artists(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.col("a.artistid").cast("bigint").alias("artistid"), F.col("a.n").alias("n"))
 
 
+def stream_thank_you_top_streamer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P5 on a stream: per-artist keyed state over the listens (one-day windows,
+    as the batch query), then the latest change per artist."""
+    changes = run_to_table(SJ.top_streamer_changes(listen_stream(spark, sf_dir), J.QUERY_WINDOW_SECONDS,
+                                                   J.GRACE_SECONDS), "p5")
+    return SJ.current_top_streamers(changes, domain.artist(spark, sf_dir), domain.customer(spark, sf_dir))
+
+
 def stream_target_customer_filter_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     cur = domain.customer_from(table_stream(spark, sf_dir, "customer")).where(F.col("id") % 2 == 0)
     legacy = domain.customer_from(table_stream(spark, sf_dir, "customer")).where(F.col("id") % 2 == 1)
@@ -116,6 +124,7 @@ QUERIES = {
     "stream_top_customer_artists": (stream_top_customer_artists, "top_customer_artists"),
     "stream_purchase_event_ticket": (stream_purchase_event_ticket, "purchase_event_ticket"),
     "stream_customer_conversion_tally": (stream_customer_conversion_tally, "customer_conversion_tally"),
+    "stream_thank_you_top_streamer": (stream_thank_you_top_streamer, "thank_you_top_streamer"),
     "stream_customer_stream_count_changelog": (stream_customer_stream_count_changelog,
                                                "customer_stream_count_changelog"),
     "stream_artist_ticket_count_changelog": (stream_artist_ticket_count_changelog, "artist_ticket_count_changelog"),

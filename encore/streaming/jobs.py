@@ -94,6 +94,32 @@ def artist_ticket_count_changelog(tickets: DataFrame, events: DataFrame, order=(
         S.RUNNING_COUNT_STATE, "append", GroupStateTimeout.NoTimeout)
 
 
+def top_streamer_changes(listens: DataFrame, size_seconds: int = J.WINDOW_SECONDS,
+                         grace_seconds: int = J.GRACE_SECONDS, time_col: str = "streamtime") -> DataFrame:
+    """P5 in one keyed state per artist: each time an artist's best
+    single-window streamer changes, ``(artistid, customerid, streamCount, pos)``.
+    The current best per artist is its row with the greatest ``pos``."""
+    src = _nn(listens, "artistid", "customerid").select(
+        "artistid", F.col("customerid").cast("string").alias("customerid"),
+        F.unix_micros(F.col(time_col).cast("timestamp")).alias("t_us"), "pos")
+    return src.groupBy("artistid").applyInPandasWithState(
+        S.top_streamer(size_seconds * 1_000_000, grace_seconds * 1_000_000),
+        S.out_schema(src, "artistid", [], S.TOP_STREAMER_EXTRA), S.TOP_STREAMER_STATE, "append",
+        GroupStateTimeout.NoTimeout)
+
+
+def current_top_streamers(changes: DataFrame, artists: DataFrame, customers: DataFrame) -> DataFrame:
+    """Latest change per artist, for known artists and customers, in the
+    message shape (name and email are placeholders, as in the reference job)."""
+    best = latest_by_key(changes, "artistid", [F.col("pos")]).withColumnRenamed("customerid", "__cname")
+    best = best.join(artists.select(F.col("id").alias("artistid")), "artistid", "left_semi")
+    cust = customers.select(F.col("id").cast("string").alias("__cname"), F.col("id").alias("__cid"))
+    best = best.join(cust, "__cname")
+    return best.select(F.col("__cid").alias("customerId"), F.col("__cname").alias("customerName"),
+                       F.col("artistid").alias("artistId"), F.lit("").alias("artistName"), F.lit("").alias("email"),
+                       "streamCount")
+
+
 # ---------------------------------------------------------------- snapshots per micro-batch (built-in state)
 
 def customer_stream_count(listens: DataFrame) -> DataFrame:
@@ -142,8 +168,11 @@ def _latest_version(spark: SparkSession, path: str, before: int) -> DataFrame |
 
 
 def merge_top_streamers(path: str, artists: DataFrame, customers: DataFrame):
-    """P5 second stage: per artist the best single-window count so far (first
-    to reach it wins), as a versioned table at ``path``."""
+    """P5 second stage over ``windowed_stream_counts`` (update mode): per artist
+    the best single-window count so far (first to reach it wins), as a
+    versioned table at ``path``. Each batch rewrites the per-artist table, so
+    this suits a bounded artist set; ``top_streamer_changes`` keeps the same
+    answer in keyed state and scales with the number of artists."""
     def fn(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         cand = batch.select("artistid", "customerid", F.col("n").alias("streamCount"), "last_pos")

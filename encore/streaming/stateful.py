@@ -183,3 +183,51 @@ def conversion(order: Sequence[str] = ("pos", "side"), passthrough: Sequence[str
         if keep.any():
             yield _frame("customerid", key[0], pdf[keep], passthrough)
     return fn
+
+
+def top_streamer(size_us: int, grace_us: int, order: Sequence[str] = ("pos",)):
+    """Per artist: tumbling-window listen counts per customer, and the best
+    single-window count so far (strictly greater replaces; first to reach it
+    wins). Emits ``(customerid, streamCount, pos)`` whenever the best changes.
+
+    State: counts of the windows still open (a window is dropped once its end
+    plus the grace is behind the newest record time seen for the artist, and
+    a record for a dropped window is late and ignored) and the best so far.
+    Input columns: customerid, t_us (event time in microseconds), pos.
+    """
+    def fn(key, pdfs, state):
+        pdf = _rows(pdfs, order)
+        if pdf.empty:
+            return
+        if state.exists:
+            custs, wins, cnts, best_c, best_n, best_p, max_t = state.get
+            counts = {(c, w): n for c, w, n in zip(custs, wins, cnts)}
+        else:
+            counts, best_c, best_n, best_p, max_t = {}, None, 0, None, None
+        out_c, out_n, out_p = [], [], []
+        for c, t, p in zip(pdf["customerid"].astype(str).values, pdf["t_us"].astype(np.int64).values,
+                           pdf["pos"].astype(np.int64).values):
+            t, p = int(t), int(p)
+            max_t = t if max_t is None else max(max_t, t)
+            w = (t // size_us) * size_us
+            if w + size_us <= max_t - grace_us:
+                continue                                   # window closed: late record
+            n = counts.get((c, w), 0) + 1
+            counts[(c, w)] = n
+            if n > best_n:
+                best_c, best_n, best_p = c, n, p
+                out_c.append(c)
+                out_n.append(n)
+                out_p.append(p)
+        live = {k: v for k, v in counts.items() if k[1] + size_us > max_t - grace_us}
+        state.update(([k[0] for k in live], [k[1] for k in live], list(live.values()),
+                      best_c, int(best_n), best_p, max_t))
+        if out_p:
+            yield pd.DataFrame({"artistid": [key[0]] * len(out_p), "customerid": out_c,
+                                "streamCount": np.asarray(out_n, dtype=np.int64), "pos": out_p})
+    return fn
+
+
+TOP_STREAMER_STATE = ("custs array<string>, wins array<long>, cnts array<long>, best_c string, best_n long, "
+                      "best_p long, max_t long")
+TOP_STREAMER_EXTRA = "customerid string, streamCount long, pos long"

@@ -199,3 +199,23 @@ def test_stream_event_table_latest_version(spark, tmp_path):
     t = entity_stream(spark, _write(str(tmp_path / "tickets"), [tix]), "ticket")
     out = _run(SJ.purchase_event_ticket(t, entity_table(spark, ev_dir, "event")), tmp_path, mode="append")
     assert [r["confirmationStatus"] for r in out.orderBy("pos").collect()] == ["CONFIRMED"] * 3 + ["REJECTED"]
+
+
+def test_stream_top_streamer_keyed_state(spark, tmp_path):
+    """P5 as keyed state: best single-window count per artist, ties to the first,
+    a record for a closed window ignored; split over two micro-batches."""
+    def rec(i, c, sec):
+        return {"id": str(i), "customerid": c, "artistid": "a", "streamtime": f"2024-01-01 00:{sec // 60:02d}:{sec % 60:02d}",
+                "pos": i}
+    b1 = [rec(0, "x", 0), rec(1, "y", 1), rec(2, "y", 2), rec(3, "x", 3)]          # window [0,10): x2, y2 (y first)
+    b2 = [rec(4, "x", 12), rec(5, "x", 13), rec(6, "z", 30), rec(7, "x", 4)]       # x2 in [10,20); pos 7 is late
+    d = _write(str(tmp_path / "listens"), [b1, b2])
+    s = entity_stream(spark, d, "stream", max_files_per_trigger=1)
+    out = _run(SJ.top_streamer_changes(s, size_seconds=10, grace_seconds=1), tmp_path, mode="append")
+    changes = [(r["customerid"], r["streamCount"]) for r in out.orderBy("pos").collect()]
+    # x:1 at pos 0, y reaches 2 at pos 2 (first to 2); x's later 2s and the late record do not replace it.
+    assert changes == [("x", 1), ("y", 2)]
+    artists = spark.createDataFrame([("a",)], "id string")
+    customers = spark.createDataFrame([("x",), ("y",), ("z",)], "id string")
+    cur = SJ.current_top_streamers(out, artists, customers).collect()
+    assert [(r["customerId"], r["streamCount"]) for r in cur] == [("y", 2)]
