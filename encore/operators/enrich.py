@@ -64,10 +64,12 @@ def enrich_asof(stream: DataFrame, table: DataFrame, stream_key: str, table_key:
     if len(stream_tie) != len(table_tie):
         # Pad the shorter tie struct so both sides union.
         n = max(len(stream_tie), len(table_tie))
-        s = s.withColumn("__tie", F.struct(*[F.col(f"__tie.t{i}") if i < len(stream_tie) else F.lit(None).cast("string")
-                                             for i in range(n)]))
-        t = t.withColumn("__tie", F.struct(*[F.col(f"__tie.t{i}") if i < len(table_tie) else F.lit(None).cast("string")
-                                             for i in range(n)]))
+
+        def pad(have: int):
+            return F.struct(*[(F.col(f"__tie.t{i}") if i < have else F.lit(None).cast("string")).alias(f"t{i}")
+                              for i in range(n)])
+        s = s.withColumn("__tie", pad(len(stream_tie)))
+        t = t.withColumn("__tie", pad(len(table_tie)))
     u = s.unionByName(t).where(F.col("__k").isNotNull())
     scanned = prefix_scan(u, ["__k"], [F.col("__t"), F.col("__side"), F.col("__tie")], "__t",
                           [Spec("__cur", "last", "__trow")], **scan_kw)

@@ -128,6 +128,19 @@ def confirm_tickets(joined: DataFrame, **scan_kw) -> DataFrame:
     )
 
 
+def confirm_tickets_asof(tickets: DataFrame, events: DataFrame, event_time: str = "updated",
+                         **scan_kw) -> DataFrame:
+    """P2 with the event table as a changelog joined *as of* each ticket's
+    arrival (the stream-table join of the reference): a ticket that arrives
+    before its event exists is dropped, and it sees the capacity current at
+    its arrival (a deleted event -- ``capacity`` null -- rejects nothing, the
+    ticket is dropped). ``events``: ``id, capacity, <event_time>``."""
+    from encore.operators.enrich import enrich_asof
+    j = enrich_asof(tickets, events, "eventid", "id", "arrival", event_time, ["id", "price"], ["id"],
+                    ["capacity"], tombstone=F.col("capacity").isNull(), **scan_kw)
+    return confirm_tickets(j, **scan_kw)
+
+
 def purchase_event_ticket(spark: SparkSession, sf_dir: str, **scan_kw) -> DataFrame:
     return confirm_tickets(_tickets_with_event(spark, sf_dir), **_scan(spark, sf_dir, ("ticket",), scan_kw))
 
