@@ -22,7 +22,9 @@ from encore.plans import jobs as J
 from encore.session import checkpoint_dir
 from encore.sources import domain
 from encore.sources.tables import read_table
+from encore.operators.keyed import latest_by_key
 from encore.streaming import jobs as SJ
+from encore.streaming import sinks
 
 TICKET_ORDER = ("arrival", "id", "price")
 
@@ -107,6 +109,27 @@ def stream_thank_you_top_streamer(spark: SparkSession, sf_dir: str) -> DataFrame
     return SJ.current_top_streamers(changes, domain.artist(spark, sf_dir), domain.customer(spark, sf_dir))
 
 
+def run_updates_to_table(df: DataFrame, name: str) -> DataFrame:
+    """Run an update-mode streaming aggregate; each micro-batch's updated rows
+    go to their own ``batch_id`` partition (idempotent on replay)."""
+    spark = df.sparkSession
+    root = f"{checkpoint_dir(spark).rstrip('/')}/encore-streams/{name}-{uuid.uuid4().hex}"
+    q = sinks.start_batches(df, f"{name}_{uuid.uuid4().hex[:8]}",
+                            lambda b, i: sinks.write_batch(b, f"{root}/out", i), mode="update",
+                            trigger={"availableNow": True}, checkpoint=f"{root}/checkpoint")
+    q.awaitTermination()
+    return spark.read.parquet(f"{root}/out")
+
+
+def stream_windowed_stream_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P5a on a stream: built-in windowed count with a watermark of the grace,
+    update mode; the current count of a window is its latest update."""
+    counts = SJ.windowed_stream_counts(listen_stream(spark, sf_dir), J.QUERY_WINDOW_SECONDS, J.GRACE_SECONDS)
+    updates = run_updates_to_table(counts, "p5a")
+    cur = latest_by_key(updates, ["artistid", "customerid", "window_start"], [F.col("batch_id")])
+    return cur.select("artistid", "customerid", "window_start", "window_end", "n")
+
+
 def stream_target_customer_filter_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     cur = domain.customer_from(table_stream(spark, sf_dir, "customer")).where(F.col("id") % 2 == 0)
     legacy = domain.customer_from(table_stream(spark, sf_dir, "customer")).where(F.col("id") % 2 == 1)
@@ -125,6 +148,7 @@ QUERIES = {
     "stream_purchase_event_ticket": (stream_purchase_event_ticket, "purchase_event_ticket"),
     "stream_customer_conversion_tally": (stream_customer_conversion_tally, "customer_conversion_tally"),
     "stream_thank_you_top_streamer": (stream_thank_you_top_streamer, "thank_you_top_streamer"),
+    "stream_windowed_stream_counts": (stream_windowed_stream_counts, "windowed_stream_counts"),
     "stream_customer_stream_count_changelog": (stream_customer_stream_count_changelog,
                                                "customer_stream_count_changelog"),
     "stream_artist_ticket_count_changelog": (stream_artist_ticket_count_changelog, "artist_ticket_count_changelog"),
