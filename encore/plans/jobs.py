@@ -92,8 +92,15 @@ def top_customer_artists_from(listens: DataFrame, k: int = TOP_ARTISTS, tracked:
     return top.select("customerid", "rank", "artistid", "n")
 
 
+def topk_salt(spark: SparkSession) -> int:
+    """Salt buckets for two-phase top-k: one per core of the cluster (at least
+    ``TOPK_SALT``), so a hot group's first phase is spread over the cluster;
+    the second phase sees at most k x salt rows per group."""
+    return max(TOPK_SALT, spark.sparkContext.defaultParallelism)
+
+
 def top_customer_artists(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return top_customer_artists_from(domain.listen(spark, sf_dir))
+    return top_customer_artists_from(domain.listen(spark, sf_dir), salt_buckets=topk_salt(spark))
 
 
 def top_customer_artists_nested(flat: DataFrame) -> DataFrame:

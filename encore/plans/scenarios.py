@@ -73,7 +73,7 @@ def event_sold_out_alert(spark: SparkSession, sf_dir: str, **scan_kw) -> DataFra
 def _top_streamers(spark: SparkSession, sf_dir: str, k: int) -> DataFrame:
     c = J.artist_counts(domain.listen(spark, sf_dir)).where(F.col("artistid").isNotNull())
     return top_k_per_group(c, "artistid", [F.desc("n"), F.col("last_pos")], k,
-                           salt_buckets=J.TOPK_SALT, salt=F.xxhash64("customerid"))
+                           salt_buckets=J.topk_salt(spark), salt=F.xxhash64("customerid"))
 
 
 def new_event_top_streamer_alert(spark: SparkSession, sf_dir: str, k: int = TOP_STREAMERS_PER_ARTIST) -> DataFrame:
