@@ -248,13 +248,28 @@ def revenue_leader_changelog_from(t: DataFrame, artists: DataFrame, leader_bucke
 
 
 def artist_revenue_leader(spark: SparkSession, sf_dir: str, **scan_kw) -> DataFrame:
-    """Current leader after all tickets: the changelog's last row."""
-    ch = revenue_leader_changelog(spark, sf_dir, **scan_kw)
-    last = ch.agg(F.max(F.struct("arrival", "ticket_id", "price", "artistId", "artist_name", "artist_genre",
-                                 "revenue")).alias("m"))
-    return last.select(F.lit(fx.LEADER_KEY).alias("key"), F.col("m.artistId").alias("artistId"),
-                       F.col("m.artist_name").alias("artist_name"), F.col("m.artist_genre").alias("artist_genre"),
-                       F.col("m.revenue").alias("revenue"))
+    """Current leader after all tickets (the changelog's last row), without the
+    changelog: records rise strictly, so the last record is the first row (in
+    arrival order) whose running total equals the greatest running total M.
+    Per-artist running totals, then M by a global max (partial aggregation),
+    then the earliest row at M."""
+    return revenue_leader_snapshot_from(_tickets_with_event(spark, sf_dir, with_customer=False),
+                                        domain.artist(spark, sf_dir), **_scan(spark, sf_dir, ("ticket",), scan_kw))
+
+
+def revenue_leader_snapshot_from(t: DataFrame, artists: DataFrame, **scan_kw) -> DataFrame:
+    a = artists.select(F.col("id").alias("artistid"), F.col("name").alias("artist_name"),
+                       F.col("genre").alias("artist_genre"))
+    rows = t.select("id", "price", "arrival", "artistid", F.col("price").cast("bigint").alias("rev"))
+    totals = prefix_scan(rows, ["artistid"], ticket_pos(), "arrival", [Spec("total", "sum", "rev")], **scan_kw)
+    reports = totals.join(a, "artistid")
+    top = reports.agg(F.max("total")).scalar()
+    first = (reports.where(F.col("total") == top)
+                    .agg(F.min(F.struct("arrival", "id", "price", "artistid", "artist_name", "artist_genre",
+                                        "total")).alias("m")))
+    return first.select(F.lit(fx.LEADER_KEY).alias("key"), F.col("m.artistid").alias("artistId"),
+                        F.col("m.artist_name").alias("artist_name"), F.col("m.artist_genre").alias("artist_genre"),
+                        F.col("m.total").alias("revenue"))
 
 
 # ---------------------------------------------------------------- P5
