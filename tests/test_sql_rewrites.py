@@ -56,3 +56,17 @@ def test_sql_rewrites_match_text(spark, seed):
     n = S.conversion_count_from(pairs).collect()[0][0]
     listeners = l.where("customerid is not null").select("customerid").distinct().count()
     assert 0 < n < listeners
+
+
+def test_sql_text_on_domain_views(spark):
+    """The SQL text over the registered domain views (spark.sql) equals the
+    DataFrame plans on the real tables."""
+    import os
+    sf = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf):
+        pytest.skip("test data not present")
+    for name, fn in S.QUERIES.items():
+        text = S.run_sql(spark, sf, name)
+        df = fn(spark, sf)
+        assert sorted(df.columns) == sorted(text.columns), name
+        assert _rows(df.select(*sorted(df.columns))) == _rows(text.select(*sorted(text.columns))), name
