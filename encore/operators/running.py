@@ -186,9 +186,11 @@ def running_sum(df: DataFrame, keys: list[str], order: list[Column], time_col: s
     return prefix_scan(df, keys, order, time_col, [Spec(out, "sum", value)], **kw)
 
 
-# Tables with one row per bucket are broadcast below this many buckets (the
-# bucket count is computed from the input size, so the bound is known).
-MAX_BROADCAST_BUCKETS = 1_000_000
+# Tables with one row per bucket are broadcast up to this many buckets: the
+# bucket count is computed from the input size, so the bound is known, and at
+# ~100 bytes a row (a carried record) it keeps a broadcast near 25 MB. At ~4M
+# rows a bucket that covers 1e12 input rows; beyond it the join shuffles.
+MAX_BROADCAST_BUCKETS = 250_000
 
 
 def _small(df: DataFrame, n_buckets: int | None) -> DataFrame:
