@@ -156,6 +156,13 @@ def windowed_stream_counts(listens: DataFrame, size_seconds: int = J.WINDOW_SECO
                      F.col("w.end").alias("window_end"), "n", "last_pos"))
 
 
+def top_artists_global(listens: DataFrame, k: int = 3) -> DataFrame:
+    """R2 on a stream, ``complete`` mode: the k most streamed artists so far
+    (running count per artist; the sort and limit run on the counts)."""
+    counts = _nn(listens, "artistid").groupBy("artistid").agg(F.count(F.lit(1)).alias("n"))
+    return counts.orderBy(F.desc("n"), "artistid").limit(k)
+
+
 # ---------------------------------------------------------------- foreachBatch second stages
 
 def _latest_version(spark: SparkSession, path: str, before: int) -> DataFrame | None:

@@ -25,16 +25,20 @@ def checkpoint_for(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/encore-streams/{name}"
 
 
+# Fixed value: the commit interval of the stream jobs, used as the default
+# micro-batch trigger of long-running queries.
+DEFAULT_TRIGGER = {"processingTime": "10 seconds"}
+
+
 def start(df: DataFrame, name: str, mode: str = "append", sink: str = "memory", path: str | None = None,
           trigger: dict | None = None, checkpoint: str | None = None) -> StreamingQuery:
     """Start ``df`` into a sink: ``memory`` (query name = ``name``), ``parquet``
-    (at ``path``), ``console`` or ``noop``. ``trigger`` e.g. ``{"availableNow": True}``
-    or ``{"processingTime": "10 seconds"}`` (the reference's commit interval)."""
+    (at ``path``), ``console`` or ``noop``. ``trigger`` defaults to a micro-batch
+    every 10 seconds; ``{"availableNow": True}`` processes what is there and stops."""
     spark = df.sparkSession
     w = (df.writeStream.outputMode(mode).queryName(name)
          .option("checkpointLocation", checkpoint or checkpoint_for(spark, name)))
-    if trigger:
-        w = w.trigger(**trigger)
+    w = w.trigger(**(trigger or DEFAULT_TRIGGER))
     if sink == "parquet":
         return w.format("parquet").option("path", path).start()
     return w.format(sink).start()
@@ -48,8 +52,7 @@ def start_batches(df: DataFrame, name: str, fn: Callable[[DataFrame, int], None]
     w = (df.writeStream.outputMode(mode).queryName(name)
          .option("checkpointLocation", checkpoint or checkpoint_for(spark, name))
          .foreachBatch(fn))
-    if trigger:
-        w = w.trigger(**trigger)
+    w = w.trigger(**(trigger or DEFAULT_TRIGGER))
     return w.start()
 
 

@@ -219,3 +219,11 @@ def test_stream_top_streamer_keyed_state(spark, tmp_path):
     customers = spark.createDataFrame([("x",), ("y",), ("z",)], "id string")
     cur = SJ.current_top_streamers(out, artists, customers).collect()
     assert [(r["customerId"], r["streamCount"]) for r in cur] == [("y", 2)]
+
+
+def test_stream_top_artists_global_complete(spark, tmp_path):
+    d = _write(str(tmp_path / "listens"), [_listens([("c1", "a"), ("c2", "b"), ("c3", "a")]),
+                                           _listens([("c1", "c"), ("c2", "c"), ("c3", "c"), ("c4", "b")], start=3)])
+    s = entity_stream(spark, d, "stream", max_files_per_trigger=1)
+    out = _run(SJ.top_artists_global(s, k=2), tmp_path, mode="complete")
+    assert [(r["artistid"], r["n"]) for r in out.orderBy(F.desc("n"), "artistid").collect()] == [("c", 3), ("a", 2)]
