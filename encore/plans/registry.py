@@ -29,4 +29,6 @@ def oracle_sql() -> dict[str, str]:
     o.update({k: v for k, v in JOB_SQL.items() if k in J.QUERIES})
     o.update({k: v for k, v in SCENARIO_SQL.items() if k in R.QUERIES})
     o.update({k: o[batch] for k, (_, batch) in ST.QUERIES.items() if batch in o})
+    o["stream_global_totals"] = "\nUNION ALL\n".join(
+        f"({o[k]})" for k in ("total_customers", "total_streams", "total_events", "total_tickets"))
     return o

@@ -130,6 +130,24 @@ def stream_windowed_stream_counts(spark: SparkSession, sf_dir: str) -> DataFrame
     return cur.select("artistid", "customerid", "window_start", "window_end", "n")
 
 
+def stream_global_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R12-R15 on streams: running totals of customers, listens, events and
+    tickets in one complete-mode aggregate; the latest version is current."""
+    totals = SJ.global_totals({
+        "customers": table_stream(spark, sf_dir, "customer"),
+        "streams": table_stream(spark, sf_dir, "events"),
+        "events": table_stream(spark, sf_dir, "part"),
+        "tickets": table_stream(spark, sf_dir, "lineitem"),
+    })
+    spark_ = totals.sparkSession
+    root = f"{checkpoint_dir(spark_).rstrip('/')}/encore-streams/totals-{uuid.uuid4().hex}"
+    q = sinks.start_batches(totals, f"totals_{uuid.uuid4().hex[:8]}",
+                            lambda b, i: sinks.write_batch(b, f"{root}/out", i), mode="complete",
+                            trigger={"availableNow": True}, checkpoint=f"{root}/checkpoint")
+    q.awaitTermination()
+    return sinks.read_latest_batch(spark, f"{root}/out")
+
+
 def stream_target_customer_filter_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     cur = domain.customer_from(table_stream(spark, sf_dir, "customer")).where(F.col("id") % 2 == 0)
     legacy = domain.customer_from(table_stream(spark, sf_dir, "customer")).where(F.col("id") % 2 == 1)
@@ -153,5 +171,6 @@ QUERIES = {
                                                "customer_stream_count_changelog"),
     "stream_artist_ticket_count_changelog": (stream_artist_ticket_count_changelog, "artist_ticket_count_changelog"),
     "stream_target_customer_filter_merged": (stream_target_customer_filter_merged, "target_customer_filter_merged"),
+    "stream_global_totals": (stream_global_totals, None),
     "stream_address_split_priority": (stream_address_split_priority, "address_split_priority"),
 }

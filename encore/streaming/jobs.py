@@ -156,6 +156,17 @@ def windowed_stream_counts(listens: DataFrame, size_seconds: int = J.WINDOW_SECO
                      F.col("w.end").alias("window_end"), "n", "last_pos"))
 
 
+def global_totals(streams: dict[str, DataFrame]) -> DataFrame:
+    """R12-R15 on streams, ``complete`` (or ``update``) mode: one running count
+    per named stream, over a tagged union -- each task counts its share and
+    the partial counts are combined, however the data is split."""
+    tagged = None
+    for name, df in streams.items():
+        t = df.select(F.lit(name).alias("metric"))
+        tagged = t if tagged is None else tagged.unionByName(t)
+    return tagged.groupBy("metric").agg(F.count(F.lit(1)).alias("total"))
+
+
 def top_artists_global(listens: DataFrame, k: int = 3) -> DataFrame:
     """R2 on a stream, ``complete`` mode: the k most streamed artists so far
     (running count per artist; the sort and limit run on the counts)."""

@@ -66,6 +66,12 @@ def read_batches(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def read_latest_batch(spark: SparkSession, path: str) -> DataFrame:
+    """The newest ``batch_id`` version (for complete-mode results)."""
+    v = spark.read.parquet(path)
+    return v.where(F.col("batch_id") == v.agg(F.max("batch_id")).scalar()).drop("batch_id")
+
+
 # ---------------------------------------------------------------- observation (the reference's per-record log)
 
 def observed(df: DataFrame, name: str, *metrics) -> DataFrame:
