@@ -148,6 +148,25 @@ def stream_global_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sinks.read_latest_batch(spark, f"{root}/out")
 
 
+def stream_artist_revenue_leader_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P4 on a stream, exact per ticket: per-artist running revenue in keyed
+    state, then the leader changelog per micro-batch continuing from the
+    previous batch's leader."""
+    t = ticket_stream(spark, sf_dir, with_customer=False)
+    totals = SJ.artist_running_revenue(t, domain.event(spark, sf_dir), order=TICKET_ORDER,
+                                       passthrough=("id", "arrival", "price"))
+    root = f"{checkpoint_dir(spark).rstrip('/')}/encore-streams/p4-{uuid.uuid4().hex}"
+    q = sinks.start_batches(totals, f"p4_{uuid.uuid4().hex[:8]}",
+                            SJ.leader_changelog_batches(root, domain.artist(spark, sf_dir), order=TICKET_ORDER,
+                                                        time_col="arrival"),
+                            mode="append", trigger={"availableNow": True}, checkpoint=f"{root}/checkpoint")
+    q.awaitTermination()
+    ch = spark.read.parquet(f"{root}/changelog")
+    return ch.select(F.lit("global").alias("key"), F.col("id").alias("ticket_id"), "arrival", "price",
+                     F.col("leader_artistid").alias("artistId"), F.col("leader_name").alias("artist_name"),
+                     F.col("leader_genre").alias("artist_genre"), F.col("leader_revenue").alias("revenue"))
+
+
 def stream_target_customer_filter_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     cur = domain.customer_from(table_stream(spark, sf_dir, "customer")).where(F.col("id") % 2 == 0)
     legacy = domain.customer_from(table_stream(spark, sf_dir, "customer")).where(F.col("id") % 2 == 1)
@@ -166,6 +185,8 @@ QUERIES = {
     "stream_purchase_event_ticket": (stream_purchase_event_ticket, "purchase_event_ticket"),
     "stream_customer_conversion_tally": (stream_customer_conversion_tally, "customer_conversion_tally"),
     "stream_thank_you_top_streamer": (stream_thank_you_top_streamer, "thank_you_top_streamer"),
+    "stream_artist_revenue_leader_changelog": (stream_artist_revenue_leader_changelog,
+                                               "artist_revenue_leader_changelog"),
     "stream_windowed_stream_counts": (stream_windowed_stream_counts, "windowed_stream_counts"),
     "stream_customer_stream_count_changelog": (stream_customer_stream_count_changelog,
                                                "customer_stream_count_changelog"),

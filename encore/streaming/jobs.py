@@ -167,6 +167,65 @@ def global_totals(streams: dict[str, DataFrame]) -> DataFrame:
     return tagged.groupBy("metric").agg(F.count(F.lit(1)).alias("total"))
 
 
+def artist_running_revenue(tickets: DataFrame, events: DataFrame, order=("pos",),
+                           passthrough=("id", "pos")) -> DataFrame:
+    """P4 first stage, per record: each ticket (with a known event) and its
+    artist's running revenue (prices truncated per ticket), in keyed state."""
+    j = _nn(tickets.join(_event_lookup(events), "eventid"), "artistid")
+    src = j.withColumn("rev", F.col("price").cast("bigint")).select(
+        "artistid", "rev", *dict.fromkeys([*order, *passthrough]))
+    return src.groupBy("artistid").applyInPandasWithState(
+        S.running_sum("artistid", "rev", "total", order, passthrough),
+        S.out_schema(src, "artistid", passthrough, "total long"), S.RUNNING_SUM_STATE, "append",
+        GroupStateTimeout.NoTimeout)
+
+
+def leader_changelog_batches(path: str, artists: DataFrame, order=("pos",), time_col: str = "pos"):
+    """P4 second stage, exact per record: for each micro-batch of running totals
+    (known artists only), the leader after every ticket, continuing from the
+    previous batch's leader. The previous leader enters as a first row carrying
+    its total (the high-water mark), so a row is a record only if it beats
+    everything before it, across batches. Writes ``changelog/`` and ``leader/``
+    (one row) under ``path`` in ``batch_id`` partitions (idempotent on replay)."""
+    from encore.operators.running import auto_buckets, running_leader
+    a = artists.select(F.col("id").alias("artistid"), F.col("name").alias("artist_name"),
+                       F.col("genre").alias("artist_genre"))
+
+    def fn(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        rows = batch.join(a, "artistid").withColumn("__carry", F.lit(False))
+        prev = _latest_version(spark, f"{path}/leader", batch_id)
+        if prev is not None:
+            # The previous leader, placed before every row of this batch: its
+            # leading order value is the batch's smallest one minus one unit.
+            lead = order[0]
+            dt = rows.schema[lead].dataType
+            lo = rows.agg(F.min(lead)).scalar()          # scalar subquery, no collect
+            step = F.expr("INTERVAL 1 SECOND") if dt.typeName().startswith("timestamp") else F.lit(1)
+            carry = prev.select("artistid", "artist_name", "artist_genre", "total").withColumn(
+                lead, (lo - step).cast(dt))
+            for name in rows.columns:
+                if name not in carry.columns:
+                    carry = carry.withColumn(name, F.lit(None).cast(rows.schema[name].dataType))
+            rows = rows.unionByName(carry.withColumn("__carry", F.lit(True)).select(*rows.columns))
+        bucket = auto_buckets(rows, time_col, 4_000_000, spark.sparkContext.defaultParallelism)
+        led = running_leader(rows, [F.col(o) for o in order], time_col, "total",
+                             ["artistid", "artist_name", "artist_genre"], out="leader", bucket=bucket)
+        led = led.where(~F.col("__carry")).persist()
+        try:
+            out = led.select(*[c for c in led.columns if c not in ("leader", "__carry")],
+                             F.col("leader.artistid").alias("leader_artistid"),
+                             F.col("leader.artist_name").alias("leader_name"),
+                             F.col("leader.artist_genre").alias("leader_genre"),
+                             F.col("leader.total").alias("leader_revenue"))
+            sinks_write(out, f"{path}/changelog", batch_id)
+            last = led.agg(F.max(F.struct(*[F.col(o) for o in order], F.col("leader"))).alias("m"))
+            sinks_write(last.select("m.leader.*"), f"{path}/leader", batch_id)
+        finally:
+            led.unpersist()
+    return fn
+
+
 def top_artists_global(listens: DataFrame, k: int = 3) -> DataFrame:
     """R2 on a stream, ``complete`` mode: the k most streamed artists so far
     (running count per artist; the sort and limit run on the counts)."""
@@ -176,6 +235,11 @@ def top_artists_global(listens: DataFrame, k: int = 3) -> DataFrame:
 
 # ---------------------------------------------------------------- foreachBatch second stages
 
+def sinks_write(df: DataFrame, path: str, batch_id: int) -> None:
+    from encore.streaming.sinks import write_batch
+    write_batch(df, path, batch_id)
+
+
 def _latest_version(spark: SparkSession, path: str, before: int) -> DataFrame | None:
     try:
         prev = spark.read.parquet(path).where(F.col("batch_id") < before)

@@ -91,6 +91,24 @@ def running_count(key_name: str, order: Sequence[str] = ("pos",), passthrough: S
 RUNNING_COUNT_EXTRA = "n long"
 
 
+def running_sum(key_name: str, value: str, out: str, order: Sequence[str] = ("pos",),
+                passthrough: Sequence[str] = ("id", "pos")):
+    """Changelog of a per-key running sum of ``value`` (nulls add nothing)."""
+    def fn(key, pdfs, state):
+        pdf = _rows(pdfs, order)
+        if pdf.empty:
+            return
+        s0 = state.get[0] if state.exists else 0
+        v = pdf[value].fillna(0).astype(np.int64).to_numpy()
+        run = s0 + np.cumsum(v)
+        state.update((int(run[-1]),))
+        yield _frame(key_name, key[0], pdf, passthrough, **{out: run})
+    return fn
+
+
+RUNNING_SUM_STATE = "s long"
+
+
 def confirm_tickets(order: Sequence[str] = ("pos",), passthrough: Sequence[str] = ("id", "customerid", "pos")):
     """Per event: every request uses a seat; capacity is frozen at the first
     request's copy of the event (input column ``capacity``)."""

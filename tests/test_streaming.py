@@ -227,3 +227,27 @@ def test_stream_top_artists_global_complete(spark, tmp_path):
     s = entity_stream(spark, d, "stream", max_files_per_trigger=1)
     out = _run(SJ.top_artists_global(s, k=2), tmp_path, mode="complete")
     assert [(r["artistid"], r["n"]) for r in out.orderBy(F.desc("n"), "artistid").collect()] == [("c", 3), ("a", 2)]
+
+
+def test_stream_exact_leader_across_batches(spark, tmp_path):
+    """P4 per ticket on a stream, one ticket per micro-batch: leaders A, A, B
+    for (event1 300), (event2 200), (event2 200); a tie holds across batches."""
+    artists = spark.createDataFrame([("artistA", "Taylor Swift", "pop"), ("artistB", "Drake", "hip-hop")],
+                                    "id string, name string, genre string")
+    ev_dir = _write(str(tmp_path / "events"), [[{"id": "event1", "artistid": "artistA", "venueid": "v",
+                                                 "capacity": 9, "eventdate": "x", "pos": 0},
+                                                {"id": "event2", "artistid": "artistB", "venueid": "v",
+                                                 "capacity": 9, "eventdate": "x", "pos": 1}]])
+    prices = [("event1", 300.0), ("event2", 200.0), ("event2", 200.0), ("event1", 100.0), ("event2", 0.5)]
+    tix = [[{"id": f"t{i}", "customerid": "c", "eventid": e, "price": p, "pos": i}] for i, (e, p) in enumerate(prices)]
+    t = entity_stream(spark, _write(str(tmp_path / "tickets"), tix), "ticket", max_files_per_trigger=1)
+    totals = SJ.artist_running_revenue(t, entity_table(spark, ev_dir, "event"))
+    path = str(tmp_path / "p4")
+    name = "t_" + uuid.uuid4().hex[:10]
+    q = sinks.start_batches(totals, name, SJ.leader_changelog_batches(path, artists), mode="append",
+                            trigger={"availableNow": True}, checkpoint=str(tmp_path / f"ckpt-{name}"))
+    q.awaitTermination()
+    ch = spark.read.parquet(path + "/changelog").orderBy("pos").collect()
+    assert [(r["leader_artistid"], r["leader_revenue"]) for r in ch] == \
+        [("artistA", 300), ("artistA", 300), ("artistB", 400), ("artistB", 400), ("artistB", 400)]
+    # A reaches 400 in batch 4: a tie, B holds.
