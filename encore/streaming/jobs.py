@@ -240,13 +240,26 @@ def sinks_write(df: DataFrame, path: str, batch_id: int) -> None:
     write_batch(df, path, batch_id)
 
 
+RECENT_VERSIONS = 64
+
+
 def _latest_version(spark: SparkSession, path: str, before: int) -> DataFrame | None:
+    """The newest version written before batch ``before``. Batches usually
+    write every version, so the newest is looked for among the last
+    ``RECENT_VERSIONS`` batch ids first (a partition filter: only those files
+    are read); the whole table is searched only when that window is empty."""
     try:
-        prev = spark.read.parquet(path).where(F.col("batch_id") < before)
+        allv = spark.read.parquet(path)
     except Exception:  # noqa: BLE001 -- no versions written yet
         return None
-    last = prev.agg(F.max("batch_id")).scalar()
-    return prev.where(F.col("batch_id") == last).drop("batch_id")
+    for lo in (before - RECENT_VERSIONS, None):
+        prev = allv.where(F.col("batch_id") < before)
+        if lo is not None:
+            prev = prev.where(F.col("batch_id") >= lo)
+        last = prev.agg(F.max("batch_id")).first()[0]      # one number
+        if last is not None:
+            return allv.where(F.col("batch_id") == last).drop("batch_id")
+    return None
 
 
 def merge_top_streamers(path: str, artists: DataFrame, customers: DataFrame):
