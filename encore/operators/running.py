@@ -9,12 +9,13 @@ task, and a global running value (no key) sorts *everything* in one task. So
 rows are cut into time buckets of the leading order column: the window runs
 per ``(key, bucket)`` (a hot key is spread over many tasks), each bucket's
 total is carried forward by an exclusive prefix over the small per-bucket
-table, and the two are combined. The bucket width comes from one cheap
-statistics pass (count, then approximate quantiles of the leading order
+table, and the two are combined. The bucket boundaries come from cheap
+statistics passes (count, then approximate quantiles of the leading order
 column) so a bucket holds about ``rows_per_bucket`` rows over all keys however
 the rows crowd in time; when everything fits in one bucket, the plain window
 is used. Rows sharing one exact value of the leading column stay in one
-bucket (the orders used here are unique per key).
+bucket: with second or microsecond timestamps and sequence numbers as leading
+columns, that is at most one second's records.
 """
 
 from __future__ import annotations
