@@ -55,6 +55,31 @@ def build_session(master: str | None = None, app: str = "encore",
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``encore`` importable in the Python workers on every executor (the
+    keyed state functions run there), like ``spark-submit --py-files``: the
+    package is zipped once per application on the driver and added with
+    ``addPyFile``, which serves it to the executors."""
+    import zipfile
+    from pathlib import Path
+
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    root = Path(__file__).resolve().parent
+    d = tempfile.mkdtemp(prefix="encore-pyfiles-")
+    zpath = os.path.join(d, "encore.zip")
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent).as_posix())
+    sc.addPyFile(zpath)
+    _SHIPPED.add(app)
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the settings encore relies on to an existing session.
 
@@ -71,6 +96,7 @@ def configure(spark: SparkSession) -> SparkSession:
         except Exception:  # static conf on a running session
             pass
     checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 

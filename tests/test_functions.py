@@ -76,3 +76,13 @@ def test_raw_consumer_records(spark, tmp_path):
     assert (r["partition"], r["offset"]) == (2, 41)
     parsed = sinks.from_records(rows, "id string, customerid string, eventid string, price double").collect()[0]
     assert parsed["eventid"] == "e1" and parsed["price"] == 12.5
+
+
+def test_package_shipped_to_workers(spark):
+    """The session setup ships the package to the Python workers, so keyed
+    state functions import it wherever the driver was started from."""
+    from encore.session import ship_package
+
+    ship_package(spark)
+    files = spark.sparkContext._jsc.sc().listFiles()
+    assert any(str(files.apply(i)).endswith("encore.zip") for i in range(files.size()))
