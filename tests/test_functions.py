@@ -84,5 +84,4 @@ def test_package_shipped_to_workers(spark):
     from encore.session import ship_package
 
     ship_package(spark)
-    files = spark.sparkContext._jsc.sc().listFiles()
-    assert any(str(files.apply(i)).endswith("encore.zip") for i in range(files.size()))
+    assert any(f.endswith("encore.zip") for f in spark.sparkContext.listFiles)
