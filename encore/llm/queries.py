@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from encore.llm import bloom_dedup, url_cascade, winnow_lines
+from encore.llm import (bagminhash, bloom_dedup, hd_langid, record_files, suffix_decontam, temperature_mix,
+                        token_secrets, toxicity, url_cascade, winnow_lines)
 from encore.llm.common import prepare
 
 #: op1: the rules, and the hosts that are blocked where no rule fits.
@@ -19,21 +21,78 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def held_out() -> Column:
+    """Rows that nothing is learned from: a third of the ids, by their CRC-32. A null id is not held out."""
+    remainder = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(3))
+    return F.coalesce(remainder == 1, F.lit(False))
+
+
 def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = url_cascade.judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES, BLOCKED_HOSTS)
     return judged.select("row.page_id", "judged.*")
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix_decontam.digest(suffix_decontam.find_contamination(docs, table(spark, sf_dir, "benchmark")))
+
+
+def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixture = temperature_mix.mix(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    return mixture.select("row.doc_id", "row.source", "n_tokens", "epoch", "place", "block")
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = winnow_lines.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return done.select("row.doc_id", "deduped.*")
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    prototypes = hd_langid.learn(docs.filter(~held_out()))
+    found = hd_langid.predict(docs.select("doc_id", "text", held_out().alias("held_out")), prototypes)
+    return found.select("row.doc_id", "row.held_out", "lang_pred", "score")
+
+
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = token_secrets.find_secrets(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return token_secrets.digest(found)
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bloom_dedup.dedup_report(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op4_line_dedup, op7_exact_dedup)}
+def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.Model:
+    """The model of the labelled documents that are not held out."""
+    labels = table(spark, sf_dir, "labels").filter(~held_out())
+    return toxicity.fit(table(spark, sf_dir, "documents"), labels)
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", held_out().alias("held_out"))
+    found = toxicity.score(docs, toxicity_model(spark, sf_dir))
+    return found.select("row.doc_id", "row.held_out", "score", "predicted")
+
+
+def encoded(docs: DataFrame) -> DataFrame:
+    """Write ``docs`` as record files and read them back."""
+    folder, _ = record_files.write_records(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return record_files.read_records(docs.sparkSession, folder, with_ids=False)
+
+
+def op9_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encoded(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bagminhash.near_report(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_url_filter, op2_decontamination, op3_source_mix, op4_line_dedup, op5_language_id, op6_secret_scan,
+    op7_exact_dedup, op8_toxicity, op9_token_records, op10_near_dedup)}
 
 
 def _in_list(host: str, entries: list[str]) -> str:
