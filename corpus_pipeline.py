@@ -8,9 +8,37 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from encore.llm import bagminhash, queries, suffix_decontam, temperature_mix, toxicity
 from encore.llm.common import cut, prepare
 
-STAGES: list = []
+
+def keep_clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops the documents that the toxicity classifier rejects."""
+    return toxicity.keep_clean(docs, queries.toxicity_model(spark, sf_dir))
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document of each class of near copies."""
+    return bagminhash.dedup_near(docs)
+
+
+def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops the documents that hold a passage of a benchmark item."""
+    return suffix_decontam.decontaminate(docs, queries.table(spark, sf_dir, "benchmark"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in the target weights of their sources; one that is used twice is there twice."""
+    return temperature_mix.mix(docs).select("row.*")
+
+
+def to_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Writes the documents as token records and gives the place of each in them."""
+    return queries.encoded(docs)
+
+
+STAGES = [("toxicity", keep_clean), ("near_dedup", drop_near_copies), ("decontamination", drop_benchmark),
+          ("mixing", mix_sources), ("token_records", to_tokens)]
 
 #: Classifier, signatures and tokenizer have no form in SQL; tests/llm holds the stages against brute force.
 ORACLE_SQL = None
