@@ -26,10 +26,10 @@ from encore.llm.common import annotate, cut, prepare, texts_of, words_of
 
 MAX_LABELLED, MAX_FEATURES = 20_000, 20_000
 #: Lengths, in characters, of the beginnings of words that are features.
-PREFIXES = (4, 5, 6, 7, 8)
+PREFIXES = (3, 4, 5, 6, 7, 8)
 #: A feature counts if it is in so many toxic texts, and its rates in the two classes lie so many standard errors apart.
 LEAST_TOXIC, LEAST_Z = 5, 4.0
-L2, COUNTERFACTUAL = 0.5, 20.0
+L2, COUNTERFACTUAL = 0.02, 20.0
 THRESHOLD = 0.7
 
 #: Groups of interchangeable mentions, lower case.
@@ -164,7 +164,7 @@ def _back(m, v: np.ndarray, n: int) -> np.ndarray:
     return np.bincount(m[1], v[m[0]], n)
 
 
-def _descend(x, y, owner, swaps, n: int, steps: int = 400) -> tuple[np.ndarray, float]:
+def _descend(x, y, owner, swaps, n: int, steps: int = 3000) -> tuple[np.ndarray, float]:
     """Accelerated gradient descent on mean log loss + l2 + the counterfactual penalty."""
     w, b = np.zeros(n), math.log((y.mean() + 1e-6) / (1 - y.mean() + 1e-6))
     rows, pairs = len(y), max(1, len(owner))
