@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from encore.llm.bitmaps import MAX_BITS, bitmap, may_contain, positions
+from encore.llm.bitmaps import MAX_BITS, bitmap, keys_bitmap, may_contain, positions
 from encore.llm.common import cut, row_key
 
 #: Consecutive lines that make a run.
@@ -81,7 +81,14 @@ def dedup_lines(docs: DataFrame, run: int = RUN, max_bits: int = MAX_BITS) -> Da
     columns, whatever their names, stay in ``row``.
     """
     rows = docs.select(F.struct("*").alias("row"), row_key().alias("key"), "text")
-    found = rows.join(repeated_lines(docs, run, max_bits), "key", "left").withColumn("lines", F.split("text", "\n"))
+    repeats = cut(repeated_lines(docs, run, max_bits), "lines-repeats")
+    bits = int(min(max_bits, max(64, BITS_PER_PRINT * repeats.count())))
+    known = keys_bitmap(repeats.select(F.xxhash64("key").alias("h")), "h", bits, HASHES, 0, "lines-known")
+    maybe = may_contain(known, F.xxhash64("key"), bits, HASHES)
+    # Documents that lose nothing pass straight through; the others meet their lines by one plan at any size.
+    untouched = rows.filter(~maybe).withColumn("starts", F.lit(None).cast("array<int>"))
+    touched = rows.filter(maybe).join(repeats.hint("merge"), "key", "left")
+    found = untouched.unionByName(touched).withColumn("lines", F.split("text", "\n"))
     every = F.sequence(F.lit(0), F.size("lines") - 1)
     solid = F.filter(every, lambda i: F.trim(F.get("lines", i)) != "")
     gone = F.array_distinct(F.flatten(F.transform("starts", lambda s: F.sequence(s, s + (run - 1)))))
