@@ -29,7 +29,7 @@ def windows_of(docs: DataFrame, run: int) -> DataFrame:
     """Every window of ``run`` non-blank lines: ``key``, ``at`` (its first line among the non-blank ones),
     ``fingerprint`` (its minimum), ``selects`` (whether it is the first window to select that place; of equal
     minima the last counts) and its 128-bit identity ``w1, w2``."""
-    lines = F.filter(F.transform(F.split("text", "\n"), F.trim), lambda x: x != "")
+    lines = F.filter(F.transform(F.split("text", "\n"), lambda x: F.trim(x)), lambda x: x != "")
     hashed = docs.filter("text is not null").select(row_key().alias("key"),
                                                     F.transform(lines, lambda x: F.xxhash64(x)).alias("h"))
     starts = F.when(F.size("h") >= run, F.sequence(F.lit(0), F.size("h") - run)).otherwise(F.array().cast("array<int>"))
