@@ -89,7 +89,7 @@ def signatures(doc: np.ndarray, key: np.ndarray, weight: np.ndarray, n_docs: int
         number = np.full(n_docs, -1, np.int64)
         number[todo] = np.arange(todo.size)
         mine = number[doc] >= 0
-        until = spread * m * (math.log(m) + 6) / total
+        until = spread * m * (math.log(m) + 6) / np.maximum(total, 1)
         first, point = _points(number[doc[mine]], key[mine], weight[mine], until[doc[mine]], todo.size, m)
         done = np.isfinite(first).all(axis=1)
         out[todo[done]] = point[done]
