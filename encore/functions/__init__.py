@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 EVENT_DATE_FORMAT = "yyyy-MM-dd HH:mm:ss.SSS"
 BIRTH_DATE_FORMAT = "yyyy-MM-dd"
 ADDRESS_FORMAT = "%s, %s, %s, %s %s-%s %s"   # line1, line2, city, state zip5-zip4 country
-NOTICE_SENDER = "tickets@utopia.com"
+NOTICE_SENDER = "tickets@example.com"   # default of a parameter
 NOTICE_EMAIL_DOMAIN = "@email.com"
 NOTICE_SUBJECT_PREFIX = "Ticket Confirmation ("
 NOTICE_SUBJECT_MIDDLE = ") - Event "
@@ -25,18 +25,18 @@ def col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def cents(price) -> Column:
-    """Money as exact integer cents (prices carry two decimals)."""
-    return F.round(col(price) * 100).cast("bigint")
+def amount(price) -> Column:
+    """Money as an exact decimal, to a millionth."""
+    return col(price).cast("decimal(18,6)")
 
 
 def money_sum(price) -> Column:
-    """Sum of money, exact: summed as integer cents, returned as double.
+    """Sum of money, exact: decimals are summed and the total is rounded to cents, returned as double.
 
     Summing doubles directly depends on the order of addition, which differs
-    between tasks, retries and engines; integer cents do not.
+    between tasks, retries and engines; decimals do not.
     """
-    return F.sum(cents(price)).cast("double") / 100
+    return F.round(F.sum(amount(price)), 2).cast("double")
 
 
 def parse_event_time(c, fmt: str = EVENT_DATE_FORMAT) -> Column:

@@ -37,7 +37,7 @@ def enrich_latest(stream: DataFrame, table: DataFrame, stream_key: str, table_ke
 def enrich_asof(stream: DataFrame, table: DataFrame, stream_key: str, table_key: str,
                 stream_time: str, table_time: str, stream_tie: list[str], table_tie: list[str],
                 table_cols: list[str], tombstone: Column | None = None, prefix: str = "",
-                table_first: bool = True, **scan_kw) -> DataFrame:
+                table_first: bool = True, cell: int | None = None) -> DataFrame:
     """As-of inner join; see the module text.
 
     Order is ``(time, side, tie...)``; with ``table_first`` a table row and a
@@ -72,6 +72,6 @@ def enrich_asof(stream: DataFrame, table: DataFrame, stream_key: str, table_key:
         t = t.withColumn("__tie", pad(len(table_tie)))
     u = s.unionByName(t).where(F.col("__k").isNotNull())
     scanned = prefix_scan(u, ["__k"], [F.col("__t"), F.col("__side"), F.col("__tie")], "__t",
-                          [Spec("__cur", "last", "__trow")], **scan_kw)
+                          [Spec("__cur", "last", "__trow")], cell=cell)
     out = scanned.where(F.col("__srow").isNotNull() & F.col("__cur").isNotNull() & ~F.col("__cur.dead"))
     return out.select("__srow.*", *[F.col(f"__cur.{c}").alias(prefix + c) for c in table_cols])

@@ -6,29 +6,31 @@ one update per input record.
 
 Scale: a window ``partition by key order by pos`` sorts a key's rows in one
 task, and a global running value (no key) sorts *everything* in one task. So
-rows are cut into time buckets of the leading order column: the window runs
-per ``(key, bucket)`` (a hot key is spread over many tasks), each bucket's
-total is carried forward by an exclusive prefix over the small per-bucket
-table, and the two are combined. The bucket boundaries come from cheap
-statistics passes (count, then approximate quantiles of the leading order
-column) so a bucket holds about ``rows_per_bucket`` rows over all keys however
-the rows crowd in time; when everything fits in one bucket, the plain window
-is used. Rows sharing one exact value of the leading column stay in one
-bucket: with second or microsecond timestamps and sequence numbers as leading
-columns, that is at most one second's records.
+the leading order column is cut into cells of a fixed width, at any input size:
+the window runs per ``(key, cell)``, which spreads a hot key over many tasks;
+the cells' totals, from a plain hash aggregate, are summed up over the earlier
+cells of the key, and the two are combined. A cell's rows depend on the rate
+of arrival and the width, not on how long the history is. Nothing is computed
+while the plan is built, and no statistics are kept.
+
+The rows are shuffled once: the window and the totals read the same exchange.
+For that both must read the same columns, so the totals carry a checksum over
+all of them, and callers hand in only the columns that they use.
 """
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from encore.functions import col
 
-DEFAULT_ROWS_PER_BUCKET = 4_000_000
+#: Width of a cell: of times in microseconds, of sequence numbers in records.
+MINUTE, DAY = 60 * 1_000_000, 86_400 * 1_000_000
+RECORDS = 1 << 12
 
 OPS = ("count", "sum", "max", "min", "last")
 
@@ -47,134 +49,84 @@ class Spec:
         if self.op not in OPS:
             raise ValueError(f"unknown op {self.op}")
 
+    def column(self) -> Column | None:
+        return col(self.value) if self.value is not None else None
 
-def _window_expr(spec: Spec, w) -> Column:
-    v = col(spec.value) if spec.value is not None else None
-    if spec.op == "count":
-        return F.count(v if v is not None else F.lit(1)).over(w)
-    if spec.op == "sum":
-        return F.sum(v).over(w)
-    if spec.op == "max":
-        return F.max(v).over(w)
-    if spec.op == "min":
-        return F.min(v).over(w)
-    return F.last(v, ignorenulls=True).over(w)
 
+def _is_time(df: DataFrame, name: str) -> bool:
+    return isinstance(df.schema[name].dataType, (T.TimestampType, T.TimestampNTZType, T.DateType))
 
-def _time_micros(c: Column) -> Column:
-    return F.unix_micros(c.cast("timestamp"))
 
+def cell_of(df: DataFrame, name: str, width: int | None, keyed: bool) -> Column:
+    """Number of the cell of a row. Default widths: a day per key, a minute where rows have no key."""
+    value = F.unix_micros(F.col(name).cast("timestamp")) if _is_time(df, name) else F.col(name).cast("bigint")
+    width = width or ((DAY if keyed else MINUTE) if _is_time(df, name) else RECORDS)
+    return F.floor(value / F.lit(width)).cast("bigint")
 
-def bucket_value(df: DataFrame, name: str) -> Column:
-    """The bucketing column as a bigint: microseconds for times, else the number."""
-    from pyspark.sql import types as T
-    dt = df.schema[name].dataType
-    if isinstance(dt, (T.TimestampType, T.TimestampNTZType, T.DateType)):
-        return _time_micros(F.col(name))
-    return F.col(name).cast("bigint")
 
+def in_cells(df: DataFrame, keys: list[str], time_col: str, width: int | None) -> DataFrame:
+    """``df`` with ``__cell``, shuffled by key and cell."""
+    return df.withColumn("__cell", cell_of(df, time_col, width, bool(keys))).repartition(*keys, "__cell")
 
-def bucket_count(bucket) -> int | None:
-    """Number of buckets of a spec, when known."""
-    if isinstance(bucket, dict):
-        return len(bucket["splits"]) + 1
-    return bucket[2] if len(bucket) > 2 else None
 
+def cell_totals(cells: DataFrame, keys: list[str], aggregates: list[Column]) -> DataFrame:
+    """Aggregates per key and cell over all columns of ``cells``, so that they share its exchange."""
+    whole = F.bit_xor(F.xxhash64(*cells.columns)).alias("__all")
+    return cells.groupBy(*keys, "__cell").agg(*aggregates, whole).where("__all is not null").drop("__all")
 
-def assign_buckets(df: DataFrame, time_col: str, bucket) -> DataFrame:
-    """Add ``__b``: the bucket of each row, in the order of ``time_col``.
 
-    ``bucket`` is ``(origin, width[, n])`` for equal-width buckets, or
-    ``{"splits": [...]}`` with ascending boundaries (quantiles of the column,
-    so a crowded stretch of time is split into as many buckets as its rows
-    need); boundaries are applied with Spark's ``Bucketizer`` (JVM-side).
-    """
-    if isinstance(bucket, dict):
-        from pyspark.ml.feature import Bucketizer
-        splits = [float("-inf"), *bucket["splits"], float("inf")]
-        staged = df.withColumn("__bv", bucket_value(df, time_col).cast("double"))
-        out = Bucketizer(splits=splits, inputCol="__bv", outputCol="__bd", handleInvalid="keep").transform(staged)
-        return out.withColumn("__b", F.col("__bd").cast("bigint")).drop("__bv", "__bd")
-    origin, width = bucket[0], bucket[1]
-    b = F.floor((bucket_value(df, time_col) - F.lit(origin)) / F.lit(width)).cast("bigint")
-    return df.withColumn("__b", b)
-
-
-def auto_buckets(df: DataFrame, time_col: str, rows_per_bucket: int, min_buckets: int = 1) -> dict | None:
-    """Bucket spec from the data: ``count`` decides the number of buckets, and
-    approximate quantiles of ``time_col`` their boundaries (two aggregate
-    passes; only the boundaries reach the driver). None when one bucket suffices."""
-    n = df.count()
-    buckets = max(math.ceil(n / rows_per_bucket), min_buckets) if n else 0
-    if buckets <= 1:
-        return None
-    probs = [i / buckets for i in range(1, buckets)]
-    q = (df.select(bucket_value(df, time_col).cast("double").alias("t"))
-           .agg(F.percentile_approx("t", probs, max(10_000, 20 * buckets)).alias("q")).first()["q"] or [])
-    splits = sorted({float(x) for x in q if x is not None})
-    return {"splits": splits} if splits else None
-
-
-def prefix_scan(df: DataFrame, keys: list[str], order: list[Column], time_col: str,
-                specs: list[Spec], rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET,
-                bucket: tuple[int, int] | None | str = "auto") -> DataFrame:
+def _running(spec: Spec, value: Column | None, w) -> Column:
+    if spec.op == "count":
+        return F.count(value if value is not None else F.lit(1)).over(w)
+    if spec.op == "last":
+        return F.last(value, ignorenulls=True).over(w)
+    return {"sum": F.sum, "max": F.max, "min": F.min}[spec.op](value).over(w)
+
+
+def _total(spec: Spec, order: list[Column]) -> Column:
+    v = spec.column()
+    if spec.op == "count":
+        return F.count(v if v is not None else F.lit(1))
+    if spec.op == "last":
+        place = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)])
+        return F.max_by(v, F.when(v.isNotNull(), place))
+    return {"sum": F.sum, "max": F.max, "min": F.min}[spec.op](v)
+
+
+def combined(op: str, here: Column, before: Column) -> Column:
+    """The running value from that inside the cell and that carried into it; either may be null."""
+    if op == "count":
+        return here + F.coalesce(before, F.lit(0))
+    if op == "sum":
+        return F.when(before.isNull(), here).when(here.isNull(), before).otherwise(here + before)
+    if op == "last":
+        return F.coalesce(here, before)
+    return (F.greatest if op == "max" else F.least)(here, before)
+
+
+def prefix_scan(df: DataFrame, keys: list[str], order: list[Column], time_col: str, specs: list[Spec],
+                cell: int | None = None) -> DataFrame:
     """Add one column per ``Spec`` holding its inclusive running value.
 
     ``order`` must be a total order whose leading column is ``time_col`` (a
-    timestamp or a number), so buckets respect it. ``bucket`` is ``"auto"``, None
-    (plain window), ``(origin, width[, n])`` or ``{"splits": [...]}`` (see
-    ``assign_buckets``).
+    timestamp or a number), so cells respect it. Rows with a null key have no
+    place in a keyed table and are dropped. ``cell`` is the width of a cell.
     """
-    if bucket == "auto":
-        bucket = auto_buckets(df, time_col, rows_per_bucket)
-    if bucket is None:
-        w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return df.select("*", *[_window_expr(s, w).alias(s.out) for s in specs])
-
-    n_buckets = bucket_count(bucket)
-    staged = assign_buckets(df, time_col, bucket)
-    part = [*keys, "__b"]
+    rows = df
+    for k in keys:
+        rows = rows.where(F.col(k).isNotNull())
+    cells = in_cells(rows, keys, time_col, cell)
+    part = [*keys, "__cell"]
     w = Window.partitionBy(*part).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = staged.select("*", *[_window_expr(s, w).alias(f"__l_{s.out}") for s in specs])
-
-    # Per (key, bucket): the running value at the bucket's last row (= the
-    # bucket's own aggregate). ``local`` is already partitioned by (key, bucket).
-    last_row = F.max(F.struct(*[c.alias(f"__o{i}") for i, c in enumerate(order)],
-                              *[F.col(f"__l_{s.out}").alias(s.out) for s in specs]))
-    per_bucket = local.groupBy(*part).agg(last_row.alias("__t"))
-    wb = Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    carried = []
-    for s in specs:
-        t = F.col(f"__t.{s.out}")
-        if s.op in ("count", "sum"):
-            carried.append(F.sum(t).over(wb).alias(f"__c_{s.out}"))
-        elif s.op == "max":
-            carried.append(F.max(t).over(wb).alias(f"__c_{s.out}"))
-        elif s.op == "min":
-            carried.append(F.min(t).over(wb).alias(f"__c_{s.out}"))
-        else:
-            carried.append(F.last(t, ignorenulls=True).over(wb).alias(f"__c_{s.out}"))
-    prefix = per_bucket.select(*part, *carried)
-    if not keys:
-        # One row per bucket: its size is known, so it is broadcast.
-        prefix = _small(prefix, n_buckets)
-
-    joined = local.join(prefix, on=part, how="left")
-    outs = []
-    for s in specs:
-        lv, cv = F.col(f"__l_{s.out}"), F.col(f"__c_{s.out}")
-        if s.op == "count":
-            e = lv + F.coalesce(cv, F.lit(0))
-        elif s.op == "sum":
-            e = F.when(cv.isNull(), lv).when(lv.isNull(), cv).otherwise(lv + cv)
-        elif s.op == "max":
-            e = F.greatest(lv, cv)
-        elif s.op == "min":
-            e = F.least(lv, cv)
-        else:
-            e = F.coalesce(lv, cv)
-        outs.append(e.alias(s.out))
-    return joined.select(*df.columns, *outs)
+    local = cells.select("*", *[_running(s, s.column(), w).alias(f"__l_{s.out}") for s in specs])
+    totals = cell_totals(cells, keys, [_total(s, order).alias(f"__t_{s.out}") for s in specs])
+    earlier = Window.partitionBy(*keys).orderBy("__cell").rowsBetween(Window.unboundedPreceding, -1)
+    carried = totals.select(*part, *[
+        _running(Spec(s.out, "sum" if s.op == "count" else s.op, f"__t_{s.out}"), F.col(f"__t_{s.out}"), earlier)
+        .alias(f"__c_{s.out}") for s in specs])
+    joined = local.join(carried, on=part, how="left")
+    return joined.select(*df.columns, *[combined(s.op, F.col(f"__l_{s.out}"), F.col(f"__c_{s.out}")).alias(s.out)
+                                        for s in specs])
 
 
 def running_count(df: DataFrame, keys: list[str], order: list[Column], time_col: str,
@@ -187,67 +139,37 @@ def running_sum(df: DataFrame, keys: list[str], order: list[Column], time_col: s
     return prefix_scan(df, keys, order, time_col, [Spec(out, "sum", value)], **kw)
 
 
-# Tables with one row per bucket are broadcast up to this many buckets: the
-# bucket count is computed from the input size, so the bound is known, and at
-# ~100 bytes a row (a carried record) it keeps a broadcast near 25 MB. At ~4M
-# rows a bucket that covers 1e12 input rows; beyond it the join shuffles.
-MAX_BROADCAST_BUCKETS = 250_000
-
-
-def _small(df: DataFrame, n_buckets: int | None) -> DataFrame:
-    return F.broadcast(df) if n_buckets is not None and n_buckets <= MAX_BROADCAST_BUCKETS else df
-
-
 def running_leader(df: DataFrame, order: list[Column], time_col: str, value: str, payload: list[str],
-                   out: str = "leader", bucket: tuple[int, int] | None | str = "auto",
-                   rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET) -> DataFrame:
+                   out: str = "leader", cell: int | None = None) -> DataFrame:
     """Running arg-max in global ``order`` with a strict ``>``: a row sets a
     record when its ``value`` exceeds every earlier row's value; ``out`` is the
     last record at or before the row (``struct(payload..., value)``). Ties keep
     the earlier leader, and the leader is a high-water mark.
 
-    Bucketed like ``prefix_scan`` (one shuffle into order-preserving buckets,
-    one window per bucket); the carry from earlier buckets is a max and a
-    last-record over the per-bucket table, broadcast when its size is bounded.
+    In cells like ``prefix_scan``. Inside a cell, a record beats all earlier
+    rows of the cell; the records that also beat the greatest value carried
+    into the cell are the true ones. A cell's last record is its first row at
+    its greatest value.
     """
-    if bucket == "auto":
-        bucket = auto_buckets(df, time_col, rows_per_bucket)
     v = F.col(value)
-    rec_struct = F.struct(*[F.col(p) for p in payload], v.alias(value))
-    if bucket is None:
-        w_prev = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-        w_incl = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        staged = df.withColumn("__pm", F.max(v).over(w_prev))
-        staged = staged.withColumn("__rec", F.when(v.isNotNull() & (F.col("__pm").isNull() | (v > F.col("__pm"))),
-                                                   rec_struct))
-        return staged.withColumn(out, F.last("__rec", ignorenulls=True).over(w_incl)).drop("__pm", "__rec")
-
-    n_buckets = bucket_count(bucket)
-    staged = assign_buckets(df, time_col, bucket)
-    # One pass per bucket: local records (beating every earlier row of the
-    # bucket) and the last local record so far. Local records have rising
-    # values, so the true records of a bucket are its local records above the
-    # max carried from earlier buckets -- a suffix of them.
-    w_prev = Window.partitionBy("__b").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    w_incl = Window.partitionBy("__b").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = staged.withColumn("__pm", F.max(v).over(w_prev))
-    local = local.withColumn("__lrec", F.when(v.isNotNull() & (F.col("__pm").isNull() | (v > F.col("__pm"))),
-                                              rec_struct))
-    local = local.withColumn("__ll", F.last("__lrec", ignorenulls=True).over(w_incl))
-    # Per bucket, from the window output (already partitioned by bucket, so no
-    # second pass over the input): its final local leader = its max.
-    per_bucket = (local.groupBy("__b")
-                       .agg(F.max(F.struct(*[c.alias(f"__o{i}") for i, c in enumerate(order)],
-                                           F.col("__ll").alias("ll"))).alias("__t"))
-                       .select("__b", F.col("__t.ll").alias("__brec")))
-    wb_prev = Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    bt = per_bucket.withColumn("__cm", F.max(F.col(f"__brec.{value}")).over(wb_prev))
-    bt = bt.withColumn("__own", F.when(F.col("__brec").isNotNull() & (F.col("__cm").isNull()
-                                                                        | (F.col(f"__brec.{value}") > F.col("__cm"))),
-                                       F.col("__brec")))
-    bt = bt.select("__b", "__cm", F.last("__own", ignorenulls=True).over(wb_prev).alias("__cr"))
-    res = local.join(_small(bt, n_buckets), "__b", "left")
-    ll = F.col("__ll")
-    lead = F.when(ll.isNotNull() & (F.col("__cm").isNull() | (F.col(f"__ll.{value}") > F.col("__cm"))), ll) \
-            .otherwise(F.col("__cr"))
-    return res.withColumn(out, lead).select(*df.columns, out)
+    record = F.struct(*[F.col(p) for p in payload], v.alias(value))
+    cells = in_cells(df, [], time_col, cell)
+    w = Window.partitionBy("__cell").orderBy(*order)
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = cells.withColumn("__before", F.max(v).over(before))
+    local = local.withColumn("__record", F.when(v.isNotNull() & (F.col("__before").isNull() | (v > F.col("__before"))), record))
+    local = local.withColumn("__here", F.last("__record", ignorenulls=True).over(upto)).drop("__before", "__record")
+
+    place = F.struct((-v).alias("v"), *[c.alias(f"o{i}") for i, c in enumerate(order)])
+    totals = cell_totals(cells, [], [F.min_by(record, F.when(v.isNotNull(), place)).alias("__best")])
+    earlier = Window.orderBy("__cell").rowsBetween(Window.unboundedPreceding, -1)
+    best = totals.withColumn("__most", F.max(F.col(f"__best.{value}")).over(earlier))
+    own = F.when(F.col("__best").isNotNull() & (F.col("__most").isNull() | (F.col(f"__best.{value}") > F.col("__most"))),
+                 F.col("__best"))
+    carried = best.withColumn("__own", own).select("__cell", "__most", F.last("__own", ignorenulls=True).over(earlier)
+                                                   .alias("__carried"))
+    here = F.col("__here")
+    leads = here.isNotNull() & (F.col("__most").isNull() | (F.col(f"__here.{value}") > F.col("__most")))
+    joined = local.join(carried, "__cell", "left")
+    return joined.withColumn(out, F.when(leads, here).otherwise(F.col("__carried"))).select(*df.columns, out)

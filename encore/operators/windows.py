@@ -32,19 +32,23 @@ def with_window(df: DataFrame, time_col: str, size_seconds: int) -> DataFrame:
 
 def drop_late_records(df: DataFrame, time_col: str, arrival_order: list[Column], arrival_time: str,
                       size_seconds: int, grace_seconds: int, partition_cols: list[str] | None = None,
-                      **scan_kw) -> DataFrame:
+                      cell: int | None = None) -> DataFrame:
     """Keep only records whose window is still open on arrival.
 
     ``arrival_order`` is the total arrival order (leading ``arrival_time``);
     stream time is a running max over it, computed with ``prefix_scan`` so
-    the global running value is bucketed, not sorted in one task.
+    the global running value is computed in cells, not sorted in one task.
     """
-    parts = partition_cols or []
-    scanned = prefix_scan(df, parts, arrival_order, arrival_time,
-                          [Spec("__stream_time", "max", F.col(time_col).cast("timestamp"))], **scan_kw)
-    w = with_window(scanned, time_col, size_seconds)
-    close = F.col("__stream_time") - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(grace_seconds))
-    return w.where(F.col("window_end") > close).drop("__stream_time", "window_start", "window_end")
+    scanned = prefix_scan(df, partition_cols or [], arrival_order, arrival_time,
+                          [Spec("__stream_time", "max", F.col(time_col).cast("timestamp"))], cell=cell)
+    return still_open(scanned, time_col, "__stream_time", size_seconds, grace_seconds).drop("__stream_time")
+
+
+def still_open(df: DataFrame, time_col: str, now: str, size_seconds: int, grace_seconds: int) -> DataFrame:
+    """Records whose window has not closed at the stream time ``now``."""
+    w = with_window(df, time_col, size_seconds)
+    close = F.col(now) - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(grace_seconds))
+    return w.where(F.col("window_end") > close).drop("window_start", "window_end")
 
 
 def tumbling_counts(df: DataFrame, keys: list[str], time_col: str, size_seconds: int,

@@ -17,16 +17,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from encore import functions as fx
-from encore.operators.keyed import arg_max_first
+from encore.operators.enrich import enrich_asof
+from encore.operators.keyed import arg_max_first, first_seen
 from encore.operators.route import route
-from encore.operators.running import Spec, prefix_scan, running_leader
+from encore.operators.running import RECORDS, Spec, prefix_scan, running_leader
 from encore.operators.topk import top_k_per_group
-from encore.operators.windows import drop_late_records, tumbling_counts
+from encore.operators.windows import drop_late_records, still_open, tumbling_counts, window_start
 from encore.sources import domain
+from encore.streaming.carried import Scan, whole_table
+from encore.streaming.sinks import from_records, to_records
 
 # Fixed values of the jobs.
 TOP_ARTISTS = 3                 # artists reported per customer
-TRACKED_ARTISTS = 1000          # counter-map capacity per customer
 TARGET_BIRTH_FIRST = "1990-01-01"
 TARGET_BIRTH_LAST = "1999-12-31"
 WINDOW_SECONDS = 10             # tumbling window of the top-streamer job
@@ -40,18 +42,6 @@ QUERY_WINDOW_SECONDS = 86400
 TOPK_SALT = 8
 
 
-def _scan(spark, sf_dir, views, scan_kw, global_scan: bool = False) -> dict:
-    """Default the bucket spec of running operators to the tables' statistics.
-
-    A scan with no key (a global running value) gets at least one bucket per
-    core so it never runs in a single task."""
-    if "bucket" not in scan_kw:
-        floor = spark.sparkContext.defaultParallelism if global_scan else 1
-        scan_kw = dict(scan_kw, bucket=domain.time_buckets(spark, sf_dir, views, scan_kw.get("rows_per_bucket"),
-                                                           min_buckets=floor))
-    return scan_kw
-
-
 def listen_pos() -> list[Column]:
     """Listen arrival order: the record's sequence number."""
     return [F.col("pos")]
@@ -81,14 +71,10 @@ def artist_counts(listens: DataFrame) -> DataFrame:
                    .agg(F.count(F.lit(1)).alias("n"), F.min(pos).alias("first_pos"), F.max(pos).alias("last_pos")))
 
 
-def top_customer_artists_from(listens: DataFrame, k: int = TOP_ARTISTS, tracked: int = TRACKED_ARTISTS,
-                              salt_buckets: int = TOPK_SALT) -> DataFrame:
-    g = artist_counts(listens)
-    # Only the first `tracked` distinct artists of a customer are ever counted.
-    kept = top_k_per_group(g, "customerid", [F.col("first_pos")], tracked,
-                           salt_buckets=salt_buckets, salt=F.xxhash64("artistid"), rank_col="seen_rank")
-    # Ties: who reached the count first.
-    top = top_k_per_group(kept, "customerid", [F.desc("n"), F.col("last_pos")], k)
+def top_customer_artists_from(listens: DataFrame, k: int = TOP_ARTISTS, salt_buckets: int = TOPK_SALT) -> DataFrame:
+    """Every artist of a customer counts. Ties: who reached the count first."""
+    top = top_k_per_group(artist_counts(listens), "customerid", [F.desc("n"), F.col("last_pos")], k,
+                          salt_buckets=salt_buckets, salt=F.xxhash64("artistid"))
     return top.select("customerid", "rank", "artistid", "n")
 
 
@@ -103,6 +89,52 @@ def top_customer_artists(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_customer_artists_from(domain.listen(spark, sf_dir), salt_buckets=topk_salt(spark))
 
 
+def top_customer_artists_changelog_from(listens: DataFrame, k: int = TOP_ARTISTS, scan: Scan = whole_table()) -> DataFrame:
+    """The customer's ``k`` most streamed artists after every listen: ``customerid, listen_id, pos, top``.
+
+    The ``j``-th greatest count is the greatest one that ``j`` artists have
+    reached, and of the artists that reached it, the first that does not rank
+    higher already has the place (ties go to who reached the count first). So
+    four running aggregates give the answer, and none holds a customer or an
+    artist map in one task: the count of (customer, artist); the how-manieth
+    artist of the customer to reach that count; the first ``k`` artists to
+    reach it; and the greatest counts reached by 1, 2, ... ``k`` artists.
+    """
+    order = listen_pos()
+    rows = listens.where("customerid is not null").select(
+        "customerid", "id", "pos", "artistid", F.struct("customerid", "artistid").alias("pair"))  # a null artist is one too
+    counted = scan("count", rows, ["pair"], order, "pos", [Spec("n", "count")]).drop("pair")
+    reached = scan("reached", counted, ["customerid", "n"], order, "pos", [Spec("r", "count")])
+    who = [Spec(f"a{j}", "max", F.when(F.col("r") == j, F.struct("artistid"))) for j in range(1, k + 1)]
+    named = scan("first", reached, ["customerid", "n"], order, "pos", who)
+    named = named.select("customerid", "id", "pos", "n", "r", *[f"a{j}" for j in range(1, k + 1)])
+    most = [Spec(f"best{j}", "max", F.when(F.col("r") == j, F.struct("n", F.array(*[f"a{i}" for i in range(1, j + 1)]).alias("who"))))
+            for j in range(1, k + 1)]
+    best = scan("best", named, ["customerid"], order, "pos", most)
+    return best.select("customerid", F.col("id").alias("listen_id"), "pos", _places(k).alias("top"))
+
+
+def _places(k: int) -> Column:
+    """``array<struct<artistid, n>>`` from ``best1`` to ``bestk``."""
+    out = None
+    for j in range(1, k + 1):
+        best = F.col(f"best{j}")
+        free = best["who"] if out is None else F.array_except(best["who"], F.transform(out, lambda t: F.struct(t["artistid"].alias("artistid"))))
+        place = F.array(F.struct(F.get(free, F.lit(0))["artistid"].alias("artistid"), best["n"].alias("n")))
+        out = place if out is None else F.when(best.isNull(), out).otherwise(F.concat(out, place))
+    return out
+
+
+def flat_top(changelog: DataFrame, k: int = TOP_ARTISTS) -> DataFrame:
+    """The changelog with a column per place."""
+    places = [F.get("top", F.lit(j))[f].alias(f"{name}{j + 1}") for j in range(k) for f, name in (("artistid", "artist"), ("n", "n"))]
+    return changelog.select("customerid", "listen_id", *places)
+
+
+def top_customer_artists_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flat_top(top_customer_artists_changelog_from(domain.listen(spark, sf_dir)))
+
+
 def top_customer_artists_nested(flat: DataFrame) -> DataFrame:
     """``(customerid, top array<struct<artistid, n>>)`` ordered by rank; at most
     k elements per customer, so the collect is bounded."""
@@ -114,17 +146,29 @@ def top_customer_artists_nested(flat: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- P2
 
-def confirm_tickets(joined: DataFrame, **scan_kw) -> DataFrame:
+REQUEST = ("id", "customerid", "eventid", "price", "arrival", "capacity")
+
+
+def confirm_tickets(joined: DataFrame, scan: Scan = whole_table()) -> DataFrame:
     """One confirmation per ticket joined to its event.
 
-    ``joined`` has ticket columns plus the event's ``capacity``. The count of
-    requests so far per event is a running count; every request, rejected ones
-    included, uses a seat, so ``remaining = capacity - n`` can go negative.
+    ``joined`` has ticket columns plus the event's ``capacity``. An event's
+    capacity is the one its first request sees; every request, rejected ones
+    included, uses a seat, so ``remaining = capacity - n`` can go negative. A
+    request that sees a null capacity is not answered and takes no seat.
     """
-    n = prefix_scan(joined, ["eventid"], ticket_pos(), "arrival", [Spec("n", "count")], **scan_kw)
+    rows = joined.where("capacity is not null").select(*REQUEST)
+    place = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(ticket_pos())])
+    n = scan("requests", rows, ["eventid"], ticket_pos(), "arrival",
+             [Spec("n", "count"), Spec("first", "min", F.struct(place.alias("at"), "capacity"))])
+    return confirmations(n.withColumn("capacity", F.col("first.capacity")))
+
+
+def confirmations(numbered: DataFrame) -> DataFrame:
+    """The answer to each request, from its number ``n`` and the event's ``capacity``."""
     remaining = (F.col("capacity") - F.col("n")).cast("double")
     pct = fx.remaining_percentage(remaining, F.col("capacity"))
-    return n.select(
+    return numbered.select(
         "eventid", F.col("id").alias("ticket_id"), "customerid", "price", "arrival",
         F.col("n").alias("request_no"),
         remaining.alias("remainingTickets"),
@@ -136,20 +180,24 @@ def confirm_tickets(joined: DataFrame, **scan_kw) -> DataFrame:
 
 
 def confirm_tickets_asof(tickets: DataFrame, events: DataFrame, event_time: str = "updated",
-                         **scan_kw) -> DataFrame:
+                         cell: int | None = None) -> DataFrame:
     """P2 with the event table as a changelog joined *as of* each ticket's
-    arrival (the stream-table join of the reference): a ticket that arrives
-    before its event exists is dropped, and it sees the capacity current at
-    its arrival (a deleted event -- ``capacity`` null -- rejects nothing, the
-    ticket is dropped). ``events``: ``id, capacity, <event_time>``."""
-    from encore.operators.enrich import enrich_asof
-    j = enrich_asof(tickets, events, "eventid", "id", "arrival", event_time, ["id", "price"], ["id"],
-                    ["capacity"], tombstone=F.col("capacity").isNull(), **scan_kw)
-    return confirm_tickets(j, **scan_kw)
+    arrival (a stream-table join): a ticket that arrives before its event
+    exists, or after it was deleted (a row with a null ``capacity``), is
+    dropped. The first ticket that sees the event fixes its capacity; later
+    changes of the table do not. ``events``: ``id, capacity, <event_time>``."""
+    j = enrich_asof(tickets.select("id", "customerid", "eventid", "price", "arrival"), events, "eventid", "id", "arrival",
+                    event_time, ["id", "price"], ["id"], ["capacity"], tombstone=F.col("capacity").isNull(), cell=cell)
+    return confirm_tickets(j, whole_table(cell))
 
 
-def purchase_event_ticket(spark: SparkSession, sf_dir: str, **scan_kw) -> DataFrame:
-    return confirm_tickets(_tickets_with_event(spark, sf_dir), **_scan(spark, sf_dir, ("ticket",), scan_kw))
+def purchase_event_ticket(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return confirm_tickets(_tickets_with_event(spark, sf_dir))
+
+
+def purchase_event_ticket_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P2 over an event table that changes while tickets arrive."""
+    return confirm_tickets_asof(domain.ticket(spark, sf_dir), domain.event_changes(spark, sf_dir))
 
 
 def confirmation_records(confirmations: DataFrame, events: DataFrame) -> DataFrame:
@@ -199,10 +247,22 @@ def customer_conversion_tally(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select(F.lit(fx.TALLY_KEY).alias("key"), "value"))
 
 
-def customer_conversion_tally_changelog(spark: SparkSession, sf_dir: str, **scan_kw) -> DataFrame:
-    m = conversion_matches(conversion_events(spark, sf_dir))
-    r = prefix_scan(m, [], [F.col("time"), F.col("side"), F.col("lid"), F.col("tid")], "time",
-                    [Spec("value", "count")], **_scan(spark, sf_dir, ("ticket",), scan_kw, global_scan=True))
+def conversion_tally_from(e: DataFrame, scan: Scan) -> DataFrame:
+    """The tally after each record that re-emits a true match, by running aggregates alone: whether each side of
+    (customer, artist) has occurred, whether the customer has matched, how many records of matched customers there were."""
+    order = [F.col(c) for c in ("time", "side", "lid", "tid")]
+    rows = e.where("customerid is not null").select("customerid", "time", "side", "lid", "tid", F.struct("customerid", "artistid").alias("pair"))
+    sides = [Spec("heard", "max", (F.col("side") == 0).cast("int")), Spec("bought", "max", (F.col("side") == 1).cast("int"))]
+    seen = scan("sides", rows, ["pair"], order, "time", sides).drop("pair")
+    hit = seen.withColumn("hit", F.least("heard", "bought")).drop("heard", "bought")
+    matched = scan("matched", hit, ["customerid"], order, "time", [Spec("matched", "max", "hit")]).where("matched = 1")
+    rows = matched.select("customerid", "time", "side", "lid", "tid")
+    return scan("tally", rows, [], order, "time", [Spec("value", "count")]).select(F.lit(fx.TALLY_KEY).alias("key"), "*")
+
+
+def customer_conversion_tally_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = conversion_matches(conversion_events(spark, sf_dir)).select("customerid", "time", "side", "lid", "tid")
+    r = prefix_scan(m, [], [F.col("time"), F.col("side"), F.col("lid"), F.col("tid")], "time", [Spec("value", "count")])
     return r.select(F.lit(fx.TALLY_KEY).alias("key"), "customerid", "time", "side", "lid", "tid", "value")
 
 
@@ -216,80 +276,76 @@ def artist_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
     return per_event.join(e, "eventid").groupBy("artistid").agg(F.sum("revenue").alias("revenue"))
 
 
-def revenue_leader_changelog(spark: SparkSession, sf_dir: str, **scan_kw) -> DataFrame:
-    keyed = _scan(spark, sf_dir, ("ticket",), scan_kw)
-    glob = _scan(spark, sf_dir, ("ticket",), scan_kw, global_scan=True)
-    return revenue_leader_changelog_from(_tickets_with_event(spark, sf_dir, with_customer=False),
-                                         domain.artist(spark, sf_dir), leader_bucket=glob["bucket"], **keyed)
+def running_revenue(t: DataFrame, artists: DataFrame, scan: Scan = whole_table()) -> DataFrame:
+    """Each ticket with its artist's running revenue ``total``, for known artists.
+
+    ``t``: tickets joined to their event (``id, price, arrival, artistid``).
+    """
+    rows = t.select("id", "price", "arrival", "artistid")
+    totals = scan("revenue", rows, ["artistid"], ticket_pos(), "arrival", [Spec("total", "sum", F.col("price").cast("bigint"))])
+    a = artists.select(F.col("id").alias("artistid"), F.col("name").alias("artist_name"), F.col("genre").alias("artist_genre"))
+    return totals.join(a, "artistid")
+
 
+def revenue_leader_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return revenue_leader_changelog_from(_tickets_with_event(spark, sf_dir, with_customer=False), domain.artist(spark, sf_dir))
 
-def revenue_leader_changelog_from(t: DataFrame, artists: DataFrame, leader_bucket="auto", **scan_kw) -> DataFrame:
+
+def revenue_leader_changelog_from(t: DataFrame, artists: DataFrame, cell: int | None = None) -> DataFrame:
     """The leader re-emitted after every ticket (with known event and artist).
 
-    ``t``: tickets joined to their event (``id, price, arrival, artistid``).
-    Running total per artist; a row sets a record when its total is strictly
-    greater than every earlier row's total; the leader is the last record at
-    or before the row (it holds on ties, and is a high-water mark if totals
-    fall).
+    A row sets a record when its artist's running total is strictly greater
+    than every earlier row's total; the leader is the last record at or before
+    the row (it holds on ties, and is a high-water mark if totals fall).
     """
-    a = artists.select(F.col("id").alias("artistid"), F.col("name").alias("artist_name"),
-                       F.col("genre").alias("artist_genre"))
-    rows = t.select("id", "price", "arrival", "artistid", F.col("price").cast("bigint").alias("rev"))
-    totals = prefix_scan(rows, ["artistid"], ticket_pos(), "arrival", [Spec("total", "sum", "rev")], **scan_kw)
-    # Known artists only take part in the leaderboard.
-    reports = totals.join(a, "artistid")
-    if "bucket" in scan_kw and leader_bucket == "auto":
-        leader_bucket = scan_kw["bucket"]
-    led = running_leader(reports, ticket_pos(), "arrival", "total", ["artistid", "artist_name", "artist_genre"],
-                         out="leader", bucket=leader_bucket)
+    led = running_leader(running_revenue(t, artists, whole_table(cell)), ticket_pos(), "arrival", "total",
+                         ["artistid", "artist_name", "artist_genre"], out="leader", cell=cell)
+    return _leader_rows(led)
+
+
+def _leader_rows(led: DataFrame) -> DataFrame:
     return led.select(F.lit(fx.LEADER_KEY).alias("key"), F.col("id").alias("ticket_id"), "arrival", "price",
                       F.col("leader.artistid").alias("artistId"), F.col("leader.artist_name").alias("artist_name"),
                       F.col("leader.artist_genre").alias("artist_genre"), F.col("leader.total").alias("revenue"))
 
 
-def artist_revenue_leader(spark: SparkSession, sf_dir: str, **scan_kw) -> DataFrame:
+def revenue_leader_by_scans(t: DataFrame, artists: DataFrame, scan: Scan) -> DataFrame:
+    """The same changelog by running aggregates alone: tickets are numbered, and the leader is the running maximum of
+    (total, the earlier the better)."""
+    numbered = scan("number", running_revenue(t, artists, scan), [], ticket_pos(), "arrival", [Spec("nth", "count")])
+    leader = F.struct("total", F.negative("nth").alias("at"), "artistid", "artist_name", "artist_genre")
+    return _leader_rows(scan("leader", numbered, [], ticket_pos(), "arrival", [Spec("leader", "max", leader)]))
+
+
+def artist_revenue_leader(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return revenue_leader_snapshot_from(_tickets_with_event(spark, sf_dir, with_customer=False), domain.artist(spark, sf_dir))
+
+
+def revenue_leader_snapshot_from(t: DataFrame, artists: DataFrame, cell: int | None = None) -> DataFrame:
     """Current leader after all tickets (the changelog's last row), without the
-    changelog: records rise strictly, so the last record is the first row (in
-    arrival order) whose running total equals the greatest running total M.
-    Per-artist running totals, then M by a global max (partial aggregation),
-    then the earliest row at M."""
-    return revenue_leader_snapshot_from(_tickets_with_event(spark, sf_dir, with_customer=False),
-                                        domain.artist(spark, sf_dir), **_scan(spark, sf_dir, ("ticket",), scan_kw))
-
-
-def revenue_leader_snapshot_from(t: DataFrame, artists: DataFrame, **scan_kw) -> DataFrame:
-    a = artists.select(F.col("id").alias("artistid"), F.col("name").alias("artist_name"),
-                       F.col("genre").alias("artist_genre"))
-    rows = t.select("id", "price", "arrival", "artistid", F.col("price").cast("bigint").alias("rev"))
-    totals = prefix_scan(rows, ["artistid"], ticket_pos(), "arrival", [Spec("total", "sum", "rev")], **scan_kw)
-    reports = totals.join(a, "artistid")
-    top = reports.agg(F.max("total")).scalar()
-    first = (reports.where(F.col("total") == top)
-                    .agg(F.min(F.struct("arrival", "id", "price", "artistid", "artist_name", "artist_genre",
-                                        "total")).alias("m")))
-    return first.select(F.lit(fx.LEADER_KEY).alias("key"), F.col("m.artistid").alias("artistId"),
-                        F.col("m.artist_name").alias("artist_name"), F.col("m.artist_genre").alias("artist_genre"),
-                        F.col("m.total").alias("revenue"))
+    changelog: records rise strictly, so the last record is the first row in
+    arrival order at the greatest running total, one aggregate over the rows."""
+    reports = running_revenue(t, artists, whole_table(cell)).withColumn("key", F.lit(fx.LEADER_KEY))
+    first = arg_max_first(reports, "key", "total", ticket_pos(), ["artistid", "artist_name", "artist_genre"])
+    return first.select("key", F.col("artistid").alias("artistId"), "artist_name", "artist_genre", F.col("total").alias("revenue"))
 
 
 # ---------------------------------------------------------------- P5
 
 def windowed_stream_counts_from(listens: DataFrame, size_seconds: int, grace_seconds: int,
                                 arrival_order: list[Column] | None = None, arrival_time: str = "pos",
-                                **scan_kw) -> DataFrame:
+                                cell: int | None = None) -> DataFrame:
     """Count per (artist, customer, tumbling window), late records dropped."""
-    kept = listens
+    kept = listens.select("artistid", "customerid", "streamtime", "pos")
     if arrival_order is not None:
-        kept = drop_late_records(listens, "streamtime", arrival_order, arrival_time, size_seconds,
-                                 grace_seconds, **scan_kw)
+        kept = drop_late_records(kept, "streamtime", arrival_order, arrival_time, size_seconds, grace_seconds, cell=cell)
     return tumbling_counts(kept, ["artistid", "customerid"], "streamtime", size_seconds,
                            last_order=F.col("pos"))
 
 
 def windowed_stream_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     l = domain.listen(spark, sf_dir)
-    c = windowed_stream_counts_from(l, QUERY_WINDOW_SECONDS, GRACE_SECONDS, arrival_order=listen_pos(),
-                                    **_scan(spark, sf_dir, ("listen",), {}, global_scan=True))
+    c = windowed_stream_counts_from(l, QUERY_WINDOW_SECONDS, GRACE_SECONDS, arrival_order=listen_pos())
     return c.select("artistid", "customerid", "window_start", "window_end", "n")
 
 
@@ -307,11 +363,64 @@ def thank_you_from(counts: DataFrame, artists: DataFrame, customers: DataFrame)
 
 def thank_you_top_streamer(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = windowed_stream_counts_from(domain.listen(spark, sf_dir), QUERY_WINDOW_SECONDS, GRACE_SECONDS,
-                                         arrival_order=listen_pos(),
-                                         **_scan(spark, sf_dir, ("listen",), {}, global_scan=True))
+                                         arrival_order=listen_pos())
     return thank_you_from(counts, domain.artist(spark, sf_dir), domain.customer(spark, sf_dir))
 
 
+def thank_you_changelog_from(listens: DataFrame, artists: DataFrame, customers: DataFrame, size_seconds: int,
+                             grace_seconds: int, scan: Scan = whole_table()) -> DataFrame:
+    """P5 per update: after every listen that counts, its artist's best single-window count so far, changed or not.
+
+    The best is kept over all customers and artists; only what is published
+    asks whether both are known, so an unknown best hides lesser ones.
+    """
+    order = listen_pos()
+    rows = listens.select("artistid", "customerid", "streamtime", "pos")
+    clock = scan("clock", rows, [], order, "pos", [Spec("now", "max", F.col("streamtime").cast("timestamp"))])
+    kept = still_open(clock, "streamtime", "now", size_seconds, grace_seconds)
+    kept = kept.select("artistid", "customerid", "pos", window_start("streamtime", size_seconds).alias("window_start"))
+    counted = scan("windows", kept, ["artistid", "customerid", "window_start"], order, "pos", [Spec("n", "count")])
+    best = scan("best", counted.select("artistid", "customerid", "pos", "n"), ["artistid"], order, "pos",
+                [Spec("best", "max", F.struct("n", F.negative("pos").alias("at"), "customerid"))])
+    out = best.select("artistid", "pos", F.col("best.customerid").alias("customerid"), F.col("best.n").alias("streamCount"))
+    out = out.join(artists.select(F.col("id").alias("artistid")), "artistid", "left_semi")
+    out = out.join(customers.select(F.col("id").alias("customerid")), "customerid", "left_semi")
+    return out.select("pos", F.col("customerid").alias("customerId"), F.col("customerid").cast("string").alias("customerName"),
+                      F.col("artistid").alias("artistId"), F.lit("").alias("artistName"), F.lit("").alias("email"), "streamCount")
+
+
+def thank_you_top_streamer_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return thank_you_changelog_from(domain.listen(spark, sf_dir), domain.artist(spark, sf_dir), domain.customer(spark, sf_dir),
+                                    QUERY_WINDOW_SECONDS, GRACE_SECONDS)
+
+
+def late_stream_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P5a on listens that arrive out of order (``domain.listen_shuffled``), so that the late rule drops some."""
+    c = windowed_stream_counts_from(domain.listen_shuffled(spark, sf_dir), QUERY_WINDOW_SECONDS, GRACE_SECONDS,
+                                    arrival_order=listen_pos(), cell=RECORDS * domain.SHUFFLE_STEP)
+    return c.select("artistid", "customerid", "window_start", "window_end", "n")
+
+
+def listened_artists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each customer's artists in the order they were first listened to."""
+    seen = first_seen(domain.listen(spark, sf_dir).where("customerid is not null"), "customerid", "artistid", listen_pos())
+    at = seen.select("customerid", "artistid", F.col("first_pos.__o0").alias("first_pos"))
+    return prefix_scan(at, ["customerid"], [F.col("first_pos")], "first_pos", [Spec("nth", "count")])
+
+
+def json_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listens as keyed JSON records and back, as a sink and a source of topics do."""
+    listens = domain.listen(spark, sf_dir)
+    return from_records(to_records(listens, "customerid"), listens.schema)
+
+
+def tickets_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each ticket with the capacity its event had on arrival; none before the event or after its deletion."""
+    out = enrich_asof(domain.ticket(spark, sf_dir, with_customer=False), domain.event_changes(spark, sf_dir), "eventid", "id",
+                      "arrival", "updated", ["id", "price"], ["id"], ["capacity"], tombstone=F.col("capacity").isNull())
+    return out.select(F.col("id").alias("ticket_id"), "eventid", "arrival", "price", "capacity")
+
+
 # ---------------------------------------------------------------- P6, P7
 
 def target_customers_from(customers: DataFrame) -> DataFrame:
@@ -319,11 +428,11 @@ def target_customers_from(customers: DataFrame) -> DataFrame:
 
 
 def target_customer_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return target_customers_from(domain.customer_current(spark, sf_dir))
+    return target_customers_from(domain.customer(spark, sf_dir))
 
 
 def target_customer_filter_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    merged = domain.customer_current(spark, sf_dir).unionByName(domain.customer_legacy(spark, sf_dir))
+    merged = domain.customer(spark, sf_dir).unionByName(domain.customer_legacy(spark, sf_dir))
     return target_customers_from(merged)
 
 
@@ -351,14 +460,13 @@ def customer_stream_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return l.groupBy("customerid").agg(F.count(F.lit(1)).alias("n"))
 
 
-def customer_stream_count_changelog(spark: SparkSession, sf_dir: str, **scan_kw) -> DataFrame:
-    return customer_stream_count_changelog_from(domain.listen(spark, sf_dir),
-                                                **_scan(spark, sf_dir, ("listen",), scan_kw))
+def customer_stream_count_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return customer_stream_count_changelog_from(domain.listen(spark, sf_dir))
 
 
-def customer_stream_count_changelog_from(listens: DataFrame, **scan_kw) -> DataFrame:
-    l = listens.where(F.col("customerid").isNotNull())
-    r = prefix_scan(l, ["customerid"], listen_pos(), "pos", [Spec("n", "count")], **scan_kw)
+def customer_stream_count_changelog_from(listens: DataFrame, scan: Scan = whole_table()) -> DataFrame:
+    l = listens.select("customerid", "id", "streamtime", "pos")
+    r = scan("listens", l.where("customerid is not null"), ["customerid"], listen_pos(), "pos", [Spec("n", "count")])
     return r.select("customerid", F.col("id").alias("listen_id"), "streamtime", "n")
 
 
@@ -369,14 +477,13 @@ def artist_ticket_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return per_event.join(e, "eventid").groupBy("artistid").agg(F.sum("n").alias("n"))
 
 
-def artist_ticket_count_changelog(spark: SparkSession, sf_dir: str, **scan_kw) -> DataFrame:
-    return artist_ticket_count_changelog_from(_tickets_with_event(spark, sf_dir, with_customer=False),
-                                              **_scan(spark, sf_dir, ("ticket",), scan_kw))
+def artist_ticket_count_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return artist_ticket_count_changelog_from(_tickets_with_event(spark, sf_dir, with_customer=False))
 
 
-def artist_ticket_count_changelog_from(tickets_with_event: DataFrame, **scan_kw) -> DataFrame:
-    t = tickets_with_event.where(F.col("artistid").isNotNull())
-    r = prefix_scan(t, ["artistid"], ticket_pos(), "arrival", [Spec("n", "count")], **scan_kw)
+def artist_ticket_count_changelog_from(tickets_with_event: DataFrame, scan: Scan = whole_table()) -> DataFrame:
+    t = tickets_with_event.select("artistid", "id", "arrival", "price")
+    r = scan("tickets", t.where("artistid is not null"), ["artistid"], ticket_pos(), "arrival", [Spec("n", "count")])
     return r.select("artistid", F.col("id").alias("ticket_id"), "arrival", "n")
 
 
@@ -387,10 +494,10 @@ def passthrough(spark: SparkSession, sf_dir: str) -> DataFrame:
     return domain.listen(spark, sf_dir)
 
 
-def notices_from(confirmations: DataFrame) -> DataFrame:
+def notices_from(confirmations: DataFrame, sender: str = fx.NOTICE_SENDER) -> DataFrame:
     return confirmations.select(
         "confirmationId",
-        F.lit(fx.NOTICE_SENDER).alias("sender"),
+        F.lit(sender).alias("sender"),
         fx.notice_recipient("customerid").alias("recipient"),
         fx.notice_subject("confirmationId", "eventid").alias("subject"),
         fx.notice_body("confirmationStatus").alias("body"),
@@ -403,6 +510,13 @@ def ticket_confirmation_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "top_customer_artists": top_customer_artists,
+    "top_customer_artists_changelog": top_customer_artists_changelog,
+    "purchase_event_ticket_asof": purchase_event_ticket_asof,
+    "thank_you_top_streamer_changelog": thank_you_top_streamer_changelog,
+    "late_stream_counts": late_stream_counts,
+    "listened_artists": listened_artists,
+    "json_round_trip": json_round_trip,
+    "tickets_as_of": tickets_as_of,
     "purchase_event_ticket": purchase_event_ticket,
     "customer_conversion_tally": customer_conversion_tally,
     "customer_conversion_tally_changelog": customer_conversion_tally_changelog,

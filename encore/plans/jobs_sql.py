@@ -62,6 +62,22 @@ rec AS (SELECT *, CASE WHEN prev_max IS NULL OR total > prev_max
 led AS (SELECT *, last_value(recd IGNORE NULLS) OVER (ORDER BY arrival, id, price ROWS UNBOUNDED PRECEDING) AS leader
         FROM rec)"""
 
+AS_OF_BODY = """
+changes AS (SELECT p_partkey AS id, CAST(cap AS BIGINT) AS capacity,
+                   TIMESTAMP '2024-01-01 00:00:00' + to_seconds(day * 86400 + (p_partkey * 613) % 86400) AS updated
+            FROM (SELECT p_partkey, 2 AS day, p_size AS cap FROM part
+                  UNION ALL SELECT p_partkey, 8, p_size + p_partkey % 7 FROM part WHERE p_partkey % 3 = 0
+                  UNION ALL SELECT p_partkey, 15, NULL FROM part WHERE p_partkey % 11 = 0
+                  UNION ALL SELECT p_partkey, 20, p_size + 1 FROM part WHERE p_partkey % 22 = 0) AS c),
+seen AS (SELECT t.*, c.capacity FROM ticket t ASOF JOIN changes c ON c.id = t.eventid AND c.updated <= t.arrival
+         WHERE c.capacity IS NOT NULL)"""
+
+LATE_BODY = """
+shuffled AS (SELECT *, row_number() OVER (ORDER BY id + (id * 7919) % 3000, id % 4096) AS place FROM listen),
+clock AS (SELECT *, date_trunc('day', streamtime) AS day, max(streamtime) OVER (ORDER BY place ROWS UNBOUNDED PRECEDING) AS now
+          FROM shuffled),
+timely AS (SELECT * FROM clock WHERE day + INTERVAL 1 DAY > now - INTERVAL 1 SECOND)"""
+
 ADDRESS_TEXT = ("coalesce(line1, '') || ', ' || coalesce(line2, '') || ', ' || coalesce(citynm, '') || ', ' || "
                 "coalesce(state, '') || ' ' || coalesce(zip5, '') || '-' || coalesce(zip4, '') || ' ' || "
                 "coalesce(countrycd, '')")
@@ -79,11 +95,45 @@ def _job_sql() -> dict[str, str]:
         'SELECT customerid, rk AS "rank", artistid, n FROM r WHERE rk <= 3',
         extra_ctes=f"""l AS (SELECT customerid, artistid, {LISTEN_POS} AS pos FROM listen WHERE customerid IS NOT NULL),
 g AS (SELECT customerid, artistid, count(*) AS n, min(pos) AS f, max(pos) AS lp FROM l GROUP BY customerid, artistid),
-k AS (SELECT *, row_number() OVER (PARTITION BY customerid ORDER BY f) AS d FROM g),
-r AS (SELECT *, row_number() OVER (PARTITION BY customerid ORDER BY n DESC, lp) AS rk FROM k WHERE d <= 1000)""")
+r AS (SELECT *, row_number() OVER (PARTITION BY customerid ORDER BY n DESC, lp) AS rk FROM g)""")
+    # By definition: for every listen, the artists of all listens up to it.
+    q["top_customer_artists_changelog"] = with_views("""
+SELECT customerid, listen_id, max(CASE WHEN rk = 1 THEN artistid END) AS artist1, max(CASE WHEN rk = 1 THEN n END) AS n1,
+       max(CASE WHEN rk = 2 THEN artistid END) AS artist2, max(CASE WHEN rk = 2 THEN n END) AS n2,
+       max(CASE WHEN rk = 3 THEN artistid END) AS artist3, max(CASE WHEN rk = 3 THEN n END) AS n3
+FROM ranked GROUP BY customerid, listen_id""", extra_ctes="""
+upto AS (SELECT b.customerid, b.id AS listen_id, a.artistid, count(*) AS n, max(a.pos) AS lp
+         FROM listen b JOIN listen a ON a.customerid = b.customerid AND a.pos <= b.pos GROUP BY ALL),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY customerid, listen_id ORDER BY n DESC, lp) AS rk FROM upto)""")
+    q["tickets_as_of"] = _q(AS_OF_BODY, """
+SELECT id AS ticket_id, eventid, arrival, price, capacity FROM seen""")
+    q["purchase_event_ticket_asof"] = _q(AS_OF_BODY + """,
+nn AS (SELECT *, row_number() OVER w AS n, first_value(capacity) OVER w AS cap FROM seen
+       WINDOW w AS (PARTITION BY eventid ORDER BY arrival, id, price ROWS UNBOUNDED PRECEDING))""", """
+SELECT eventid, id AS ticket_id, customerid, price, arrival, n AS request_no, CAST(cap - n AS DOUBLE) AS remainingTickets,
+       CASE WHEN cap < n THEN 'REJECTED' ELSE 'CONFIRMED' END AS confirmationStatus,
+       CASE WHEN cap < n THEN 'NONE' WHEN cap = n THEN 'SOLD_OUT_NOW'
+            WHEN CAST(cap - n AS DOUBLE) / cap * 100 <= 20 THEN 'LIMITED' ELSE 'AVAILABLE' END AS availability,
+       sha256(concat_ws('|', id, eventid, n)) AS confirmationId FROM nn""")
+    q["listened_artists"] = with_views("""
+SELECT customerid, artistid, min(pos) AS first_pos, row_number() OVER (PARTITION BY customerid ORDER BY min(pos)) AS nth
+FROM listen WHERE customerid IS NOT NULL GROUP BY customerid, artistid""")
+    q["json_round_trip"] = with_views("SELECT CAST(customerid AS VARCHAR) AS key, * FROM listen")
+    q["late_stream_counts"] = _q(LATE_BODY, """
+SELECT artistid, customerid, day AS window_start, day + INTERVAL 1 DAY AS window_end, count(*) AS n
+FROM timely WHERE artistid IS NOT NULL AND customerid IS NOT NULL GROUP BY ALL""")
+    q["thank_you_top_streamer_changelog"] = _q("""
+counted AS (SELECT artistid, customerid, pos, count(*) OVER (PARTITION BY artistid, customerid, date_trunc('day', streamtime)
+                                                             ORDER BY pos ROWS UNBOUNDED PRECEDING) AS n
+            FROM listen WHERE artistid IS NOT NULL AND customerid IS NOT NULL),
+best AS (SELECT artistid, pos, max({'n': n, 'at': -pos, 'who': customerid})
+                OVER (PARTITION BY artistid ORDER BY pos ROWS UNBOUNDED PRECEDING) AS b FROM counted)""", """
+SELECT pos, b.who AS customerId, CAST(b.who AS VARCHAR) AS customerName, artistid AS artistId, '' AS artistName, '' AS email,
+       b.n AS streamCount
+FROM best WHERE artistid IN (SELECT id FROM artist) AND b.who IN (SELECT id FROM patron)""")
     q["purchase_event_ticket"] = _q(P2_BODY, "SELECT * FROM conf")
     q["ticket_confirmation_notices"] = _q(P2_BODY, """
-SELECT confirmationId, 'tickets@utopia.com' AS sender, CAST(customerid AS VARCHAR) || '@email.com' AS recipient,
+SELECT confirmationId, 'tickets@example.com' AS sender, CAST(customerid AS VARCHAR) || '@email.com' AS recipient,
        'Ticket Confirmation (' || confirmationId || ') - Event ' || CAST(eventid AS VARCHAR) AS subject,
        'Your ticket has been ' || confirmationStatus || '!' AS body
 FROM conf""")
@@ -108,9 +158,12 @@ best AS (SELECT *, row_number() OVER (PARTITION BY artistid ORDER BY n DESC, las
 SELECT customerid AS customerId, CAST(customerid AS VARCHAR) AS customerName, artistid AS artistId,
        '' AS artistName, '' AS email, n AS streamCount
 FROM best WHERE rk = 1 AND artistid IN (SELECT id FROM artist) AND customerid IN (SELECT id FROM patron)""")
-    q["target_customer_filter"] = with_views(f"SELECT * FROM patron WHERE id % 2 = 0 AND {TARGET}")
+    q["target_customer_filter"] = with_views(f"SELECT * FROM patron WHERE {TARGET}")
     q["target_customer_filter_merged"] = with_views(f"""
-SELECT * FROM (SELECT * FROM patron WHERE id % 2 = 0 UNION ALL SELECT * FROM patron WHERE id % 2 = 1) u
+SELECT * FROM (SELECT * FROM patron UNION ALL
+               SELECT s_suppkey + 1000000000000, 'LEGACY', s_name,
+                      strftime(DATE '1985-01-01' + CAST(((s_suppkey + 1000000000000) * 37) % 7300 AS INTEGER), '%Y-%m-%d')
+               FROM supplier) u
 WHERE {TARGET}""")
     q["address_by_state"] = with_views(f"SELECT state AS key, {ADDRESS_TEXT} AS value FROM address")
     q["address_split_priority"] = with_views(f"""

@@ -50,22 +50,21 @@ def customers_by_top_artist(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- sold out
 
-def ticket_sequence(spark: SparkSession, sf_dir: str, **scan_kw) -> DataFrame:
+def ticket_sequence(spark: SparkSession, sf_dir: str, cell: int | None = None) -> DataFrame:
     """Tickets joined to their event, with the running count per event."""
-    t = J._tickets_with_event(spark, sf_dir, with_customer=False)
-    return prefix_scan(t, ["eventid"], J.ticket_pos(), "arrival", [Spec("sold", "count")],
-                       **J._scan(spark, sf_dir, ("ticket",), scan_kw))
+    t = J._tickets_with_event(spark, sf_dir, with_customer=False).select("eventid", "id", "price", "arrival", "artistid", "capacity")
+    return prefix_scan(t, ["eventid"], J.ticket_pos(), "arrival", [Spec("sold", "count")], cell=cell).drop("price")
 
 
-def event_near_capacity_alert(spark: SparkSession, sf_dir: str, **scan_kw) -> DataFrame:
+def event_near_capacity_alert(spark: SparkSession, sf_dir: str, cell: int | None = None) -> DataFrame:
     """One alert per event, at the ticket that brings sales to 90% of capacity."""
-    s = ticket_sequence(spark, sf_dir, **scan_kw)
+    s = ticket_sequence(spark, sf_dir, cell)
     return (s.where(F.col("sold") == _near_threshold("capacity"))
              .select("eventid", "artistid", F.col("id").alias("ticket_id"), "arrival", "sold", "capacity"))
 
 
-def event_sold_out_alert(spark: SparkSession, sf_dir: str, **scan_kw) -> DataFrame:
-    s = ticket_sequence(spark, sf_dir, **scan_kw)
+def event_sold_out_alert(spark: SparkSession, sf_dir: str, cell: int | None = None) -> DataFrame:
+    s = ticket_sequence(spark, sf_dir, cell)
     return (s.where(F.col("sold") == F.col("capacity"))
              .select("eventid", "artistid", F.col("id").alias("ticket_id"), "arrival", "sold", "capacity"))
 
@@ -85,7 +84,7 @@ def new_event_top_streamer_alert(spark: SparkSession, sf_dir: str, k: int = TOP_
 
 def new_event_top_streamer_email(spark: SparkSession, sf_dir: str, k: int = TOP_STREAMERS_PER_ARTIST) -> DataFrame:
     a = new_event_top_streamer_alert(spark, sf_dir, k)
-    e = domain.email(spark, sf_dir).select("customerid", "email")
+    e = domain.one_per_customer(domain.email(spark, sf_dir)).select("customerid", "email")
     return a.join(e, "customerid", "left")
 
 
@@ -141,8 +140,8 @@ def genre_event_suggestion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _genre_audience(spark, sf_dir, ev)
 
 
-def genre_popular_event_suggestion(spark: SparkSession, sf_dir: str, **scan_kw) -> DataFrame:
-    popular = event_near_capacity_alert(spark, sf_dir, **scan_kw).select("eventid", "artistid")
+def genre_popular_event_suggestion(spark: SparkSession, sf_dir: str, cell: int | None = None) -> DataFrame:
+    popular = event_near_capacity_alert(spark, sf_dir, cell).select("eventid", "artistid")
     return _genre_audience(spark, sf_dir, popular)
 
 
@@ -179,15 +178,15 @@ def tickets_by_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tickets per customer zip code; tickets are first counted per customer."""
     per_cust = (domain.ticket(spark, sf_dir).where(F.col("customerid").isNotNull())
                 .groupBy("customerid").agg(F.count(F.lit(1)).alias("n")))
-    addr = domain.address(spark, sf_dir).select("customerid", "zip5")
+    addr = domain.one_per_customer(domain.address(spark, sf_dir)).select("customerid", "zip5")
     return per_cust.join(addr, "customerid").groupBy("zip5").agg(F.sum("n").alias("tickets"))
 
 
-def zip_popular_event_alert(spark: SparkSession, sf_dir: str, **scan_kw) -> DataFrame:
+def zip_popular_event_alert(spark: SparkSession, sf_dir: str, cell: int | None = None) -> DataFrame:
     """Per (zip, popular event) with at least one buyer in the zip: buyers, and
     the audience = residents of the zip who have not bought a ticket to it."""
-    popular = event_near_capacity_alert(spark, sf_dir, **scan_kw).select("eventid")
-    addr = domain.address(spark, sf_dir).select("customerid", "zip5")
+    popular = event_near_capacity_alert(spark, sf_dir, cell).select("eventid")
+    addr = domain.one_per_customer(domain.address(spark, sf_dir)).select("customerid", "zip5")
     buyers = (domain.ticket(spark, sf_dir).select("customerid", "eventid").where(F.col("customerid").isNotNull())
               .join(popular, "eventid", "left_semi").distinct()
               .join(addr, "customerid").groupBy("zip5", "eventid").agg(F.count(F.lit(1)).alias("buyers")))
@@ -211,7 +210,7 @@ def monthly_top_weekly_streamer(spark: SparkSession, sf_dir: str) -> DataFrame:
            .withColumn("month", F.date_trunc("month", "week_start")))
     best = arg_max_first(c, ["artistid", "month"], "n", [F.col("last_pos")], ["customerid", "week_start"])
     cust = domain.customer(spark, sf_dir).select(F.col("id").alias("customerid"), F.col("fullname").alias("customer_name"))
-    em = domain.email(spark, sf_dir).select("customerid", "email")
+    em = domain.one_per_customer(domain.email(spark, sf_dir)).select("customerid", "email")
     a = domain.artist(spark, sf_dir).select(F.col("id").alias("artistid"), F.col("name").alias("artist_name"))
     return (best.join(a, "artistid").join(cust, "customerid").join(em, "customerid", "left")
                 .select("artistid", "artist_name", "month", "customerid", "customer_name", "email",

@@ -16,8 +16,7 @@ near AS (SELECT eventid, artistid, id AS ticket_id, arrival, sold, capacity FROM
 _P1_TOP1 = f"""
 l1 AS (SELECT customerid, artistid, {LISTEN_POS} AS pos FROM listen WHERE customerid IS NOT NULL),
 g1 AS (SELECT customerid, artistid, count(*) AS n, min(pos) AS f, max(pos) AS lp FROM l1 GROUP BY customerid, artistid),
-k1 AS (SELECT *, row_number() OVER (PARTITION BY customerid ORDER BY f) AS d FROM g1),
-r1 AS (SELECT *, row_number() OVER (PARTITION BY customerid ORDER BY n DESC, lp) AS rk FROM k1 WHERE d <= 1000)"""
+r1 AS (SELECT *, row_number() OVER (PARTITION BY customerid ORDER BY n DESC, lp) AS rk FROM g1)"""
 
 _STREAMERS = f"""
 l2 AS (SELECT customerid, artistid, {LISTEN_POS} AS pos FROM listen),

@@ -2,10 +2,11 @@
 
 Each function streams a base table with Spark's file source
 (``trigger(availableNow=True)``: everything present, then stop), runs the
-streaming job, writes it with the parquet file sink (exactly-once through the
-sink's commit log) under the shared checkpoint folder, and returns the
-committed output read back as a batch DataFrame. A fresh output and checkpoint
-folder per run means a full re-read, like a reset stream application.
+streaming job, writes its output under the shared checkpoint folder, and
+returns it read back as a batch DataFrame. Changelogs run over several
+micro-batches, the query being stopped and started again between them. A fresh
+output and checkpoint folder per run means a full re-read, like a reset stream
+application.
 
 Outputs have the same columns as the batch forms, so the batch forms' oracle
 SQL checks them.
@@ -15,7 +16,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from encore.plans import jobs as J
@@ -25,8 +26,7 @@ from encore.sources.tables import read_table
 from encore.operators.keyed import latest_by_key
 from encore.streaming import jobs as SJ
 from encore.streaming import sinks
-
-TICKET_ORDER = ("arrival", "id", "price")
+from encore.streaming.carried import in_batches
 
 
 def table_stream(spark: SparkSession, sf_dir: str, name: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -50,63 +50,88 @@ def run_to_table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(f"{root}/out")
 
 
-def listen_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return domain.listen_from(table_stream(spark, sf_dir, "events"), domain.artist_count(spark, sf_dir))
+BATCHES = 3
+
 
+def thirds(time_col: str, df: DataFrame) -> Column:
+    """0, 1, ... : which of ``BATCHES`` equal stretches of ``time_col`` a row is in."""
+    at = F.unix_micros(time_col) if df.schema[time_col].dataType.typeName() == "timestamp" else F.col(time_col)
+    least, most = (df.select(f(at)).scalar() for f in (F.min, F.max))
+    return F.least(F.floor((at - least) * BATCHES / (most - least + 1)), F.lit(BATCHES - 1)).cast("int")
 
-def ticket_stream(spark: SparkSession, sf_dir: str, with_customer: bool = True) -> DataFrame:
-    orders = read_table(spark, sf_dir, "orders") if with_customer else None
-    return domain.ticket_from(table_stream(spark, sf_dir, "lineitem"), orders)
+
+def run_in_batches(spark: SparkSession, name: str, rows: DataFrame, time_col: str, job, keep=None) -> DataFrame:
+    """Stream ``rows`` as ``BATCHES`` micro-batches, in the order of ``time_col``, through a changelog job.
+
+    The stretches are added to the source's folder one by one, and the query is
+    started anew after each: it goes on from its checkpoint, and the job's
+    totals are carried from batch to batch.
+    """
+    root = f"{checkpoint_dir(spark).rstrip('/')}/encore-streams/{name}-{uuid.uuid4().hex}"
+    staged = rows.withColumn("part", thirds(time_col, rows))
+    staged.write.partitionBy("part").parquet(f"{root}/staged")
+    for part in range(BATCHES):
+        piece = spark.read.schema(rows.schema).parquet(f"{root}/staged/part={part}")
+        piece.write.mode("append").parquet(f"{root}/in")
+        q = sinks.start_batches(spark.readStream.schema(rows.schema).parquet(f"{root}/in"), f"{name}_{uuid.uuid4().hex[:8]}",
+                                in_batches(root, job, keep), mode="append", trigger={"availableNow": True},
+                                checkpoint=f"{root}/checkpoint")
+        q.awaitTermination()
+    return spark.read.parquet(f"{root}/out").drop("batch_id")
 
 
 def stream_customer_stream_count_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = run_to_table(SJ.customer_stream_count_changelog(listen_stream(spark, sf_dir), order=("pos",),
-                                                          passthrough=("id", "streamtime")), "p8")
-    return out.select("customerid", F.col("id").alias("listen_id"), "streamtime", "n")
+    listens = domain.listen(spark, sf_dir).select("customerid", "id", "streamtime", "pos")
+    return run_in_batches(spark, "p8", listens, "pos", SJ.customer_stream_count_changelog)
+
+
+def _tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return domain.ticket(spark, sf_dir, with_customer=False)
 
 
 def stream_artist_ticket_count_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = ticket_stream(spark, sf_dir, with_customer=False)
-    out = run_to_table(SJ.artist_ticket_count_changelog(t, domain.event(spark, sf_dir), order=TICKET_ORDER,
-                                                        passthrough=("id", "arrival", "price")), "p9")
-    return out.select("artistid", F.col("id").alias("ticket_id"), "arrival", "n")
+    return run_in_batches(spark, "p9", _tickets(spark, sf_dir), "arrival", SJ.artist_ticket_count_changelog(domain.event(spark, sf_dir)))
 
 
 def stream_purchase_event_ticket(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = ticket_stream(spark, sf_dir)
-    out = run_to_table(SJ.purchase_event_ticket(t, domain.event(spark, sf_dir), order=TICKET_ORDER,
-                                                passthrough=("id", "customerid", "price", "arrival")), "p2")
-    return out.select("eventid", F.col("id").alias("ticket_id"), "customerid", "price", "arrival", "request_no",
-                      "remainingTickets", "confirmationStatus", "availability", "confirmationId")
+    return run_in_batches(spark, "p2", domain.ticket(spark, sf_dir), "arrival", SJ.purchase_event_ticket(domain.event(spark, sf_dir)))
+
+
+def stream_customer_conversion_tally_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_in_batches(spark, "p3", J.conversion_events(spark, sf_dir), "time", SJ.conversion_tally)
 
 
 def stream_customer_conversion_tally(spark: SparkSession, sf_dir: str) -> DataFrame:
-    l = listen_stream(spark, sf_dir).select("customerid", "artistid", F.col("streamtime").alias("time"),
-                                            F.col("id").alias("lid"), F.lit(None).cast("string").alias("tid"))
-    t = ticket_stream(spark, sf_dir).select("customerid", "eventid", F.col("arrival").alias("time"),
-                                            F.lit(None).cast("bigint").alias("lid"), F.col("id").alias("tid"))
-    order = ("time", "side", "lid", "tid")
-    out = run_to_table(SJ.conversion_matches(l, t, domain.event(spark, sf_dir), order=order, passthrough=order),
-                       "p3")
-    return out.agg(F.count(F.lit(1)).alias("value")).select(F.lit("TALLY").alias("key"), "value")
+    """The last tally."""
+    return stream_customer_conversion_tally_changelog(spark, sf_dir).groupBy("key").agg(F.max("value").alias("value"))
+
+
+def stream_top_customer_artists_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    listens = domain.listen(spark, sf_dir).select("customerid", "artistid", "id", "pos")
+    return J.flat_top(run_in_batches(spark, "p1", listens, "pos", SJ.top_customer_artists_changelog))
 
 
 def stream_top_customer_artists(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """P1 changelog on a stream; its last row per customer is the batch snapshot."""
-    listens = listen_stream(spark, sf_dir)
-    out = run_to_table(SJ.top_customer_artists_changelog(listens), "p1")
-    last = out.groupBy("customerid").agg(F.max(F.struct("pos", "top")).alias("m"))
-    ex = last.select("customerid", F.posexplode("m.top").alias("i", "a"))
-    return ex.select("customerid", (F.col("i") + 1).cast("bigint").alias("rank"),
-                     F.col("a.artistid").cast("bigint").alias("artistid"), F.col("a.n").alias("n"))
+    """The last row per customer of the changelog."""
+    listens = domain.listen(spark, sf_dir).select("customerid", "artistid", "id", "pos")
+    out = run_in_batches(spark, "p1", listens, "pos", SJ.top_customer_artists_changelog)
+    last = out.groupBy("customerid").agg(F.max_by("top", "pos").alias("top"))
+    return last.select("customerid", F.posexplode("top").alias("i", "a")).select(
+        "customerid", (F.col("i") + 1).cast("bigint").alias("rank"), "a.artistid", "a.n")
+
+
+def stream_thank_you_top_streamer_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    listens = domain.listen(spark, sf_dir).select("artistid", "customerid", "streamtime", "pos")
+    job = SJ.top_streamers(domain.artist(spark, sf_dir), domain.customer(spark, sf_dir), J.QUERY_WINDOW_SECONDS, J.GRACE_SECONDS)
+    return run_in_batches(spark, "p5", listens, "pos", job, SJ.closed_windows_gone(J.QUERY_WINDOW_SECONDS, J.GRACE_SECONDS))
 
 
 def stream_thank_you_top_streamer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """P5 on a stream: per-artist keyed state over the listens (one-day windows,
-    as the batch query), then the latest change per artist."""
-    changes = run_to_table(SJ.top_streamer_changes(listen_stream(spark, sf_dir), J.QUERY_WINDOW_SECONDS,
-                                                   J.GRACE_SECONDS), "p5")
-    return SJ.current_top_streamers(changes, domain.artist(spark, sf_dir), domain.customer(spark, sf_dir))
+    """The last published best per artist."""
+    out = stream_thank_you_top_streamer_changelog(spark, sf_dir)
+    columns = [c for c in out.columns if c not in ("pos", "artistId")]
+    last = out.groupBy("artistId").agg(F.max_by(F.struct(*columns), "pos").alias("m"))
+    return last.select("artistId", "m.*")
 
 
 def run_updates_to_table(df: DataFrame, name: str) -> DataFrame:
@@ -124,7 +149,8 @@ def run_updates_to_table(df: DataFrame, name: str) -> DataFrame:
 def stream_windowed_stream_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P5a on a stream: built-in windowed count with a watermark of the grace,
     update mode; the current count of a window is its latest update."""
-    counts = SJ.windowed_stream_counts(listen_stream(spark, sf_dir), J.QUERY_WINDOW_SECONDS, J.GRACE_SECONDS)
+    listens = domain.listen_from(table_stream(spark, sf_dir, "events"), domain.artist_count(spark, sf_dir))
+    counts = SJ.windowed_stream_counts(listens, J.QUERY_WINDOW_SECONDS, J.GRACE_SECONDS)
     updates = run_updates_to_table(counts, "p5a")
     cur = latest_by_key(updates, ["artistid", "customerid", "window_start"], [F.col("batch_id")])
     return cur.select("artistid", "customerid", "window_start", "window_end", "n")
@@ -149,27 +175,13 @@ def stream_global_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_artist_revenue_leader_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """P4 on a stream, exact per ticket: per-artist running revenue in keyed
-    state, then the leader changelog per micro-batch continuing from the
-    previous batch's leader."""
-    t = ticket_stream(spark, sf_dir, with_customer=False)
-    totals = SJ.artist_running_revenue(t, domain.event(spark, sf_dir), order=TICKET_ORDER,
-                                       passthrough=("id", "arrival", "price"))
-    root = f"{checkpoint_dir(spark).rstrip('/')}/encore-streams/p4-{uuid.uuid4().hex}"
-    q = sinks.start_batches(totals, f"p4_{uuid.uuid4().hex[:8]}",
-                            SJ.leader_changelog_batches(root, domain.artist(spark, sf_dir), order=TICKET_ORDER,
-                                                        time_col="arrival"),
-                            mode="append", trigger={"availableNow": True}, checkpoint=f"{root}/checkpoint")
-    q.awaitTermination()
-    ch = spark.read.parquet(f"{root}/changelog")
-    return ch.select(F.lit("global").alias("key"), F.col("id").alias("ticket_id"), "arrival", "price",
-                     F.col("leader_artistid").alias("artistId"), F.col("leader_name").alias("artist_name"),
-                     F.col("leader_genre").alias("artist_genre"), F.col("leader_revenue").alias("revenue"))
+    job = SJ.revenue_leader(domain.event(spark, sf_dir), domain.artist(spark, sf_dir))
+    return run_in_batches(spark, "p4", _tickets(spark, sf_dir), "arrival", job)
 
 
 def stream_target_customer_filter_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cur = domain.customer_from(table_stream(spark, sf_dir, "customer")).where(F.col("id") % 2 == 0)
-    legacy = domain.customer_from(table_stream(spark, sf_dir, "customer")).where(F.col("id") % 2 == 1)
+    cur = domain.customer_from(table_stream(spark, sf_dir, "customer"))
+    legacy = domain.customer_legacy_from(table_stream(spark, sf_dir, "supplier"))
     return run_to_table(SJ.target_customers(cur, legacy), "p6b")
 
 
@@ -182,6 +194,9 @@ def stream_address_split_priority(spark: SparkSession, sf_dir: str) -> DataFrame
 # Streaming key -> batch key whose oracle SQL checks it.
 QUERIES = {
     "stream_top_customer_artists": (stream_top_customer_artists, "top_customer_artists"),
+    "stream_top_customer_artists_changelog": (stream_top_customer_artists_changelog, "top_customer_artists_changelog"),
+    "stream_customer_conversion_tally_changelog": (stream_customer_conversion_tally_changelog, "customer_conversion_tally_changelog"),
+    "stream_thank_you_top_streamer_changelog": (stream_thank_you_top_streamer_changelog, "thank_you_top_streamer_changelog"),
     "stream_purchase_event_ticket": (stream_purchase_event_ticket, "purchase_event_ticket"),
     "stream_customer_conversion_tally": (stream_customer_conversion_tally, "customer_conversion_tally"),
     "stream_thank_you_top_streamer": (stream_thank_you_top_streamer, "thank_you_top_streamer"),

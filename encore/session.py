@@ -101,23 +101,19 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder for checkpoints and lineage-cutting tables.
+    """The shared folder for checkpoints and stored intermediate tables.
 
-    Read from ``spark.checkpoint.dir`` (the cluster names it). Only when it is
-    unset, as in a bare local test session, a fresh scratch folder is made.
+    Read from ``spark.checkpoint.dir`` (the cluster names it). Where it is
+    unset, a local session gets a new scratch folder; on a cluster that would
+    be a folder of one machine, so it is an error.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all of {master} share")
         d = tempfile.mkdtemp(prefix="encore-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(d)
     return d
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path for a named intermediate table under the shared checkpoint folder."""
-    base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/encore/{name}-{os.getpid()}"

@@ -32,6 +32,8 @@ BIRTH_DATE_ORIGIN = "1985-01-01"
 BIRTH_DATE_SPAN_DAYS = 7300
 VENUE_COUNT = 25
 VENUE_MAX_CAPACITY = 50
+LEGACY_KEYS = 1_000_000_000_000            # added to a supplier's key
+SHUFFLE_STEP = 4096
 
 
 def artist_count(spark: SparkSession, sf_dir: str) -> Column:
@@ -148,14 +150,42 @@ def customer_from(c: DataFrame) -> DataFrame:
     )
 
 
-def customer_current(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers on the current topic: even keys."""
-    return customer(spark, sf_dir).where(F.col("id") % 2 == 0)
+def customer_legacy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers on the legacy topic: the suppliers, with keys of their own."""
+    return customer_legacy_from(read_table(spark, sf_dir, "supplier"))
 
 
-def customer_legacy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers on the legacy topic: odd keys."""
-    return customer(spark, sf_dir).where(F.col("id") % 2 == 1)
+def customer_legacy_from(s: DataFrame) -> DataFrame:
+    return customer_from(s.select((F.col("s_suppkey") + LEGACY_KEYS).alias("c_custkey"), F.lit("LEGACY").alias("c_mktsegment"),
+                                  F.col("s_name").alias("c_name")))
+
+
+def one_per_customer(rows: DataFrame) -> DataFrame:
+    """A customer's row with the smallest id, for tables that may hold several (addresses, emails)."""
+    first = F.min_by(F.struct(*[c for c in rows.columns if c != "customerid"]), "id").alias("row")
+    return rows.where("customerid is not null").groupBy("customerid").agg(first).select("customerid", "row.*")
+
+
+def event_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The event table as a changelog ``id, capacity, updated``: every event appears some days into the sale, a third
+    of them change their capacity later, some are deleted (a null capacity) and half of those come back."""
+    p = read_table(spark, sf_dir, "part")
+    key, size = F.col("p_partkey"), F.col("p_size")
+
+    def change(day: int, capacity: Column, where: Column) -> Column:
+        at = F.timestamp_seconds(F.lit(TICKET_EPOCH_SECONDS) + day * 86400 + (key * 613) % 86400)
+        return F.when(where, F.struct(capacity.cast("bigint").alias("capacity"), at.alias("updated")))
+
+    changes = F.array(change(2, size, F.lit(True)), change(8, size + key % 7, key % 3 == 0),
+                      change(15, F.lit(None), key % 11 == 0), change(20, size + 1, key % 22 == 0))
+    return p.select(key.alias("id"), F.explode(F.array_compact(changes)).alias("c")).select("id", "c.capacity", "c.updated")
+
+
+def listen_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listens that arrive up to 3,000 places late; ``pos`` is unique, in steps of ``SHUFFLE_STEP``."""
+    listens = listen(spark, sf_dir)
+    late = F.col("id") + (F.col("id") * 7919) % 3000
+    return listens.withColumn("pos", late * SHUFFLE_STEP + F.col("id") % SHUFFLE_STEP)
 
 
 def address(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -204,82 +234,3 @@ def register_views(spark: SparkSession, sf_dir: str) -> None:
     """Register the domain views as temp views for ``spark.sql`` text queries."""
     for name, fn in VIEWS.items():
         fn(spark, sf_dir).createOrReplaceTempView(name)
-
-
-# ---------------------------------------------------------------- time statistics
-#
-# The running (prefix) operators cut rows into time buckets sized from the
-# input's row count and time range. Those are table statistics, computed once
-# per table per session with one aggregate over the base scan (no joins), the
-# way ANALYZE would store them in a catalog. Only three numbers reach the driver.
-
-_TIME_STATS: dict[tuple[str, str], tuple[int, int, int]] = {}
-
-
-def time_stats(spark: SparkSession, sf_dir: str, view: str) -> tuple[int, int, int]:
-    """(rows, min, max) of the bucketing column: arrival time in microseconds
-    for ``ticket``, the ``pos`` sequence number for ``listen``."""
-    key = (sf_dir.rstrip("/"), view)
-    if key not in _TIME_STATS:
-        if view == "ticket":
-            li = read_table(spark, sf_dir, "lineitem")
-            t = ticket_arrival(F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey"))
-            df = li.select(t.alias("t"))
-        elif view == "listen":
-            df = read_table(spark, sf_dir, "events").select(F.col("event_id").alias("t"))
-        else:
-            raise ValueError(view)
-        us = (F.unix_micros(F.col("t").cast("timestamp")) if view == "ticket" else F.col("t").cast("bigint"))
-        r = df.agg(F.count(F.lit(1)).alias("n"), F.min(us).alias("lo"), F.max(us).alias("hi")).first()
-        _TIME_STATS[key] = (int(r["n"] or 0), int(r["lo"] or 0), int(r["hi"] or 0))
-    return _TIME_STATS[key]
-
-
-_SPLITS: dict[tuple, list[float]] = {}
-
-
-def _bucket_column(spark: SparkSession, sf_dir: str, view: str) -> DataFrame:
-    if view == "ticket":
-        li = read_table(spark, sf_dir, "lineitem")
-        t = ticket_arrival(F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey"))
-        return li.select(F.unix_micros(t).cast("double").alias("t"))
-    if view == "listen":
-        return read_table(spark, sf_dir, "events").select(F.col("event_id").cast("double").alias("t"))
-    raise ValueError(view)
-
-
-def time_buckets(spark: SparkSession, sf_dir: str, views: tuple[str, ...],
-                 rows_per_bucket: int | None = None, min_buckets: int = 1) -> dict | None:
-    """Bucket spec for ``prefix_scan`` / ``running_leader`` over rows drawn from
-    ``views`` (all views must share the bucketing unit): ``{"splits": [...]}``
-    at approximate quantiles of the bucketing column, so every bucket holds
-    about the same number of rows however the rows crowd in time; None when
-    all rows fit in one bucket. ``min_buckets`` spreads a scan with no key over
-    that many tasks even when it is small.
-
-    The quantiles come from one ``percentile_approx`` pass per table and bucket
-    count (cached for the session); only the boundaries reach the driver, and
-    their number is the bucket count computed here.
-    """
-    import math
-    from encore.operators.running import DEFAULT_ROWS_PER_BUCKET
-    per = rows_per_bucket or DEFAULT_ROWS_PER_BUCKET
-    stats = [time_stats(spark, sf_dir, v) for v in views]
-    n = sum(s[0] for s in stats)
-    buckets = max(math.ceil(n / per), min_buckets)
-    if n == 0 or buckets <= 1:
-        return None
-    key = (sf_dir.rstrip("/"), tuple(views), buckets)
-    if key not in _SPLITS:
-        col = None
-        for v in views:
-            c = _bucket_column(spark, sf_dir, v)
-            col = c if col is None else col.unionByName(c)
-        probs = [i / buckets for i in range(1, buckets)]
-        accuracy = max(10_000, 20 * buckets)
-        q = col.agg(F.percentile_approx("t", probs, accuracy).alias("q")).first()["q"] or []
-        _SPLITS[key] = sorted({float(x) for x in q if x is not None})
-    splits = _SPLITS[key]
-    if not splits:
-        return None
-    return {"splits": splits}

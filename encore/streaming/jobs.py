@@ -1,10 +1,10 @@
 """Streaming forms of the jobs (P1-P11) on Structured Streaming.
 
-Each builder takes streaming DataFrames of entity records (with ``pos``) and
-static tables where the reference uses a table, and returns a streaming
-DataFrame; start it with ``encore.streaming.sinks``. Second stages that one
-streaming query cannot hold (arg-max over an aggregate, the global leader)
-are ``foreachBatch`` merges into versioned tables.
+Changelogs (one row per record) are the batch jobs over a scan that carries
+totals between micro-batches. Snapshots use Spark's built-in streaming
+aggregates; second stages that one streaming query cannot hold (arg-max over
+an aggregate, the global leader) are ``foreachBatch`` merges into versioned
+tables, of which the last few versions are kept.
 
 Stateless jobs (P6, P7, P10, P11) are the batch expressions on a stream.
 """
@@ -13,12 +13,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupStateTimeout
 
 from encore import functions as fx
 from encore.operators.keyed import arg_max_first, latest_by_key
 from encore.plans import jobs as J
-from encore.streaming import stateful as S
+from encore.streaming.carried import Scan, batch_ids, expire
+from encore.streaming.sinks import write_batch
 
 
 def _nn(df: DataFrame, *cols: str) -> DataFrame:
@@ -29,95 +29,65 @@ def _nn(df: DataFrame, *cols: str) -> DataFrame:
 
 def _event_lookup(events: DataFrame) -> DataFrame:
     """Static event table keyed for the stream-static join. When the table is a
-    changelog (rows carry ``pos``), only the latest version per id is kept."""
+    changelog (rows carry ``pos``), only the latest version per id is kept, and
+    an event whose latest version is a deletion (``deleted``, or no value at
+    all) is left out."""
     if "pos" in events.columns:
-        events = latest_by_key(events, "id", [F.col("pos")])
+        empty = F.coalesce(*[F.col(c).cast("string") for c in ("artistid", "capacity")]).isNull()
+        dead = F.coalesce(F.col("deleted"), F.lit(False)) | empty if "deleted" in events.columns else empty
+        events = latest_by_key(events, "id", [F.col("pos")], tombstone=dead)
     return events.select(F.col("id").alias("eventid"), "artistid", "capacity")
 
 
-# ---------------------------------------------------------------- changelogs (keyed state)
-
-def top_customer_artists_changelog(listens: DataFrame, k: int = J.TOP_ARTISTS,
-                                   tracked: int = J.TRACKED_ARTISTS) -> DataFrame:
-    """The customer's top-k artists after every listen."""
-    src = _nn(listens, "customerid").select("customerid", F.col("artistid").cast("string").alias("artistid"), "pos")
-    return src.groupBy("customerid").applyInPandasWithState(
-        S.top_artists(k, tracked), S.out_schema(src, "customerid", [], S.TOP_ARTISTS_EXTRA), S.TOP_ARTISTS_STATE,
-        "append", GroupStateTimeout.NoTimeout)
-
-
-def purchase_event_ticket(tickets: DataFrame, events: DataFrame, order=("pos",),
-                          passthrough=("id", "customerid", "pos")) -> DataFrame:
-    """One confirmation per ticket request (stream-static join to events).
-    ``order``: the tickets' arrival order columns."""
-    j = tickets.join(_event_lookup(events), "eventid")
-    src = j.select("eventid", "capacity", *dict.fromkeys([*order, *passthrough]))
-    out = src.groupBy("eventid").applyInPandasWithState(
-        S.confirm_tickets(order, passthrough), S.out_schema(src, "eventid", passthrough, S.CONFIRM_EXTRA),
-        S.CONFIRM_STATE, "append", GroupStateTimeout.NoTimeout)
-    return out.withColumn("confirmationId", fx.stable_id(F.col("id"), F.col("eventid"), F.col("request_no")))
-
-
-def conversion_matches(listens: DataFrame, tickets: DataFrame, events: DataFrame,
-                       order=("pos", "side"), passthrough=("pos", "side")) -> DataFrame:
-    """The records that re-emit a true match. ``listens`` and ``tickets``
-    carry the shared order columns (``pos`` by default). Count them for the
-    tally (``tally_batches``)."""
-    cols = list(dict.fromkeys([*order, *passthrough]))
-    l = listens.withColumn("side", F.lit(0)).select("customerid", F.col("artistid").cast("string").alias("artistid"),
-                                                    *cols)
-    t = (tickets.join(_event_lookup(events), "eventid").withColumn("side", F.lit(1))
-                .select("customerid", F.col("artistid").cast("string").alias("artistid"), *cols))
-    u = _nn(l.unionByName(t), "customerid")
-    return u.groupBy("customerid").applyInPandasWithState(
-        S.conversion(order, passthrough), S.out_schema(u, "customerid", passthrough), S.CONVERSION_STATE,
-        "append", GroupStateTimeout.NoTimeout)
-
-
-def customer_stream_count_changelog(listens: DataFrame, order=("pos",), passthrough=("id", "pos")) -> DataFrame:
+# ---------------------------------------------------------------- changelogs
+#
+# One row per input record, exact over micro-batches. Each is the batch job over the scan that carries totals
+# (``encore.streaming.carried``); pass it to ``in_batches``, which gives the ``foreachBatch`` function.
+
+def top_customer_artists_changelog(listens: DataFrame, scan: Scan) -> DataFrame:
+    """The customer's top artists after every listen."""
+    return J.top_customer_artists_changelog_from(listens, scan=scan)
+
+
+def purchase_event_ticket(events: DataFrame):
+    """One confirmation per ticket request (stream-static join to events)."""
+    return lambda tickets, scan: J.confirm_tickets(tickets.join(_event_lookup(events), "eventid"), scan)
+
+
+def conversion_tally(records: DataFrame, scan: Scan) -> DataFrame:
+    """The tally after every record that re-emits a true match, over listens and purchases in one stream."""
+    return J.conversion_tally_from(records, scan)
+
+
+def revenue_leader(events: DataFrame, artists: DataFrame):
+    """The revenue leader after every ticket with a known event and artist."""
+    return lambda tickets, scan: J.revenue_leader_by_scans(_nn(tickets.join(_event_lookup(events), "eventid"), "artistid"), artists, scan)
+
+
+def top_streamers(artists: DataFrame, customers: DataFrame, size_seconds: int = J.WINDOW_SECONDS, grace_seconds: int = J.GRACE_SECONDS):
+    """P5: the artist's best single-window listener after every listen that counts."""
+    return lambda listens, scan: J.thank_you_changelog_from(_nn(listens, "artistid", "customerid"), artists, customers,
+                                                            size_seconds, grace_seconds, scan)
+
+
+def customer_stream_count_changelog(listens: DataFrame, scan: Scan) -> DataFrame:
     """P8."""
-    src = _nn(listens, "customerid").select("customerid", *dict.fromkeys([*order, *passthrough]))
-    return src.groupBy("customerid").applyInPandasWithState(
-        S.running_count("customerid", order, passthrough),
-        S.out_schema(src, "customerid", passthrough, S.RUNNING_COUNT_EXTRA),
-        S.RUNNING_COUNT_STATE, "append", GroupStateTimeout.NoTimeout)
+    return J.customer_stream_count_changelog_from(listens, scan)
 
 
-def artist_ticket_count_changelog(tickets: DataFrame, events: DataFrame, order=("pos",),
-                                  passthrough=("id", "pos")) -> DataFrame:
+def artist_ticket_count_changelog(events: DataFrame):
     """P9."""
-    j = _nn(tickets.join(_event_lookup(events), "eventid"), "artistid")
-    src = j.select("artistid", *dict.fromkeys([*order, *passthrough]))
-    return src.groupBy("artistid").applyInPandasWithState(
-        S.running_count("artistid", order, passthrough),
-        S.out_schema(src, "artistid", passthrough, S.RUNNING_COUNT_EXTRA),
-        S.RUNNING_COUNT_STATE, "append", GroupStateTimeout.NoTimeout)
-
-
-def top_streamer_changes(listens: DataFrame, size_seconds: int = J.WINDOW_SECONDS,
-                         grace_seconds: int = J.GRACE_SECONDS, time_col: str = "streamtime") -> DataFrame:
-    """P5 in one keyed state per artist: each time an artist's best
-    single-window streamer changes, ``(artistid, customerid, streamCount, pos)``.
-    The current best per artist is its row with the greatest ``pos``."""
-    src = _nn(listens, "artistid", "customerid").select(
-        "artistid", F.col("customerid").cast("string").alias("customerid"),
-        F.unix_micros(F.col(time_col).cast("timestamp")).alias("t_us"), "pos")
-    return src.groupBy("artistid").applyInPandasWithState(
-        S.top_streamer(size_seconds * 1_000_000, grace_seconds * 1_000_000),
-        S.out_schema(src, "artistid", [], S.TOP_STREAMER_EXTRA), S.TOP_STREAMER_STATE, "append",
-        GroupStateTimeout.NoTimeout)
-
-
-def current_top_streamers(changes: DataFrame, artists: DataFrame, customers: DataFrame) -> DataFrame:
-    """Latest change per artist, for known artists and customers, in the
-    message shape (name and email are placeholders, as in the reference job)."""
-    best = latest_by_key(changes, "artistid", [F.col("pos")]).withColumnRenamed("customerid", "__cname")
-    best = best.join(artists.select(F.col("id").alias("artistid")), "artistid", "left_semi")
-    cust = customers.select(F.col("id").cast("string").alias("__cname"), F.col("id").alias("__cid"))
-    best = best.join(cust, "__cname")
-    return best.select(F.col("__cid").alias("customerId"), F.col("__cname").alias("customerName"),
-                       F.col("artistid").alias("artistId"), F.lit("").alias("artistName"), F.lit("").alias("email"),
-                       "streamCount")
+    return lambda tickets, scan: J.artist_ticket_count_changelog_from(tickets.join(_event_lookup(events), "eventid"), scan)
+
+
+def closed_windows_gone(size_seconds: int, grace_seconds: int):
+    """For ``in_batches(keep=...)`` of P5: counts of windows that are closed for the records to come are dropped when
+    the totals are added up. The stream time is at least the newest window that has been counted."""
+    def keep(totals: DataFrame) -> DataFrame:
+        newest = totals.agg(F.max("window_start")).scalar()
+        return totals.where(F.col("window_start") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(size_seconds + grace_seconds))
+                            >= newest)
+    return {"windows": keep}
 
 
 # ---------------------------------------------------------------- snapshots per micro-batch (built-in state)
@@ -167,65 +137,6 @@ def global_totals(streams: dict[str, DataFrame]) -> DataFrame:
     return tagged.groupBy("metric").agg(F.count(F.lit(1)).alias("total"))
 
 
-def artist_running_revenue(tickets: DataFrame, events: DataFrame, order=("pos",),
-                           passthrough=("id", "pos")) -> DataFrame:
-    """P4 first stage, per record: each ticket (with a known event) and its
-    artist's running revenue (prices truncated per ticket), in keyed state."""
-    j = _nn(tickets.join(_event_lookup(events), "eventid"), "artistid")
-    src = j.withColumn("rev", F.col("price").cast("bigint")).select(
-        "artistid", "rev", *dict.fromkeys([*order, *passthrough]))
-    return src.groupBy("artistid").applyInPandasWithState(
-        S.running_sum("artistid", "rev", "total", order, passthrough),
-        S.out_schema(src, "artistid", passthrough, "total long"), S.RUNNING_SUM_STATE, "append",
-        GroupStateTimeout.NoTimeout)
-
-
-def leader_changelog_batches(path: str, artists: DataFrame, order=("pos",), time_col: str = "pos"):
-    """P4 second stage, exact per record: for each micro-batch of running totals
-    (known artists only), the leader after every ticket, continuing from the
-    previous batch's leader. The previous leader enters as a first row carrying
-    its total (the high-water mark), so a row is a record only if it beats
-    everything before it, across batches. Writes ``changelog/`` and ``leader/``
-    (one row) under ``path`` in ``batch_id`` partitions (idempotent on replay)."""
-    from encore.operators.running import auto_buckets, running_leader
-    a = artists.select(F.col("id").alias("artistid"), F.col("name").alias("artist_name"),
-                       F.col("genre").alias("artist_genre"))
-
-    def fn(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        rows = batch.join(a, "artistid").withColumn("__carry", F.lit(False))
-        prev = _latest_version(spark, f"{path}/leader", batch_id)
-        if prev is not None:
-            # The previous leader, placed before every row of this batch: its
-            # leading order value is the batch's smallest one minus one unit.
-            lead = order[0]
-            dt = rows.schema[lead].dataType
-            lo = rows.agg(F.min(lead)).scalar()          # scalar subquery, no collect
-            step = F.expr("INTERVAL 1 SECOND") if dt.typeName().startswith("timestamp") else F.lit(1)
-            carry = prev.select("artistid", "artist_name", "artist_genre", "total").withColumn(
-                lead, (lo - step).cast(dt))
-            for name in rows.columns:
-                if name not in carry.columns:
-                    carry = carry.withColumn(name, F.lit(None).cast(rows.schema[name].dataType))
-            rows = rows.unionByName(carry.withColumn("__carry", F.lit(True)).select(*rows.columns))
-        bucket = auto_buckets(rows, time_col, 4_000_000, spark.sparkContext.defaultParallelism)
-        led = running_leader(rows, [F.col(o) for o in order], time_col, "total",
-                             ["artistid", "artist_name", "artist_genre"], out="leader", bucket=bucket)
-        led = led.where(~F.col("__carry")).persist()
-        try:
-            out = led.select(*[c for c in led.columns if c not in ("leader", "__carry")],
-                             F.col("leader.artistid").alias("leader_artistid"),
-                             F.col("leader.artist_name").alias("leader_name"),
-                             F.col("leader.artist_genre").alias("leader_genre"),
-                             F.col("leader.total").alias("leader_revenue"))
-            sinks_write(out, f"{path}/changelog", batch_id)
-            last = led.agg(F.max(F.struct(*[F.col(o) for o in order], F.col("leader"))).alias("m"))
-            sinks_write(last.select("m.leader.*"), f"{path}/leader", batch_id)
-        finally:
-            led.unpersist()
-    return fn
-
-
 def top_artists_global(listens: DataFrame, k: int = 3) -> DataFrame:
     """R2 on a stream, ``complete`` mode: the k most streamed artists so far
     (running count per artist; the sort and limit run on the counts)."""
@@ -235,53 +146,41 @@ def top_artists_global(listens: DataFrame, k: int = 3) -> DataFrame:
 
 # ---------------------------------------------------------------- foreachBatch second stages
 
-def sinks_write(df: DataFrame, path: str, batch_id: int) -> None:
-    from encore.streaming.sinks import write_batch
-    write_batch(df, path, batch_id)
+VERSIONS_KEPT = 8
+
 
+def _latest_version(spark: SparkSession, path: str, before: int) -> DataFrame | None:
+    """The newest version of a table written before batch ``before``, if there is one."""
+    older = [b for b in batch_ids(spark, path) if b < before]
+    return spark.read.parquet(f"{path}/batch_id={max(older)}") if older else None
 
-RECENT_VERSIONS = 64
 
+def _write_version(df: DataFrame, path: str, batch_id: int) -> None:
+    write_batch(df, path, batch_id)
+    expire(df.sparkSession, path, batch_id - VERSIONS_KEPT)
 
-def _latest_version(spark: SparkSession, path: str, before: int) -> DataFrame | None:
-    """The newest version written before batch ``before``. Batches usually
-    write every version, so the newest is looked for among the last
-    ``RECENT_VERSIONS`` batch ids first (a partition filter: only those files
-    are read); the whole table is searched only when that window is empty."""
-    try:
-        allv = spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 -- no versions written yet
-        return None
-    for lo in (before - RECENT_VERSIONS, None):
-        prev = allv.where(F.col("batch_id") < before)
-        if lo is not None:
-            prev = prev.where(F.col("batch_id") >= lo)
-        last = prev.agg(F.max("batch_id")).first()[0]      # one number
-        if last is not None:
-            return allv.where(F.col("batch_id") == last).drop("batch_id")
-    return None
-
-
-def merge_top_streamers(path: str, artists: DataFrame, customers: DataFrame):
+
+def merge_top_streamers(path: str):
     """P5 second stage over ``windowed_stream_counts`` (update mode): per artist
     the best single-window count so far (first to reach it wins), as a
     versioned table at ``path``. Each batch rewrites the per-artist table, so
-    this suits a bounded artist set; ``top_streamer_changes`` keeps the same
-    answer in keyed state and scales with the number of artists."""
+    this suits a bounded artist set; ``top_streamers`` gives the same answer in
+    increments. Unknown artists and customers are kept: ``published`` leaves them out."""
     def fn(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
         cand = batch.select("artistid", "customerid", F.col("n").alias("streamCount"), "last_pos")
-        prev = _latest_version(spark, path, batch_id)
+        prev = _latest_version(batch.sparkSession, path, batch_id)
         if prev is not None:
-            cand = cand.unionByName(prev.select("artistid", "customerid", "streamCount", "last_pos"))
-        best = arg_max_first(cand, "artistid", "streamCount", [F.col("last_pos")], ["customerid", "last_pos"])
-        best = best.join(artists.select(F.col("id").alias("artistid")), "artistid", "left_semi")
-        best = best.join(customers.select(F.col("id").alias("customerid")), "customerid", "left_semi")
-        (best.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
-             .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
+            cand = cand.unionByName(prev.select(*cand.columns))
+        _write_version(arg_max_first(cand, "artistid", "streamCount", [F.col("last_pos")], ["customerid", "last_pos"]), path, batch_id)
     return fn
 
 
+def published(best: DataFrame, artists: DataFrame, customers: DataFrame) -> DataFrame:
+    """Bests of known artists whose customer is known."""
+    best = best.join(artists.select(F.col("id").alias("artistid")), "artistid", "left_semi")
+    return best.join(customers.select(F.col("id").alias("customerid")), "customerid", "left_semi")
+
+
 def merge_revenue_leader(path: str, artists: DataFrame):
     """P4 second stage: the revenue leader, replaced only by a strictly greater
     total (a high-water mark), as a versioned table at ``path``."""
@@ -297,27 +196,10 @@ def merge_revenue_leader(path: str, artists: DataFrame):
                                         .withColumn("last_pos", F.lit(-1).cast("long")))
         lead = arg_max_first(cand.withColumn("__g", F.lit(fx.LEADER_KEY)), "__g", "revenue",
                              [F.col("last_pos")], ["artistId", "artist", "last_pos"])
-        (lead.select(F.col("__g").alias("key"), "artistId", "artist", "revenue", "last_pos")
-             .withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
-             .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
-    return fn
-
-
-def tally_batches(path: str):
-    """P3 second stage: per batch, the number of match records; the tally is
-    the sum over versions (idempotent per batch)."""
-    def fn(batch: DataFrame, batch_id: int) -> None:
-        (batch.agg(F.count(F.lit(1)).alias("matches"))
-              .withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
-              .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
+        _write_version(lead.select(F.col("__g").alias("key"), "artistId", "artist", "revenue", "last_pos"), path, batch_id)
     return fn
 
 
-def read_tally(spark: SparkSession, path: str) -> DataFrame:
-    return (spark.read.parquet(path).agg(F.sum("matches").alias("value"))
-            .select(F.lit(fx.TALLY_KEY).alias("key"), F.coalesce("value", F.lit(0)).cast("long").alias("value")))
-
-
 def read_latest(spark: SparkSession, path: str) -> DataFrame:
     v = spark.read.parquet(path)
     return v.where(F.col("batch_id") == v.agg(F.max("batch_id")).scalar()).drop("batch_id")

@@ -107,16 +107,20 @@ def progress_logger(log=print):
 
 # ---------------------------------------------------------------- record shapes and multi-sink writes
 
+#: Times keep their microseconds (by default JSON has milliseconds).
+MICROSECONDS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+
+
 def to_records(df: DataFrame, key: str) -> DataFrame:
     """``(key string, value string)`` with the row as a JSON document, the shape a
     Kafka sink writes; longs stay longs (``from_json`` with the schema reads
     them back exactly)."""
-    return df.select(F.col(key).cast("string").alias("key"), F.to_json(F.struct(*df.columns)).alias("value"))
+    return df.select(F.col(key).cast("string").alias("key"), F.to_json(F.struct(*df.columns), MICROSECONDS).alias("value"))
 
 
 def from_records(records: DataFrame, schema) -> DataFrame:
     """Parse ``value`` JSON documents with a fixed schema (once, at the source)."""
-    return records.select("key", F.from_json("value", schema).alias("v")).select("key", "v.*")
+    return records.select("key", F.from_json("value", schema, MICROSECONDS).alias("v")).select("key", "v.*")
 
 
 def start_kafka(df: DataFrame, name: str, bootstrap: str, topic: str, key: str,

@@ -7,7 +7,7 @@ micro-batch; across micro-batches order is the source's order.
 
 ``kafka_stream`` reads a topic through Spark's Kafka source when its package
 is on the classpath (it is not in this image): the record value is parsed with
-``from_json`` once at the source, and arrival order is the record timestamp,
+``from_json`` once at the source, and ``pos`` is made of the record timestamp,
 partition and offset.
 """
 
@@ -47,17 +47,23 @@ def kafka_stream(spark: SparkSession, bootstrap: str, entity: str, starting: str
          .option("startingOffsets", starting))
     for k, v in (options or {}).items():
         r = r.option(k, v)
-    raw = r.load()
-    value = F.from_json(F.col("value").cast("string"), schema(entity))
-    return raw.select(
-        F.col("key").cast("string").alias("key"),
-        value.alias("v"),
-        F.col("timestamp").alias("record_time"),
-        F.col("partition"), F.col("offset"),
-    ).select("key", "v.*", "record_time", "partition", "offset")
-
-
-def raw_records(spark: SparkSession, path: str) -> DataFrame:
-    """Key/value string records with their position, like a plain consumer sees
-    them: one JSON object per line with ``key``, ``value``, ``partition``, ``offset``."""
-    return spark.readStream.schema("key string, value string, partition int, offset bigint").json(path)
+    return kafka_records(r.load(), entity)
+
+
+def kafka_records(raw: DataFrame, entity: str) -> DataFrame:
+    """Entity rows from Kafka's columns (``key, value, timestamp, partition, offset``), with ``pos`` and ``deleted``.
+
+    ``pos`` orders records by time, then partition and offset: milliseconds,
+    then 6 bits of the partition and 14 of the offset, which is unique for up
+    to 64 partitions and 16,384 records of a partition in a millisecond. A
+    record without a value deletes its key: all columns are null but ``id``,
+    which is the key, and ``deleted`` is true.
+    """
+    pos = (F.unix_millis("timestamp") * F.lit(1 << 20) + F.pmod(F.col("partition"), F.lit(64)) * F.lit(1 << 14)
+           + F.pmod(F.col("offset"), F.lit(1 << 14))).cast("bigint")
+    key = F.col("key").cast("string")
+    parsed = raw.select(key.alias("key"), F.from_json(F.col("value").cast("string"), schema(entity)).alias("v"), pos.alias("pos"),
+                        F.col("value").isNull().alias("deleted"))
+    columns = [F.when(F.col("deleted"), F.col("key")).otherwise(F.col(f"v.{f.name}").cast("string")).cast(f.dataType).alias(f.name)
+               if f.name == "id" else F.col(f"v.{f.name}").alias(f.name) for f in schema(entity).fields]
+    return parsed.select("key", *columns, "pos", "deleted")

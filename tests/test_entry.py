@@ -9,7 +9,8 @@ import __spark_entry__ as E
 
 def test_queries_and_oracles_pair_up():
     qs, orc = E.queries(), E.oracle_sql()
-    assert set(qs) == set(orc)
+    without_sql = {q for q in qs if q == "pipeline" or q.startswith("op")}  # only these may lack an oracle
+    assert set(qs) - without_sql <= set(orc) <= set(qs)
     assert len(qs) >= 54
     assert all(callable(f) for f in qs.values()) and all(isinstance(s, str) and s.strip() for s in orc.values())
 

@@ -1,21 +1,22 @@
 """Scalar expressions and record shapes."""
 
+import datetime as dt
 import json
-import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from encore import functions as fx
-from encore.streaming import sinks
-from encore.streaming.sources import raw_records
+from encore.streaming.sources import kafka_records
 
 
 def test_money_sum_is_exact(spark):
-    # 0.1 + 0.2 style drift does not appear: sums are integer cents.
+    # 0.1 + 0.2 style drift does not appear, and prices are not rounded one by one.
     df = spark.createDataFrame([(0.1,), (0.2,), (19.99,), (1234567.89,)] * 25, "p double")
     got = df.agg(fx.money_sum("p").alias("s")).collect()[0]["s"]
     assert got == round((0.1 + 0.2 + 19.99 + 1234567.89) * 25, 2)
-    assert df.agg(F.sum(fx.cents("p"))).collect()[0][0] == (10 + 20 + 1999 + 123456789) * 25
+    thirds = spark.createDataFrame([(0.004,), (0.004,), (0.004,)], "p double")
+    assert thirds.agg(fx.money_sum("p")).first()[0] == 0.01
 
 
 def test_truncation_like_java(spark):
@@ -60,22 +61,25 @@ def test_remaining_percentage_and_notice(spark):
     assert out[1]["body"] == "Your ticket has been REJECTED!"
 
 
-def test_raw_consumer_records(spark, tmp_path):
-    """Plain key/value records with partition and offset, parsed once with a schema."""
-    d = tmp_path / "raw"
-    os.makedirs(d)
+def test_kafka_records(spark):
+    """Positions follow time, partition and offset; a record without a value deletes its key."""
     value = json.dumps({"id": "t1", "customerid": "c1", "eventid": "e1", "price": 12.5})
-    with open(d / "part-0.json", "w") as f:
-        f.write(json.dumps({"key": "t1", "value": value, "partition": 2, "offset": 41}) + "\n")
-    s = raw_records(spark, str(d))
-    q = (s.writeStream.format("memory").queryName("raw_t").option("checkpointLocation", str(tmp_path / "ck"))
-          .trigger(availableNow=True).start())
-    q.awaitTermination()
-    rows = spark.table("raw_t")
-    r = rows.collect()[0]
-    assert (r["partition"], r["offset"]) == (2, 41)
-    parsed = sinks.from_records(rows, "id string, customerid string, eventid string, price double").collect()[0]
-    assert parsed["eventid"] == "e1" and parsed["price"] == 12.5
+    t0, t1 = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 1, 0, 0, 1)
+    raw = spark.createDataFrame([(b"t1", value.encode(), t0, 2, 41), (b"t2", value.encode(), t0, 2, 42), (b"t1", None, t1, 0, 7)],
+                                "key binary, value binary, timestamp timestamp, partition int, offset bigint")
+    rows = kafka_records(raw, "ticket").orderBy("pos").collect()
+    assert [(r["key"], r["eventid"], r["price"], r["deleted"]) for r in rows] == [("t1", "e1", 12.5, False), ("t2", "e1", 12.5, False), ("t1", None, None, True)]
+    assert rows[2]["id"] == "t1" and len({r["pos"] for r in rows}) == 3
+
+
+def test_no_machine_local_checkpoints_on_a_cluster():
+    import types
+
+    from encore.session import checkpoint_dir
+    unset = types.SimpleNamespace(get=lambda *_: None)
+    context = types.SimpleNamespace(master="spark://host:7077", getConf=lambda: unset)
+    with pytest.raises(ValueError):
+        checkpoint_dir(types.SimpleNamespace(conf=unset, sparkContext=context))
 
 
 def test_package_shipped_to_workers(spark):

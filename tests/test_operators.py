@@ -1,8 +1,9 @@
 """Operator properties: the skew-safe forms equal the plain forms."""
 
-import datetime as dt
 import random
 
+import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from conftest import at
@@ -13,10 +14,6 @@ from encore.operators.running import Spec, prefix_scan
 from encore.operators.topk import top_k_per_group
 
 
-def _origin():
-    return int(at(0).replace(tzinfo=dt.timezone.utc).timestamp() * 1_000_000)
-
-
 def _rows(spark, n=300, keys=4, seed=7, hot=True):
     rnd = random.Random(seed)
     data = []
@@ -27,26 +24,30 @@ def _rows(spark, n=300, keys=4, seed=7, hot=True):
     return spark.createDataFrame(data, "k string, t timestamp, i int, v int")
 
 
-def test_prefix_scan_bucketed_equals_window(spark):
+def plain(df, keys, order, specs):
+    """Running values by one window per key."""
+    w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    fns = {"count": lambda v: F.count(v if v is not None else F.lit(1)), "sum": F.sum, "max": F.max, "min": F.min,
+           "last": lambda v: F.last(v, ignorenulls=True)}
+    return df.select("*", *[fns[s.op](s.column()).over(w).alias(s.out) for s in specs])
+
+
+@pytest.mark.parametrize("keys", [["k"], []])
+def test_prefix_scan_equals_window(spark, keys):
     df = _rows(spark)
     specs = [Spec("c", "count"), Spec("s", "sum", "v"), Spec("mx", "max", "v"), Spec("mn", "min", "v"),
-             Spec("lst", "last", "v")]
+             Spec("lst", "last", "v"), Spec("cv", "count", "v")]
     order = [F.col("t"), F.col("i")]
-    plain = prefix_scan(df, ["k"], order, "t", specs, bucket=None).orderBy("i").collect()
-    for width_s in (5, 17, 60):
-        b = prefix_scan(df, ["k"], order, "t", specs, bucket=(_origin(), width_s * 1_000_000)).orderBy("i").collect()
-        assert b == plain
+    want = plain(df, keys, order, specs).orderBy("i").collect()
+    for seconds in (5, 60, 100_000):
+        assert prefix_scan(df, keys, order, "t", specs, cell=seconds * 1_000_000).orderBy("i").collect() == want
 
 
-def test_prefix_scan_global(spark):
-    df = _rows(spark, hot=False)
-    order = [F.col("t"), F.col("i")]
-    plain = prefix_scan(df, [], order, "t", [Spec("s", "sum", "v")], bucket=None).orderBy("i").collect()
-    b = prefix_scan(df, [], order, "t", [Spec("s", "sum", "v")], bucket=(_origin(), 9_000_000)).orderBy("i").collect()
-    assert b == plain
-    # Auto mode with a tiny bucket budget takes the bucketed path.
-    auto = prefix_scan(df, [], order, "t", [Spec("s", "sum", "v")], rows_per_bucket=40).orderBy("i").collect()
-    assert auto == plain
+def test_prefix_scan_drops_null_keys_and_takes_empty_input(spark):
+    df = spark.createDataFrame([("a", 1), (None, 2), ("a", 3)], "k string, pos bigint")
+    rows = prefix_scan(df, ["k"], [F.col("pos")], "pos", [Spec("n", "count")], cell=1).collect()
+    assert sorted((r["pos"], r["n"]) for r in rows) == [(1, 1), (3, 2)]
+    assert prefix_scan(df.limit(0), ["k"], [F.col("pos")], "pos", [Spec("n", "count")]).count() == 0
 
 
 def test_top_k_salted_equals_plain(spark):
@@ -80,10 +81,10 @@ def test_enrich_asof_and_latest(spark):
                                     ("t4", "e2", at(25))], "tid string, eventid string, arrival timestamp")
     kw = dict(stream_key="eventid", table_key="id", stream_time="arrival", table_time="t",
               stream_tie=["tid"], table_tie=["id"], table_cols=["capacity"])
-    asof = {r["tid"]: r["capacity"] for r in enrich_asof(stream, table, bucket=None, **kw).collect()}
+    asof = {r["tid"]: r["capacity"] for r in enrich_asof(stream, table, **kw).collect()}
     assert asof == {"t1": 5, "t2": 9, "t4": 3}     # t3 arrives before its event: dropped
-    bucketed = {r["tid"]: r["capacity"] for r in enrich_asof(stream, table, bucket=(_origin(), 7_000_000), **kw).collect()}
-    assert bucketed == asof
+    small = {r["tid"]: r["capacity"] for r in enrich_asof(stream, table, cell=7_000_000, **kw).collect()}
+    assert small == asof
     latest = {r["tid"]: r["capacity"] for r in enrich_latest(stream, table, "eventid", "id", ["capacity"],
                                                                table_order=[F.col("t")]).collect()}
     assert latest == {"t1": 9, "t2": 9, "t3": 3, "t4": 3}

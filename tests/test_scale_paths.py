@@ -1,19 +1,16 @@
-"""The skew-spreading paths on the real sf0.01 tables.
-
-At test scale every table fits one bucket, so the registered queries take the
-plain-window path. These tests force small buckets (and salting) and require
-results identical to the plain forms.
-"""
+"""Plans at any size: cells, salts and one pass over the input, on the sf0.01 tables."""
 
 import os
+import re
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from encore.operators.running import Spec, assign_buckets, auto_buckets, prefix_scan
+from encore.operators.running import DAY, Spec, in_cells, prefix_scan
 from encore.plans import jobs as J
-from encore.plans import scenarios as R
 from encore.sources import domain
+from encore.streaming.carried import whole_table
 
 SF = "/root/testdata/sf0.01"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test data not present")
@@ -22,72 +19,51 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test data not pre
 def _same(a, b):
     cols = sorted(a.columns)
     assert sorted(b.columns) == cols
-    ra = sorted(a.select(*cols).collect(), key=repr)
-    rb = sorted(b.select(*cols).collect(), key=repr)
-    assert ra == rb
-
-
-@pytest.mark.parametrize("fn", [
-    J.purchase_event_ticket,
-    J.customer_stream_count_changelog,
-    J.artist_ticket_count_changelog,
-    J.customer_conversion_tally_changelog,
-    J.revenue_leader_changelog,
-])
-def test_bucketed_equals_plain_on_tables(spark, fn):
-    plain = fn(spark, SF, bucket=None) if fn is not J.revenue_leader_changelog else \
-        J.revenue_leader_changelog_from(J._tickets_with_event(spark, SF, with_customer=False),
-                                        domain.artist(spark, SF), leader_bucket=None, bucket=None)
-    bucketed = fn(spark, SF, rows_per_bucket=2_000)
-    _same(plain, bucketed)
-
-
-def test_bucketed_late_rule_and_alerts_on_tables(spark):
+    assert sorted(map(repr, a.select(*cols).collect())) == sorted(map(repr, b.select(*cols).collect()))
+
+
+def test_cells_do_not_change_results(spark):
+    _same(J.confirm_tickets(J._tickets_with_event(spark, SF), whole_table(DAY // 2)),
+          J.confirm_tickets(J._tickets_with_event(spark, SF), whole_table(400 * DAY)))
     l = domain.listen(spark, SF)
-    plain = J.windowed_stream_counts_from(l, 3600, 1, arrival_order=J.listen_pos(), bucket=None)
-    bucketed = J.windowed_stream_counts_from(l, 3600, 1, arrival_order=J.listen_pos(), rows_per_bucket=500)
-    _same(plain, bucketed)
-    _same(R.event_near_capacity_alert(spark, SF, bucket=None), R.event_near_capacity_alert(spark, SF,
-                                                                                           rows_per_bucket=3_000))
+    _same(J.customer_stream_count_changelog_from(l, whole_table(97)), J.customer_stream_count_changelog_from(l, whole_table(1 << 40)))
 
 
-def test_salted_top_k_on_tables(spark):
+def test_salted_top_k(spark):
     l = domain.listen(spark, SF)
     _same(J.top_customer_artists_from(l, salt_buckets=1), J.top_customer_artists_from(l, salt_buckets=13))
-    # A small tracked cap exercises the first-seen cut on real data too.
-    _same(J.top_customer_artists_from(l, tracked=7, salt_buckets=1),
-          J.top_customer_artists_from(l, tracked=7, salt_buckets=5))
 
 
-def test_hot_key_is_spread_over_buckets(spark):
-    """One customer holding a third of the listens: with buckets, no (key,
-    bucket) window partition holds more than a bucket's share of its rows."""
-    l = domain.listen(spark, SF)
-    hot = l.withColumn("customerid", F.when(F.col("pos") % 3 == 0, F.lit(-1)).otherwise(F.col("customerid")))
-    n = hot.count()
-    out = J.customer_stream_count_changelog_from(hot, rows_per_bucket=n // 10)
-    plain = J.customer_stream_count_changelog_from(hot, bucket=None)
-    _same(plain, out)
-    spec = domain.time_buckets(spark, SF, ("listen",), rows_per_bucket=n // 10)
-    per = (assign_buckets(hot.where(F.col("customerid") == -1), "pos", spec)
-           .groupBy("__b").count().agg(F.max("count")).collect()[0][0])
-    hot_rows = hot.where(F.col("customerid") == -1).count()
-    assert per <= hot_rows / 5
-
-
-def test_time_crowded_rows_split_evenly(spark):
-    """A third of all rows crowded into one minute: quantile boundaries still
-    give every bucket about the same number of rows."""
-    base = spark.range(0, 30_000).select(
-        F.col("id"),
-        F.when(F.col("id") % 3 == 0, F.lit(1_700_000_000) + (F.col("id") % 60))
-         .otherwise(F.lit(1_700_000_000) + F.col("id") * 97).alias("sec"))
-    df = base.select("id", F.timestamp_seconds("sec").alias("t"))
-    spec = auto_buckets(df, "t", rows_per_bucket=3_000)
-    counts = [r["count"] for r in assign_buckets(df, "t", spec).groupBy("__b").count().collect()]
-    assert max(counts) <= 2 * 30_000 / len(counts)
-    plain = prefix_scan(df.withColumn("k", F.col("id") % 2), ["k"], [F.col("t"), F.col("id")], "t",
-                        [Spec("c", "count")], bucket=None)
-    bucketed = prefix_scan(df.withColumn("k", F.col("id") % 2), ["k"], [F.col("t"), F.col("id")], "t",
-                           [Spec("c", "count")], bucket=spec)
-    _same(plain, bucketed)
+def test_hot_key_is_spread_over_cells(spark):
+    """One customer with a third of the listens: a (key, cell) has at most a cell's share of them."""
+    hot = domain.listen(spark, SF).withColumn("customerid", F.when(F.col("pos") % 3 == 0, F.lit(-1)).otherwise(F.col("customerid")))
+    w = Window.partitionBy("customerid").orderBy("pos")
+    _same(prefix_scan(hot, ["customerid"], [F.col("pos")], "pos", [Spec("n", "count")], cell=500),
+          hot.where("customerid is not null").withColumn("n", F.row_number().over(w).cast("bigint")))
+    cells = in_cells(hot, ["customerid"], "pos", 500).groupBy("customerid", "__cell").count()
+    assert cells.agg(F.max("count")).first()[0] <= 500
+
+
+def test_one_pass_over_the_input(spark):
+    """The window and the totals read one shuffle, so the large table is scanned, sorted and windowed once."""
+    df = J.customer_stream_count_changelog(spark, SF)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    final = plan.split("+- == Initial Plan ==")[0]
+    assert "ReusedExchange" in final
+    scans = re.findall(r"FileScan parquet \[[^\]]*(?:l_orderkey|event_id)", final)
+    assert len(scans) == 1
+
+
+def test_no_job_runs_while_a_plan_is_built(spark):
+    queries = (J.purchase_event_ticket, J.revenue_leader_changelog, J.thank_you_top_streamer_changelog, J.late_stream_counts)
+    for query in queries:  # a table's schema is read from its footers once
+        query(spark, SF)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("building", "building plans")
+    try:
+        for query in queries:
+            query(spark, SF)
+        assert not tracker.getJobIdsForGroup("building")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)

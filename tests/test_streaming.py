@@ -1,253 +1,206 @@
-"""Streaming forms on file sources, split over micro-batches, against the fixtures."""
+"""Streaming forms on file sources, over several micro-batches, against the batch forms and their definitions."""
 
 import json
 import os
 import uuid
 
+import pytest
 from pyspark.sql import functions as F
 
-from encore.streaming import jobs as SJ
-from encore.streaming import sinks
-from encore.streaming.sources import entity_stream, entity_table
+from conftest import at
+from encore.operators.running import Spec
+from encore.plans import jobs as J
+from encore.plans import streams as ST
+from encore.streaming import carried, jobs as SJ, sinks
+from encore.streaming.sources import entity_stream
 
+SF = "/root/testdata/sf0.001"
 
-def _write(dirpath, batches):
-    """Each batch becomes one JSON-lines file (one micro-batch with maxFilesPerTrigger=1)."""
-    os.makedirs(dirpath, exist_ok=True)
+
+def _write(folder, batches):
+    """One JSON-lines file per batch; with maxFilesPerTrigger=1, one micro-batch each, in order of time."""
+    os.makedirs(folder, exist_ok=True)
     for i, rows in enumerate(batches):
-        fp = os.path.join(dirpath, f"part-{i:03d}.json")
-        with open(fp, "w") as f:
-            for r in rows:
-                f.write(json.dumps(r) + "\n")
-        # The file source takes files in modification-time order.
-        os.utime(fp, (1_700_000_000 + i * 10, 1_700_000_000 + i * 10))
-    return dirpath
+        path = os.path.join(folder, f"part-{i:03d}.json")
+        with open(path, "w") as f:
+            f.writelines(json.dumps(r) + "\n" for r in rows)
+        os.utime(path, (1_700_000_000 + i * 10, 1_700_000_000 + i * 10))
+    return folder
 
 
 def _listens(rows, start=0):
-    return [{"id": str(start + i), "customerid": c, "artistid": a,
-             "streamtime": f"2024-01-01 00:00:{(start + i) % 60:02d}", "pos": start + i}
+    return [{"id": str(start + i), "customerid": c, "artistid": a, "streamtime": f"2024-01-01 00:00:{(start + i) % 60:02d}", "pos": start + i}
             for i, (c, a) in enumerate(rows)]
 
 
-def _run(df, tmp_path, mode="update"):
+def _through(df, fn, tmp_path, mode="append"):
     name = "t_" + uuid.uuid4().hex[:10]
-    q = sinks.start(df, name, mode=mode, sink="memory", trigger={"availableNow": True},
-                    checkpoint=str(tmp_path / f"ckpt-{name}"))
+    q = sinks.start_batches(df, name, fn, mode=mode, trigger={"availableNow": True}, checkpoint=str(tmp_path / f"ckpt-{name}"))
     q.awaitTermination()
     assert q.exception() is None
-    return df.sparkSession.table(name)
-
-
-def test_stream_customer_count_changelog(spark, tmp_path):
-    d = _write(str(tmp_path / "listens"), [_listens([("1", "2"), ("1", "3")]),
-                                           _listens([("1", "4"), ("2", "3")], start=2)])
-    s = entity_stream(spark, d, "stream", max_files_per_trigger=1)
-    out = _run(SJ.customer_stream_count_changelog(s), tmp_path, mode="append")
-    assert [(r["customerid"], r["n"]) for r in out.orderBy("pos").collect()] == \
-        [("1", 1), ("1", 2), ("1", 3), ("2", 1)]
-
-
-def test_stream_top_artists_changelog(spark, tmp_path):
-    p1 = [("1", "2"), ("1", "2"), ("1", "3"), ("1", "4"), ("1", "4"), ("1", "4")]
-    p2 = [("1", "5"), ("1", "5")]
-    p3 = [("1", "3"), ("1", "3")]
-    d = _write(str(tmp_path / "listens"), [_listens(p1), _listens(p2, 6), _listens(p3, 8)])
-    s = entity_stream(spark, d, "stream", max_files_per_trigger=1)
-    rows = _run(SJ.top_customer_artists_changelog(s), tmp_path, mode="append").orderBy("pos").collect()
-    assert len(rows) == 10
-    top = lambda r: [(x["artistid"], x["n"]) for x in r["top"]]
-    assert top(rows[5]) == [("4", 3), ("2", 2), ("3", 1)]
-    assert top(rows[7]) == [("4", 3), ("2", 2), ("5", 2)]
-    assert top(rows[9]) == [("4", 3), ("3", 3), ("2", 2)]
-
-
-def test_stream_purchase_event_ticket(spark, tmp_path):
-    ev_dir = _write(str(tmp_path / "events"), [[{"id": "exciting-event-123", "artistid": "artist-1",
-                                                 "venueid": "venue-1", "capacity": 5, "eventdate": "today",
-                                                 "pos": 0}]])
-    custs = [f"customer-{i}" for i in (1, 2, 3, 4, 5, 112, 113, 114)]
-    tix = [{"id": f"t{i}", "customerid": c, "eventid": "exciting-event-123", "price": 10.0, "pos": i}
-           for i, c in enumerate(custs)]
-    t_dir = _write(str(tmp_path / "tickets"), [tix[:3], tix[3:6], tix[6:]])
-    t = entity_stream(spark, t_dir, "ticket", max_files_per_trigger=1)
-    out = _run(SJ.purchase_event_ticket(t, entity_table(spark, ev_dir, "event")), tmp_path,
-               mode="append").orderBy("pos").collect()
-    assert [r["confirmationStatus"] for r in out] == ["CONFIRMED"] * 5 + ["REJECTED"] * 3
-    assert [r["remainingTickets"] for r in out] == [4.0, 3.0, 2.0, 1.0, 0.0, -1.0, -2.0, -3.0]
-
-
-def test_stream_conversion_tally(spark, tmp_path):
-    ev_dir = _write(str(tmp_path / "events"), [[{"id": "event-1", "artistid": "artist-1", "venueid": "v",
-                                                 "capacity": 10, "eventdate": "today", "pos": 0}]])
-    l_dir = _write(str(tmp_path / "listens"), [_listens([("c1", "artist-1")] * 3)])
-    t_dir = _write(str(tmp_path / "tickets"), [[{"id": "t0", "customerid": "c1", "eventid": "event-1",
-                                                 "price": 1.0, "pos": 3}],
-                                               [{"id": "t1", "customerid": "c1", "eventid": "event-1",
-                                                 "price": 1.0, "pos": 4}]])
-    l = entity_stream(spark, l_dir, "stream", max_files_per_trigger=1)
-    t = entity_stream(spark, t_dir, "ticket", max_files_per_trigger=1)
-    m = SJ.conversion_matches(l, t, entity_table(spark, ev_dir, "event"))
-    tally_path = str(tmp_path / "tally")
-    name = "t_" + uuid.uuid4().hex[:10]
-    q = sinks.start_batches(m, name, SJ.tally_batches(tally_path), mode="append", trigger={"availableNow": True},
-                            checkpoint=str(tmp_path / f"ckpt-{name}"))
-    q.awaitTermination()
-    assert SJ.read_tally(spark, tally_path).collect()[0]["value"] == 2
-
-
-def test_stream_top_streamer_and_leader(spark, tmp_path):
-    artists = spark.createDataFrame([("artist-1", "A1", "pop"), ("artist-2", "A2", "rock")],
-                                    "id string, name string, genre string")
-    customers = spark.createDataFrame([("customer-1",), ("customer-2",)], "id string")
-    rows = _listens([("customer-1", "artist-1")] * 3 + [("customer-2", "artist-1")] * 2)
-    rows2 = _listens([("customer-2", "artist-1")] * 2 + [("customer-2", "artist-2")], start=5)
-    d = _write(str(tmp_path / "listens"), [rows, rows2])
-    s = entity_stream(spark, d, "stream", max_files_per_trigger=1)
-    counts = SJ.windowed_stream_counts(s, size_seconds=3600, grace_seconds=1)
+
+
+def _same(a, b):
+    cols = sorted(b.columns)
+    assert sorted(a.columns) == cols
+    assert sorted(map(repr, a.select(*cols).collect())) == sorted(map(repr, b.select(*cols).collect()))
+
+
+@pytest.mark.parametrize("name", ["stream_customer_stream_count_changelog", "stream_purchase_event_ticket",
+                                  "stream_customer_conversion_tally_changelog", "stream_artist_revenue_leader_changelog"])
+def test_changelogs_over_micro_batches(spark, name):
+    from encore.plans import registry
+    fn, batch = ST.QUERIES[name]
+    _same(fn(spark, SF), registry.queries()[batch](spark, SF))
+
+
+def _tickets(rows, spark):
+    return [spark.createDataFrame([(f"#{i}", "fan", event, float(price), at(i)) for i, event, price in part],
+                                  "id string, customerid string, eventid string, price double, arrival timestamp") for part in rows]
+
+
+def test_leader_survives_a_batch_of_unknown_artists(spark, tmp_path):
+    events = spark.createDataFrame([("e1", "A", 9), ("e2", "B", 9), ("e3", "ghost", 9)], "id string, artistid string, capacity int")
+    artists = spark.createDataFrame([("A", "Ada", "x"), ("B", "Bob", "y")], "id string, name string, genre string")
+    fn = carried.in_batches(str(tmp_path / "p4"), SJ.revenue_leader(events, artists))
+    for b, rows in enumerate(_tickets([[(0, "e1", 100)], [(1, "e3", 999), (2, "none", 5)], [(3, "e2", 10)], [(4, "e2", 90)], [(5, "e2", 1)]], spark)):
+        fn(rows, b)
+    out = spark.read.parquet(str(tmp_path / "p4/out")).orderBy("arrival").collect()
+    # B draws level with A in batch 3, which A survives, and passes in batch 4.
+    assert [(r["artistId"], r["revenue"]) for r in out] == [("A", 100), ("A", 100), ("A", 100), ("B", 101)]
+
+
+def test_capacity_is_fixed_by_the_first_batch(spark, tmp_path):
+    answers = []
+    for b, (capacity, rows) in enumerate(zip((2, 5, None), _tickets([[(0, "e", 1), (1, "e", 1)], [(2, "e", 1)], [(3, "e", 1)]], spark))):
+        events = spark.createDataFrame([("e", "A", capacity)], "id string, artistid string, capacity int")
+        carried.in_batches(str(tmp_path / "p2"), SJ.purchase_event_ticket(events))(rows, b)
+    answers = spark.read.parquet(str(tmp_path / "p2/out")).orderBy("request_no").collect()
+    assert [(r["ticket_id"], r["remainingTickets"], r["confirmationStatus"]) for r in answers] == [
+        ("#0", 1.0, "CONFIRMED"), ("#1", 0.0, "CONFIRMED"), ("#2", -1.0, "REJECTED")]
+
+
+def test_replayed_batch_and_compaction(spark, tmp_path, monkeypatch):
+    """Totals are added up every other batch, what no replay needs is deleted, and a batch can be run twice."""
+    monkeypatch.setattr(carried, "COMPACT_EVERY", 2)
+    path = str(tmp_path / "p8")
+    for b in (0, 1, 2, 3, 3, 4, 5, 5, 6):
+        rows = spark.createDataFrame([(c, str(b), at(b), b * 10 + i) for i, c in enumerate("uuv")], "customerid string, id string, streamtime timestamp, pos bigint")
+        carried.in_batches(path, SJ.customer_stream_count_changelog)(rows, b)
+    out = spark.read.parquet(f"{path}/out")
+    assert out.count() == 21 and out.groupBy("customerid").agg(F.max("n")).orderBy("customerid").collect() == [("u", 14), ("v", 7)]
+    assert carried.batch_ids(spark, f"{path}/state/listens/base") == [3, 5]
+    assert carried.batch_ids(spark, f"{path}/state/listens/steps") == [4, 5, 6]
+
+
+def test_unreadable_state_is_an_error(spark, tmp_path):
+    (tmp_path / "state").mkdir()
+    (tmp_path / "state" / "batch_id=0").mkdir()
+    (tmp_path / "state" / "batch_id=0" / "part-0.parquet").write_text("not parquet")
+    assert carried.batch_ids(spark, str(tmp_path / "nothing")) == []
+    with pytest.raises(Exception):
+        SJ._latest_version(spark, str(tmp_path / "state"), 1).count()
+
+
+def test_closed_windows_leave_the_state(spark):
+    totals = spark.createDataFrame([("a", at(0), 3), ("a", at(10), 2), ("a", at(20), 1)], "artistid string, window_start timestamp, t_n int")
+    keep = SJ.closed_windows_gone(10, 1)["windows"]
+    assert sorted(r["t_n"] for r in keep(totals).collect()) == [1, 2]
+
+
+def test_last_cannot_be_carried(spark, tmp_path):
+    rows = spark.createDataFrame([("a", 1)], "k string, pos bigint")
+    with pytest.raises(ValueError):
+        carried.Carried(str(tmp_path), 0)("x", rows, ["k"], [F.col("pos")], "pos", [Spec("l", "last", "pos")])
+
+
+def test_best_streamers_keep_an_unknown_best(spark, tmp_path):
+    """A stranger's best hides a lesser one; it is only left out of what is published."""
+    s = entity_stream(spark, _write(str(tmp_path / "in"), [_listens([("stranger", "a")] * 3), _listens([("u", "a")] * 2 + [("u", "b")], 3)]),
+                      "stream", max_files_per_trigger=1)
     path = str(tmp_path / "best")
-    name = "t_" + uuid.uuid4().hex[:10]
-    q = sinks.start_batches(counts, name, SJ.merge_top_streamers(path, artists, customers),
-                            trigger={"availableNow": True}, checkpoint=str(tmp_path / f"ckpt-{name}"))
+    _through(SJ.windowed_stream_counts(s, size_seconds=3600, grace_seconds=1), SJ.merge_top_streamers(path), tmp_path, "update")
+    best = SJ.read_latest(spark, path)
+    assert {r["artistid"]: (r["customerid"], r["streamCount"]) for r in best.collect()} == {"a": ("stranger", 3), "b": ("u", 1)}
+    known = spark.createDataFrame([("a",), ("b",), ("u",)], "id string")
+    assert [(r["artistid"], r["customerid"]) for r in SJ.published(best, known, known).collect()] == [("b", "u")]
+
+
+def test_watermark_drops_late_windows_over_batches(spark, tmp_path):
+    def rec(i, sec):
+        return {"id": str(i), "customerid": "u", "artistid": "a", "streamtime": f"2024-01-01 00:{sec // 60:02d}:{sec % 60:02d}", "pos": i}
+    batches, out = [[rec(0, 3), rec(1, 4)], [rec(2, 100)], [rec(3, 5), rec(4, 101)]], str(tmp_path / "out")
+    for n in range(1, 4):  # the query goes on from its checkpoint when the next file is there
+        s = entity_stream(spark, _write(str(tmp_path / "in"), batches[:n]), "stream")
+        q = sinks.start_batches(SJ.windowed_stream_counts(s, 10, 1), f"late{n}", lambda b, i: sinks.write_batch(b, out, i),
+                                trigger={"availableNow": True}, checkpoint=str(tmp_path / "ckpt"))
+        q.awaitTermination()
+    rows = spark.read.parquet(out).groupBy("window_start").agg(F.max("n").alias("n")).orderBy("window_start").collect()
+    assert [r["n"] for r in rows] == [2, 2]  # the record of second 5 came when its window was gone
+
+
+def test_revenue_snapshot_leader_and_versions(spark, tmp_path):
+    artists = spark.createDataFrame([("A", "Ada", "x"), ("B", "Bob", "y")], "id string, name string, genre string")
+    path = str(tmp_path / "leader")
+    fn = SJ.merge_revenue_leader(path, artists)
+    for b in range(12):
+        fn(spark.createDataFrame([("A", 5, b), ("B", b, b)], "artistid string, revenue bigint, last_pos bigint"), b)
+    last = SJ.read_latest(spark, path).collect()
+    assert [(r["artistId"], r["revenue"]) for r in last] == [("B", 11)]
+    assert len(carried.batch_ids(spark, path)) == SJ.VERSIONS_KEPT + 1
+
+
+def test_event_table_with_versions_and_deletions(spark):
+    e = spark.createDataFrame([("e", "A", 2, 0), ("e", "A", 3, 1), ("gone", "A", 4, 0), ("gone", None, None, 2)], "id string, artistid string, capacity int, pos int")
+    assert [tuple(r) for r in SJ._event_lookup(e).collect()] == [("e", "A", 3)]
+
+
+def test_stateless_jobs(spark, tmp_path):
+    cur = _write(str(tmp_path / "cur"), [[{"id": "k1", "birthdt": "1993-05-05", "pos": 0}, {"id": "k2", "birthdt": "1970-05-05", "pos": 1}]])
+    old = _write(str(tmp_path / "old"), [[{"id": "k3", "birthdt": "1999-12-31", "pos": 0}]])
+    q = sinks.start(SJ.target_customers(entity_stream(spark, cur, "customer"), entity_stream(spark, old, "customer")), "stateless", mode="append",
+                    trigger={"availableNow": True}, checkpoint=str(tmp_path / "c1"))
     q.awaitTermination()
-    best = {r["artistid"]: (r["customerid"], r["streamCount"]) for r in SJ.read_latest(spark, path).collect()}
-    # customer-2 reaches 4 in the second batch and overtakes customer-1's 3.
-    assert best == {"artist-1": ("customer-2", 4), "artist-2": ("customer-2", 1)}
-
-    ev_dir = _write(str(tmp_path / "events"), [[{"id": "e1", "artistid": "artist-1", "venueid": "v", "capacity": 9,
-                                                 "eventdate": "x", "pos": 0},
-                                                {"id": "e2", "artistid": "artist-2", "venueid": "v", "capacity": 9,
-                                                 "eventdate": "x", "pos": 1}]])
-    tix = [[{"id": "a", "customerid": "c", "eventid": "e1", "price": 300.0, "pos": 0}],
-           [{"id": "b", "customerid": "c", "eventid": "e2", "price": 200.0, "pos": 1},
-            {"id": "c", "customerid": "c", "eventid": "e2", "price": 100.0, "pos": 2}],
-           [{"id": "d", "customerid": "c", "eventid": "e2", "price": 0.5, "pos": 3}]]
-    t = entity_stream(spark, _write(str(tmp_path / "tickets"), tix), "ticket", max_files_per_trigger=1)
-    rev = SJ.artist_revenue(t, entity_table(spark, ev_dir, "event"))
-    lpath = str(tmp_path / "leader")
-    name = "t_" + uuid.uuid4().hex[:10]
-    q = sinks.start_batches(rev, name, SJ.merge_revenue_leader(lpath, artists), trigger={"availableNow": True},
-                            checkpoint=str(tmp_path / f"ckpt-{name}"))
-    q.awaitTermination()
-    versions = spark.read.parquet(lpath).orderBy("batch_id").collect()
-    # Ties hold: artist-2 reaches 300 in batch 1, artist-1 keeps the lead.
-    assert [(r["artistId"], r["revenue"]) for r in versions] == [("artist-1", 300)] * 3
-
-
-def test_stream_stateless(spark, tmp_path):
-    d = _write(str(tmp_path / "cust"), [[{"id": "456", "birthdt": "1990-01-20", "pos": 0},
-                                         {"id": "123", "birthdt": "1989-01-20", "pos": 1}]])
-    dl = _write(str(tmp_path / "legacy"), [[{"id": "567", "birthdt": "1999-01-20", "pos": 0},
-                                            {"id": "678", "birthdt": "2000-01-20", "pos": 1}]])
-    s = SJ.target_customers(entity_stream(spark, d, "customer"), entity_stream(spark, dl, "customer"))
-    out = _run(s, tmp_path, mode="append")
-    assert sorted(r["id"] for r in out.collect()) == ["456", "567"]
-    a = _write(str(tmp_path / "addr"), [[{"line1": "222 1st St", "line2": "Suite 4", "citynm": "Minneapolis",
-                                          "state": "MN", "zip5": "55419", "zip4": "1234", "countrycd": "USA",
-                                          "pos": 0}]])
-    out = _run(SJ.addresses_by_state(entity_stream(spark, a, "address")), tmp_path, mode="append").collect()
-    assert [(r["key"], r["value"], r["sink"]) for r in out] == \
-        [("MN", "222 1st St, Suite 4, Minneapolis, MN 55419-1234 USA", "priority")]
-    assert F is not None
-
-
-def test_stream_observed_metrics(spark, tmp_path):
-    import time as _time
-    d = _write(str(tmp_path / "listens"), [_listens([("1", "2"), ("1", "3")]), _listens([("2", "4")], start=2)])
+    assert sorted(r["id"] for r in spark.table("stateless").collect()) == ["k1", "k3"]
+    addr = [{"line1": "9 Elm Row", "line2": "Rear", "citynm": "Ely", "state": s, "zip5": "89301", "zip4": "0001", "countrycd": "USA", "pos": i}
+            for i, s in enumerate(["NV", "MN"])]
+    paths = {"priority": str(tmp_path / "priority"), "default": str(tmp_path / "default")}
+    _through(SJ.addresses_by_state(entity_stream(spark, _write(str(tmp_path / "addr"), [addr]), "address")), sinks.split_writer(paths), tmp_path)
+    assert {k: [r["key"] for r in spark.read.parquet(p).collect()] for k, p in paths.items()} == {"priority": ["MN"], "default": ["NV"]}
+
+
+def test_json_records_keep_longs(spark):
+    df = spark.createDataFrame([("x", 2**40 + 1)], "artistId string, revenue bigint")
+    back = sinks.from_records(sinks.to_records(df, "artistId"), df.schema).first()
+    assert back["key"] == "x" and back["revenue"] == 2**40 + 1
+
+
+def test_observed_metrics(spark, tmp_path):
+    import time
+    s = entity_stream(spark, _write(str(tmp_path / "in"), [_listens([("1", "2"), ("1", "3")])]), "stream")
     lines = []
     listener = sinks.progress_logger(lines.append)
     spark.streams.addListener(listener)
     try:
-        s = sinks.observed(entity_stream(spark, d, "stream", max_files_per_trigger=1), "listens_in")
-        _run(s, tmp_path, mode="append")
-        _time.sleep(1.0)  # listener events are delivered asynchronously
+        q = sinks.start(sinks.observed(s, "listens_in"), "observed_rows", mode="append", trigger={"availableNow": True}, checkpoint=str(tmp_path / "c"))
+        q.awaitTermination()
+        time.sleep(1.0)  # events arrive later
     finally:
         spark.streams.removeListener(listener)
-    progress = [x for x in lines if "metrics" in x and "listens_in" in x]
-    assert progress and any("'records': 2" in x for x in progress)
+    assert any("'records': 2" in x for x in lines)
 
 
-def test_stream_split_sinks_and_records(spark, tmp_path):
-    a = _write(str(tmp_path / "addr"), [[{"line1": "111 1st St", "line2": "Apt 2", "citynm": "Madison", "state": "WI",
-                                          "zip5": "55555", "zip4": "1234", "countrycd": "USA", "pos": 0},
-                                         {"line1": "222 1st St", "line2": "Suite 4", "citynm": "Minneapolis",
-                                          "state": "MN", "zip5": "55419", "zip4": "1234", "countrycd": "USA",
-                                          "pos": 1}]])
-    paths = {"priority": str(tmp_path / "priority"), "default": str(tmp_path / "default")}
-    name = "t_" + uuid.uuid4().hex[:10]
-    q = sinks.start_batches(SJ.addresses_by_state(entity_stream(spark, a, "address")), name,
-                            sinks.split_writer(paths), mode="append", trigger={"availableNow": True},
-                            checkpoint=str(tmp_path / f"ckpt-{name}"))
+def test_top_artists_complete(spark, tmp_path):
+    s = entity_stream(spark, _write(str(tmp_path / "in"), [_listens([("c1", "a"), ("c2", "b"), ("c3", "a")]), _listens([("c1", "c")] * 3, 3)]), "stream",
+                      max_files_per_trigger=1)
+    q = sinks.start(SJ.top_artists_global(s, k=2), "top_two", mode="complete", trigger={"availableNow": True}, checkpoint=str(tmp_path / "c"))
     q.awaitTermination()
-    pri = [(r["key"], r["value"]) for r in spark.read.parquet(paths["priority"]).collect()]
-    dft = [(r["key"], r["value"]) for r in spark.read.parquet(paths["default"]).collect()]
-    assert pri == [("MN", "222 1st St, Suite 4, Minneapolis, MN 55419-1234 USA")]
-    assert dft == [("WI", "111 1st St, Apt 2, Madison, WI 55555-1234 USA")]
-    # JSON records keep longs as longs.
-    df = spark.createDataFrame([("artist-1", 2**40 + 1)], "artistId string, revenue bigint")
-    back = sinks.from_records(sinks.to_records(df, "artistId"), "artistId string, revenue bigint").collect()[0]
-    assert back["key"] == "artist-1" and back["revenue"] == 2**40 + 1
-
-
-def test_stream_event_table_latest_version(spark, tmp_path):
-    # The event table is a changelog: capacity 2 is replaced by 3 before tickets arrive.
-    ev_dir = _write(str(tmp_path / "events"), [[{"id": "e", "artistid": "a", "venueid": "v", "capacity": 2,
-                                                 "eventdate": "x", "pos": 0},
-                                                {"id": "e", "artistid": "a", "venueid": "v", "capacity": 3,
-                                                 "eventdate": "x", "pos": 1}]])
-    tix = [{"id": f"t{i}", "customerid": "c", "eventid": "e", "price": 1.0, "pos": 10 + i} for i in range(4)]
-    t = entity_stream(spark, _write(str(tmp_path / "tickets"), [tix]), "ticket")
-    out = _run(SJ.purchase_event_ticket(t, entity_table(spark, ev_dir, "event")), tmp_path, mode="append")
-    assert [r["confirmationStatus"] for r in out.orderBy("pos").collect()] == ["CONFIRMED"] * 3 + ["REJECTED"]
-
-
-def test_stream_top_streamer_keyed_state(spark, tmp_path):
-    """P5 as keyed state: best single-window count per artist, ties to the first,
-    a record for a closed window ignored; split over two micro-batches."""
-    def rec(i, c, sec):
-        return {"id": str(i), "customerid": c, "artistid": "a", "streamtime": f"2024-01-01 00:{sec // 60:02d}:{sec % 60:02d}",
-                "pos": i}
-    b1 = [rec(0, "x", 0), rec(1, "y", 1), rec(2, "y", 2), rec(3, "x", 3)]          # window [0,10): x2, y2 (y first)
-    b2 = [rec(4, "x", 12), rec(5, "x", 13), rec(6, "z", 30), rec(7, "x", 4)]       # x2 in [10,20); pos 7 is late
-    d = _write(str(tmp_path / "listens"), [b1, b2])
-    s = entity_stream(spark, d, "stream", max_files_per_trigger=1)
-    out = _run(SJ.top_streamer_changes(s, size_seconds=10, grace_seconds=1), tmp_path, mode="append")
-    changes = [(r["customerid"], r["streamCount"]) for r in out.orderBy("pos").collect()]
-    # x:1 at pos 0, y reaches 2 at pos 2 (first to 2); x's later 2s and the late record do not replace it.
-    assert changes == [("x", 1), ("y", 2)]
-    artists = spark.createDataFrame([("a",)], "id string")
-    customers = spark.createDataFrame([("x",), ("y",), ("z",)], "id string")
-    cur = SJ.current_top_streamers(out, artists, customers).collect()
-    assert [(r["customerId"], r["streamCount"]) for r in cur] == [("y", 2)]
-
-
-def test_stream_top_artists_global_complete(spark, tmp_path):
-    d = _write(str(tmp_path / "listens"), [_listens([("c1", "a"), ("c2", "b"), ("c3", "a")]),
-                                           _listens([("c1", "c"), ("c2", "c"), ("c3", "c"), ("c4", "b")], start=3)])
-    s = entity_stream(spark, d, "stream", max_files_per_trigger=1)
-    out = _run(SJ.top_artists_global(s, k=2), tmp_path, mode="complete")
-    assert [(r["artistid"], r["n"]) for r in out.orderBy(F.desc("n"), "artistid").collect()] == [("c", 3), ("a", 2)]
-
-
-def test_stream_exact_leader_across_batches(spark, tmp_path):
-    """P4 per ticket on a stream, one ticket per micro-batch: leaders A, A, B
-    for (event1 300), (event2 200), (event2 200); a tie holds across batches."""
-    artists = spark.createDataFrame([("artistA", "Taylor Swift", "pop"), ("artistB", "Drake", "hip-hop")],
-                                    "id string, name string, genre string")
-    ev_dir = _write(str(tmp_path / "events"), [[{"id": "event1", "artistid": "artistA", "venueid": "v",
-                                                 "capacity": 9, "eventdate": "x", "pos": 0},
-                                                {"id": "event2", "artistid": "artistB", "venueid": "v",
-                                                 "capacity": 9, "eventdate": "x", "pos": 1}]])
-    prices = [("event1", 300.0), ("event2", 200.0), ("event2", 200.0), ("event1", 100.0), ("event2", 0.5)]
-    tix = [[{"id": f"t{i}", "customerid": "c", "eventid": e, "price": p, "pos": i}] for i, (e, p) in enumerate(prices)]
-    t = entity_stream(spark, _write(str(tmp_path / "tickets"), tix), "ticket", max_files_per_trigger=1)
-    totals = SJ.artist_running_revenue(t, entity_table(spark, ev_dir, "event"))
-    path = str(tmp_path / "p4")
-    name = "t_" + uuid.uuid4().hex[:10]
-    q = sinks.start_batches(totals, name, SJ.leader_changelog_batches(path, artists), mode="append",
-                            trigger={"availableNow": True}, checkpoint=str(tmp_path / f"ckpt-{name}"))
-    q.awaitTermination()
-    ch = spark.read.parquet(path + "/changelog").orderBy("pos").collect()
-    assert [(r["leader_artistid"], r["leader_revenue"]) for r in ch] == \
-        [("artistA", 300), ("artistA", 300), ("artistB", 400), ("artistB", 400), ("artistB", 400)]
-    # A reaches 400 in batch 4: a tie, B holds.
+    assert [(r["artistid"], r["n"]) for r in spark.table("top_two").orderBy(F.desc("n"), "artistid").collect()] == [("c", 3), ("a", 2)]
+
+
+def test_last_change_is_the_snapshot(spark):
+    _same(ST.stream_top_customer_artists(spark, SF), J.top_customer_artists(spark, SF))
+    ch = J.artist_ticket_count_changelog(spark, SF)
+    _same(ch.groupBy("artistid").agg(F.max("n").alias("n")), J.artist_ticket_count(spark, SF))
+    tally = J.customer_conversion_tally_changelog(spark, SF)
+    assert tally.agg(F.max("value")).first()[0] == J.customer_conversion_tally(spark, SF).first()["value"]
