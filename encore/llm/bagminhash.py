@@ -18,9 +18,10 @@ document for which that was too early is done again with twice the time.
 
 Signatures are banded. Copies with equal words are one node, represented by
 one document. In a bucket every member is compared with the smallest member,
-and what that leaves apart is compared further until each two members of a
-bucket that are not yet in one class have been compared; candidate pairs are
-checked exactly. Classes are the connected components of the links.
+then with others that are drawn. Of the members that this leaves in different
+classes, all pairs that can be similar are compared, found by their rarest
+shingles. Candidate pairs are checked exactly, and classes are the connected
+components of the links.
 """
 
 from __future__ import annotations
@@ -41,7 +42,10 @@ SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 20, 4
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 #: Rounds in which members are compared with one other member of the bucket before the rest is compared pair by pair.
-HUB_ROUNDS = 3
+HUB_ROUNDS = 2
+#: Texts that a shingle is in to count as frequent among those that are left, and the most such shingles that are sent
+#: to all tasks (8 MB). Both only decide the order of shingles, not what is found.
+FREQUENT, MAX_FREQUENT = 8, 1_000_000
 
 
 class WordHashes(dict):
@@ -228,20 +232,26 @@ def near_classes(docs: DataFrame, threshold: float = SIMILARITY, bands: int = BA
     member = cut(member, "near-members")
     wanted = cut(member.select("key").distinct(), "near-wanted")
     texts = _texts(docs, wanted)
-    links = None
-    labels = None
-    tested = None
-    for round_ in range(HUB_ROUNDS + 1):
-        pairs = _open_pairs(member, labels, round_)
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = cut(pairs, f"near-pairs{round_}")
-        if pairs.isEmpty():
-            break
-        good = cut(_verify(pairs, texts, threshold), f"near-links{round_}")
-        links = good if links is None else links.unionByName(good)
+    links = tested = labels = None
+
+    def settle(pairs: DataFrame, name: str) -> bool:
+        """Check the pairs that are new and join the classes of those that are similar; whether there were any."""
+        nonlocal links, tested, labels
+        pairs = cut(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), f"near-pairs-{name}")
+        good = cut(_verify(pairs, texts, threshold), f"near-links-{name}")
         tested = pairs if tested is None else tested.unionByName(pairs)
-        labels = components(links, f"near-classes{round_}")
+        if good.isEmpty():
+            return False
+        links = good if links is None else links.unionByName(good)
+        labels = components(links, f"near-classes-{name}")
+        return True
+
+    found = settle(_first_pairs(member, threshold), "hubs0")
+    for round_ in range(1, HUB_ROUNDS if found else 1):
+        if not settle(_hub_pairs(_apart(member, labels, f"near-apart{round_}"), round_, threshold), f"hubs{round_}"):
+            break
+    apart = _apart(member, labels, "near-apart")
+    settle(_rest(apart, texts, threshold), "rest")
     if labels is None:
         return light.select("key", F.col("key").alias("class_key"), "words")
     of_node = nodes.select("words", F.col("key").alias("node")).join(labels, "node", "left").select(
@@ -259,38 +269,97 @@ def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return cut(rows.join(wanted, "key", "left_semi").groupBy("key").agg(F.first("text").alias("text")), "near-texts")
 
 
-def _open_pairs(member: DataFrame, labels: DataFrame | None, round_: int) -> DataFrame:
-    """Pairs ``a > b`` that share a bucket and are not yet in one class.
+def _first_pairs(member: DataFrame, threshold: float) -> DataFrame:
+    """Every member of a bucket with the smallest one."""
+    hubs = member.filter(F.col("key") == F.col("hub")).select("bucket", F.col("key").alias("hub_key"), F.col("n").alias("hub_n"))
+    pairs = member.join(hubs, "bucket").filter("key <> hub_key")
+    return _sized(pairs, threshold).select(F.col("key").alias("a"), F.col("hub_key").alias("b")).distinct()
+
+
+def _apart(member: DataFrame, labels: DataFrame | None, name: str) -> DataFrame:
+    """``bucket, key, n, label`` of the members of buckets that are not yet one class."""
+    now = member.select("bucket", "key", "n", F.col("key").alias("label"))
+    if labels is not None:
+        now = member.join(labels, member["key"] == labels["node"], "left").select(
+            "bucket", "key", "n", F.coalesce("label", "key").alias("label"))
+    now = cut(now, f"{name}-now")
+    several = now.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("bucket")
+    return cut(now.join(cut(several, f"{name}-several"), "bucket", "left_semi"), name)
+
+
+def _hub_pairs(apart: DataFrame, round_: int, threshold: float) -> DataFrame:
+    """Every member with one that is drawn from its bucket, unless they are in one class."""
+    drawn = F.struct(F.xxhash64(F.lit(round_), "bucket", "key").alias("h"), "key", "n", "label")
+    hubs = cut(apart.groupBy("bucket").agg(F.min(drawn).alias("hub")), f"near-hubs{round_}")
+    pairs = apart.join(hubs, "bucket").select("key", "n", "label", F.col("hub.key").alias("hub_key"),
+                                              F.col("hub.n").alias("hub_n"), F.col("hub.label").alias("hub_label"))
+    return _two(pairs.filter("label <> hub_label"), threshold)
 
-    In the first round every member is paired with the smallest one; in the
-    next with one drawn from the bucket; in the last, members that are still
-    apart are all paired. Pairs whose sizes rule out the similarity are not made.
+
+def _rest(apart: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """All pairs of members of different classes that can be similar, by their rarest shingles.
+
+    Put the shingles of all texts in one order, each with the number of its
+    occurrence in the text. Two texts with a similarity of t or more then share
+    one of their first ``n - ceil(t n) + 1``, whatever the order is. With the
+    frequent ones last, a passage that very many texts have is in nobody's
+    first ones, so texts that have no more in common make no pair.
     """
-    if labels is None:
-        hubs = member.filter(F.col("key") == F.col("hub")).select("bucket", F.col("key").alias("hub_key"), F.col("n").alias("hub_n"))
-        pairs = member.join(hubs, "bucket").filter("key <> hub_key")
-        return _sized(pairs).select(F.col("key").alias("a"), F.col("hub_key").alias("b")).distinct()
-    now = member.join(labels, member["key"] == labels["node"], "left").select(
-        "bucket", "key", "n", F.coalesce("label", "key").alias("label"))
-    now = cut(now, f"near-now{round_}")
-    apart = now.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"),
-                                      F.min(F.struct(F.xxhash64(F.lit(round_), "bucket", "key").alias("h"), "key", "n", "label")).alias("hub"))
-    apart = cut(apart.filter("lo <> hi").select("bucket", "hub"), f"near-apart{round_}")
-    if round_ < HUB_ROUNDS:
-        pairs = now.join(apart, "bucket").select("key", "n", "label", F.col("hub.key").alias("hub_key"),
-                                                 F.col("hub.n").alias("hub_n"), F.col("hub.label").alias("hub_label"))
-        pairs = pairs.filter("label <> hub_label")
-    else:
-        left = now.join(apart.select("bucket"), "bucket", "left_semi")
-        right = left.select("bucket", F.col("key").alias("hub_key"), F.col("n").alias("hub_n"), F.col("label").alias("hub_label"))
-        pairs = left.join(right, "bucket").filter("label > hub_label")
-    pairs = _sized(pairs)
-    return pairs.select(F.greatest("key", "hub_key").alias("a"), F.least("key", "hub_key").alias("b")).distinct()
-
-
-def _sized(pairs: DataFrame) -> DataFrame:
+    nodes = cut(apart.select("key", "n", "label").distinct(), "near-open")
+    rows = texts.join(nodes, "key").select("key", "n", "label", "text")
+    spark = rows.sparkSession
+
+    def count(batches):
+        hashes = WordHashes()
+        for b in batches:
+            parts = [np.unique(shingles(words_of(t), hashes)) for t in texts_of(b, "text")]
+            found, n = np.unique(np.concatenate([np.zeros(0, np.uint64), *parts]), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n.astype(np.int64))], names=["s", "n"])
+
+    frequent = rows.select("text").mapInArrow(count, "s bigint, n bigint").groupBy("s").agg(F.sum("n").alias("n"))
+    frequent = frequent.filter(F.col("n") >= FREQUENT).orderBy(F.desc("n"), "s").limit(MAX_FREQUENT).select("s")
+    sent = spark.sparkContext.broadcast(frequent.toArrow().column("s").to_numpy().astype(np.int64).view(np.uint64))
+
+    def rarest(batches):
+        hashes, often = WordHashes(), np.sort(sent.value)
+        for b in batches:
+            rows_, tokens, frequent_, shared = [], [], [], []
+            for i, t in enumerate(texts_of(b, "text")):
+                s = np.sort(shingles(words_of(t), hashes))
+                nth = np.arange(len(s)) - np.searchsorted(s, s)  # equal shingles, told apart by their number
+                place = np.searchsorted(often, s)
+                common = often[np.minimum(place, len(often) - 1)] == s if len(often) else np.zeros(len(s), bool)
+                token = mix64(s + nth.astype(np.uint64) * GOLDEN)
+                first = np.lexsort((token, nth > 0, common))[:len(s) - math.ceil(threshold * len(s) - 1e-9) + 1]
+                tokens.append(token[first].view(np.int64))
+                frequent_.append(common[first])
+                shared.append(np.full(len(first), common.sum(), np.int64))
+                rows_.append(np.full(len(first), i, np.int64))
+            at = pa.array(np.concatenate([np.zeros(0, np.int64), *rows_]))
+            columns = [b.column(c).take(at) for c in ("key", "n", "label")]
+            columns += [pa.array(np.concatenate([np.zeros(0, t), *parts]))
+                        for t, parts in ((np.int64, tokens), (bool, frequent_), (np.int64, shared))]
+            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+
+    zero = F.lit(0).cast("bigint")
+    schema = rows.select("key", "n", "label", zero.alias("token"), F.lit(True).alias("frequent"), zero.alias("c")).schema
+    first = cut(rows.mapInArrow(rarest, schema), "near-rarest")
+    several = first.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("token")
+    left = cut(first.join(several, "token", "left_semi"), "near-rare")
+    right = left.select("token", F.col("key").alias("hub_key"), F.col("n").alias("hub_n"), F.col("label").alias("hub_label"), F.col("c").alias("hub_c"))
+    # Where a frequent one is among the first, all rare ones are; two texts that share none of those share at most their
+    # frequent ones, and need t / (1 + t) of both numbers together.
+    enough = F.least("c", "hub_c") >= (F.col("n") + F.col("hub_n")) * (threshold / (1 + threshold)) - 1e-6
+    return _two(left.join(right, "token").filter("label > hub_label").filter(~F.col("frequent") | enough), threshold)
+
+
+def _two(pairs: DataFrame, threshold: float) -> DataFrame:
+    return _sized(pairs, threshold).select(F.greatest("key", "hub_key").alias("a"), F.least("key", "hub_key").alias("b")).distinct()
+
+
+def _sized(pairs: DataFrame, threshold: float) -> DataFrame:
     """Pairs whose numbers of shingles allow the similarity."""
-    return pairs.filter(F.least("n", "hub_n") >= F.lit(SIMILARITY - 1e-9) * F.greatest("n", "hub_n"))
+    return pairs.filter(F.least("n", "hub_n") >= F.lit(threshold - 1e-9) * F.greatest("n", "hub_n"))
 
 
 def near_report(docs: DataFrame, **settings) -> DataFrame:
