@@ -24,6 +24,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -88,56 +89,100 @@ class WordEncoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.width = 2 if max(vocabulary.values()) < 1 << 16 else 4
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        #: Whether an id ends a pre-token; none if the vocabulary does not say.
+        self.ends = None
+        if suffix:
+            self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+            self.ends[[i for t, i in vocabulary.items() if t.endswith(suffix)]] = True
         self.recent: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
     def plain(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, f"<u{self.width}").tobytes()
 
+    def pieces(self, word: str) -> int:
+        """Number of pre-tokens of a word."""
+        simple = LETTERS.fullmatch(word)
+        if simple and simple[2].isalpha():
+            return 1 + bool(simple[1]) + bool(simple[3])
+        normal = self.tokenizer.normalizer.normalize_str(word) if self.tokenizer.normalizer else word
+        return 1 if normal.isalpha() else len(self.tokenizer.pre_tokenizer.pre_tokenize_str(normal))
+
+    def cuts(self, words: list[str], done) -> np.ndarray:
+        """Where the ids of each word begin, and the end of the last, in those of the words as one text."""
+        ids = np.array(done.ids, np.int64)
+        if self.ends is not None:
+            after = np.flatnonzero(self.ends[ids]) + 1
+            last = np.cumsum([self.pieces(w) for w in words])
+            if len(after) == last[-1] and after[-1] == len(ids):
+                return np.concatenate([[0], after[last - 1]])
+        offsets = self.tokenizer.encode(" ".join(words), add_special_tokens=False).offsets
+        begin = np.cumsum([0, *[len(w) + 1 for w in words]])
+        return np.searchsorted(np.fromiter((a for a, _ in offsets), np.int64, len(ids)), begin)
+
     def learn(self, words: list[str]) -> None:
-        """Encode new words as one text, cut by the places the tokens come from."""
+        """Encode new words as one text, and cut the ids."""
         if len(self.recent) + len(words) > CACHED_WORDS:
             self.older, self.recent = self.recent, {}
-        special = [w for w in words if "<|" in w]
-        for w in special:
-            self.recent[w] = self.plain(w)
-        words = [w for w in words if "<|" not in w] if special else words
-        if not words:
-            return
-        done = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
-        ids = np.array(done.ids, f"<u{self.width}")
-        begin = np.cumsum([0, *[len(w) + 1 for w in words]])
-        at = np.fromiter((a for a, _ in done.offsets), np.int64, len(ids))
-        cuts = (np.searchsorted(at, begin) * self.width).tolist()
-        raw = ids.tobytes()
-        for w, a, b in zip(words, cuts, cuts[1:]):
-            self.recent[w] = raw[a:b]
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        split = [[] if not t or ODD_SPACE.search(t) else t.split() for t in texts]
-        known, older = self.recent, self.older
-        new: dict[str, None] = {}
-        for words in split:
-            for w in set(words):
-                if w not in known:
-                    ids = older.get(w)
-                    if ids is None:
-                        new[w] = None
-                    else:
-                        known[w] = ids
-        held = known
+        simple = []
+        for w in words:
+            if "<|" in w or not w:
+                self.recent[w] = self.plain(w)
+            else:
+                simple.append(w)
+        for at in range(0, len(simple), 10_000):
+            part = simple[at:at + 10_000]
+            done = self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0]
+            raw, cuts = np.array(done.ids, f"<u{self.width}").tobytes(), (self.cuts(part, done) * self.width).tolist()
+            self.recent.update((w, raw[a:b]) for w, a, b in zip(part, cuts, cuts[1:]))
+
+    def known(self, words: list[str]) -> list[bytes]:
+        """The ids of distinct words."""
+        held, older = self.recent, self.older
+        found = list(map(held.get, words))
+        new = []
+        for i, ids in enumerate(found):
+            if ids is None:
+                ids = found[i] = older.get(words[i])
+                if ids is None:
+                    new.append(i)
+                else:
+                    held[words[i]] = ids
         if new:
-            self.learn(list(new))
-            held = self.recent if self.recent is known else {**known, **self.recent}
-        return [b"".join(map(held.__getitem__, words)) if words else self.plain(t) if t else b""
-                for t, words in zip(texts, split)]
-
-
-#: Python splits at these, tokenizers do not call them white space; texts with one are encoded whole.
-ODD_SPACE = re.compile("[\x1c-\x1f]")
-
-
+            self.learn([words[i] for i in new])
+            for i in new:
+                found[i] = self.recent[words[i]]
+        return found
+
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        """The ids of every text of a column, null counting as empty.
+
+        Arrow splits the column and numbers its distinct words; only those are
+        looked up one by one, and their ids are gathered in the order of the words.
+        """
+        texts = texts.fill_null("")
+        odd = pc.match_substring_regex(texts, "[\x1c-\x1f]")  # Arrow splits at these, tokenizers do not call them white space
+        split = pc.utf8_split_whitespace(pc.if_else(odd, "", texts))
+        words = split.flatten().dictionary_encode()
+        found = self.known(words.dictionary.to_pylist())
+        length = np.fromiter(map(len, found), np.int64, len(found)) // self.width
+        values = pa.array(np.frombuffer(b"".join(found), f"<u{self.width}"))
+        lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(length)]), pa.int32()), values)
+        raw = memoryview(lists.take(words.indices).flatten().to_numpy(zero_copy_only=False).tobytes())
+        at = words.indices.to_numpy()
+        ends = np.concatenate([[0], np.cumsum(length[at])])[np.cumsum(split.value_lengths().to_numpy(zero_copy_only=False))]
+        cuts = [0, *(ends * self.width).tolist()]
+        out = [bytes(raw[a:b]) for a, b in zip(cuts, cuts[1:])]
+        for i in np.flatnonzero(odd.to_numpy(zero_copy_only=False)).tolist():
+            out[i] = self.plain(texts[i].as_py())
+        return out
+
+
+#: Letters, maybe between ASCII punctuation; without apostrophes and the one letter that has two in lower case.
+LETTERS = re.compile(r"([!-&(-/:-@\[-`{-~]*)([^\W\d_\u0130]+)([!-&(-/:-@\[-`{-~]*)")
 def file_system(path: str):
     """(pyarrow file system, path in it) of a folder that the cluster shares."""
     from pyarrow import fs
@@ -175,7 +220,7 @@ def write_records(docs: DataFrame, tokenizer: str, name: str = "tokens", files:
         with files_.open_output_stream(f"{base}/{file}") as out:
             for b in batches:
                 index = []
-                ids_of = encoder.encode(b.column("text").to_pylist())
+                ids_of = encoder.encode(b.column("text"))
                 for doc_id, ids in zip(b.column("doc_id").to_pylist(), ids_of):
                     record = frame(pack(doc_id, ids + end, encoder.width))
                     out.write(record)

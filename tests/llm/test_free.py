@@ -9,6 +9,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from edge import SF, documents, edge_docs, edge_rows
 from pyspark.sql import functions as F
@@ -220,7 +221,7 @@ def test_small_cache_gives_the_same_ids(monkeypatch):
     monkeypatch.setattr(record_files, "CACHED_WORDS", 50)
     encoder = record_files.WordEncoder(public_tokenizers.path("word_bpe_49k.json"))
     for _, t, _, _ in documents()[:20]:
-        assert encoder.encode([t, None, t]) == [encoder.plain(t), b"", encoder.plain(t)]
+        assert encoder.encode(pa.array([t, None, t])) == [encoder.plain(t), b"", encoder.plain(t)]
 
 
 def test_damaged_records_are_found():
