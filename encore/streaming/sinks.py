@@ -108,7 +108,7 @@ def progress_logger(log=print):
 # ---------------------------------------------------------------- record shapes and multi-sink writes
 
 #: Times keep their microseconds (by default JSON has milliseconds).
-MICROSECONDS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+MICROSECONDS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 
 
 def to_records(df: DataFrame, key: str) -> DataFrame:
