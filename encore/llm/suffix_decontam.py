@@ -5,8 +5,10 @@ bytes. A shard's words become numbers, those that no benchmark item has being
 all different, and its suffix array is built by prefix doubling: only groups
 of suffixes that are still equal are sorted again. Every suffix of every
 benchmark item is then found in it by binary search, for all suffixes at once.
-The places where its first ``window`` words occur are the hits; extending them
-word by word gives the longest verbatim match and where it is.
+The places where its first ``window`` words occur are the hits. For the longest
+verbatim match every hit is compared with every place that its window has in
+the benchmark, by one suffix array over the hits and those places together:
+of all places, the next ones in its order share most words with a hit.
 
 Documents never shuffle. What is sent to the tasks is a block of the benchmark
 of at most ``block_bytes``; a larger benchmark is passed over block by block,
@@ -65,7 +67,7 @@ class Benchmark:
     def __init__(self, items: list[tuple[str, bytes | None]], window: int):
         self.window, self.vocabulary, self.names = window, {}, []
         ids, starts, lengths, owner, seen = [0], [], [], [], {}
-        self.item_of, self.start_of = [], []
+        place, of, name_at, start_at = [], [], [], []
         for name, text in items:
             words = words_of(text)
             if not words:
@@ -81,14 +83,26 @@ class Benchmark:
                     starts.append(base + j)
                     lengths.append(take)
                     owner.append(set())
-                    self.item_of.append(item)
-                    self.start_of.append(j)
                 owner[w].add(item)
+                place.append(base + j)
+                of.append(w)
+                name_at.append(item)
+                start_at.append(j)
         self.ids = np.array([*ids, *[0] * window], np.int64)
         self.starts, self.lengths = np.array(starts, np.int64), np.array(lengths, np.int64)
         self.owners = np.array([i for s in owner for i in sorted(s)], np.int64)
         self.owner_at = np.concatenate([[0], np.cumsum([len(s) for s in owner])]).astype(np.int64)
-        self.item_of, self.start_of = np.array(self.item_of, np.int64), np.array(self.start_of, np.int64)
+        # All places of every window, window by window, and each place's rank by item id and then by its word in the item.
+        of, name_at, start_at = np.array(of, np.int64), np.array(name_at, np.int64), np.array(start_at, np.int64)
+        by_window = np.argsort(of, kind="stable")
+        self.places = np.array(place, np.int64)[by_window]
+        self.place_at = np.searchsorted(of[by_window], np.arange(len(starts) + 1))
+        new = [i == 0 or self.names[i] != self.names[i - 1] for i in range(len(self.names))]
+        by_rank = np.lexsort((start_at, np.cumsum(new)[name_at])) if len(of) else of
+        rank = np.empty(len(of), np.int64)
+        rank[by_rank] = np.arange(len(of))
+        self.place_rank = rank[by_window]
+        self.name_of_rank, self.start_of_rank = name_at[by_rank], start_at[by_rank]
         # The first words of every window, in columns; where it is shorter, nothing is compared.
         columns = np.arange(window)
         self.heads = self.ids[self.starts[:, None] + columns] if starts else np.zeros((0, window), np.int64)
@@ -123,6 +137,98 @@ def _ranges(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + lo[which], which
 
 
+def longest_matches(pos: np.ndarray, window: np.ndarray, doc: np.ndarray, bench: Benchmark) -> dict[int, tuple[int, int, int]]:
+    """For each document its longest match of whole windows: (words, its position, rank of the benchmark place).
+
+    ``pos`` are the positions at which a whole ``window`` occurs. Of matches of
+    one length the first in the document counts, and of its places the one of
+    the smallest rank. Two places share ``l`` windows in a row if they share
+    ``l + bench.window - 1`` words, so windows are compared instead of words.
+    """
+    if not pos.size:
+        return {}
+    order = np.argsort(pos)
+    pos, window, doc = pos[order], window[order], doc[order]
+    hit = np.unique(window)
+    slot, which = _ranges(bench.place_at[hit], bench.place_at[hit + 1])
+    slot, which = slot[(order := np.argsort(bench.places[slot]))], which[order]
+    # Nodes: first the hits, then the places, each in the order of the text.
+    n_hits = len(pos)
+    at = np.concatenate([pos, bench.places[slot] + pos[-1] + 2])
+    symbol = np.concatenate([np.searchsorted(hit, window), which])
+    m = len(at)
+    at_ = np.concatenate([at, [-1]])
+
+    def later(node: np.ndarray, h: int) -> np.ndarray:
+        """The node ``h`` windows on, or m where the run of nodes ends before it. Each run ends in a symbol of its own."""
+        to = np.minimum(node + h, m)
+        return np.where(at_[to] == at_[node] + h, to, m)
+
+    # Prefix doubling; levels[k] numbers the nodes by their first 2^k windows.
+    sa = np.argsort(symbol, kind="stable")
+    new = np.concatenate([[True], symbol[sa][1:] != symbol[sa][:-1]])
+    rank = np.empty(m, np.int64)
+    rank[sa] = np.flatnonzero(new)[np.cumsum(new) - 1]
+    slots = np.flatnonzero(~new | ~np.concatenate([new[1:], [True]]))
+    levels, h = [rank.copy()], 1
+    while slots.size:
+        nodes = sa[slots]
+        to = later(nodes, h)
+        key = rank[nodes] * (3 * m) + np.where(to < m, rank[np.minimum(to, m - 1)], m + nodes + h)
+        order = np.argsort(key, kind="stable")
+        nodes, key = nodes[order], key[order]
+        new = np.concatenate([[True], key[1:] != key[:-1]])
+        sa[slots] = nodes
+        rank[nodes] = slots[np.flatnonzero(new)][np.cumsum(new) - 1]
+        slots = slots[~new | ~np.concatenate([new[1:], [True]])]
+        h *= 2
+        levels.append(rank.copy())
+
+    def shared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Windows that the nodes of a and b have in common from their start on."""
+        n = np.zeros(len(a), np.int64)
+        for k in reversed(range(len(levels))):
+            open_ = np.flatnonzero((a < m) & (b < m))
+            same = open_[levels[k][a[open_]] == levels[k][b[open_]]]
+            n[same] += 1 << k
+            a, b = a.copy(), b.copy()
+            a[same], b[same] = later(a[same], 1 << k), later(b[same], 1 << k)
+        return n
+
+    in_order = np.flatnonzero(sa >= n_hits)
+    places = sa[in_order]
+    before = np.searchsorted(in_order, rank[:n_hits])  # places ahead of each hit in the order
+    hits = np.arange(n_hits)
+    n = np.zeros(n_hits, np.int64)
+    for near in (before - 1, before):
+        ok = np.flatnonzero((near >= 0) & (near < len(places)))
+        n[ok] = np.maximum(n[ok], shared(hits[ok], places[near[ok]]))
+    first = np.lexsort((pos, -n, doc))
+    best = first[np.unique(doc[first], return_index=True)[1]]
+    # The places that share as much lie around the hit in the order.
+    lo, hi = np.zeros(len(best), np.int64), before[best].copy()
+    while (open_ := np.flatnonzero(lo < hi)).size:
+        mid = (lo[open_] + hi[open_]) // 2
+        enough = shared(best[open_], places[mid]) >= n[best[open_]]
+        hi[open_], lo[open_] = np.where(enough, mid, hi[open_]), np.where(enough, lo[open_], mid + 1)
+    left = lo
+    lo, hi = before[best].copy(), np.full(len(best), len(places), np.int64)
+    while (open_ := np.flatnonzero(lo < hi)).size:
+        mid = (lo[open_] + hi[open_]) // 2
+        enough = shared(best[open_], places[mid]) >= n[best[open_]]
+        lo[open_], hi[open_] = np.where(enough, mid + 1, lo[open_]), np.where(enough, hi[open_], mid)
+    right = lo
+    # Smallest rank of each range [left, right): two overlapping stretches of a power of two.
+    least, chosen = bench.place_rank[slot][places - n_hits], np.zeros(len(best), np.int64)
+    power = np.frexp(right - left)[1] - 1
+    for k in range(int(power.max()) + 1):
+        if k:
+            least = np.minimum(least[:-(1 << (k - 1))], least[1 << (k - 1):])
+        ask = np.flatnonzero(power == k)
+        chosen[ask] = np.minimum(least[left[ask]], least[right[ask] - (1 << k)])
+    return {int(d): (int(w) + bench.window - 1, int(p), int(r)) for d, w, p, r in zip(doc[best], n[best], pos[best], chosen)}
+
+
 def search_shard(texts: list[bytes | None], bench: Benchmark) -> list[dict]:
     """The result of every document of a shard."""
     per_doc = [words_of(t) for t in texts]
@@ -156,23 +262,17 @@ def search_shard(texts: list[bytes | None], bench: Benchmark) -> list[dict]:
     at, which = _ranges(bench.owner_at[pair_window], bench.owner_at[pair_window + 1])
     owned = np.unique(pair_doc[which] * (len(bench.names) + 1) + bench.owners[at])
     owned_doc, owned_item = owned // (len(bench.names) + 1), owned % (len(bench.names) + 1)
-    # The longest match: occurrences that nothing extends to the left, extended to the right word by word.
-    before = bench.ids[bench.starts[window] - 1]
-    leftmost = np.flatnonzero((before == 0) | (np.concatenate([[-1], ids])[pos] != before))
-    p, q = pos[leftmost], bench.starts[window[leftmost]]
-    length = bench.lengths[window[leftmost]].copy()
-    padded = np.concatenate([ids, [-1]])
-    open_ = np.arange(len(p))
-    while open_.size:
-        more = padded[np.minimum(p[open_] + length[open_], total)] == bench.ids[q[open_] + length[open_]]
-        open_ = open_[more]
-        length[open_] += 1
-    best = np.lexsort((window[leftmost], p, -length, doc[leftmost]))
-    longest = {}
-    for k in best[np.concatenate([[True], doc[leftmost][best][1:] != doc[leftmost][best][:-1]])] if best.size else []:
-        d, w = int(doc[leftmost[k]]), window[leftmost[k]]
-        longest[d] = {"words": int(length[k]), "start": int(p[k] - begin[d]),
-                      "item_id": bench.names[bench.item_of[w]], "item_start": int(bench.start_of[w])}
+    # The longest match: of whole windows by all their places, else of the items that are shorter.
+    whole = np.flatnonzero(bench.lengths[window] == bench.window)
+    best = longest_matches(pos[whole], window[whole], doc[whole], bench)
+    short = np.flatnonzero(bench.lengths[window] < bench.window)
+    short = short[np.lexsort((pos[short], -bench.lengths[window[short]], doc[short]))]
+    for k in short[np.unique(doc[short], return_index=True)[1]].tolist():
+        w = window[k]
+        first = bench.place_rank[bench.place_at[w]:bench.place_at[w + 1]].min()
+        best.setdefault(int(doc[k]), (int(bench.lengths[w]), int(pos[k]), int(first)))
+    longest = {d: {"words": n, "start": p - int(begin[d]), "item_id": bench.names[bench.name_of_rank[r]],
+                   "item_start": int(bench.start_of_rank[r])} for d, (n, p, r) in best.items()}
     out = [{"n_words": int(n), "spans": [], "items": [], "longest": longest.get(d)} for d, n in enumerate(sizes)]
     for d, s, e in zip(span_doc.tolist(), starts.tolist(), ends.tolist()):
         out[d]["spans"].append({"start": s - int(begin[d]), "end": e - int(begin[d])})
@@ -202,7 +302,8 @@ def merged(a: dict, b: dict) -> dict:
             spans[-1]["end"] = max(spans[-1]["end"], s["end"])
         else:
             spans.append(dict(s))
-    longest = max((x["longest"] for x in (a, b) if x["longest"]), key=lambda x: (x["words"], -x["start"]), default=None)
+    longest = min((x["longest"] for x in (a, b) if x["longest"]),
+                  key=lambda x: (-x["words"], x["start"], x["item_id"], x["item_start"]), default=None)
     return {"n_words": a["n_words"], "spans": spans, "items": sorted({*a["items"], *b["items"]}), "longest": longest}
 
 
@@ -214,7 +315,9 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text"
     ``spans`` (word intervals covered by occurrences of a window, joined),
     ``items`` (ids, as strings, of the items that have an occurring window)
     and ``longest`` (words of the longest verbatim match that has a whole
-    window, its place in the document, and the item and place it is of).
+    window, its place in the document, and the item and place it is of; of
+    several the first in the document, then the smallest item id as a string,
+    then the first place in it).
 
     A window is ``window`` consecutive words of an item; an item of fewer
     words, but not none, is one window. Null and empty texts have no words and

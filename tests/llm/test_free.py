@@ -64,6 +64,40 @@ def test_longest_match_and_its_place(spark):
     assert found.select("found.longest.*").first().asDict() == {"words": 20, "start": 2, "item_id": "7", "item_start": 5}
 
 
+def longest(text, items, window):
+    """The longest match by extending every pair of places word by word."""
+    w, best = words(text), []
+    for name, t in items:
+        item = words(t)
+        n = min(window, len(item))
+        for q in range(len(item) - n + 1 if n else 0):
+            for p in range(len(w) - n + 1):
+                if w[p:p + n] == item[q:q + n]:
+                    k = n
+                    while p + k < len(w) and q + k < len(item) and w[p + k] == item[q + k]:
+                        k += 1
+                    best.append((-k, p, "null" if name is None else str(name), q))
+    return (-min(best)[0], *min(best)[1:]) if best else None
+
+
+@pytest.mark.parametrize("block_bytes", [1 << 20, 400])
+def test_longest_match_of_items_that_share_windows(spark, block_bytes):
+    rng = random.Random(4)
+    opening, middle = [f"w{i}" for i in range(12)], [f"m{i}" for i in range(14)]
+    some = lambda n, of=300: [f"x{rng.randrange(of)}" for _ in range(n)]
+    items = [(1, " ".join([*opening, "a"])), (2, " ".join([*opening, *some(20)])), (3, " ".join([*some(5), *middle, *some(9)])),
+             (12, " ".join([*some(8), *middle, *some(15)])), (4, " ".join([*opening, *middle, *some(6)])), (None, "x1 x2 x3"),
+             (5, "x1 x2 x3"), (6, " ".join(some(80, 2))), (7, " ".join(some(80, 2))), (2, " ".join(["q", *opening, "r"]))]
+    texts = [items[1][1], "y " + items[3][1] + " z", " ".join([*opening[:-1], "b", *middle, "c"]), "x1 x2 x3 y", "no", None, ""]
+    texts += [" ".join(some(60, 2)) for _ in range(6)] + [" ".join(rng.choice(items)[1].split()[rng.randrange(3):]
+                                                                   + rng.choice(items)[1].split()) for _ in range(20)]
+    docs, bench = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string"), spark.createDataFrame(items, "item_id int, text string")
+    got = suffix_decontam.find_contamination(docs, bench, block_bytes=block_bytes).select("row.doc_id", "found.longest").collect()
+    assert len(got) == len(texts)
+    for r in got:
+        assert (tuple(r["longest"]) if r["longest"] else None) == longest(texts[r["doc_id"]], items, suffix_decontam.WINDOW), r
+
+
 def test_suffix_array_is_sorted():
     rng = np.random.default_rng(0)
     ids = rng.integers(1, 4, 500)
