@@ -2,16 +2,19 @@
 
 A byte-pair vocabulary gives frequent letter sequences tokens of their own, so
 ordinary words take many characters per token and random strings about two.
-Long strings of mixed characters are encoded, and those with few characters
-per token are reported, unless they are a known kind of digest or identifier:
-hexadecimal digests, UUIDs, numbers, dates, parts of urls and e-mail addresses,
-names made of words (camelCase, snake_case, kebab-case).
+Long strings, with what single dots join to them, are encoded, and those with
+few characters per token are reported, unless they are a known kind of digest,
+address or identifier: hexadecimal digests, UUIDs, numbers, dates, hosts and
+paths of urls, e-mail addresses, names made of words (camelCase, snake_case,
+kebab-case). Values in the query of a url and what stands before the @ of its
+host are looked at like other strings.
 """
 
 from __future__ import annotations
 
 import base64
 import re
+from bisect import bisect_right
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -30,9 +33,16 @@ ASSIGN_LENGTH, ACCESS_LENGTH = 8, 16
 #: Shortest string that is encoded, and the characters per token at which one counts as random.
 LEAST_LENGTH, MOST_RATIO = 20, 2.4
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+DOTTED = re.compile(r"(?:\.[A-Za-z0-9+/_=-]+)*")
+CHARACTERS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-")
 PIECE = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+")
 DIGESTS = (32, 40, 48, 56, 64, 96, 128)  # hexadecimal digits of MD5, SHA-1, Tiger, SHA-224, -256, -384, -512
 IS_HEX = re.compile(r"[0-9a-f]+|[0-9A-F]+")
+URL_HOST = re.compile(r"""[^\s"'<>/?#]*""")
+URL_PATH = re.compile(r"""[^\s"'<>?#]*""")
+HOST = re.compile(r"(?:[a-z0-9-]{1,63}\.)+[a-z]{2,18}(?=/|\Z)")
+MAIL_NAME = re.compile(r"[A-Za-z0-9._%+-]")
+MAIL_HOST = re.compile(r"@(?:[A-Za-z0-9-]{1,63}\.)+[A-Za-z]{2,18}(?![A-Za-z0-9])")
 UUID = re.compile(r"[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}")
 
 
@@ -48,20 +58,50 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
-def known(string: str, text: str, start: int, end: int) -> bool:
-    """Whether a candidate is a digest or an identifier, or has no mixture of characters."""
-    digits = sum(c.isdigit() for c in string)
-    if not digits or digits == len(string) or not any(c.isalpha() for c in string):
+def known(string: str, efficiency: TokenEfficiency, most_ratio: float) -> bool:
+    """Whether a string is a digest or an identifier."""
+    if not any(c.isalpha() for c in string):
         return True
     if len(string) in DIGESTS and IS_HEX.fullmatch(string) or UUID.fullmatch(string):
         return True
-    if text[start - 1:start] in ("@", ".", "&", "?", "#", "%") or text[end:end + 1] in ("@", "."):
-        return True  # in an address
-    if string.count("/") > 1 and "://" in text[max(0, start - 200):start + len(string)].split(" ")[-1]:
-        return True  # in a path
-    pieces = PIECE.findall(string)
-    words = [p for p in pieces if p[0].isalpha()]
-    return bool(words) and sum(map(len, words)) / len(words) >= 4  # names made of words
+    words = [p for p in PIECE.findall(string) if p[0].isalpha()]
+    letters = sum(map(len, words))
+    # Names made of words: long pieces that the vocabulary takes for words.
+    return bool(words) and letters / len(words) >= 4 and letters > most_ratio * sum(map(efficiency.tokens, words))
+
+
+def url_spans(text: str) -> list[tuple[int, int]]:
+    """Spans of the hosts and paths of all urls with a scheme, ascending; a user before the host is left out."""
+    out = []
+    at = text.find("://")
+    while at >= 0:
+        sign = text.rfind("@", at + 3, URL_HOST.match(text, at + 3).end())
+        end = URL_PATH.match(text, at + 3).end()
+        out.append((sign + 1 if sign >= 0 else at, end))
+        at = text.find("://", end)
+    return out
+
+
+def in_address(text: str, start: int, end: int, urls: list[tuple[int, int]]) -> bool:
+    """Whether a string is of a url's host or path, of an e-mail address, or a host without a scheme."""
+    near = bisect_right(urls, (start, len(text))) - 1
+    if near >= 0 and start < urls[near][1] or HOST.match(text, start, end):
+        return True
+    if text[end:end + 1] == "@" and MAIL_HOST.match(text, end):
+        return not any(s == end + 1 for s, _ in urls[near + 1:near + 2])  # else a key before the host of a url
+    return start > 1 and bool(MAIL_NAME.match(text, start - 2) and MAIL_HOST.match(text, start - 1))
+
+
+def joined(text: str, start: int, end: int, least: int) -> tuple[int, int]:
+    """A candidate with all that single dots join to it, from ``least`` on."""
+    while start - 1 > least and text[start - 1] == ".":
+        at = start - 1
+        while at > least and text[at - 1] in CHARACTERS:
+            at -= 1
+        if at == start - 1:
+            break
+        start = at
+    return start, DOTTED.match(text, end).end()
 
 
 class TokenEfficiency:
@@ -73,19 +113,41 @@ class TokenEfficiency:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.encoding = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
+    def tokens(self, string: str) -> int:
+        return len(self.encoding.encode_ordinary(string))
+
     def ratio(self, string: str) -> float:
-        return len(string) / max(1, len(self.encoding.encode_ordinary(string)))
+        return len(string) / max(1, self.tokens(string))
 
 
 def spans_of(text: str, efficiency: TokenEfficiency, most_ratio: float = MOST_RATIO) -> list[tuple[int, int, int]]:
     """Base spans and those that the token efficiency adds, where no base span is, by start and kind."""
     base = base_spans(text)
-    more = []
+    more: list[tuple[int, int, int]] = []
+    urls, done = None, 0
+
+    def free(a: int, b: int) -> bool:
+        return not any(s < b and a < e for s, _, e in base)
+
+    def random(a: int, b: int) -> bool:
+        return not known(text[a:b], efficiency, most_ratio) and efficiency.ratio(text[a:b]) <= most_ratio
+
     for m in CANDIDATE.finditer(text):
-        a, b = m.span()
-        if not any(s < b and a < e for s, _, e in base) and not known(m[0], text, a, b) \
-                and efficiency.ratio(m[0]) <= most_ratio:
+        if m.start() < done:
+            continue  # in the dotted string of an earlier one
+        a, b = joined(text, m.start(), m.end(), done)
+        done = b
+        if text[max(0, a - 1):a + 2] == "://":
+            a += 2
+        urls = url_spans(text) if urls is None else urls
+        if in_address(text, a, b, urls):
+            continue
+        parts = [p.span() for p in CANDIDATE.finditer(text, a, b)]
+        parts = [p for p in parts if random(*p)]
+        if parts and free(a, b) and efficiency.ratio(text[a:b]) <= most_ratio:
             more.append((a, 3, b))
+        else:
+            more += [(s, 3, e) for s, e in parts if free(s, e)]
     return sorted(base + more)
 
 

@@ -180,6 +180,28 @@ def test_secrets_against_brute_force(spark):
     assert token_secrets.find_secrets(docs.limit(0), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN).count() == 0
 
 
+def test_secrets_beside_punctuation():
+    rng = random.Random(6)
+    some = lambda n, of="ABCDEFGHJKLMNPQRSTUVWXYZabcdefghjkmnpqrstuvwxyz23456789": "".join(rng.choice(of) for _ in range(n))
+    efficiency = token_secrets.TokenEfficiency(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    found = lambda t: [t[a:b] for a, k, b in token_secrets.spans_of(t, efficiency) if k == 3]
+    lower = "abcdefghijklmnopqrstuvwxyz"
+    blob, letters, small = some(40), some(40, lower + lower.upper()), some(40, lower)
+    jwt = f"eyJhbGciOiJIUzI1NiIsInR5cCI6IkpXVCJ9.eyJzdWIiOiIxMjM0NTY3ODkwIn0.{some(43)}"
+    for secret in (blob, letters, small, jwt, f"SG.{some(22)}.{some(43)}", f"{some(24)}.{some(6)}.{some(27)}"):
+        for text in (f"the key is {secret}.", f"the key is {secret}. Next", f"{secret}.\n", f"über ({secret})", f"#{secret}, %", f"({secret}..."):
+            assert found(text) == [secret], text
+    assert found(f"https://host.example.com/path/of?{blob}&{letters}#x") == [blob, letters]
+    assert found(f"git clone https://{blob}@host.example.com/a/b.git and https://user:{letters}@host.example.com/") == [blob, letters]
+    assert found(f"first.{blob}.{letters}.last and {jwt}") == [f"first.{blob}.{letters}.last", jwt]
+    none = [f"https://example.com/{blob}/x", f"ftp://u@example.com/a/{blob}.", f"www.example.com/{blob}", f"mail {blob}@example.com.",
+            f"mail me@{small}.example.org", "550e8400-e29b-41d4-a716-446655440000.png", "DA39A3EE5E6B4B0D3255BFEF95601890AFD80709.",
+            "aLongNameOfSeveralWordsInCamelCase. another_name_of_several_words.", "12345678901234567890.12345678901234567890", "x" * 19 + "." + "y1" * 9,
+            "See the documentation.Then internationalization.Otherwise responsibilities"]
+    assert [found(t) for t in none] == [[]] * len(none)
+    assert len(found(" ".join([".".join([blob] * 2000), "a." * 20000]))) == 1
+
+
 # ---------------------------------------------------------------- toxicity
 
 def labelled(spark, n=600):
