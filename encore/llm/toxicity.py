@@ -95,14 +95,16 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_labelled:
     """A model of the labelled rows of ``docs`` (``doc_id``, ``text``) with ``labels`` (``doc_id``, ``label``).
 
     Null ids and labels teach nothing; of several labels of an id the largest
-    counts; null text counts as empty. Without a row of both classes the model
+    counts, and of several texts the smallest, so that an id is one row
+    however often it is repeated; null text counts as empty. Without a row of both classes the model
     gives every text the rate of the class it saw, 0 without any.
     """
     spark = prepare(docs.sparkSession)
     known = labels.filter(f"doc_id is not null and {label} is not null").groupBy("doc_id").agg(F.max(label).alias("y"))
     drawn = known.orderBy(F.xxhash64(F.lit(5), "doc_id"), "doc_id").limit(max_labelled)
-    # At most max_labelled rows of two numbers: their texts are picked without a shuffle.
-    rows = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id").select("doc_id", "y", "text")
+    # At most max_labelled rows of two numbers: their texts are picked without a shuffle of the others.
+    rows = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id")
+    rows = rows.groupBy("doc_id").agg(F.first("y").alias("y"), F.min("text").alias("text")).select("doc_id", "y", "text")
 
     def extract(batches):
         all_of = Features()

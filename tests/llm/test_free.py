@@ -237,6 +237,14 @@ def test_mentions_of_groups_carry_no_weight(spark):
     assert gap(unfair) > 1 and gap(model) < 0.2 * gap(unfair)
 
 
+def test_a_repeated_labelled_id_is_one_row(spark):
+    docs, labels = labelled(spark, 120)
+    hot = docs.filter("doc_id in (3, 4)").crossJoin(spark.range(400)).drop("id")
+    assert toxicity.fit(docs.unionByName(hot), labels) == toxicity.fit(docs, labels)
+    texts = spark.createDataFrame([(4, "zzz later text"), (4, None)], docs.schema)
+    assert toxicity.fit(docs.unionByName(texts), labels) == toxicity.fit(docs, labels)
+
+
 def test_toxicity_without_labels_and_odd_rows(spark):
     docs, labels = labelled(spark, 30)
     assert toxicity.fit(docs, labels.filter("toxic = 0")).weights == {}
