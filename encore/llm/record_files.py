@@ -36,6 +36,8 @@ MASK_DELTA, MASK_ROTATE = 0xA282EAD8, 15
 CACHED_WORDS = 300_000
 #: Bytes of text to one file, about.
 FILE_BYTES = 64 << 20
+#: First characters of a text by which rows of a repeated id are dealt over files.
+PREFIX = 64
 #: Bytes of ids in one batch that a reader hands on.
 READ_BYTES = 4 << 20
 #: The end-of-document id.
@@ -192,6 +194,10 @@ def file_system(path: str):
 def write_records(docs: DataFrame, tokenizer: str, name: str = "tokens", files: int | None = None) -> tuple[str, DataFrame]:
     """Encode and write ``docs`` in ascending ``doc_id`` order (null first, repeated ids by their text).
 
+    A repeated id may fill several files, dealt by the first ``PREFIX``
+    characters of the text. Where those agree too, the files take the texts by
+    a hash, and rows repeated with id and text in any order.
+
     Returns the folder of the files and the index table. Null text counts as
     empty: its record has the end id alone. An empty table gives one empty
     index. Other columns are not written.
@@ -203,8 +209,10 @@ def write_records(docs: DataFrame, tokenizer: str, name: str = "tokens", files:
         size = rows.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
         files = max(1, -(-size // FILE_BYTES))
         files = max(files, min(spark.sparkContext.defaultParallelism * 2, -(-size // (1 << 20))))
-    ordered = rows.repartitionByRange(int(files), F.col("doc_id").asc_nulls_first()).sortWithinPartitions(
-        F.col("doc_id").asc_nulls_first(), "text")
+    salted = rows.withColumn("salt", F.xxhash64(F.monotonically_increasing_id()))
+    ordered = salted.repartitionByRange(
+        int(files), F.col("doc_id").asc_nulls_first(), F.substring("text", 1, PREFIX), F.xxhash64("text"), "salt").drop(
+        "salt").sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
     schema = pa.schema([("doc_id", pa.int64()), ("file", pa.string()), ("nth", pa.int64()), ("offset", pa.int64()),
                         ("length", pa.int64()), ("n_tokens", pa.int64())])
 

@@ -281,6 +281,22 @@ def test_records_round_trip(spark):
     assert record_files.read_records(spark, folder).count() == 0 == record_files.read_shuffled(spark, folder, 1).count()
 
 
+@pytest.mark.parametrize("same", ["id", "start", "text"])
+def test_a_repeated_id_fills_several_files(spark, same):
+    text = {"id": lambda i: f"text {i:04d}", "start": lambda i: "la " * 60 + str(i), "text": lambda i: "the same text"}[same]
+    rows = [(None, text(i), *[None] * 6) for i in range(400)] + [(i, f"other {i}", *[None] * 6) for i in range(200)]
+    folder, index = record_files.write_records(edge_docs(spark, rows), public_tokenizers.path("word_bpe_49k.json"), files=6)
+    sizes = [r["count"] for r in index.filter("doc_id is null").groupBy("file").count().collect()]
+    assert sum(sizes) == 400 and max(sizes) < 200
+    got = record_files.read_records(spark, folder).orderBy("start").collect()
+    assert [r["doc_id"] for r in got] == [None] * 400 + list(range(200))
+    direct = record_files.WordEncoder(public_tokenizers.path("word_bpe_49k.json"))
+    want = [direct.plain(r[1]) + np.array([record_files.END_ID], f"<u{direct.width}").tobytes() for r in rows]
+    want = [np.frombuffer(w, f"<u{direct.width}").astype("<u4").tobytes() for w in want]
+    assert collections.Counter(bytes(r["ids"]) for r in got) == collections.Counter(want)
+    assert same != "id" or [bytes(r["ids"]) for r in got] == want
+
+
 def test_small_cache_gives_the_same_ids(monkeypatch):
     monkeypatch.setattr(record_files, "CACHED_WORDS", 50)
     encoder = record_files.WordEncoder(public_tokenizers.path("word_bpe_49k.json"))
