@@ -46,6 +46,8 @@ HUB_ROUNDS = 2
 #: Texts that a shingle is in to count as frequent among those that are left, and the most such shingles that are sent
 #: to all tasks (8 MB). Both only decide the order of shingles, not what is found.
 FREQUENT, MAX_FREQUENT = 8, 1_000_000
+#: Ratio of two steps of the number of shingles, by which texts meet that share a frequent one.
+SIZE_STEP = 1.02
 
 
 class WordHashes(dict):
@@ -301,9 +303,9 @@ def _rest(apart: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
 
     Put the shingles of all texts in one order, each with the number of its
     occurrence in the text. Two texts with a similarity of t or more then share
-    one of their first ``n - ceil(t n) + 1``, whatever the order is. With the
-    frequent ones last, a passage that very many texts have is in nobody's
-    first ones, so texts that have no more in common make no pair.
+    one of their first ``n - ceil(t n) + 1``, whatever the order is. The
+    frequent ones come last: a passage that very many texts have is among the
+    first ones only of texts that consist of it by a share of t or more.
     """
     nodes = cut(apart.select("key", "n", "label").distinct(), "near-open")
     rows = texts.join(nodes, "key").select("key", "n", "label", "text")
@@ -346,11 +348,43 @@ def _rest(apart: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     first = cut(rows.mapInArrow(rarest, schema), "near-rarest")
     several = first.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("token")
     left = cut(first.join(several, "token", "left_semi"), "near-rare")
-    right = left.select("token", F.col("key").alias("hub_key"), F.col("n").alias("hub_n"), F.col("label").alias("hub_label"), F.col("c").alias("hub_c"))
-    # Where a frequent one is among the first, all rare ones are; two texts that share none of those share at most their
-    # frequent ones, and need t / (1 + t) of both numbers together.
+    rare = left.filter("not frequent")
+    small = rare.select("token", F.col("key").alias("hub_key"), F.col("n").alias("hub_n"), F.col("label").alias("hub_label"))
+    pairs = rare.join(small, "token").filter("label > hub_label").select("key", "n", "hub_key", "hub_n")
+    return _two(pairs.unionByName(_frequent_pairs(left.filter("frequent"), threshold)), threshold)
+
+
+def _frequent_sides(left: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """The larger and the smaller texts that can be similar, to be joined by ``token`` and ``step``. ``left`` has
+    ``token, key, n, label, c``: of the n shingles, which ``token`` is one of, c are frequent.
+
+    Where a frequent one is among the first, all rare ones are; two texts that
+    share none of those share at most their frequent ones, and need t / (1 + t)
+    of both numbers together. That bounds the number of the smaller text by the
+    larger one's, so a group is joined by steps of that number, and a text whose
+    own frequent ones do not suffice for any partner meets none.
+    """
+    def step(x):
+        return F.floor(F.log(x) / math.log(SIZE_STEP)).cast("int")
+
+    most = (F.col("c") + 1e-6) * ((1 + threshold) / threshold) - F.col("n") + 1e-6  # of the partner's shingles
+    least = F.greatest(F.col("n") * (threshold - 1e-9) - 1e-6, F.lit(1.0))
+    upper = left.withColumn("lo", least).withColumn("hi", F.least(F.col("n").cast("double"), most)).filter("hi >= lo")
+    upper = upper.withColumn("step", F.explode(F.sequence(step(F.col("lo")), step(F.col("hi"))))).select(
+        "token", "step", "key", "n", "label", "c")
+    lower = left.filter(most >= F.col("n")).select(
+        "token", step(F.col("n")).alias("step"), F.col("key").alias("hub_key"), F.col("n").alias("hub_n"),
+        F.col("label").alias("hub_label"), F.col("c").alias("hub_c"))
+    return upper, lower
+
+
+def _frequent_pairs(left: DataFrame, threshold: float) -> DataFrame:
+    """All pairs that a frequent shingle gives, each once for every one that they share."""
+    upper, lower = _frequent_sides(left, threshold)
     enough = F.least("c", "hub_c") >= (F.col("n") + F.col("hub_n")) * (threshold / (1 + threshold)) - 1e-6
-    return _two(left.join(right, "token").filter("label > hub_label").filter(~F.col("frequent") | enough), threshold)
+    once = (F.col("n") > F.col("hub_n")) | ((F.col("n") == F.col("hub_n")) & (F.col("label") > F.col("hub_label")))
+    pairs = upper.join(lower, ["token", "step"]).filter("label <> hub_label").filter(once).filter(enough)
+    return pairs.select("key", "n", "hub_key", "hub_n")
 
 
 def _two(pairs: DataFrame, threshold: float) -> DataFrame:

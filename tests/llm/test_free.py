@@ -372,6 +372,35 @@ def test_near_classes_against_brute_force(spark):
     assert bagminhash.near_report(edge_docs(spark, [])).count() == 0 == bagminhash.dedup_near(edge_docs(spark, [])).count()
 
 
+def test_frequent_shingles_join_what_they_suffice_for(spark):
+    rng = random.Random(8)
+    rows = [(rng.randrange(3), i, n, rng.randrange(250), rng.randrange(math.ceil(0.8 * n), n + 1))
+            for i, n in enumerate(rng.choice([1, 2, 5, 90, 100, 110, 124, 125, 1000]) for _ in range(250))]
+    schema = "token bigint, key int, n bigint, label int, c bigint"
+    got = bagminhash._frequent_pairs(spark.createDataFrame(rows, schema), 0.8).collect()
+    want = {(max(a[1], b[1]), min(a[1], b[1])) for a in rows for b in rows if a[0] == b[0] and a[3] != b[3]
+            and min(a[2], b[2]) >= 0.8 * max(a[2], b[2]) and 9 * min(a[4], b[4]) >= 4 * (a[2] + b[2])}
+    assert len(got) == len(want) and {(max(r["key"], r["hub_key"]), min(r["key"], r["hub_key"])) for r in got} == want
+
+
+def test_texts_of_mostly_one_passage_do_not_all_meet(spark):
+    rows = [(1, i, 100, i, 85) for i in range(300)]
+    left = spark.createDataFrame(rows, "token bigint, key int, n bigint, label int, c bigint")
+    upper, lower = bagminhash._frequent_sides(left, 0.8)
+    assert upper.join(lower, ["token", "step"]).count() == 0
+
+
+def test_rarest_shingles_find_copies_in_one_passage(spark):
+    rng = random.Random(9)
+    passage = " ".join(f"p{i}" for i in range(89))  # 85 shingles
+    rows = [(i, f"{passage} " + " ".join(f"x{rng.randrange(10**9)}" for _ in range(15)), *[None] * 6) for i in range(300)]
+    rows += [(1000 + i, f"{rows[i][1]} more", *[None] * 6) for i in range(3)]
+    docs, key = edge_docs(spark, rows), bagminhash.row_key()
+    apart = docs.select(key.alias("key"), F.lit(100).cast("bigint").alias("n"), key.alias("label"))
+    pairs = bagminhash._rest(apart, docs.select(key.alias("key"), "text"), 0.8).select("a.id", "b.id").collect()
+    assert sorted(map(tuple, pairs)) == [(1000 + i, i) for i in range(3)]
+
+
 def test_signatures_estimate_weighted_similarity():
     rng = np.random.default_rng(1)
     keys = rng.integers(1, 2**63, 400).astype(np.uint64)
