@@ -1,4 +1,3 @@
-import datetime as dt
 import os
 import sys
 
@@ -7,8 +6,7 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from encore.session import build_session  # noqa: E402
-
-BASE = dt.datetime(2024, 1, 1, 0, 0, 0)
+from rows import at  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -18,11 +16,6 @@ def spark():
     yield s
 
 
-def at(pos: int, step_seconds: float = 1.0) -> dt.datetime:
-    """Arrival time of the pos-th record."""
-    return BASE + dt.timedelta(seconds=pos * step_seconds)
-
-
 @pytest.fixture
 def listens(spark):
     """Listens from (customer, artist) pairs in arrival order, one second apart."""

@@ -10,7 +10,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import at
+from rows import at
 from encore.plans import jobs as J
 from encore.streaming.carried import whole_table
 

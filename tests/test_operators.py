@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from conftest import at
+from rows import at
 from encore.operators.enrich import enrich_asof, enrich_latest
 from encore.operators.keyed import arg_max_first, latest_by_key
 from encore.operators.route import route, split

@@ -7,7 +7,7 @@ import uuid
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import at
+from rows import at
 from encore.operators.running import Spec
 from encore.plans import jobs as J
 from encore.plans import streams as ST
