@@ -52,6 +52,6 @@ def test_stages_take_odd_rows(spark):
 
 def test_queries_are_registered():
     names = entry.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(q.startswith(f"op{n}_") for q in names) == 1
     assert "pipeline" in names and set(entry.oracle_sql()) <= set(names)
