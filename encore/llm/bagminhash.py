@@ -17,11 +17,13 @@ points up to a time by which all components are very likely taken are made; a
 document for which that was too early is done again with twice the time.
 
 Signatures are banded. Copies with equal words are one node, represented by
-one document. In a bucket every member is compared with the smallest member,
-then with others that are drawn. Of the members that this leaves in different
-classes, all pairs that can be similar are compared, found by their rarest
-shingles. Candidate pairs are checked exactly, and classes are the connected
-components of the links.
+one document. In a bucket every member is compared with the smallest member.
+Of the members that this leaves in different classes, all pairs that can be
+similar are compared, found by their rarest shingles: where very many texts
+meet at a shingle, first all with the one that has least besides, and what is
+then still apart by sizes and places that can reach the similarity. Candidate
+pairs are checked exactly, and classes are the connected components of the
+links.
 """
 
 from __future__ import annotations
@@ -35,19 +37,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from encore.llm.bitmaps import MAX_BITS, keys_bitmap, may_contain
-from encore.llm.common import annotate, cut, mix64, prepare, row_key, texts_of, words_of
+from encore.llm.common import annotate, collected, cut, mix64, prepare, remove, row_key, stored, texts_of, words_of
 from encore.llm.components import components
 
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 20, 4
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
-#: Rounds in which members are compared with one other member of the bucket before the rest is compared pair by pair.
-HUB_ROUNDS = 2
-#: Texts that a shingle is in to count as frequent among those that are left, and the most such shingles that are sent
-#: to all tasks (8 MB). Both only decide the order of shingles, not what is found.
+#: Texts that a shingle is in to count as frequent among those that are left, and the most such shingles whose counts
+#: are sent to all tasks (16 MB). Both only decide the order of shingles, not what is found.
 FREQUENT, MAX_FREQUENT = 8, 1_000_000
-#: Ratio of two steps of the number of shingles, by which texts meet that share a frequent one.
-SIZE_STEP = 1.02
+#: Texts from which on those that meet at a shingle are joined by steps of their number of shingles, and the step's ratio.
+MANY, SIZE_STEP = 8, 1.02
 
 
 class WordHashes(dict):
@@ -185,10 +185,19 @@ def similarity(a: np.ndarray, b: np.ndarray) -> float:
     return float(least / (len(a) + len(b) - least)) if len(a) + len(b) else 0.0
 
 
-def _verify(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """The pairs ``a, b`` whose texts are similar. ``texts``: ``key, text``, stored, one row per key."""
-    left = texts.select(F.col("key").alias("a"), F.col("text").alias("text_a"))
-    right = texts.select(F.col("key").alias("b"), F.col("text").alias("text_b"))
+def _holding(texts: DataFrame, keys: DataFrame, count: int) -> DataFrame:
+    """The texts whose ``key`` is among ``keys`` (and a few more), by a filter on the scan: only those shuffle."""
+    hashed = F.xxhash64("key")
+    bits = int(min(MAX_BITS, max(64, 16 * count)))
+    known = keys_bitmap(keys.select(hashed.alias("h")), "h", bits, 3, 0, "near-known")
+    return texts.filter(may_contain(known, hashed, bits, 3))
+
+
+def _verify(pairs: DataFrame, count: int, texts: DataFrame, threshold: float) -> DataFrame:
+    """Those of the ``count`` pairs ``a, b`` whose texts are similar. ``texts``: ``key, text``, stored, one row per key."""
+    left = _holding(texts, pairs.select(F.col("a").alias("key")), count).select(F.col("key").alias("a"), F.col("text").alias("text_a"))
+    right = _holding(texts, pairs.select(F.col("b").alias("key")).distinct(), count).select(
+        F.col("key").alias("b"), F.col("text").alias("text_b"))
     full = pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
 
     def run(batches):
@@ -222,52 +231,60 @@ def near_classes(docs: DataFrame, threshold: float = SIMILARITY, bands: int = BA
     """
     spark = prepare(docs.sparkSession)
     docs = docs.select("doc_id", "text")
-    light = annotate(docs.select(row_key().alias("key"), "text"), "text", _sign(bands, rows),
-                     "words binary, n bigint, bands array<bigint>").select("row.key", "words", "n", "bands")
-    light = cut(light, "near-light")
-    # One node per text with its own words.
-    nodes = light.groupBy("words").agg(F.min(F.struct("key", "n", "bands")).alias("m"))
-    nodes = cut(nodes.select("words", "m.key", "m.n", "m.bands"), "near-nodes")
+    with collected() as folders:
+        light = annotate(docs.select(row_key().alias("key"), "text"), "text", _sign(bands, rows),
+                         "words binary, n bigint, bands array<bigint>").select("row.key", "words", "n", "bands")
+        light, light_at = stored(light, "near-light")
+        # One node per text with its own words.
+        nodes = light.groupBy("words").agg(F.min(F.struct("key", "n", "bands")).alias("m"))
+        nodes = cut(nodes.select("words", "m.key", "m.n", "m.bands"), "near-nodes")
+        labels = _labels(docs, nodes, threshold)
+        kept = [light_at]
+        classes = light.select("key", F.col("key").alias("class_key"), "words")
+        if labels is not None:
+            of_node = nodes.select("words", F.col("key").alias("node")).join(labels, "node", "left").select(
+                "words", F.coalesce("label", "node").alias("class_key"))
+            of_node, node_at = stored(of_node, "near-of-node")
+            kept.append(node_at)
+            classes = light.join(of_node, "words").select("key", "class_key", "words")
+    remove(spark, folders, kept)
+    return classes
+
+
+def _labels(docs: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame | None:
+    """``node, label`` of the nodes that are linked with others; None if there are none."""
     buckets = nodes.select("key", "n", F.explode("bands").alias("bucket"))
     shared = buckets.groupBy("bucket").agg(F.min("key").alias("hub"), F.count("*").alias("size")).filter("size > 1")
-    member = buckets.join(shared.select("bucket", "hub"), "bucket").select("bucket", "key", "n", "hub")
-    member = cut(member, "near-members")
-    wanted = cut(member.select("key").distinct(), "near-wanted")
-    texts = _texts(docs, wanted)
+    member = cut(buckets.join(shared.select("bucket", "hub"), "bucket").select("bucket", "key", "n", "hub"), "near-members")
+    texts = _texts(docs, cut(member.select("key").distinct(), "near-wanted"))
     links = tested = labels = None
 
-    def settle(pairs: DataFrame, name: str) -> bool:
-        """Check the pairs that are new and join the classes of those that are similar; whether there were any."""
+    def settle(pairs: DataFrame, texts: DataFrame, name: str) -> None:
+        """Check the pairs that are new and join the classes of those that are similar."""
         nonlocal links, tested, labels
         pairs = cut(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), f"near-pairs-{name}")
-        good = cut(_verify(pairs, texts, threshold), f"near-links-{name}")
         tested = pairs if tested is None else tested.unionByName(pairs)
-        if good.isEmpty():
-            return False
-        links = good if links is None else links.unionByName(good)
-        labels = components(links, f"near-classes-{name}")
-        return True
-
-    found = settle(_first_pairs(member, threshold), "hubs0")
-    for round_ in range(1, HUB_ROUNDS if found else 1):
-        if not settle(_hub_pairs(_apart(member, labels, f"near-apart{round_}"), round_, threshold), f"hubs{round_}"):
-            break
-    apart = _apart(member, labels, "near-apart")
-    settle(_rest(apart, texts, threshold), "rest")
-    if labels is None:
-        return light.select("key", F.col("key").alias("class_key"), "words")
-    of_node = nodes.select("words", F.col("key").alias("node")).join(labels, "node", "left").select(
-        "words", F.coalesce("label", "node").alias("class_key"))
-    return light.join(cut(of_node, "near-of-node"), "words").select("key", "class_key", "words")
+        count = pairs.count()
+        if not count:
+            return
+        good = cut(_verify(pairs, count, texts, threshold), f"near-links-{name}")
+        if not good.isEmpty():
+            links = good if links is None else links.unionByName(good)
+            labels = components(links, f"near-classes-{name}")
+
+    settle(_first_pairs(member, threshold), texts, "hubs")
+    apart = _apart(member, labels, "near-apart").select("key", "n", "label").distinct()
+    apart = cut(apart, "near-open")
+    texts = cut(_holding(texts, apart.select("key"), apart.count()).join(apart.select("key"), "key", "left_semi"), "near-open-texts")
+    first = _first_shingles(apart, texts, threshold)
+    settle(_central_pairs(_meeting(first, None), threshold), texts, "central")
+    settle(_all_pairs(cut(_meeting(first, labels), "near-meeting"), threshold), texts, "rest")
+    return labels
 
 
 def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``key, text`` of the wanted rows: a filter on the scan lets only about those shuffle."""
-    hashed = F.xxhash64("key")
-    bits = int(min(MAX_BITS, max(64, 16 * wanted.count())))
-    known = keys_bitmap(wanted.select(hashed.alias("h")), "h", bits, 3, 0, "near-known")
-    rows = docs.select(row_key().alias("key"), "text").withColumn("h", hashed)
-    rows = rows.filter(may_contain(known, F.col("h"), bits, 3)).select("key", "text")
+    """``key, text`` of the wanted rows."""
+    rows = _holding(docs.select(row_key().alias("key"), "text"), wanted, wanted.count())
     return cut(rows.join(wanted, "key", "left_semi").groupBy("key").agg(F.first("text").alias("text")), "near-texts")
 
 
@@ -289,27 +306,16 @@ def _apart(member: DataFrame, labels: DataFrame | None, name: str) -> DataFrame:
     return cut(now.join(cut(several, f"{name}-several"), "bucket", "left_semi"), name)
 
 
-def _hub_pairs(apart: DataFrame, round_: int, threshold: float) -> DataFrame:
-    """Every member with one that is drawn from its bucket, unless they are in one class."""
-    drawn = F.struct(F.xxhash64(F.lit(round_), "bucket", "key").alias("h"), "key", "n", "label")
-    hubs = cut(apart.groupBy("bucket").agg(F.min(drawn).alias("hub")), f"near-hubs{round_}")
-    pairs = apart.join(hubs, "bucket").select("key", "n", "label", F.col("hub.key").alias("hub_key"),
-                                              F.col("hub.n").alias("hub_n"), F.col("hub.label").alias("hub_label"))
-    return _two(pairs.filter("label <> hub_label"), threshold)
-
-
-def _rest(apart: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """All pairs of members of different classes that can be similar, by their rarest shingles.
+def _first_shingles(apart: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """``token, key, n, label, pos, prev``: the rarest shingles of every text, ``pos`` counting them from 0, and the
+    one before.
 
     Put the shingles of all texts in one order, each with the number of its
-    occurrence in the text. Two texts with a similarity of t or more then share
-    one of their first ``n - ceil(t n) + 1``, whatever the order is. The
-    frequent ones come last: a passage that very many texts have is among the
-    first ones only of texts that consist of it by a share of t or more.
+    occurrence in the text: by how many of the texts have it, so that a passage
+    that very many have comes last. Two texts with a similarity of t or more
+    share one of their first ``n - ceil(t n) + 1``, whatever the order is.
     """
-    nodes = cut(apart.select("key", "n", "label").distinct(), "near-open")
-    rows = texts.join(nodes, "key").select("key", "n", "label", "text")
-    spark = rows.sparkSession
+    rows = texts.join(apart, "key").select("key", "n", "label", "text")
 
     def count(batches):
         hashes = WordHashes()
@@ -318,73 +324,97 @@ def _rest(apart: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
             found, n = np.unique(np.concatenate([np.zeros(0, np.uint64), *parts]), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n.astype(np.int64))], names=["s", "n"])
 
-    frequent = rows.select("text").mapInArrow(count, "s bigint, n bigint").groupBy("s").agg(F.sum("n").alias("n"))
-    frequent = frequent.filter(F.col("n") >= FREQUENT).orderBy(F.desc("n"), "s").limit(MAX_FREQUENT).select("s")
-    sent = spark.sparkContext.broadcast(frequent.toArrow().column("s").to_numpy().astype(np.int64).view(np.uint64))
+    often = texts.select("text").mapInArrow(count, "s bigint, n bigint").groupBy("s").agg(F.sum("n").alias("n"))
+    often = often.filter(F.col("n") >= FREQUENT).orderBy(F.desc("n"), "s").limit(MAX_FREQUENT).toArrow()
+    keys, counts = (often.column(c).to_numpy().astype(np.int64) for c in ("s", "n"))
+    order = np.argsort(keys.view(np.uint64))
+    sent = rows.sparkSession.sparkContext.broadcast((keys.view(np.uint64)[order], counts[order]))
 
     def rarest(batches):
-        hashes, often = WordHashes(), np.sort(sent.value)
+        hashes, (often, counts) = WordHashes(), sent.value
         for b in batches:
-            rows_, tokens, frequent_, shared = [], [], [], []
+            rows_, tokens, places, before = [], [], [], []
             for i, t in enumerate(texts_of(b, "text")):
                 s = np.sort(shingles(words_of(t), hashes))
                 nth = np.arange(len(s)) - np.searchsorted(s, s)  # equal shingles, told apart by their number
-                place = np.searchsorted(often, s)
-                common = often[np.minimum(place, len(often) - 1)] == s if len(often) else np.zeros(len(s), bool)
+                n = np.zeros(len(s), np.int64)
+                if len(often):
+                    place = np.minimum(np.searchsorted(often, s), len(often) - 1)
+                    n = np.where(often[place] == s, counts[place], 0)
                 token = mix64(s + nth.astype(np.uint64) * GOLDEN)
-                first = np.lexsort((token, nth > 0, common))[:len(s) - math.ceil(threshold * len(s) - 1e-9) + 1]
-                tokens.append(token[first].view(np.int64))
-                frequent_.append(common[first])
-                shared.append(np.full(len(first), common.sum(), np.int64))
+                first = token[np.lexsort((token, nth, n))[:len(s) - math.ceil(threshold * len(s) - 1e-9) + 1]].view(np.int64)
+                tokens.append(first)
+                places.append(np.arange(len(first)))
+                before.append(np.concatenate([first[:1], first[:-1]]))
                 rows_.append(np.full(len(first), i, np.int64))
-            at = pa.array(np.concatenate([np.zeros(0, np.int64), *rows_]))
-            columns = [b.column(c).take(at) for c in ("key", "n", "label")]
-            columns += [pa.array(np.concatenate([np.zeros(0, t), *parts]))
-                        for t, parts in ((np.int64, tokens), (bool, frequent_), (np.int64, shared))]
-            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+            at, *numbers = (pa.array(np.concatenate([np.zeros(0, np.int64), *x])) for x in (rows_, tokens, places, before))
+            yield pa.RecordBatch.from_arrays([*(b.column(c).take(at) for c in ("key", "n", "label")), *numbers], names=schema.names)
 
     zero = F.lit(0).cast("bigint")
-    schema = rows.select("key", "n", "label", zero.alias("token"), F.lit(True).alias("frequent"), zero.alias("c")).schema
-    first = cut(rows.mapInArrow(rarest, schema), "near-rarest")
-    several = first.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("token")
-    left = cut(first.join(several, "token", "left_semi"), "near-rare")
-    rare = left.filter("not frequent")
-    small = rare.select("token", F.col("key").alias("hub_key"), F.col("n").alias("hub_n"), F.col("label").alias("hub_label"))
-    pairs = rare.join(small, "token").filter("label > hub_label").select("key", "n", "hub_key", "hub_n")
-    return _two(pairs.unionByName(_frequent_pairs(left.filter("frequent"), threshold)), threshold)
-
-
-def _frequent_sides(left: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
-    """The larger and the smaller texts that can be similar, to be joined by ``token`` and ``step``. ``left`` has
-    ``token, key, n, label, c``: of the n shingles, which ``token`` is one of, c are frequent.
-
-    Where a frequent one is among the first, all rare ones are; two texts that
-    share none of those share at most their frequent ones, and need t / (1 + t)
-    of both numbers together. That bounds the number of the smaller text by the
-    larger one's, so a group is joined by steps of that number, and a text whose
-    own frequent ones do not suffice for any partner meets none.
+    schema = rows.select("key", "n", "label", zero.alias("token"), zero.alias("pos"), zero.alias("prev")).schema
+    return cut(rows.mapInArrow(rarest, schema), "near-rarest")
+
+
+def _meeting(first: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """The rows of shingles at which different classes meet, with the number of texts that do, ``size``."""
+    if labels is not None:
+        first = first.join(labels, first["key"] == labels["node"], "left").select(
+            "key", "n", F.coalesce(labels["label"], first["label"]).alias("label"), "token", "pos", "prev")
+    groups = first.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("size"))
+    return first.join(groups.filter("lo <> hi").select("token", "size"), "token")
+
+
+def _enough(threshold: float) -> Column:
+    """Whether two texts can be similar that share no shingle before this one: they can then share at most what is
+    left of either."""
+    return F.least(F.col("n") - F.col("pos"), F.col("hub_n") - F.col("hub_pos")) >= (
+        F.col("n") + F.col("hub_n")) * (threshold / (1 + threshold)) - 1e-6
+
+
+def _central_pairs(meeting: DataFrame, threshold: float) -> DataFrame:
+    """At shingles where many texts meet, every text with the one that has the smallest share of rarer shingles."""
+    many = cut(meeting.filter(F.col("size") >= MANY), "near-many")
+    central = F.struct((F.col("pos") / F.col("n")).alias("share"), F.col("key").alias("hub_key"), F.col("n").alias("hub_n"),
+                       F.col("pos").alias("hub_pos"), F.col("label").alias("hub_label"))
+    hubs = many.groupBy("token").agg(F.min(central).alias("hub")).select("token", "hub.*")
+    pairs = many.join(hubs, "token").filter("label <> hub_label").filter(_enough(threshold))
+    return _two(pairs, threshold)
+
+
+def _sides(many: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """The larger and the smaller texts that can be similar, to be joined by ``token`` and ``step``.
+
+    A text can share at most what is left of it from ``pos`` on, which bounds
+    the partner's number of shingles. So texts meet by steps of that number, and
+    one that has too little left for any partner meets none.
     """
     def step(x):
         return F.floor(F.log(x) / math.log(SIZE_STEP)).cast("int")
 
-    most = (F.col("c") + 1e-6) * ((1 + threshold) / threshold) - F.col("n") + 1e-6  # of the partner's shingles
+    most = (F.col("n") - F.col("pos") + 1e-6) * ((1 + threshold) / threshold) - F.col("n") + 1e-6  # of the partner's shingles
     least = F.greatest(F.col("n") * (threshold - 1e-9) - 1e-6, F.lit(1.0))
-    upper = left.withColumn("lo", least).withColumn("hi", F.least(F.col("n").cast("double"), most)).filter("hi >= lo")
+    upper = many.withColumn("lo", least).withColumn("hi", F.least(F.col("n").cast("double"), most)).filter("hi >= lo")
     upper = upper.withColumn("step", F.explode(F.sequence(step(F.col("lo")), step(F.col("hi"))))).select(
-        "token", "step", "key", "n", "label", "c")
-    lower = left.filter(most >= F.col("n")).select(
-        "token", step(F.col("n")).alias("step"), F.col("key").alias("hub_key"), F.col("n").alias("hub_n"),
-        F.col("label").alias("hub_label"), F.col("c").alias("hub_c"))
-    return upper, lower
-
-
-def _frequent_pairs(left: DataFrame, threshold: float) -> DataFrame:
-    """All pairs that a frequent shingle gives, each once for every one that they share."""
-    upper, lower = _frequent_sides(left, threshold)
-    enough = F.least("c", "hub_c") >= (F.col("n") + F.col("hub_n")) * (threshold / (1 + threshold)) - 1e-6
-    once = (F.col("n") > F.col("hub_n")) | ((F.col("n") == F.col("hub_n")) & (F.col("label") > F.col("hub_label")))
-    pairs = upper.join(lower, ["token", "step"]).filter("label <> hub_label").filter(once).filter(enough)
-    return pairs.select("key", "n", "hub_key", "hub_n")
+        "token", "step", "key", "n", "label", "pos", "prev")
+    return upper, _hub(many.filter(most >= F.col("n")).withColumn("step", step(F.col("n"))), "step")
+
+
+def _hub(rows: DataFrame, *more: str) -> DataFrame:
+    return rows.select("token", *more, *[F.col(c).alias(f"hub_{c}") for c in ("key", "n", "label", "pos", "prev")])
+
+
+def _all_pairs(meeting: DataFrame, threshold: float) -> DataFrame:
+    """All pairs of texts of different classes that can be similar. A pair that shares the shingle before as well is
+    given by that one."""
+    new = (F.col("pos") == 0) | (F.col("hub_pos") == 0) | (F.col("prev") != F.col("hub_prev"))
+    few, many = meeting.filter(F.col("size") < MANY), meeting.filter(F.col("size") >= MANY)
+    pairs = few.join(_hub(few), "token").filter("label > hub_label")
+    upper, lower = _sides(many, threshold)
+    larger = (F.col("n") > F.col("hub_n")) | ((F.col("n") == F.col("hub_n")) & (F.col("label") > F.col("hub_label")))
+    wide = upper.join(lower, ["token", "step"]).filter("label <> hub_label").filter(larger)
+    columns = ["key", "n", "hub_key", "hub_n"]
+    return _two(pairs.filter(new & _enough(threshold)).select(columns).unionByName(
+        wide.filter(new & _enough(threshold)).select(columns)), threshold)
 
 
 def _two(pairs: DataFrame, threshold: float) -> DataFrame:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -27,18 +29,49 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+#: Folders made inside the open ``collected`` blocks, the innermost last.
+_COLLECTED: list[list[str]] = []
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder for a table or files of one run, below the shared ``spark.checkpoint.dir``."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
+    path = f"{checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
+    for folders in _COLLECTED:
+        folders.append(path)
+    return path
+
+
+@contextmanager
+def collected() -> Iterator[list[str]]:
+    """The scratch folders that are made inside the block, for ``remove`` once nothing reads them any more."""
+    folders: list[str] = []
+    _COLLECTED.append(folders)
+    try:
+        yield folders
+    finally:
+        _COLLECTED.remove(folders)
+
+
+def remove(spark: SparkSession, folders: list[str], but: list[str] | None = None) -> None:
+    """Delete scratch folders, except those under ``but``."""
+    for folder in folders:
+        if folder not in (but or []):
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def cut(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to a table in the shared folder and read it back: what follows does not compute it again,
     and an executor that is lost takes nothing of it along."""
+    return stored(df, name)[0]
+
+
+def stored(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``cut``, with the folder of the table."""
     spark = df.sparkSession
     path = scratch(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
 
 
 def words_of(text: bytes | None) -> list[bytes]:

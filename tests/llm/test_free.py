@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import math
+import pathlib
 import random
 import re
 import zlib
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 
 from encore.llm import bagminhash, components, hd_langid, record_files, suffix_decontam, temperature_mix, token_secrets, toxicity
 from encore.llm.common import prepare
+from encore.session import checkpoint_dir
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -372,24 +374,33 @@ def test_near_classes_against_brute_force(spark):
     assert bagminhash.near_report(edge_docs(spark, [])).count() == 0 == bagminhash.dedup_near(edge_docs(spark, [])).count()
 
 
-def test_frequent_shingles_join_what_they_suffice_for(spark):
+MEETING = "token bigint, key int, n bigint, label int, pos bigint, prev bigint, size bigint"
+
+
+@pytest.mark.parametrize("size", [2, 1000])
+def test_texts_that_can_be_similar_meet(spark, size):
     rng = random.Random(8)
-    rows = [(rng.randrange(3), i, n, rng.randrange(250), rng.randrange(math.ceil(0.8 * n), n + 1))
+    rows = [(rng.randrange(3), i, n, rng.randrange(250), rng.randrange(n - math.ceil(0.8 * n) + 1), rng.randrange(3), size)
             for i, n in enumerate(rng.choice([1, 2, 5, 90, 100, 110, 124, 125, 1000]) for _ in range(250))]
-    schema = "token bigint, key int, n bigint, label int, c bigint"
-    got = bagminhash._frequent_pairs(spark.createDataFrame(rows, schema), 0.8).collect()
+    got = bagminhash._all_pairs(spark.createDataFrame(rows, MEETING), 0.8).collect()
     want = {(max(a[1], b[1]), min(a[1], b[1])) for a in rows for b in rows if a[0] == b[0] and a[3] != b[3]
-            and min(a[2], b[2]) >= 0.8 * max(a[2], b[2]) and 9 * min(a[4], b[4]) >= 4 * (a[2] + b[2])}
-    assert len(got) == len(want) and {(max(r["key"], r["hub_key"]), min(r["key"], r["hub_key"])) for r in got} == want
+            and (0 in (a[4], b[4]) or a[5] != b[5])
+            and min(a[2], b[2]) >= 0.8 * max(a[2], b[2]) and 9 * min(a[2] - a[4], b[2] - b[4]) >= 4 * (a[2] + b[2])}
+    assert len(got) == len(want) and {tuple(r) for r in got} == want
 
 
 def test_texts_of_mostly_one_passage_do_not_all_meet(spark):
-    rows = [(1, i, 100, i, 85) for i in range(300)]
-    left = spark.createDataFrame(rows, "token bigint, key int, n bigint, label int, c bigint")
-    upper, lower = bagminhash._frequent_sides(left, 0.8)
+    many = spark.createDataFrame([(1, i, 100, i, 15, 0, 300) for i in range(300)], MEETING)
+    upper, lower = bagminhash._sides(many, 0.8)
     assert upper.join(lower, ["token", "step"]).count() == 0
 
 
+def test_texts_around_one_meet_it_first(spark):
+    rows = [(1, i, 100, i, 1 + i % 10, i, 300) for i in range(300)] + [(1, 300, 100, 300, 0, 300, 300)]
+    pairs = bagminhash._central_pairs(spark.createDataFrame(rows, MEETING), 0.8).collect()
+    assert sorted(map(tuple, pairs)) == [(300, i) for i in range(300)]
+
+
 def test_rarest_shingles_find_copies_in_one_passage(spark):
     rng = random.Random(9)
     passage = " ".join(f"p{i}" for i in range(89))  # 85 shingles
@@ -397,10 +408,32 @@ def test_rarest_shingles_find_copies_in_one_passage(spark):
     rows += [(1000 + i, f"{rows[i][1]} more", *[None] * 6) for i in range(3)]
     docs, key = edge_docs(spark, rows), bagminhash.row_key()
     apart = docs.select(key.alias("key"), F.lit(100).cast("bigint").alias("n"), key.alias("label"))
-    pairs = bagminhash._rest(apart, docs.select(key.alias("key"), "text"), 0.8).select("a.id", "b.id").collect()
+    first = bagminhash._first_shingles(apart, docs.select(key.alias("key"), "text"), 0.8)
+    pairs = bagminhash._all_pairs(bagminhash._meeting(first, None), 0.8).select("a.id", "b.id").collect()
     assert sorted(map(tuple, pairs)) == [(1000 + i, i) for i in range(3)]
 
 
+def test_variants_of_one_text_against_brute_force(spark):
+    """Very many texts around one, some of them linked only with each other."""
+    rng = random.Random(10)
+    base = [f"b{i}" for i in range(80)]
+    rows = []
+    for i in range(400):
+        text = list(base)
+        for _ in range(rng.randrange(1, 7)):
+            text[rng.randrange(len(text))] = f"e{rng.randrange(40)}"
+        rows.append((i, " ".join(text), *[None] * 6))
+    got = {r["doc_id"]: r["class_id"] for r in bagminhash.near_report(edge_docs(spark, rows)).collect()}
+    assert got == {k[1]: c[1] for k, c in classes(rows).items()}
+
+
+def test_scratch_tables_are_removed(spark):
+    folder = pathlib.Path(checkpoint_dir(prepare(spark))) / "llm"
+    before = set(folder.iterdir()) if folder.exists() else set()
+    assert bagminhash.near_classes(edge_docs(spark)).count() == len(edge_rows())
+    assert sorted(p.name.rsplit("-", 1)[0] for p in set(folder.iterdir()) - before) == ["near-light", "near-of-node"]
+
+
 def test_signatures_estimate_weighted_similarity():
     rng = np.random.default_rng(1)
     keys = rng.integers(1, 2**63, 400).astype(np.uint64)
