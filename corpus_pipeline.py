@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from encore.llm import bagminhash, queries, suffix_decontam, temperature_mix, toxicity
-from encore.llm.common import cut, prepare
+from encore.llm.common import collected, cut, prepare, remove, stored
 
 
 def keep_clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,8 +45,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages in order, over the whole ``documents`` table."""
+    """All stages in order, over the whole ``documents`` table. What a stage stored on its way, and the rows that it
+    read, are removed when its own are written."""
     docs = prepare(spark).read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
+    before: list[str] = []
     for name, stage in STAGES:
-        docs = cut(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        with collected() as folders:
+            docs, path = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        remove(spark, before + folders, [path])
+        before = [path]
     return docs
