@@ -43,35 +43,37 @@ def enrich_asof(stream: DataFrame, table: DataFrame, stream_key: str, table_key:
     Order is ``(time, side, tie...)``; with ``table_first`` a table row and a
     stream row at the same time see the table row first.
     """
+    records = tagged(stream, table, stream_key, table_key, stream_time, table_time, stream_tie, table_tie, table_cols, tombstone,
+                     table_first)
+    return as_of(records, table_cols, lambda _, rows, keys, order, time, specs: prefix_scan(rows, keys, order, time, specs, cell=cell),
+                 prefix)
+
+
+def tagged(stream: DataFrame, table: DataFrame, stream_key: str, table_key: str, stream_time: str, table_time: str,
+           stream_tie: list[str], table_tie: list[str], table_cols: list[str], tombstone: Column | None = None,
+           table_first: bool = True) -> DataFrame:
+    """Both sides of an as-of join as records of one stream: ``k, t, side, tie`` and either ``srow`` or ``trow``."""
     s_cols = stream.columns
     tside, sside = (0, 1) if table_first else (1, 0)
-    s = stream.select(
-        F.col(stream_key).alias("__k"), F.col(stream_time).cast("timestamp").alias("__t"),
-        F.lit(sside).alias("__side"),
-        F.struct(*[F.col(c).cast("string").alias(f"t{i}") for i, c in enumerate(stream_tie)]).alias("__tie"),
-        F.struct(*s_cols).alias("__srow"),
-        F.lit(None).cast(table.select(F.struct(F.lit(False).alias("dead"),
-                                               *[F.col(c) for c in table_cols])).schema[0].dataType).alias("__trow"),
-    )
     dead = tombstone if tombstone is not None else F.lit(False)
+    trow = F.struct(dead.alias("dead"), *[F.col(c) for c in table_cols])
+    n = max(len(stream_tie), len(table_tie))  # the shorter tie is padded, so that both sides union
+
+    def tie(columns: list[str]) -> Column:
+        return F.struct(*[(F.col(columns[i]) if i < len(columns) else F.lit(None)).cast("string").alias(f"t{i}") for i in range(n)])
+
+    s = stream.select(
+        F.col(stream_key).alias("k"), F.col(stream_time).cast("timestamp").alias("t"), F.lit(sside).alias("side"),
+        tie(stream_tie).alias("tie"), F.struct(*s_cols).alias("srow"), F.lit(None).cast(table.select(trow).schema[0].dataType).alias("trow"))
     t = table.select(
-        F.col(table_key).alias("__k"), F.col(table_time).cast("timestamp").alias("__t"),
-        F.lit(tside).alias("__side"),
-        F.struct(*[F.col(c).cast("string").alias(f"t{i}") for i, c in enumerate(table_tie)]).alias("__tie"),
-        F.lit(None).cast(stream.select(F.struct(*s_cols)).schema[0].dataType).alias("__srow"),
-        F.struct(dead.alias("dead"), *[F.col(c) for c in table_cols]).alias("__trow"),
-    )
-    if len(stream_tie) != len(table_tie):
-        # Pad the shorter tie struct so both sides union.
-        n = max(len(stream_tie), len(table_tie))
-
-        def pad(have: int):
-            return F.struct(*[(F.col(f"__tie.t{i}") if i < have else F.lit(None).cast("string")).alias(f"t{i}")
-                              for i in range(n)])
-        s = s.withColumn("__tie", pad(len(stream_tie)))
-        t = t.withColumn("__tie", pad(len(table_tie)))
-    u = s.unionByName(t).where(F.col("__k").isNotNull())
-    scanned = prefix_scan(u, ["__k"], [F.col("__t"), F.col("__side"), F.col("__tie")], "__t",
-                          [Spec("__cur", "last", "__trow")], cell=cell)
-    out = scanned.where(F.col("__srow").isNotNull() & F.col("__cur").isNotNull() & ~F.col("__cur.dead"))
-    return out.select("__srow.*", *[F.col(f"__cur.{c}").alias(prefix + c) for c in table_cols])
+        F.col(table_key).alias("k"), F.col(table_time).cast("timestamp").alias("t"), F.lit(tside).alias("side"),
+        tie(table_tie).alias("tie"), F.lit(None).cast(stream.select(F.struct(*s_cols)).schema[0].dataType).alias("srow"), trow.alias("trow"))
+    return s.unionByName(t).where(F.col("k").isNotNull())
+
+
+def as_of(records: DataFrame, table_cols: list[str], scan, prefix: str = "") -> DataFrame:
+    """The stream rows among tagged records, each with the table's value at its place. ``scan`` adds the running
+    aggregate: over a whole table, or over a micro-batch with what is carried from the batches before."""
+    scanned = scan("table", records, ["k"], [F.col("t"), F.col("side"), F.col("tie")], "t", [Spec("cur", "last", "trow")])
+    out = scanned.where(F.col("srow").isNotNull() & F.col("cur").isNotNull() & ~F.col("cur.dead"))
+    return out.select("srow.*", *[F.col(f"cur.{c}").alias(prefix + c) for c in table_cols])

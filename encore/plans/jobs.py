@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from encore import functions as fx
-from encore.operators.enrich import enrich_asof
+from encore.operators.enrich import enrich_asof, tagged
 from encore.operators.keyed import arg_max_first, first_seen
 from encore.operators.route import route
 from encore.operators.running import RECORDS, Spec, prefix_scan, running_leader
@@ -191,6 +191,12 @@ def confirm_tickets_asof(tickets: DataFrame, events: DataFrame, event_time: str
     return confirm_tickets(j, whole_table(cell))
 
 
+def ticket_and_event_records(tickets: DataFrame, events: DataFrame, event_time: str = "updated") -> DataFrame:
+    """Tickets and changes of the event table as one stream of records, in the order (time, table first, id, price)."""
+    return tagged(tickets.select("id", "customerid", "eventid", "price", "arrival"), events, "eventid", "id", "arrival", event_time,
+                  ["id", "price"], ["id"], ["capacity"], tombstone=F.col("capacity").isNull())
+
+
 def purchase_event_ticket(spark: SparkSession, sf_dir: str) -> DataFrame:
     return confirm_tickets(_tickets_with_event(spark, sf_dir))
 
@@ -367,6 +373,16 @@ def thank_you_top_streamer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return thank_you_from(counts, domain.artist(spark, sf_dir), domain.customer(spark, sf_dir))
 
 
+def windowed_counts_changelog_from(listens: DataFrame, size_seconds: int, grace_seconds: int, scan: Scan = whole_table()) -> DataFrame:
+    """P5a per update: the count ``n`` of (artist, customer, window) after every listen that is not late."""
+    order = listen_pos()
+    rows = listens.select("artistid", "customerid", "streamtime", "pos")
+    clock = scan("clock", rows, [], order, "pos", [Spec("now", "max", F.col("streamtime").cast("timestamp"))])
+    kept = still_open(clock, "streamtime", "now", size_seconds, grace_seconds)
+    kept = kept.select("artistid", "customerid", "pos", window_start("streamtime", size_seconds).alias("window_start"))
+    return scan("windows", kept, ["artistid", "customerid", "window_start"], order, "pos", [Spec("n", "count")])
+
+
 def thank_you_changelog_from(listens: DataFrame, artists: DataFrame, customers: DataFrame, size_seconds: int,
                              grace_seconds: int, scan: Scan = whole_table()) -> DataFrame:
     """P5 per update: after every listen that counts, its artist's best single-window count so far, changed or not.
@@ -375,11 +391,7 @@ def thank_you_changelog_from(listens: DataFrame, artists: DataFrame, customers:
     asks whether both are known, so an unknown best hides lesser ones.
     """
     order = listen_pos()
-    rows = listens.select("artistid", "customerid", "streamtime", "pos")
-    clock = scan("clock", rows, [], order, "pos", [Spec("now", "max", F.col("streamtime").cast("timestamp"))])
-    kept = still_open(clock, "streamtime", "now", size_seconds, grace_seconds)
-    kept = kept.select("artistid", "customerid", "pos", window_start("streamtime", size_seconds).alias("window_start"))
-    counted = scan("windows", kept, ["artistid", "customerid", "window_start"], order, "pos", [Spec("n", "count")])
+    counted = windowed_counts_changelog_from(listens, size_seconds, grace_seconds, scan)
     best = scan("best", counted.select("artistid", "customerid", "pos", "n"), ["artistid"], order, "pos",
                 [Spec("best", "max", F.struct("n", F.negative("pos").alias("at"), "customerid"))])
     out = best.select("artistid", "pos", F.col("best.customerid").alias("customerid"), F.col("best.n").alias("streamCount"))

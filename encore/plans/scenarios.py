@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from encore.functions import parse_event_time
+from encore.operators.enrich import enrich_asof
 from encore.operators.keyed import arg_max_first
 from encore.operators.running import Spec, prefix_scan
 from encore.operators.topk import top_k_per_group
@@ -82,6 +83,33 @@ def new_event_top_streamer_alert(spark: SparkSession, sf_dir: str, k: int = TOP_
     return ev.join(top, "artistid").select("eventid", "artistid", "customerid", "rank", "n")
 
 
+def top_streamers_changelog_from(listens: DataFrame, k: int = TOP_STREAMERS_PER_ARTIST) -> DataFrame:
+    """The artist's ``k`` top streamers after every listen, ``artistid, pos, top`` (``customerid, n``): the changelog of
+    P1 with the parts of customer and artist exchanged."""
+    swapped = listens.where("artistid is not null and customerid is not null").select(
+        F.col("artistid").alias("customerid"), F.col("customerid").alias("artistid"), "id", "pos")
+    log = J.top_customer_artists_changelog_from(swapped, k)
+    top = F.transform("top", lambda t: F.struct(t["artistid"].alias("customerid"), t["n"].alias("n")))
+    return log.select(F.col("customerid").alias("artistid"), "pos", top.alias("top"))
+
+
+def new_event_top_streamer_alert_asof(spark: SparkSession, sf_dir: str, k: int = TOP_STREAMERS_PER_ARTIST) -> DataFrame:
+    """For each event, its artist's top streamers when it was announced: an as-of join of the events to the changelog
+    of top streamers. Listens from the announcement on do not count, and an artist without listens before it gives no row."""
+    return alerts_asof(domain.event_created(spark, sf_dir), domain.listen(spark, sf_dir), k)
+
+
+def alerts_asof(events: DataFrame, listens: DataFrame, k: int = TOP_STREAMERS_PER_ARTIST) -> DataFrame:
+    """``events``: ``id, artistid, created``."""
+    log = top_streamers_changelog_from(listens, k).join(
+        listens.select("pos", F.col("streamtime").cast("timestamp").alias("at")), "pos")
+    # Of listens at one time the last by ``pos`` counts; ties are compared as text.
+    log = log.withColumn("place", F.lpad(F.col("pos").cast("string"), 19, "0"))
+    seen = enrich_asof(events, log, "artistid", "artistid", "created", "at", ["id"], ["place"], ["top"], table_first=False)
+    ranked = seen.select(F.col("id").alias("eventid"), "artistid", F.posexplode("top").alias("i", "t"))
+    return ranked.select("eventid", "artistid", "t.customerid", (F.col("i") + 1).cast("bigint").alias("rank"), "t.n")
+
+
 def new_event_top_streamer_email(spark: SparkSession, sf_dir: str, k: int = TOP_STREAMERS_PER_ARTIST) -> DataFrame:
     a = new_event_top_streamer_alert(spark, sf_dir, k)
     e = domain.one_per_customer(domain.email(spark, sf_dir)).select("customerid", "email")
@@ -223,6 +251,7 @@ QUERIES = {
     "event_near_capacity_alert": event_near_capacity_alert,
     "event_sold_out_alert": event_sold_out_alert,
     "new_event_top_streamer_alert": new_event_top_streamer_alert,
+    "new_event_top_streamer_alert_asof": new_event_top_streamer_alert_asof,
     "new_event_top_streamer_email": new_event_top_streamer_email,
     "venue_most_events": venue_most_events,
     "venue_most_customers": venue_most_customers,

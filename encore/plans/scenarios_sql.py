@@ -48,6 +48,13 @@ SELECT eventid, artistid, id AS ticket_id, arrival, sold, capacity FROM seq WHER
     q["new_event_top_streamer_alert"] = _q(_STREAMERS, """
 SELECT e.id AS eventid, e.artistid, r2.customerid, r2.rk AS "rank", r2.n FROM event e JOIN r2 ON e.artistid = r2.artistid
 WHERE r2.rk <= 3""")
+    q["new_event_top_streamer_alert_asof"] = _q("""
+announced AS (SELECT id AS eventid, artistid, TIMESTAMP '2024-01-01 00:00:00' + to_seconds((id * 7817) % 2592000) AS created FROM event),
+heard AS (SELECT eventid, a.artistid, l.customerid, count(*) AS n, max(l.pos) AS last_pos
+          FROM announced a JOIN listen l ON l.artistid = a.artistid AND l.streamtime < a.created
+          WHERE l.customerid IS NOT NULL GROUP BY ALL)""", """
+SELECT eventid, artistid, customerid, "rank", n
+FROM (SELECT *, row_number() OVER (PARTITION BY eventid ORDER BY n DESC, last_pos) AS "rank" FROM heard) WHERE "rank" <= 3""")
     q["new_event_top_streamer_email"] = _q(_STREAMERS, """
 SELECT e.id AS eventid, e.artistid, r2.customerid, r2.rk AS "rank", r2.n, em.email
 FROM event e JOIN r2 ON e.artistid = r2.artistid LEFT JOIN email em ON em.customerid = r2.customerid

@@ -53,33 +53,42 @@ def run_to_table(df: DataFrame, name: str) -> DataFrame:
 BATCHES = 3
 
 
-def thirds(time_col: str, df: DataFrame) -> Column:
-    """0, 1, ... : which of ``BATCHES`` equal stretches of ``time_col`` a row is in."""
+def stretch(time_col: str, df: DataFrame, batches: int) -> Column:
+    """0, 1, ... : which of ``batches`` equal stretches of ``time_col`` a row is in."""
     at = F.unix_micros(time_col) if df.schema[time_col].dataType.typeName() == "timestamp" else F.col(time_col)
     least, most = (df.select(f(at)).scalar() for f in (F.min, F.max))
-    return F.least(F.floor((at - least) * BATCHES / (most - least + 1)), F.lit(BATCHES - 1)).cast("int")
+    return F.least(F.floor((at - least) * batches / (most - least + 1)), F.lit(batches - 1)).cast("int")
 
 
-def run_in_batches(spark: SparkSession, name: str, rows: DataFrame, time_col: str, job, keep=None) -> DataFrame:
-    """Stream ``rows`` as ``BATCHES`` micro-batches, in the order of ``time_col``, through a changelog job.
+def run_in_batches(spark: SparkSession, name: str, rows: DataFrame, time_col: str, job, windows=None, batches: int = BATCHES) -> DataFrame:
+    """Stream ``rows`` as ``batches`` micro-batches, in the order of ``time_col``, through a changelog job.
 
     The stretches are added to the source's folder one by one, and the query is
     started anew after each: it goes on from its checkpoint, and the job's
     totals are carried from batch to batch.
     """
     root = f"{checkpoint_dir(spark).rstrip('/')}/encore-streams/{name}-{uuid.uuid4().hex}"
-    staged = rows.withColumn("part", thirds(time_col, rows))
+    return stream_in_batches(spark, root, rows, time_col, job, windows, batches)
+
+
+def stream_in_batches(spark: SparkSession, root: str, rows: DataFrame, time_col: str, job, windows=None, batches: int = BATCHES) -> DataFrame:
+    staged = rows.withColumn("part", stretch(time_col, rows, batches))
     staged.write.partitionBy("part").parquet(f"{root}/staged")
-    for part in range(BATCHES):
+    for part in batch_parts(spark, f"{root}/staged"):
         piece = spark.read.schema(rows.schema).parquet(f"{root}/staged/part={part}")
         piece.write.mode("append").parquet(f"{root}/in")
-        q = sinks.start_batches(spark.readStream.schema(rows.schema).parquet(f"{root}/in"), f"{name}_{uuid.uuid4().hex[:8]}",
-                                in_batches(root, job, keep), mode="append", trigger={"availableNow": True},
+        q = sinks.start_batches(spark.readStream.schema(rows.schema).parquet(f"{root}/in"), f"stream_{uuid.uuid4().hex[:8]}",
+                                in_batches(root, job, windows), mode="append", trigger={"availableNow": True},
                                 checkpoint=f"{root}/checkpoint")
         q.awaitTermination()
     return spark.read.parquet(f"{root}/out").drop("batch_id")
 
 
+def batch_parts(spark: SparkSession, path: str) -> list[int]:
+    """The stretches that have rows, in order."""
+    return sorted(r["part"] for r in spark.read.parquet(path).select("part").distinct().collect())
+
+
 def stream_customer_stream_count_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
     listens = domain.listen(spark, sf_dir).select("customerid", "id", "streamtime", "pos")
     return run_in_batches(spark, "p8", listens, "pos", SJ.customer_stream_count_changelog)
@@ -97,6 +106,26 @@ def stream_purchase_event_ticket(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_in_batches(spark, "p2", domain.ticket(spark, sf_dir), "arrival", SJ.purchase_event_ticket(domain.event(spark, sf_dir)))
 
 
+def stream_purchase_event_ticket_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P2 over tickets and an event table that changes between and within the batches."""
+    records = J.ticket_and_event_records(domain.ticket(spark, sf_dir), domain.event_changes(spark, sf_dir))
+    return run_in_batches(spark, "p2-asof", records, "t", SJ.purchase_event_ticket_asof)
+
+
+#: Micro-batches of the windowed stream, so that most of its windows close on the way.
+WINDOW_BATCHES = 20
+
+
+def stream_windowed_counts_retained(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P5a by carried totals over many batches, each window's totals being deleted when it has closed."""
+    listens = domain.listen(spark, sf_dir).select("artistid", "customerid", "streamtime", "pos")
+    job = SJ.windowed_counts_changelog(J.QUERY_WINDOW_SECONDS, J.GRACE_SECONDS)
+    out = run_in_batches(spark, "p5a-retained", listens, "pos", job, SJ.window_state(J.QUERY_WINDOW_SECONDS, J.GRACE_SECONDS), WINDOW_BATCHES)
+    last = out.groupBy("artistid", "customerid", "window_start").agg(F.max("n").alias("n"))
+    end = F.col("window_start") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(J.QUERY_WINDOW_SECONDS))
+    return last.select("artistid", "customerid", "window_start", end.alias("window_end"), "n")
+
+
 def stream_customer_conversion_tally_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_in_batches(spark, "p3", J.conversion_events(spark, sf_dir), "time", SJ.conversion_tally)
 
@@ -123,7 +152,7 @@ def stream_top_customer_artists(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_thank_you_top_streamer_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
     listens = domain.listen(spark, sf_dir).select("artistid", "customerid", "streamtime", "pos")
     job = SJ.top_streamers(domain.artist(spark, sf_dir), domain.customer(spark, sf_dir), J.QUERY_WINDOW_SECONDS, J.GRACE_SECONDS)
-    return run_in_batches(spark, "p5", listens, "pos", job, SJ.closed_windows_gone(J.QUERY_WINDOW_SECONDS, J.GRACE_SECONDS))
+    return run_in_batches(spark, "p5", listens, "pos", job, SJ.window_state(J.QUERY_WINDOW_SECONDS, J.GRACE_SECONDS))
 
 
 def stream_thank_you_top_streamer(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -198,6 +227,8 @@ QUERIES = {
     "stream_customer_conversion_tally_changelog": (stream_customer_conversion_tally_changelog, "customer_conversion_tally_changelog"),
     "stream_thank_you_top_streamer_changelog": (stream_thank_you_top_streamer_changelog, "thank_you_top_streamer_changelog"),
     "stream_purchase_event_ticket": (stream_purchase_event_ticket, "purchase_event_ticket"),
+    "stream_purchase_event_ticket_asof": (stream_purchase_event_ticket_asof, "purchase_event_ticket_asof"),
+    "stream_windowed_counts_retained": (stream_windowed_counts_retained, "windowed_stream_counts"),
     "stream_customer_conversion_tally": (stream_customer_conversion_tally, "customer_conversion_tally"),
     "stream_thank_you_top_streamer": (stream_thank_you_top_streamer, "thank_you_top_streamer"),
     "stream_artist_revenue_leader_changelog": (stream_artist_revenue_leader_changelog,

@@ -166,6 +166,13 @@ def one_per_customer(rows: DataFrame) -> DataFrame:
     return rows.where("customerid is not null").groupBy("customerid").agg(first).select("customerid", "row.*")
 
 
+def event_created(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """When every event was announced, ``id, artistid, created``: spread over the thirty days of the listens."""
+    e = event(spark, sf_dir)
+    at = F.lit(TICKET_EPOCH_SECONDS) + (F.col("id") * 7817) % (30 * 86400)
+    return e.select("id", "artistid", F.timestamp_seconds(at).alias("created"))
+
+
 def event_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The event table as a changelog ``id, capacity, updated``: every event appears some days into the sale, a third
     of them change their capacity later, some are deleted (a null capacity) and half of those come back."""

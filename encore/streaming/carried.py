@@ -6,18 +6,24 @@ is the scan over one micro-batch: the prefix scan inside the batch, combined
 with each key's totals of all batches before. Both run as Spark plans, with a
 key's rows spread over cells, so no key is one task or one Python worker.
 
-The totals are a table of increments: each batch appends its own totals, and
-every ``COMPACT_EVERY`` batches they are added up into a base; increments and
-bases that no replay can ask for any more are deleted. A batch that is replayed
-overwrites its own increment and reads only those before it.
+The totals are a table in buckets, of a hash of the key or, for totals of time
+windows, one per window. A batch writes its own totals as increments, finds in
+what it wrote which buckets its keys are in, and reads those buckets alone.
+Every ``COMPACT_EVERY`` batches the buckets with increments are added up into
+bases of their own; increments and bases that no replay can ask for any more
+are deleted, and so are, with every batch, the buckets of closed windows. A
+batch that is replayed overwrites its own increments and reads only those
+before it. In a chain of scans each one's rows are stored once.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from encore.operators.running import Spec, _total, combined, prefix_scan
 from encore.streaming.sinks import write_batch
@@ -26,6 +32,8 @@ from encore.streaming.sinks import write_batch
 Scan = Callable[[str, DataFrame, list[str], list[Column], str, list[Spec]], DataFrame]
 
 COMPACT_EVERY = 16
+#: Buckets of totals whose key has no window.
+BUCKETS = 32
 
 
 def whole_table(cell: int | None = None) -> Scan:
@@ -56,73 +64,152 @@ def expire(spark: SparkSession, path: str, before: int) -> None:
             fs.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/batch_id={b}"), True)
 
 
+@dataclass(frozen=True)
+class Window:
+    """Totals that have a window in their key: the column with its start, its width, and how long after its end the
+    stream time can still be when a record counts in it."""
+    column: str
+    seconds: int
+    grace_seconds: int
+
+
+def _buckets(spark: SparkSession, path: str) -> list[int]:
+    """The buckets that one batch of a table has."""
+    fs, p = _file_system(spark, path)
+    if not fs.exists(p):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(p)]
+    return sorted(int(n.split("=", 1)[1]) for n in names if n.startswith("bucket="))
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    fs, p = _file_system(spark, path)
+    fs.delete(p, True)
+
+
 class Carried:
     """The scan of one micro-batch. Write what it gives, then ``commit``."""
 
-    def __init__(self, path: str, batch_id: int, keep: dict[str, Callable[[DataFrame], DataFrame]] | None = None,
-                 cell: int | None = None):
-        """``keep[name]`` drops totals that no later row can ask for, when a base is made."""
-        self.path, self.batch_id, self.keep, self.cell = path, batch_id, keep or {}, cell
-        self.added: list[tuple[str, DataFrame, list[str], list[Spec]]] = []
-
-    def totals_before(self, spark: SparkSession, name: str, keys: list[str], specs: list[Spec], batch_id: int) -> DataFrame | None:
-        """Each key's totals over all batches before ``batch_id``."""
-        base, steps = f"{self.path}/{name}/base", f"{self.path}/{name}/steps"
-        newest = max((b for b in batch_ids(spark, base) if b < batch_id), default=-1)
-        parts = []
-        if newest >= 0:
-            parts.append(spark.read.parquet(f"{base}/batch_id={newest}"))
-        later = [b for b in batch_ids(spark, steps) if newest < b < batch_id]
-        if later:
-            parts.append(spark.read.option("basePath", steps).parquet(*[f"{steps}/batch_id={b}" for b in later]).drop("batch_id"))
-        if not parts:
+    def __init__(self, path: str, batch_id: int, windows: dict[str, Window] | None = None, cell: int | None = None):
+        """``windows[name]`` tells the scans whose keys have a time window."""
+        self.path, self.batch_id, self.windows, self.cell = path, batch_id, windows or {}, cell
+        self.added: list[tuple[str, list[str], list[Spec], T.StructType]] = []
+        self.read: dict[str, list[int]] = {}
+
+    def bucket(self, name: str, keys: list[str]) -> Column:
+        if name in self.windows:
+            w = self.windows[name]
+            return F.floor(F.unix_seconds(F.col(w.column).cast("timestamp")) / w.seconds).cast("bigint")
+        return F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("bigint") if keys else F.lit(0).cast("bigint")
+
+    def totals_before(self, spark: SparkSession, name: str, keys: list[str], specs: list[Spec], schema: T.StructType,
+                      buckets: list[int], batch_id: int) -> DataFrame | None:
+        """The totals of all batches before ``batch_id`` in some buckets."""
+        base, steps, wanted = f"{self.path}/{name}/base", f"{self.path}/{name}/steps", set(buckets)
+        newest: dict[int, int] = {}
+        for version in batch_ids(spark, base):
+            if version < batch_id:
+                newest |= {b: version for b in _buckets(spark, f"{base}/batch_id={version}") if b in wanted}
+        paths = [f"{base}/batch_id={version}/bucket={b}" for b, version in newest.items()]
+        for step in batch_ids(spark, steps):
+            if step < batch_id and any(newest.get(b, -1) < step for b in wanted):
+                paths += [f"{steps}/batch_id={step}/bucket={b}" for b in _buckets(spark, f"{steps}/batch_id={step}")
+                          if b in wanted and newest.get(b, -1) < step]
+        if not paths:
             return None
-        rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-        merge = {"count": F.sum, "sum": F.sum, "max": F.max, "min": F.min}
-        return rows.groupBy(*keys).agg(*[merge[s.op](f"t_{s.out}").alias(f"t_{s.out}") for s in specs])
+        return spark.read.schema(schema).parquet(*paths).groupBy(*keys).agg(*[_merged(s).alias(f"t_{s.out}") for s in specs])
 
     def __call__(self, name: str, rows: DataFrame, keys: list[str], order: list[Column], time_col: str,
                  specs: list[Spec]) -> DataFrame:
-        if any(s.op == "last" for s in specs):
-            raise ValueError("'last' cannot be carried by a merge of totals; use max of a struct with the order")
-        self.added.append((name, rows, keys, specs))
+        spark, root = rows.sparkSession, f"{self.path}/{name}"
+        for k in keys:
+            rows = rows.where(F.col(k).isNotNull())
+        if self.added:  # what an earlier scan gave
+            rows.write.mode("overwrite").parquet(f"{root}/rows/batch_id={self.batch_id}")
+            rows = spark.read.schema(rows.schema).parquet(f"{root}/rows/batch_id={self.batch_id}")
+        totals = rows.groupBy(*keys).agg(*[_kept(s, order).alias(f"t_{s.out}") for s in specs], F.count(F.lit(1)).alias("rows"))
+        totals = totals.where("rows > 0").drop("rows")
+        self.added.append((name, keys, specs, totals.schema))
+        own = f"{root}/steps/batch_id={self.batch_id}"
+        bucketed = totals.withColumn("bucket", self.bucket(name, keys))
+        (bucketed.repartition("bucket") if keys else bucketed).write.mode("overwrite").partitionBy("bucket").parquet(own)
+        self.read[name] = _buckets(spark, own)
         here = prefix_scan(rows, keys, order, time_col, [Spec(f"h_{s.out}", s.op, s.value) for s in specs], cell=self.cell)
-        before = self.totals_before(rows.sparkSession, name, keys, specs, self.batch_id)
+        before = self.totals_before(spark, name, keys, specs, totals.schema, self.read[name], self.batch_id)
         if before is None:
             return here.select(*rows.columns, *[F.col(f"h_{s.out}").alias(s.out) for s in specs])
         joined = here.join(before, keys, "left") if keys else here
         carried = {s.out: F.col(f"t_{s.out}") if keys else before.select(f"t_{s.out}").scalar() for s in specs}
-        return joined.select(*rows.columns, *[combined(s.op, F.col(f"h_{s.out}"), carried[s.out]).alias(s.out) for s in specs])
-
-    def commit(self) -> None:
-        """Store the batch's totals; from time to time add all up and delete what is no longer needed."""
-        for name, rows, keys, specs in self.added:
-            spark, steps, base = rows.sparkSession, f"{self.path}/{name}/steps", f"{self.path}/{name}/base"
-            for k in keys:
-                rows = rows.where(F.col(k).isNotNull())
-            place: list[Column] = []
-            totals = rows.groupBy(*keys).agg(*[_total(s, place).alias(f"t_{s.out}") for s in specs], F.count(F.lit(1)).alias("rows"))
-            write_batch(totals.where("rows > 0").drop("rows"), steps, self.batch_id)
+        value = {s.out: carried[s.out]["value"] if s.op == "last" else carried[s.out] for s in specs}
+        return joined.select(*rows.columns, *[combined(s.op, F.col(f"h_{s.out}"), value[s.out]).alias(s.out) for s in specs])
+
+    def commit(self, spark: SparkSession) -> None:
+        """Delete what is no longer needed, and from time to time add up the increments."""
+        for name, keys, specs, schema in self.added:
+            root = f"{self.path}/{name}"
+            _delete(spark, f"{root}/rows/batch_id={self.batch_id}")
+            if name in self.windows:
+                self._expire_windows(spark, root, self.windows[name])
             if self.batch_id % COMPACT_EVERY == COMPACT_EVERY - 1:
-                whole = self.totals_before(spark, name, keys, specs, self.batch_id + 1)
-                older = [b for b in batch_ids(spark, base) if b < self.batch_id]
-                if whole is not None:
-                    whole = self.keep[name](whole) if name in self.keep else whole
-                    whole.write.mode("overwrite").parquet(f"{base}/batch_id={self.batch_id}")
-                if older:  # a replay of this batch starts from the newest of them
-                    expire(spark, base, max(older))
-                    expire(spark, steps, max(older) + 1)
-
-
-def in_batches(path: str, job: Callable[[DataFrame, Scan], DataFrame], keep=None, cell: int | None = None):
+                self._compact(spark, root, name, keys, specs, schema)
+
+    def _compact(self, spark: SparkSession, root: str, name: str, keys: list[str], specs: list[Spec], schema: T.StructType) -> None:
+        base, steps, last = f"{root}/base", f"{root}/steps", self.batch_id - COMPACT_EVERY
+        fresh = {b for step in batch_ids(spark, steps) if last < step <= self.batch_id for b in _buckets(spark, f"{steps}/batch_id={step}")}
+        whole = self.totals_before(spark, name, keys, specs, schema, sorted(fresh), self.batch_id + 1)
+        if whole is not None:
+            whole = whole.withColumn("bucket", self.bucket(name, keys))
+            (whole.repartition("bucket") if keys else whole).write.mode("overwrite").partitionBy("bucket").parquet(
+                f"{base}/batch_id={self.batch_id}")
+        # A replay of this batch starts from the newest base before it, and from the increments after that.
+        expire(spark, steps, last + 1)
+        later: set[int] = set()
+        for version in sorted((v for v in batch_ids(spark, base) if v < self.batch_id), reverse=True):
+            there = set(_buckets(spark, f"{base}/batch_id={version}"))
+            for b in there & later:
+                _delete(spark, f"{base}/batch_id={version}/bucket={b}")
+            if there <= later:
+                _delete(spark, f"{base}/batch_id={version}")
+            later |= there
+
+    def _expire_windows(self, spark: SparkSession, root: str, window: Window) -> None:
+        """Delete the windows that had closed when this batch began: the stream time was then at least the newest window
+        that had been counted."""
+        folders = [f"{root}/{kind}/batch_id={b}" for kind in ("base", "steps") for b in batch_ids(spark, f"{root}/{kind}")
+                   if b < self.batch_id]
+        found = {folder: _buckets(spark, folder) for folder in folders}
+        newest = max((b for bs in found.values() for b in bs), default=None)
+        for folder, buckets in found.items():
+            for b in buckets:
+                if (b + 1) * window.seconds + window.grace_seconds <= newest * window.seconds:
+                    _delete(spark, f"{folder}/bucket={b}")
+
+
+def _kept(spec: Spec, order: list[Column]) -> Column:
+    """A batch's total as it is stored: the last value has its place with it."""
+    if spec.op != "last":
+        return _total(spec, order)
+    place = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)])
+    return F.max_by(F.struct(place.alias("at"), spec.column().alias("value")), F.when(spec.column().isNotNull(), place))
+
+
+def _merged(spec: Spec) -> Column:
+    total = F.col(f"t_{spec.out}")
+    if spec.op == "last":
+        return F.max_by(total, total["at"])
+    return {"count": F.sum, "sum": F.sum, "max": F.max, "min": F.min}[spec.op](total)
+
+
+def in_batches(path: str, job: Callable[[DataFrame, Scan], DataFrame], windows: dict[str, Window] | None = None,
+               cell: int | None = None):
     """``foreachBatch`` function: run ``job(rows, scan)`` on each micro-batch and write its result to
     ``path/out/batch_id=N``; the totals that ``scan`` carries are below ``path/state``."""
     def fn(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
-            scan = Carried(f"{path}/state", batch_id, keep, cell)
+            scan = Carried(f"{path}/state", batch_id, windows, cell)
             write_batch(job(batch, scan), f"{path}/out", batch_id)
-            scan.commit()
+            scan.commit(batch.sparkSession)
         finally:
             batch.unpersist()
     return fn

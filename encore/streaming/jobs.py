@@ -15,9 +15,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from encore import functions as fx
+from encore.operators.enrich import as_of
 from encore.operators.keyed import arg_max_first, latest_by_key
 from encore.plans import jobs as J
-from encore.streaming.carried import Scan, batch_ids, expire
+from encore.streaming.carried import Scan, Window, batch_ids, expire
 from encore.streaming.sinks import write_batch
 
 
@@ -80,14 +81,20 @@ def artist_ticket_count_changelog(events: DataFrame):
     return lambda tickets, scan: J.artist_ticket_count_changelog_from(tickets.join(_event_lookup(events), "eventid"), scan)
 
 
-def closed_windows_gone(size_seconds: int, grace_seconds: int):
-    """For ``in_batches(keep=...)`` of P5: counts of windows that are closed for the records to come are dropped when
-    the totals are added up. The stream time is at least the newest window that has been counted."""
-    def keep(totals: DataFrame) -> DataFrame:
-        newest = totals.agg(F.max("window_start")).scalar()
-        return totals.where(F.col("window_start") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(size_seconds + grace_seconds))
-                            >= newest)
-    return {"windows": keep}
+def window_state(size_seconds: int, grace_seconds: int) -> dict[str, Window]:
+    """For ``in_batches(windows=...)`` of P5a and P5: the totals that lie in a folder per window, deleted when it closes."""
+    return {"windows": Window("window_start", size_seconds, grace_seconds)}
+
+
+def windowed_counts_changelog(size_seconds: int = J.WINDOW_SECONDS, grace_seconds: int = J.GRACE_SECONDS):
+    """The count of (artist, customer, window) after every listen that is not late."""
+    return lambda listens, scan: J.windowed_counts_changelog_from(_nn(listens, "artistid", "customerid"), size_seconds, grace_seconds, scan)
+
+
+def purchase_event_ticket_asof(records: DataFrame, scan: Scan) -> DataFrame:
+    """P2 over tickets and changes of the event table in one stream (``J.ticket_and_event_records``): the event's last
+    value is carried between batches, and a ticket sees it as of its arrival."""
+    return J.confirm_tickets(as_of(records, ["capacity"], scan), scan)
 
 
 # ---------------------------------------------------------------- snapshots per micro-batch (built-in state)

@@ -47,7 +47,8 @@ def _same(a, b):
 
 
 @pytest.mark.parametrize("name", ["stream_customer_stream_count_changelog", "stream_purchase_event_ticket",
-                                  "stream_customer_conversion_tally_changelog", "stream_artist_revenue_leader_changelog"])
+                                  "stream_customer_conversion_tally_changelog", "stream_artist_revenue_leader_changelog",
+                                  "stream_purchase_event_ticket_asof"])
 def test_changelogs_over_micro_batches(spark, name):
     from encore.plans import registry
     fn, batch = ST.QUERIES[name]
@@ -102,16 +103,74 @@ def test_unreadable_state_is_an_error(spark, tmp_path):
         SJ._latest_version(spark, str(tmp_path / "state"), 1).count()
 
 
-def test_closed_windows_leave_the_state(spark):
-    totals = spark.createDataFrame([("a", at(0), 3), ("a", at(10), 2), ("a", at(20), 1)], "artistid string, window_start timestamp, t_n int")
-    keep = SJ.closed_windows_gone(10, 1)["windows"]
-    assert sorted(r["t_n"] for r in keep(totals).collect()) == [1, 2]
+def _plays(spark, rows):
+    return spark.createDataFrame([(c, str(p), at(p), p) for c, p in rows], "customerid string, id string, streamtime timestamp, pos bigint")
 
 
-def test_last_cannot_be_carried(spark, tmp_path):
-    rows = spark.createDataFrame([("a", 1)], "k string, pos bigint")
-    with pytest.raises(ValueError):
-        carried.Carried(str(tmp_path), 0)("x", rows, ["k"], [F.col("pos")], "pos", [Spec("l", "last", "pos")])
+def test_a_batch_reads_only_the_buckets_of_its_keys(spark, tmp_path):
+    """Sixty customers fill many buckets; a batch with one of them reads one, and its count goes on from there."""
+    path = str(tmp_path / "p8")
+    carried.in_batches(path, SJ.customer_stream_count_changelog)(_plays(spark, [(f"c{i}", i) for i in range(60)]), 0)
+    scan = carried.Carried(f"{path}/state", 1)
+    out = SJ.customer_stream_count_changelog(_plays(spark, [("c7", 100), ("c7", 101)]), scan)
+    assert sorted(r["n"] for r in out.collect()) == [2, 3]
+    assert len(scan.read["listens"]) == 1 < len(carried._buckets(spark, f"{path}/state/listens/steps/batch_id=0"))
+    files = [f for f in out.inputFiles() if "/steps/" in f or "/base/" in f]
+    assert files and all(f"bucket={scan.read['listens'][0]}/" in f and "batch_id=0" in f for f in files)
+
+
+def test_buckets_without_increments_keep_their_base(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(carried, "COMPACT_EVERY", 2)
+    path, base = str(tmp_path / "p8"), str(tmp_path / "p8/state/listens/base")
+    for b in range(9):
+        rows = [("busy", b * 10)] + ([(f"c{i}", b * 10 + i + 1) for i in range(20)] if b in (0, 8) else [])
+        carried.in_batches(path, SJ.customer_stream_count_changelog)(_plays(spark, rows), b)
+    assert carried.batch_ids(spark, base) == [1, 5, 7]  # the quiet buckets are still those of batch 1
+    assert len(carried._buckets(spark, f"{base}/batch_id=1")) > 1 == len(carried._buckets(spark, f"{base}/batch_id=5"))
+    out = spark.read.parquet(f"{path}/out").groupBy("customerid").agg(F.max("n").alias("n")).collect()
+    assert {r["customerid"]: r["n"] for r in out} == {"busy": 9} | {f"c{i}": 2 for i in range(20)}
+
+
+def test_closed_windows_leave_the_state(spark, tmp_path):
+    """Twenty batches, each ten seconds of listens: the state holds the windows that can still be asked for."""
+    path, steps = str(tmp_path / "p5a"), str(tmp_path / "p5a/state/windows/steps")
+    job, windows = SJ.windowed_counts_changelog(10, 1), SJ.window_state(10, 1)
+    late = [("a", "u", 3)]  # in a window that closed long ago
+    for b in range(20):
+        rows = [("a", "u", b * 10 + i) for i in (1, 4, 8)] + (late if b == 12 else [])
+        batch = spark.createDataFrame([(x, y, at(t), b * 10 + i) for i, (x, y, t) in enumerate(rows)],
+                                      "artistid string, customerid string, streamtime timestamp, pos bigint")
+        carried.in_batches(path, job, windows)(batch, b)
+    first = int(at(0).timestamp()) // 10
+    left = {w for kind in ("steps", "base") for b in carried.batch_ids(spark, f"{path}/state/windows/{kind}")
+            for w in carried._buckets(spark, f"{path}/state/windows/{kind}/batch_id={b}")}
+    assert left == {first + 17, first + 18, first + 19} and carried.batch_ids(spark, steps)[-1] == 19
+    out = spark.read.parquet(f"{path}/out").groupBy("window_start").agg(F.max("n").alias("n"), F.count("*").alias("rows")).collect()
+    assert len(out) == 20 and {(r["n"], r["rows"]) for r in out} == {(3, 3)}
+
+
+def test_the_last_value_is_carried_with_its_place(spark, tmp_path):
+    rows = lambda *xs: spark.createDataFrame(list(xs), "k string, pos bigint, v string")
+    spec = [Spec("l", "last", "v")]
+    for b, batch in enumerate([rows(("a", 2, "x"), ("a", 1, "w"), ("b", 3, None)), rows(("a", 4, None), ("b", 5, "y")),
+                               rows(("b", 6, None), ("a", 7, None), ("c", 8, None))]):
+        scan = carried.Carried(str(tmp_path), b)
+        got = {(r["k"], r["pos"]): r["l"] for r in scan("x", batch, ["k"], [F.col("pos")], "pos", spec).collect()}
+        scan.commit(spark)
+        assert got == [{("a", 1): "w", ("a", 2): "x", ("b", 3): None}, {("a", 4): "x", ("b", 5): "y"},
+                       {("b", 6): "y", ("a", 7): "x", ("c", 8): None}][b]
+
+
+def test_tickets_see_the_event_as_of_their_arrival(spark, tmp_path):
+    """The event appears, is deleted and comes back with another capacity, each between two batches."""
+    events = [[("e", 3, at(1)), ("f", 1, at(0))], [("e", None, at(6))], [("e", 9, at(10))], []]
+    tickets = [[(0, "e", 1), (2, "e", 1), (3, "f", 1)], [(5, "e", 1), (7, "e", 1)], [(9, "e", 1), (11, "e", 1)], [(12, "e", 1), (13, "f", 1)]]
+    for b, (changes, rows) in enumerate(zip(events, _tickets(tickets, spark))):
+        table = spark.createDataFrame(changes, "id string, capacity int, updated timestamp")
+        carried.in_batches(str(tmp_path / "p2"), SJ.purchase_event_ticket_asof)(J.ticket_and_event_records(rows, table), b)
+    out = spark.read.parquet(str(tmp_path / "p2/out")).orderBy("arrival").collect()
+    assert [(r["ticket_id"], r["eventid"], r["request_no"], r["remainingTickets"]) for r in out] == [
+        ("#2", "e", 1, 2.0), ("#3", "f", 1, 0.0), ("#5", "e", 2, 1.0), ("#11", "e", 3, 0.0), ("#12", "e", 4, -1.0), ("#13", "f", 2, -1.0)]
 
 
 def test_best_streamers_keep_an_unknown_best(spark, tmp_path):
