@@ -373,11 +373,13 @@ def thank_you_top_streamer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return thank_you_from(counts, domain.artist(spark, sf_dir), domain.customer(spark, sf_dir))
 
 
-def windowed_counts_changelog_from(listens: DataFrame, size_seconds: int, grace_seconds: int, scan: Scan = whole_table()) -> DataFrame:
-    """P5a per update: the count ``n`` of (artist, customer, window) after every listen that is not late."""
-    order = listen_pos()
-    rows = listens.select("artistid", "customerid", "streamtime", "pos")
-    clock = scan("clock", rows, [], order, "pos", [Spec("now", "max", F.col("streamtime").cast("timestamp"))])
+def windowed_counts_changelog_from(listens: DataFrame, size_seconds: int, grace_seconds: int, scan: Scan = whole_table(),
+                                   partition: str | None = None) -> DataFrame:
+    """P5a per update: the count ``n`` of (artist, customer, window) after every listen that is not late. With
+    ``partition``, the column of the source partition, each partition has a stream time of its own."""
+    order, source = listen_pos(), [partition] if partition else []
+    rows = listens.select("artistid", "customerid", "streamtime", "pos", *source)
+    clock = scan("clock", rows, source, order, "pos", [Spec("now", "max", F.col("streamtime").cast("timestamp"))])
     kept = still_open(clock, "streamtime", "now", size_seconds, grace_seconds)
     kept = kept.select("artistid", "customerid", "pos", window_start("streamtime", size_seconds).alias("window_start"))
     return scan("windows", kept, ["artistid", "customerid", "window_start"], order, "pos", [Spec("n", "count")])
@@ -413,6 +415,15 @@ def late_stream_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select("artistid", "customerid", "window_start", "window_end", "n")
 
 
+def partition_late_stream_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P5a on listens of two source partitions with different lag, each by its own stream time."""
+    listens = domain.listen_partitioned(spark, sf_dir).where("artistid is not null and customerid is not null")
+    kept = drop_late_records(listens, "streamtime", listen_pos(), "pos", QUERY_WINDOW_SECONDS, GRACE_SECONDS, ["partition"],
+                             cell=RECORDS * domain.SHUFFLE_STEP)
+    c = tumbling_counts(kept, ["artistid", "customerid"], "streamtime", QUERY_WINDOW_SECONDS)
+    return c.select("artistid", "customerid", "window_start", "window_end", "n")
+
+
 def listened_artists(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each customer's artists in the order they were first listened to."""
     seen = first_seen(domain.listen(spark, sf_dir).where("customerid is not null"), "customerid", "artistid", listen_pos())
@@ -526,6 +537,7 @@ QUERIES = {
     "purchase_event_ticket_asof": purchase_event_ticket_asof,
     "thank_you_top_streamer_changelog": thank_you_top_streamer_changelog,
     "late_stream_counts": late_stream_counts,
+    "partition_late_stream_counts": partition_late_stream_counts,
     "listened_artists": listened_artists,
     "json_round_trip": json_round_trip,
     "tickets_as_of": tickets_as_of,

@@ -122,6 +122,13 @@ FROM listen WHERE customerid IS NOT NULL GROUP BY customerid, artistid""")
     q["late_stream_counts"] = _q(LATE_BODY, """
 SELECT artistid, customerid, day AS window_start, day + INTERVAL 1 DAY AS window_end, count(*) AS n
 FROM timely WHERE artistid IS NOT NULL AND customerid IS NOT NULL GROUP BY ALL""")
+    q["partition_late_stream_counts"] = _q("""
+dealt AS (SELECT *, row_number() OVER (ORDER BY id + (id * 7919) % (CASE WHEN id % 2 = 1 THEN 3000 ELSE 300 END), id % 4096) AS place
+          FROM listen WHERE artistid IS NOT NULL AND customerid IS NOT NULL),
+clock AS (SELECT *, date_trunc('day', streamtime) AS day,
+                 max(streamtime) OVER (PARTITION BY id % 2 ORDER BY place ROWS UNBOUNDED PRECEDING) AS now FROM dealt)""", """
+SELECT artistid, customerid, day AS window_start, day + INTERVAL 1 DAY AS window_end, count(*) AS n
+FROM clock WHERE day + INTERVAL 1 DAY > now - INTERVAL 1 SECOND GROUP BY ALL""")
     q["thank_you_top_streamer_changelog"] = _q("""
 counted AS (SELECT artistid, customerid, pos, count(*) OVER (PARTITION BY artistid, customerid, date_trunc('day', streamtime)
                                                              ORDER BY pos ROWS UNBOUNDED PRECEDING) AS n

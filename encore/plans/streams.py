@@ -126,6 +126,16 @@ def stream_windowed_counts_retained(spark: SparkSession, sf_dir: str) -> DataFra
     return last.select("artistid", "customerid", "window_start", end.alias("window_end"), "n")
 
 
+def stream_partition_late_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P5a with a stream time per source partition, over batches."""
+    listens = domain.listen_partitioned(spark, sf_dir).select("artistid", "customerid", "streamtime", "pos", "partition")
+    job = SJ.windowed_counts_changelog(J.QUERY_WINDOW_SECONDS, J.GRACE_SECONDS, "partition")
+    out = run_in_batches(spark, "p5a-partitions", listens, "pos", job)
+    last = out.groupBy("artistid", "customerid", "window_start").agg(F.max("n").alias("n"))
+    end = F.col("window_start") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(J.QUERY_WINDOW_SECONDS))
+    return last.select("artistid", "customerid", "window_start", end.alias("window_end"), "n")
+
+
 def stream_customer_conversion_tally_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_in_batches(spark, "p3", J.conversion_events(spark, sf_dir), "time", SJ.conversion_tally)
 
@@ -229,6 +239,7 @@ QUERIES = {
     "stream_purchase_event_ticket": (stream_purchase_event_ticket, "purchase_event_ticket"),
     "stream_purchase_event_ticket_asof": (stream_purchase_event_ticket_asof, "purchase_event_ticket_asof"),
     "stream_windowed_counts_retained": (stream_windowed_counts_retained, "windowed_stream_counts"),
+    "stream_partition_late_counts": (stream_partition_late_counts, "partition_late_stream_counts"),
     "stream_customer_conversion_tally": (stream_customer_conversion_tally, "customer_conversion_tally"),
     "stream_thank_you_top_streamer": (stream_thank_you_top_streamer, "thank_you_top_streamer"),
     "stream_artist_revenue_leader_changelog": (stream_artist_revenue_leader_changelog,

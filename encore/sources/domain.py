@@ -195,6 +195,15 @@ def listen_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return listens.withColumn("pos", late * SHUFFLE_STEP + F.col("id") % SHUFFLE_STEP)
 
 
+def listen_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listens from two source partitions, of which the second is up to 3,000 places late and the first up to 300;
+    ``pos`` is unique, in steps of ``SHUFFLE_STEP``."""
+    part = F.col("id") % 2
+    late = F.col("id") + (F.col("id") * 7919) % F.when(part == 1, 3000).otherwise(300)
+    listens = listen(spark, sf_dir).withColumn("partition", part.cast("int"))
+    return listens.withColumn("pos", late * SHUFFLE_STEP + F.col("id") % SHUFFLE_STEP)
+
+
 def address(spark: SparkSession, sf_dir: str) -> DataFrame:
     return address_from(read_table(spark, sf_dir, "customer"), read_table(spark, sf_dir, "nation"),
                         read_table(spark, sf_dir, "region"))

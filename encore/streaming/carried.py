@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from encore.operators.running import Spec, _total, combined, prefix_scan
+from encore.streaming.files import batch_ids, expire, file_system
 from encore.streaming.sinks import write_batch
 
 #: ``scan(name, rows, keys, order, time_col, specs)``: rows with one column per spec. ``name`` tells the scans of a job apart.
@@ -41,29 +42,6 @@ def whole_table(cell: int | None = None) -> Scan:
     return lambda name, rows, keys, order, time_col, specs: prefix_scan(rows, keys, order, time_col, specs, cell=cell)
 
 
-def _file_system(spark: SparkSession, path: str):
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
-
-
-def batch_ids(spark: SparkSession, path: str) -> list[int]:
-    """The batches that a ``batch_id``-partitioned table has, ascending; none if there is no such folder.
-    Any other failure to read the folder is an error."""
-    fs, p = _file_system(spark, path)
-    if not fs.exists(p):
-        return []
-    names = [s.getPath().getName() for s in fs.listStatus(p)]
-    return sorted(int(n.split("=", 1)[1]) for n in names if n.startswith("batch_id="))
-
-
-def expire(spark: SparkSession, path: str, before: int) -> None:
-    """Delete the batches before ``before``."""
-    fs, _ = _file_system(spark, path)
-    for b in batch_ids(spark, path):
-        if b < before:
-            fs.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/batch_id={b}"), True)
-
-
 @dataclass(frozen=True)
 class Window:
     """Totals that have a window in their key: the column with its start, its width, and how long after its end the
@@ -75,7 +53,7 @@ class Window:
 
 def _buckets(spark: SparkSession, path: str) -> list[int]:
     """The buckets that one batch of a table has."""
-    fs, p = _file_system(spark, path)
+    fs, p = file_system(spark, path)
     if not fs.exists(p):
         return []
     names = [s.getPath().getName() for s in fs.listStatus(p)]
@@ -83,7 +61,7 @@ def _buckets(spark: SparkSession, path: str) -> list[int]:
 
 
 def _delete(spark: SparkSession, path: str) -> None:
-    fs, p = _file_system(spark, path)
+    fs, p = file_system(spark, path)
     fs.delete(p, True)
 
 

@@ -82,13 +82,16 @@ def artist_ticket_count_changelog(events: DataFrame):
 
 
 def window_state(size_seconds: int, grace_seconds: int) -> dict[str, Window]:
-    """For ``in_batches(windows=...)`` of P5a and P5: the totals that lie in a folder per window, deleted when it closes."""
+    """For ``in_batches(windows=...)`` of P5a and P5: the totals that lie in a folder per window, deleted when it closes.
+    Where source partitions have stream times of their own, ``grace_seconds`` has to cover their lag as well."""
     return {"windows": Window("window_start", size_seconds, grace_seconds)}
 
 
-def windowed_counts_changelog(size_seconds: int = J.WINDOW_SECONDS, grace_seconds: int = J.GRACE_SECONDS):
-    """The count of (artist, customer, window) after every listen that is not late."""
-    return lambda listens, scan: J.windowed_counts_changelog_from(_nn(listens, "artistid", "customerid"), size_seconds, grace_seconds, scan)
+def windowed_counts_changelog(size_seconds: int = J.WINDOW_SECONDS, grace_seconds: int = J.GRACE_SECONDS, partition: str | None = None):
+    """The count of (artist, customer, window) after every listen that is not late by the stream time, which each
+    source ``partition`` carries for itself where that column is named."""
+    return lambda listens, scan: J.windowed_counts_changelog_from(_nn(listens, "artistid", "customerid"), size_seconds, grace_seconds,
+                                                                  scan, partition)
 
 
 def purchase_event_ticket_asof(records: DataFrame, scan: Scan) -> DataFrame:

@@ -16,9 +16,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from encore.session import checkpoint_dir
+from encore.streaming.files import batch_ids, is_complete
 
 
 def checkpoint_for(spark: SparkSession, name: str) -> str:
@@ -136,15 +138,32 @@ def start_kafka(df: DataFrame, name: str, bootstrap: str, topic: str, key: str,
     return w.start()
 
 
-def split_writer(paths: dict[str, str], route_col: str = "sink"):
+def split_writer(paths: dict[str, str], route_col: str = "sink", manifest: str | None = None):
     """``foreachBatch`` function writing each route's rows to its own parquet
     path (one sink per branch). The batch is persisted once and each branch is
-    written into its ``batch_id`` partition, so a replayed batch is idempotent."""
+    written into its ``batch_id`` partition, so a replayed batch is idempotent.
+
+    With ``manifest``, a folder, the branches appear together: a batch's entry
+    there, with the number of rows of each branch, is written when all of them
+    are, and ``read_branch`` takes the batches that have one.
+    """
     def fn(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
             for route, path in paths.items():
                 write_batch(batch.where(F.col(route_col) == route).drop(route_col), path, batch_id)
+            if manifest:
+                counts = batch.groupBy(F.col(route_col).alias("route")).agg(F.count(F.lit(1)).alias("rows"))
+                counts.coalesce(1).write.mode("overwrite").parquet(f"{manifest}/batch_id={batch_id}")
         finally:
             batch.unpersist()
     return fn
+
+
+def read_branch(spark: SparkSession, path: str, manifest: str, schema: T.StructType) -> DataFrame:
+    """The rows of one branch, of those batches alone whose branches are all written."""
+    there = set(batch_ids(spark, path))  # a branch without rows in a batch has no folder for it
+    done = [b for b in batch_ids(spark, manifest) if b in there and is_complete(spark, f"{manifest}/batch_id={b}")]
+    if not done:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*[f"{path}/batch_id={b}" for b in done])

@@ -7,16 +7,21 @@ micro-batch; across micro-batches order is the source's order.
 
 ``kafka_stream`` reads a topic through Spark's Kafka source when its package
 is on the classpath (it is not in this image): the record value is parsed with
-``from_json`` once at the source, and ``pos`` is made of the record timestamp,
-partition and offset.
+``from_json`` once at the source, and ``pos`` holds the record's timestamp,
+partition and offset. Jobs that need a number as position get one from
+``numbered``, which counts the records in that order.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from encore.operators.running import Spec
 from encore.schemas import TOPICS, schema
+from encore.streaming.carried import Scan
 
 
 def entity_stream(spark: SparkSession, path: str, entity: str, fmt: str = "json",
@@ -53,17 +58,25 @@ def kafka_stream(spark: SparkSession, bootstrap: str, entity: str, starting: str
 def kafka_records(raw: DataFrame, entity: str) -> DataFrame:
     """Entity rows from Kafka's columns (``key, value, timestamp, partition, offset``), with ``pos`` and ``deleted``.
 
-    ``pos`` orders records by time, then partition and offset: milliseconds,
-    then 6 bits of the partition and 14 of the offset, which is unique for up
-    to 64 partitions and 16,384 records of a partition in a millisecond. A
-    record without a value deletes its key: all columns are null but ``id``,
-    which is the key, and ``deleted`` is true.
+    ``pos`` is the struct of timestamp, partition and offset, which orders the
+    records of any number of partitions and is unique. A record without a value
+    deletes its key: all columns are null but ``id``, which is the key, and
+    ``deleted`` is true.
     """
-    pos = (F.unix_millis("timestamp") * F.lit(1 << 20) + F.pmod(F.col("partition"), F.lit(64)) * F.lit(1 << 14)
-           + F.pmod(F.col("offset"), F.lit(1 << 14))).cast("bigint")
+    pos = F.struct("timestamp", "partition", "offset")
     key = F.col("key").cast("string")
     parsed = raw.select(key.alias("key"), F.from_json(F.col("value").cast("string"), schema(entity)).alias("v"), pos.alias("pos"),
                         F.col("value").isNull().alias("deleted"))
     columns = [F.when(F.col("deleted"), F.col("key")).otherwise(F.col(f"v.{f.name}").cast("string")).cast(f.dataType).alias(f.name)
                if f.name == "id" else F.col(f"v.{f.name}").alias(f.name) for f in schema(entity).fields]
     return parsed.select("key", *columns, "pos", "deleted")
+
+
+def numbered(job: Callable[[DataFrame, Scan], DataFrame]) -> Callable[[DataFrame, Scan], DataFrame]:
+    """A changelog job over records of ``kafka_records``: ``pos`` becomes the number of the record in the order of
+    timestamp, partition and offset, counted on from the micro-batches before."""
+    def run(records: DataFrame, scan: Scan) -> DataFrame:
+        flat = records.select([c for c in records.columns if c != "pos"] + ["pos.*"])
+        counted = scan("arrival", flat, [], [F.col("timestamp"), F.col("partition"), F.col("offset")], "timestamp", [Spec("pos", "count")])
+        return job(counted.drop("timestamp", "partition", "offset"), scan)
+    return run

@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from encore import functions as fx
-from encore.streaming.sources import kafka_records
+from encore.streaming.carried import Carried
+from encore.streaming.sources import kafka_records, numbered
 
 
 def test_money_sum_is_exact(spark):
@@ -72,6 +73,23 @@ def test_kafka_records(spark):
     assert rows[2]["id"] == "t1" and len({r["pos"] for r in rows}) == 3
 
 
+def test_kafka_records_are_numbered_over_many_partitions(spark, tmp_path):
+    """A thousand partitions with offsets far apart in one millisecond: numbers follow time, partition and offset, and
+    go on in the next batch."""
+    value, t0 = json.dumps({"id": "x"}).encode(), dt.datetime(2024, 1, 1)
+    records = lambda at, offsets: kafka_records(spark.createDataFrame(
+        [(str(p * 10 + i).encode(), value, at, p, o) for p in range(0, 1000, 7) for i, o in enumerate(offsets)],
+        "key binary, value binary, timestamp timestamp, partition int, offset bigint"), "ticket").drop("id")
+    first = 0
+    for b, (at, offsets) in enumerate([(t0, (5, 5 + (1 << 14), 1 << 40)), (t0 + dt.timedelta(milliseconds=1), (6,))]):
+        scan = Carried(str(tmp_path), b)
+        got = numbered(lambda rows, _: rows)(records(at, offsets), scan).orderBy("pos").collect()
+        scan.commit(spark)
+        want = [str(p * 10 + i) for p in range(0, 1000, 7) for i in range(len(offsets))]
+        assert [r["pos"] for r in got] == list(range(first + 1, first + len(want) + 1)) and [r["key"] for r in got] == want
+        first += len(want)
+
+
 def test_no_machine_local_checkpoints_on_a_cluster():
     import types
 

@@ -173,6 +173,44 @@ def test_tickets_see_the_event_as_of_their_arrival(spark, tmp_path):
         ("#2", "e", 1, 2.0), ("#3", "f", 1, 0.0), ("#5", "e", 2, 1.0), ("#11", "e", 3, 0.0), ("#12", "e", 4, -1.0), ("#13", "f", 2, -1.0)]
 
 
+def test_branches_appear_together(spark, tmp_path, monkeypatch):
+    """A batch that fails between two branches shows in neither; its replay shows in both."""
+    paths, manifest = {r: str(tmp_path / r) for r in ("priority", "default")}, str(tmp_path / "manifest")
+    rows = lambda *xs: spark.createDataFrame(list(xs), "key string, sink string")
+    shape = rows(("x", "y")).drop("sink").schema
+    seen = lambda: [sorted(r["key"] for r in sinks.read_branch(spark, p, manifest, shape).collect()) for p in paths.values()]
+    assert seen() == [[], []]
+    sinks.split_writer(paths, manifest=manifest)(rows(("a", "priority"), ("b", "default")), 0)
+    write = sinks.write_batch
+
+    def failing(batch, path, batch_id):
+        if path == paths["default"]:
+            raise RuntimeError("lost")
+        write(batch, path, batch_id)
+
+    second = rows(("c", "priority"), ("d", "default"), ("e", "default"))
+    monkeypatch.setattr(sinks, "write_batch", failing)
+    with pytest.raises(RuntimeError):
+        sinks.split_writer(paths, manifest=manifest)(second, 1)
+    assert spark.read.parquet(paths["priority"]).count() == 2 and seen() == [["a"], ["b"]]
+    monkeypatch.setattr(sinks, "write_batch", write)
+    sinks.split_writer(paths, manifest=manifest)(second, 1)
+    sinks.split_writer(paths, manifest=manifest)(rows(("f", "default")), 2)
+    assert seen() == [["a", "c"], ["b", "d", "e", "f"]]
+    assert {r["route"]: r["rows"] for r in spark.read.parquet(f"{manifest}/batch_id=1").collect()} == {"priority": 1, "default": 2}
+
+
+def test_every_source_partition_has_its_stream_time(spark, tmp_path):
+    """The slow partition's record counts though the fast one is far ahead, over two batches."""
+    job = SJ.windowed_counts_changelog(10, 1, "partition")
+    for b, rows in enumerate([[(100, 0), (5, 1)], [(7, 1), (30, 0), (104, 0), (25, 1), (6, 1)]]):
+        batch = spark.createDataFrame([("a", "u", at(t), b * 10 + i, p) for i, (t, p) in enumerate(rows)],
+                                      "artistid string, customerid string, streamtime timestamp, pos bigint, partition int")
+        carried.in_batches(str(tmp_path / "p"), job)(batch, b)
+    out = spark.read.parquet(str(tmp_path / "p/out"))
+    assert sorted((r["pos"], r["n"]) for r in out.collect()) == [(0, 1), (1, 1), (10, 2), (12, 2), (13, 1)]
+
+
 def test_best_streamers_keep_an_unknown_best(spark, tmp_path):
     """A stranger's best hides a lesser one; it is only left out of what is published."""
     s = entity_stream(spark, _write(str(tmp_path / "in"), [_listens([("stranger", "a")] * 3), _listens([("u", "a")] * 2 + [("u", "b")], 3)]),
