@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from rows import at
 from encore.plans import jobs as J
+from encore.plans import scenarios as R
 from encore.streaming.carried import whole_table
 
 SECOND = 1_000_000
@@ -225,3 +226,14 @@ def test_running_counts(spark, listens):
     rows = sorted((x for x in tickets if x[2] in events and events[x[2]][1]), key=lambda x: (x[4], x[0], x[3]))
     acts = [events[x[2]][1] for x in rows]
     assert got == {x[0]: (acts[i], acts[:i + 1].count(acts[i])) for i, x in enumerate(rows)}
+
+
+def test_alerts_count_listens_before_the_announcement(spark):
+    listens = spark.createDataFrame([(c, a, str(i), at(t), i) for i, (c, a, t) in enumerate(
+        [("u", "A", 1), ("v", "A", 1), ("v", "A", 2), ("w", "A", 3), ("u", "A", 4), ("u", "A", 4), ("x", "B", 4), (None, "A", 1)])],
+        "customerid string, artistid string, id string, streamtime timestamp, pos bigint")
+    events = spark.createDataFrame([(1, "A", at(1)), (2, "A", at(2)), (3, "A", at(4)), (4, "A", at(9)), (5, "B", at(4)), (6, "C", at(9))],
+                                   "id int, artistid string, created timestamp")
+    got = R.alerts_asof(events, listens, 2).collect()
+    assert sorted((r["eventid"], r["rank"], r["customerid"], r["n"]) for r in got) == [
+        (2, 1, "u", 1), (2, 2, "v", 1), (3, 1, "v", 2), (3, 2, "u", 1), (4, 1, "u", 3), (4, 2, "v", 2)]

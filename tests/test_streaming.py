@@ -12,6 +12,7 @@ from encore.operators.running import Spec
 from encore.plans import jobs as J
 from encore.plans import streams as ST
 from encore.streaming import carried, jobs as SJ, sinks
+from encore.streaming.lookups import Published, refreshing
 from encore.streaming.sources import entity_stream
 
 SF = "/root/testdata/sf0.001"
@@ -173,6 +174,26 @@ def test_tickets_see_the_event_as_of_their_arrival(spark, tmp_path):
         ("#2", "e", 1, 2.0), ("#3", "f", 1, 0.0), ("#5", "e", 2, 1.0), ("#11", "e", 3, 0.0), ("#12", "e", 4, -1.0), ("#13", "f", 2, -1.0)]
 
 
+def test_artists_added_between_batches_are_seen(spark, tmp_path):
+    """The batch after a new version of the artists counts the new one; a replay uses the versions of the first run."""
+    events = spark.createDataFrame([("e1", "A", 9), ("e2", "B", 9)], "id string, artistid string, capacity int")
+    rows = [("A", "Ada", "x"), ("B", "Bob", "y")]
+    schema = spark.createDataFrame(rows, "id string, name string, genre string").schema
+    artists = Published(str(tmp_path / "artists"), schema)
+    fn = carried.in_batches(str(tmp_path / "p4"), refreshing({"artists": artists}, lambda artists: SJ.revenue_leader(events, artists)))
+    batches = _tickets([[(0, "e1", 5)], [(1, "e2", 9)], [(2, "e2", 1)]], spark)
+    leaders = lambda: [(r["ticket_id"], r["artistId"], r["revenue"]) for r in spark.read.parquet(str(tmp_path / "p4/out")).orderBy("arrival").collect()]
+    assert artists.versions(spark) == [] and artists.read(spark, -1).count() == 0  # nothing is published yet
+    artists.publish(spark.createDataFrame(rows[:1], schema))
+    fn(batches[0], 0)
+    fn(batches[1], 1)
+    assert artists.publish(spark.createDataFrame(rows, schema)) == 1
+    fn(batches[1], 1)  # a replay
+    assert artists.versions(spark) == [0, 1] and leaders() == [("#0", "A", 5)]
+    fn(batches[2], 2)
+    assert leaders() == [("#0", "A", 5), ("#2", "B", 10)]
+
+
 def test_branches_appear_together(spark, tmp_path, monkeypatch):
     """A batch that fails between two branches shows in neither; its replay shows in both."""
     paths, manifest = {r: str(tmp_path / r) for r in ("priority", "default")}, str(tmp_path / "manifest")
