@@ -49,7 +49,7 @@ def collected() -> Iterator[list[str]]:
     try:
         yield folders
     finally:
-        _COLLECTED.remove(folders)
+        _COLLECTED.pop()  # blocks end in the order in which they are nested
 
 
 def remove(spark: SparkSession, folders: list[str], but: list[str] | None = None) -> None:

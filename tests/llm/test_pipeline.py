@@ -1,12 +1,14 @@
 """The pipeline, stage by stage, and the registered queries."""
 
 import collections
+import pathlib
 
 import __spark_entry__ as entry
 import corpus_pipeline
 from edge import SF, documents, edge_docs
 from test_free import alike, bag, hits
 import duckdb
+from encore.session import checkpoint_dir
 
 
 def test_stages_against_brute_force(spark):
@@ -38,8 +40,13 @@ def test_stages_against_brute_force(spark):
 
 
 def test_run_gives_the_last_stage(spark):
+    folder = pathlib.Path(checkpoint_dir(spark)) / "llm"
+    before = set(folder.iterdir()) if folder.exists() else set()
     rows = corpus_pipeline.run(spark, SF)
     assert rows.columns == ["doc_id", "start", "n_tokens", "ids_crc32"] and rows.count() > 0
+    stages = {f"pipeline-{name}" for name, _ in corpus_pipeline.STAGES}
+    left = {p.name.rsplit("-", 1)[0] for p in set(folder.iterdir()) - before}
+    assert left & stages == {"pipeline-token_records"} and len(left) == 1  # nothing else is left behind
 
 
 def test_stages_take_odd_rows(spark):
