@@ -155,16 +155,22 @@ WITH lines AS (
     SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i
     FROM documents WHERE text IS NOT NULL
 ), solid AS (
-    SELECT doc_id, i, trim(line, ' ') AS line, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS k
+    SELECT doc_id, i, trim(line, ' ') AS line, len(string_split_regex(trim(line, ' '), ' +')) AS n,
+           row_number() OVER (PARTITION BY doc_id ORDER BY i) AS k
     FROM lines WHERE trim(line, ' ') <> ''
 ), runs AS (
-    SELECT a.doc_id, a.k, md5(a.line || chr(10) || b.line || chr(10) || c.line) AS run
+    SELECT doc_id, k, 1 AS size, md5(line) AS run FROM solid WHERE n >= 50
+    UNION ALL
+    SELECT a.doc_id, a.k, 2, md5(a.line || chr(10) || b.line)
+    FROM solid a JOIN solid b ON b.doc_id = a.doc_id AND b.k = a.k + 1 WHERE a.n + b.n >= 50
+    UNION ALL
+    SELECT a.doc_id, a.k, 3, md5(a.line || chr(10) || b.line || chr(10) || c.line)
     FROM solid a JOIN solid b ON b.doc_id = a.doc_id AND b.k = a.k + 1
                  JOIN solid c ON c.doc_id = a.doc_id AND c.k = a.k + 2
 ), later AS (
-    SELECT doc_id, k FROM (SELECT *, row_number() OVER (PARTITION BY run ORDER BY doc_id, k) AS nth FROM runs) WHERE nth > 1
+    SELECT doc_id, k, size FROM (SELECT *, row_number() OVER (PARTITION BY size, run ORDER BY doc_id, k) AS nth FROM runs) WHERE nth > 1
 ), gone AS (
-    SELECT DISTINCT s.doc_id, s.i FROM later l JOIN solid s ON s.doc_id = l.doc_id AND s.k BETWEEN l.k AND l.k + 2
+    SELECT DISTINCT s.doc_id, s.i FROM later l JOIN solid s ON s.doc_id = l.doc_id AND s.k BETWEEN l.k AND l.k + l.size - 1
 ), kept AS (
     SELECT l.doc_id, string_agg(l.line, chr(10) ORDER BY l.i) AS text
     FROM lines l LEFT JOIN gone g USING (doc_id, i) WHERE g.i IS NULL GROUP BY l.doc_id

@@ -79,7 +79,7 @@ def test_exact_dedup_against_brute_force(spark, max_bits):
     assert bloom_dedup.dedup_report(edge_docs(spark, [])).count() == 0 == bloom_dedup.dedup(edge_docs(spark, [])).count()
 
 
-def without_repeats(rows, run):
+def without_repeats(rows, run, words):
     """doc -> (non-blank lines, removed, text), by looking at every window."""
     seen, out = set(), {}
     key = lambda r: (r[0] is None, r[0] or 0, r[1])
@@ -87,30 +87,43 @@ def without_repeats(rows, run):
         lines = r[1].split("\n")
         solid = [i for i, x in enumerate(lines) if x.strip(" ")]
         gone = set()
-        for at in range(len(solid) - run + 1):
-            w = tuple(lines[i].strip(" ") for i in solid[at:at + run])
-            if w in seen:
-                gone |= set(solid[at:at + run])
-            seen.add(w)
+        for at in range(len(solid)):
+            for n in range(1, min(run, len(solid) - at) + 1):
+                w = tuple(lines[i].strip(" ") for i in solid[at:at + n])
+                if n < run and sum(len(re.split(" +", x)) for x in w) < words:
+                    continue
+                if w in seen:
+                    gone |= set(solid[at:at + n])
+                seen.add(w)
         out[r] = (len(solid), len(gone), "\n".join(x for i, x in enumerate(lines) if i not in gone))
     return out
 
 
-@pytest.mark.parametrize("run", [1, 2, 3])
-def test_line_dedup_against_brute_force(spark, run):
-    rows = edge_rows() + [(900, "a\na\na\na\na", *[None] * 6), (901, "p\nb \n c\nd\na\nb", *[None] * 6)]
+@pytest.mark.parametrize("run,words", [(1, 50), (2, 3), (3, 2), (3, 50), (4, 3)])
+def test_line_dedup_against_brute_force(spark, run, words):
+    rows = edge_rows() + [(900, "a\na\na\na\na", *[None] * 6), (901, "p\nb \n c\nd\na\nb", *[None] * 6),
+                          (902, "a b\nc\n\nx  y z\nc\na b", *[None] * 6), (903, " x  y z\nc\nq\na b \nc\nx y z", *[None] * 6)]
     rows = [r for r in rows if r[:2] != (6, "another text with id six")]  # two texts of one id have no stated order here
-    got = winnow_lines.dedup_lines(edge_docs(spark, rows), run=run).select("row.doc_id", F.col("row.text").alias("was"), "deduped.*").collect()
-    expected = without_repeats(rows, run)
+    got = winnow_lines.dedup_lines(edge_docs(spark, rows), run, words).select("row.doc_id", F.col("row.text").alias("was"), "deduped.*").collect()
+    expected = without_repeats(rows, run, words)
     assert len(got) == len(rows)
     for r in got:
         assert tuple(r)[2:] == (expected[(r["doc_id"], r["was"])] if r["was"] is not None else (0, 0, None))
-    assert winnow_lines.dedup_lines(edge_docs(spark, []), run=run).count() == 0
+    assert winnow_lines.dedup_lines(edge_docs(spark, []), run, words).count() == 0
 
 
 def test_line_dedup_on_documents_with_a_saturated_filter(spark):
     rows = documents()
     got = winnow_lines.dedup_lines(spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string"), max_bits=64)
-    expected = without_repeats(rows, winnow_lines.RUN)
+    expected = without_repeats(rows, winnow_lines.RUN, winnow_lines.WORDS)
     for r in got.select("row.doc_id", F.col("row.text").alias("was"), "deduped.*").collect():
         assert tuple(r)[2:] == expected[(r["doc_id"], r["was"])]
+
+
+def test_long_passages_of_one_and_two_lines_go(spark):
+    line = " ".join(f"w{i}" for i in range(51))
+    first, second = line[:line.index(" w20")], line[line.index("w20"):]
+    texts = [f"one\n{line}\ntwo", f"three\n\n{line} ", f"{first}\n{second}\nfour", f"five\n{first}\n\n{second}", f"{first}\nsix", line]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    got = {r["doc_id"]: r["text"] for r in winnow_lines.dedup_lines(docs).select("row.doc_id", "deduped.text").collect()}
+    assert got == {0: texts[0], 1: "three\n", 2: texts[2], 3: "five\n", 4: texts[4], 5: ""}
