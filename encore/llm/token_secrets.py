@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import base64
 import re
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -58,6 +58,19 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
+def covered(spans: list[tuple[int, int, int]]) -> tuple[list[int], list[int]]:
+    """Starts and ends of the stretches that sorted spans cover, both ascending."""
+    starts: list[int] = []
+    ends: list[int] = []
+    for s, _, e in spans:
+        if ends and s < ends[-1]:
+            ends[-1] = max(ends[-1], e)
+        else:
+            starts.append(s)
+            ends.append(e)
+    return starts, ends
+
+
 def known(string: str, efficiency: TokenEfficiency, most_ratio: float) -> bool:
     """Whether a string is a digest or an identifier."""
     if not any(c.isalpha() for c in string):
@@ -125,9 +138,11 @@ def spans_of(text: str, efficiency: TokenEfficiency, most_ratio: float = MOST_RA
     base = base_spans(text)
     more: list[tuple[int, int, int]] = []
     urls, done = None, 0
+    starts, ends = covered(base)
 
     def free(a: int, b: int) -> bool:
-        return not any(s < b and a < e for s, _, e in base)
+        near = bisect_left(starts, b) - 1  # the last stretch that begins before the end
+        return near < 0 or ends[near] <= a
 
     def random(a: int, b: int) -> bool:
         return not known(text[a:b], efficiency, most_ratio) and efficiency.ratio(text[a:b]) <= most_ratio

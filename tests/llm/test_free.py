@@ -6,6 +6,7 @@ import math
 import pathlib
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -204,6 +205,24 @@ def test_secrets_beside_punctuation():
     assert len(found(" ".join([".".join([blob] * 2000), "a." * 20000]))) == 1
 
 
+def test_secrets_in_a_text_of_very_many():
+    rng = random.Random(7)
+    some = lambda n: "".join(rng.choice("ABCDEFGHJKLMNPQRSTUVWXYZabcdefghjkmnpqrstuvwxyz23456789") for _ in range(n))
+    efficiency = token_secrets.TokenEfficiency(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    parts = [rng.choice([f"token={some(30)}", some(30), "ab" * 20, f"AKIA{some(16).upper()}", "words"]) for _ in range(300)]
+    base = [(a, b) for a, _, b in token_secrets.base_spans(" ".join(parts))]
+    starts, ends = token_secrets.covered(token_secrets.base_spans(" ".join(parts)))
+    for a in range(0, ends[-1] + 40, 7):
+        for b in (a + 1, a + 25):
+            near = token_secrets.bisect_left(starts, b) - 1
+            assert (near < 0 or ends[near] <= a) == (not any(s < b and a < e for s, e in base))
+    long = " ".join(parts * 125)
+    assert len(long) > 1_000_000
+    began = time.process_time()
+    spans = token_secrets.spans_of(long, efficiency)
+    assert time.process_time() - began < 10 and len(spans) == 125 * len(token_secrets.spans_of(" ".join(parts), efficiency))
+
+
 # ---------------------------------------------------------------- toxicity
 
 def labelled(spark, n=600):
