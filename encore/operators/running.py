@@ -39,11 +39,13 @@ OPS = ("count", "sum", "max", "min", "last")
 class Spec:
     """One running aggregate: ``out`` = ``op`` over ``value`` up to the row.
 
-    ``last`` is the last non-null value (like ``last(x, ignorenulls)``).
+    ``last`` is the last non-null value (like ``last(x, ignorenulls)``). With
+    ``before`` the row itself is left out: what there was when it came.
     """
     out: str
     op: str
     value: str | Column | None = None
+    before: bool = False
 
     def __post_init__(self):
         if self.op not in OPS:
@@ -106,7 +108,7 @@ def combined(op: str, here: Column, before: Column) -> Column:
 
 def prefix_scan(df: DataFrame, keys: list[str], order: list[Column], time_col: str, specs: list[Spec],
                 cell: int | None = None) -> DataFrame:
-    """Add one column per ``Spec`` holding its inclusive running value.
+    """Add one column per ``Spec`` holding its running value.
 
     ``order`` must be a total order whose leading column is ``time_col`` (a
     timestamp or a number), so cells respect it. Rows with a null key have no
@@ -117,8 +119,9 @@ def prefix_scan(df: DataFrame, keys: list[str], order: list[Column], time_col: s
         rows = rows.where(F.col(k).isNotNull())
     cells = in_cells(rows, keys, time_col, cell)
     part = [*keys, "__cell"]
-    w = Window.partitionBy(*part).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = cells.select("*", *[_running(s, s.column(), w).alias(f"__l_{s.out}") for s in specs])
+    w = Window.partitionBy(*part).orderBy(*order)
+    upto, before = (w.rowsBetween(Window.unboundedPreceding, last) for last in (Window.currentRow, -1))
+    local = cells.select("*", *[_running(s, s.column(), before if s.before else upto).alias(f"__l_{s.out}") for s in specs])
     totals = cell_totals(cells, keys, [_total(s, order).alias(f"__t_{s.out}") for s in specs])
     earlier = Window.partitionBy(*keys).orderBy("__cell").rowsBetween(Window.unboundedPreceding, -1)
     carried = totals.select(*part, *[

@@ -21,6 +21,8 @@ from encore.operators.enrich import enrich_asof, tagged
 from encore.operators.keyed import arg_max_first, first_seen
 from encore.operators.route import route
 from encore.operators.running import RECORDS, Spec, prefix_scan, running_leader
+from encore.operators.sketch import TRACKED, counters, frequent
+from encore.operators.tables import outer_changelog, withdrawn_sum
 from encore.operators.topk import top_k_per_group
 from encore.operators.windows import drop_late_records, still_open, tumbling_counts, window_start
 from encore.sources import domain
@@ -135,6 +137,33 @@ def top_customer_artists_changelog(spark: SparkSession, sf_dir: str) -> DataFram
     return flat_top(top_customer_artists_changelog_from(domain.listen(spark, sf_dir)))
 
 
+def artist_rank_changelog_from(listens: DataFrame, scan: Scan = whole_table()) -> DataFrame:
+    """Any place, not only the first few: after every listen the rank of its artist among the customer's, ``rank``, and
+    how many there are, ``artists``. Ties go to who reached the count first.
+
+    A count is reached one listen at a time, once by every artist that gets so
+    far. So the artists at or above the count that this listen reaches are
+    those that reached it before, and the rank is the how-manieth this one is.
+    """
+    order = listen_pos()
+    rows = listens.where("customerid is not null").select(
+        "customerid", "id", "pos", "artistid", F.struct("customerid", "artistid").alias("pair"))
+    counted = scan("count", rows, ["pair"], order, "pos", [Spec("n", "count")]).drop("pair")
+    ranked = scan("reached", counted, ["customerid", "n"], order, "pos", [Spec("rank", "count")])
+    known = scan("artists", ranked, ["customerid"], order, "pos", [Spec("artists", "count", F.when(F.col("n") == 1, 1))])
+    return known.select("customerid", F.col("id").alias("listen_id"), "artistid", "n", "rank", "artists")
+
+
+def artist_rank_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return artist_rank_changelog_from(domain.listen(spark, sf_dir))
+
+
+def customer_artist_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listens per (customer, artist) from counters of bounded size, with the bound of each count."""
+    sketches = counters(domain.listen(spark, sf_dir).where("customerid is not null"), ["customerid"], "artistid")
+    return frequent(sketches, ["customerid"], "artistid", TRACKED)
+
+
 def top_customer_artists_nested(flat: DataFrame) -> DataFrame:
     """``(customerid, top array<struct<artistid, n>>)`` ordered by rank; at most
     k elements per customer, so the collect is bounded."""
@@ -272,6 +301,25 @@ def customer_conversion_tally_changelog(spark: SparkSession, sf_dir: str) -> Dat
     return r.select(F.lit(fx.TALLY_KEY).alias("key"), "customerid", "time", "side", "lid", "tid", "value")
 
 
+def match_changelog_from(e: DataFrame, scan: Scan = whole_table()) -> DataFrame:
+    """Whether a customer bought a ticket for a listened artist, after every listen and purchase of theirs, and whether
+    so before it (null at their first): the full outer join of the listens and the purchases by (customer, artist), and
+    per customer the number of pairs that both sides have, from which an update takes back what the old row gave."""
+    order = [F.col(c) for c in ("time", "side", "lid", "tid")]
+    rows = e.where("customerid is not null").select(
+        "customerid", "time", "side", "lid", "tid", F.struct("customerid", "artistid").alias("pair"), F.lit(1).alias("there"))
+    pairs = outer_changelog(rows, "pair", order, "time", "side", "there", scan, "pairs")
+    both = {s: (F.col(f"{s}.left").isNotNull() & F.col(f"{s}.right").isNotNull()).cast("int").alias(s) for s in ("old", "new")}
+    steps = pairs.select("customerid", "time", "side", "lid", "tid", *both.values())
+    matched = withdrawn_sum(steps, ["customerid"], order, "time", F.col("old"), F.col("new"), scan, "pairs", "matches")
+    return matched.select("customerid", "time", "side", "lid", "tid", (F.col("old_pairs") > 0).alias("old_match"),
+                          (F.col("new_pairs") > 0).alias("new_match"))
+
+
+def customer_match_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return match_changelog_from(conversion_events(spark, sf_dir))
+
+
 # ---------------------------------------------------------------- P4
 
 def artist_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -534,6 +582,9 @@ def ticket_confirmation_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "top_customer_artists": top_customer_artists,
     "top_customer_artists_changelog": top_customer_artists_changelog,
+    "artist_rank_changelog": artist_rank_changelog,
+    "customer_artist_counters": customer_artist_counters,
+    "customer_match_changelog": customer_match_changelog,
     "purchase_event_ticket_asof": purchase_event_ticket_asof,
     "thank_you_top_streamer_changelog": thank_you_top_streamer_changelog,
     "late_stream_counts": late_stream_counts,

@@ -105,6 +105,20 @@ FROM ranked GROUP BY customerid, listen_id""", extra_ctes="""
 upto AS (SELECT b.customerid, b.id AS listen_id, a.artistid, count(*) AS n, max(a.pos) AS lp
          FROM listen b JOIN listen a ON a.customerid = b.customerid AND a.pos <= b.pos GROUP BY ALL),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY customerid, listen_id ORDER BY n DESC, lp) AS rk FROM upto)""")
+    # By definition: the artists of all listens up to each listen.
+    q["artist_rank_changelog"] = with_views("""
+SELECT r.customerid, r.listen_id, r.artistid, r.n, r.rk AS "rank", r.artists
+FROM ranked r JOIN listen l ON l.id = r.listen_id AND l.artistid IS NOT DISTINCT FROM r.artistid""", extra_ctes="""
+upto AS (SELECT b.customerid, b.id AS listen_id, a.artistid, count(*) AS n, max(a.pos) AS lp
+         FROM listen b JOIN listen a ON a.customerid = b.customerid AND a.pos <= b.pos GROUP BY ALL),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY customerid, listen_id ORDER BY n DESC, lp) AS rk,
+                  count(*) OVER (PARTITION BY customerid, listen_id) AS artists FROM upto)""")
+    q["customer_artist_counters"] = with_views("""
+SELECT customerid, artistid, count(*) AS n, CAST(floor(3.5 * sum(count(*)) OVER (PARTITION BY customerid) / 2048) AS BIGINT) AS error
+FROM listen WHERE customerid IS NOT NULL AND artistid IS NOT NULL GROUP BY customerid, artistid""")
+    q["customer_match_changelog"] = _q(P3_BODY, """
+SELECT customerid, time, side, lid, tid, lag(matched) OVER (PARTITION BY customerid ORDER BY pos) AS old_match, matched AS new_match
+FROM (SELECT e2.*, coalesce(pos >= first_match, false) AS matched FROM e2 LEFT JOIN m USING (customerid))""")
     q["tickets_as_of"] = _q(AS_OF_BODY, """
 SELECT id AS ticket_id, eventid, arrival, price, capacity FROM seen""")
     q["purchase_event_ticket_asof"] = _q(AS_OF_BODY + """,

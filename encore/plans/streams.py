@@ -145,6 +145,15 @@ def stream_customer_conversion_tally(spark: SparkSession, sf_dir: str) -> DataFr
     return stream_customer_conversion_tally_changelog(spark, sf_dir).groupBy("key").agg(F.max("value").alias("value"))
 
 
+def stream_customer_match_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_in_batches(spark, "p3-match", J.conversion_events(spark, sf_dir), "time", SJ.customer_match_changelog)
+
+
+def stream_artist_rank_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    listens = domain.listen(spark, sf_dir).select("customerid", "artistid", "id", "pos")
+    return run_in_batches(spark, "ranks", listens, "pos", SJ.artist_rank_changelog)
+
+
 def stream_top_customer_artists_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
     listens = domain.listen(spark, sf_dir).select("customerid", "artistid", "id", "pos")
     return J.flat_top(run_in_batches(spark, "p1", listens, "pos", SJ.top_customer_artists_changelog))
@@ -235,6 +244,8 @@ QUERIES = {
     "stream_top_customer_artists": (stream_top_customer_artists, "top_customer_artists"),
     "stream_top_customer_artists_changelog": (stream_top_customer_artists_changelog, "top_customer_artists_changelog"),
     "stream_customer_conversion_tally_changelog": (stream_customer_conversion_tally_changelog, "customer_conversion_tally_changelog"),
+    "stream_customer_match_changelog": (stream_customer_match_changelog, "customer_match_changelog"),
+    "stream_artist_rank_changelog": (stream_artist_rank_changelog, "artist_rank_changelog"),
     "stream_thank_you_top_streamer_changelog": (stream_thank_you_top_streamer_changelog, "thank_you_top_streamer_changelog"),
     "stream_purchase_event_ticket": (stream_purchase_event_ticket, "purchase_event_ticket"),
     "stream_purchase_event_ticket_asof": (stream_purchase_event_ticket_asof, "purchase_event_ticket_asof"),

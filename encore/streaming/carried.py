@@ -19,7 +19,7 @@ before it. In a chain of scans each one's rows are stored once.
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -112,7 +112,7 @@ class Carried:
         bucketed = totals.withColumn("bucket", self.bucket(name, keys))
         (bucketed.repartition("bucket") if keys else bucketed).write.mode("overwrite").partitionBy("bucket").parquet(own)
         self.read[name] = _buckets(spark, own)
-        here = prefix_scan(rows, keys, order, time_col, [Spec(f"h_{s.out}", s.op, s.value) for s in specs], cell=self.cell)
+        here = prefix_scan(rows, keys, order, time_col, [replace(s, out=f"h_{s.out}") for s in specs], cell=self.cell)
         before = self.totals_before(spark, name, keys, specs, totals.schema, self.read[name], self.batch_id)
         if before is None:
             return here.select(*rows.columns, *[F.col(f"h_{s.out}").alias(s.out) for s in specs])

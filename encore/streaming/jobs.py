@@ -60,6 +60,16 @@ def conversion_tally(records: DataFrame, scan: Scan) -> DataFrame:
     return J.conversion_tally_from(records, scan)
 
 
+def customer_match_changelog(records: DataFrame, scan: Scan) -> DataFrame:
+    """P3's join, update by update, with what each update withdraws."""
+    return J.match_changelog_from(records, scan)
+
+
+def artist_rank_changelog(listens: DataFrame, scan: Scan) -> DataFrame:
+    """The rank of the listened artist among the customer's after every listen."""
+    return J.artist_rank_changelog_from(listens, scan)
+
+
 def revenue_leader(events: DataFrame, artists: DataFrame):
     """The revenue leader after every ticket with a known event and artist."""
     return lambda tickets, scan: J.revenue_leader_by_scans(_nn(tickets.join(_event_lookup(events), "eventid"), "artistid"), artists, scan)

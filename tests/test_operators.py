@@ -11,7 +11,10 @@ from encore.operators.enrich import enrich_asof, enrich_latest
 from encore.operators.keyed import arg_max_first, latest_by_key
 from encore.operators.route import route, split
 from encore.operators.running import Spec, prefix_scan
+from encore.operators.sketch import combined_counters, counters, frequent, slots
+from encore.operators.tables import outer_changelog, withdrawn_sum
 from encore.operators.topk import top_k_per_group
+from encore.streaming.carried import whole_table
 
 
 def _rows(spark, n=300, keys=4, seed=7, hot=True):
@@ -27,16 +30,18 @@ def _rows(spark, n=300, keys=4, seed=7, hot=True):
 def plain(df, keys, order, specs):
     """Running values by one window per key."""
     w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     fns = {"count": lambda v: F.count(v if v is not None else F.lit(1)), "sum": F.sum, "max": F.max, "min": F.min,
            "last": lambda v: F.last(v, ignorenulls=True)}
-    return df.select("*", *[fns[s.op](s.column()).over(w).alias(s.out) for s in specs])
+    return df.select("*", *[fns[s.op](s.column()).over(before if s.before else w).alias(s.out) for s in specs])
 
 
 @pytest.mark.parametrize("keys", [["k"], []])
 def test_prefix_scan_equals_window(spark, keys):
     df = _rows(spark)
     specs = [Spec("c", "count"), Spec("s", "sum", "v"), Spec("mx", "max", "v"), Spec("mn", "min", "v"),
-             Spec("lst", "last", "v"), Spec("cv", "count", "v")]
+             Spec("lst", "last", "v"), Spec("cv", "count", "v"), Spec("c0", "count", before=True),
+             Spec("s0", "sum", "v", before=True), Spec("mx0", "max", "v", before=True), Spec("lst0", "last", "v", before=True)]
     order = [F.col("t"), F.col("i")]
     want = plain(df, keys, order, specs).orderBy("i").collect()
     for seconds in (5, 60, 100_000):
@@ -97,3 +102,58 @@ def test_route_first_match_and_drop(spark):
     parts = split(df, [("big", F.col("x") > 6)], default="rest")
     assert sorted(x["x"] for x in parts["rest"].collect()) == [1, 5]
     assert [x["x"] for x in parts["big"].collect()] == [10]
+
+
+@pytest.mark.parametrize("cell", [3, 1 << 12])
+def test_outer_changelog_withdraws_what_an_update_replaces(spark, cell):
+    rnd = random.Random(11)
+    data = [(i, rnd.choice(["hot", "hot", "a", "b", None]), rnd.randrange(2), rnd.choice([None, 1, 2, 3])) for i in range(400)]
+    records = spark.createDataFrame(data, "pos bigint, k string, side int, v int")
+    order, scan = [F.col("pos")], whole_table(cell)
+    joined = outer_changelog(records, "k", order, "pos", "side", "v", scan)
+    tables, want, total = ({}, {}), [], {}
+    for pos, k, side, v in data:
+        if k is None:
+            continue
+        old = (tables[0].get(k), tables[1].get(k))
+        tables[side][k] = v
+        new = (tables[0].get(k), tables[1].get(k))
+        if old != (None, None) or new != (None, None):
+            before = total.get("all")
+            product = lambda row: row[0] * row[1] if None not in row else 0
+            total["all"] = (before or 0) + product(new) - product(old)
+            want.append((pos, k, side, old, new, before, total["all"]))
+    products = {s: F.col(f"{s}.left") * F.col(f"{s}.right") for s in ("old", "new")}
+    got = withdrawn_sum(joined, [], order, "pos", products["old"], products["new"], scan).orderBy("pos").collect()
+    assert [(r["pos"], r["k"], r["side"], tuple(r["old"]), tuple(r["new"]), r["old_n"], r["new_n"]) for r in got] == want
+    assert any(w[6] < w[5] for w in want[1:])  # sums go down as well
+    assert outer_changelog(records.limit(0), "k", order, "pos", "side", "v", scan).count() == 0
+
+
+def test_bounded_counters_keep_their_bounds(spark):
+    rnd = random.Random(13)
+    # Every customer has many more items than a sketch holds, a few of them frequent; item ids repeat over batches.
+    rows = [(c, b, int(rnd.paretovariate(0.7)) % 5000) for c in range(6) for b in range(3) for _ in range(4000)]
+    rows += [(9, 0, i % 7) for i in range(50)] + [(10, 0, None), (None, 0, 1)]
+    df = spark.createDataFrame(rows, "c int, b int, item int").repartition(5)
+    exact = {}
+    for c, _, item in rows:
+        if item is not None:
+            exact.setdefault(c, {}).setdefault(item, 0)
+            exact[c][item] += 1
+    tracked = 96
+    assert slots(tracked) == 128 and slots(1024) == 2048 and slots(97) == 256
+    whole = counters(df, ["c"], "item", tracked)
+    parts = combined_counters(counters(df, ["c", "b"], "item", tracked), ["c"])
+    for sketches in (whole, parts):
+        found = {}
+        for r in frequent(sketches, ["c"], "item", tracked, tracked).collect():
+            found.setdefault(r["c"], {})[r["item"]] = r["n"]
+            assert r["error"] == int(3.5 * sum(exact[r["c"]].values()) / 128)
+            assert exact[r["c"]].get(r["item"], 0) <= r["n"] <= exact[r["c"]].get(r["item"], 0) + r["error"]
+        assert found.keys() == exact.keys()
+        for c, items in exact.items():
+            error = int(3.5 * sum(items.values()) / 128)
+            assert all(i in found[c] for i, n in items.items() if n > 2 * error)
+            assert len(items) > tracked or found[c] == items
+    assert any(len(items) > 4 * tracked for items in exact.values())
