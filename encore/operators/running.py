@@ -10,8 +10,10 @@ the leading order column is cut into cells of a fixed width, at any input size:
 the window runs per ``(key, cell)``, which spreads a hot key over many tasks;
 the cells' totals, from a plain hash aggregate, are summed up over the earlier
 cells of the key, and the two are combined. A cell's rows depend on the rate
-of arrival and the width, not on how long the history is. Nothing is computed
-while the plan is built, and no statistics are kept.
+of arrival and the width, not on how long the history is. Without a key all
+cells belong together, so their totals are summed up in two steps, within
+blocks of cells and over the blocks, and no task orders the totals of all.
+Nothing is computed while the plan is built, and no statistics are kept.
 
 The rows are shuffled once: the window and the totals read the same exchange.
 For that both must read the same columns, so the totals carry a checksum over
@@ -28,9 +30,12 @@ from pyspark.sql import types as T
 
 from encore.functions import col
 
-#: Width of a cell: of times in microseconds, of sequence numbers in records.
+#: Width of a cell: of times in microseconds, of sequence numbers in records. A key has only some of the records, and
+#: wide cells leave a quiet key with few totals.
 MINUTE, DAY = 60 * 1_000_000, 86_400 * 1_000_000
-RECORDS = 1 << 12
+RECORDS, KEYED_RECORDS = 1 << 12, 1 << 20
+#: Cells in a block, where rows have no key.
+BLOCK = 1 << 12
 
 OPS = ("count", "sum", "max", "min", "last")
 
@@ -54,15 +59,22 @@ class Spec:
     def column(self) -> Column | None:
         return col(self.value) if self.value is not None else None
 
+    @property
+    def added(self) -> str:
+        """The op that makes one total of several."""
+        return "sum" if self.op == "count" else self.op
+
 
 def _is_time(df: DataFrame, name: str) -> bool:
     return isinstance(df.schema[name].dataType, (T.TimestampType, T.TimestampNTZType, T.DateType))
 
 
 def cell_of(df: DataFrame, name: str, width: int | None, keyed: bool) -> Column:
-    """Number of the cell of a row. Default widths: a day per key, a minute where rows have no key."""
+    """Number of the cell of a row. Default widths: a day or ``KEYED_RECORDS`` per key, a minute or ``RECORDS`` where rows
+    have no key."""
     value = F.unix_micros(F.col(name).cast("timestamp")) if _is_time(df, name) else F.col(name).cast("bigint")
-    width = width or ((DAY if keyed else MINUTE) if _is_time(df, name) else RECORDS)
+    wide, narrow = (DAY, MINUTE) if _is_time(df, name) else (KEYED_RECORDS, RECORDS)
+    width = width or (wide if keyed else narrow)
     return F.floor(value / F.lit(width)).cast("bigint")
 
 
@@ -71,10 +83,30 @@ def in_cells(df: DataFrame, keys: list[str], time_col: str, width: int | None) -
     return df.withColumn("__cell", cell_of(df, time_col, width, bool(keys))).repartition(*keys, "__cell")
 
 
-def cell_totals(cells: DataFrame, keys: list[str], aggregates: list[Column]) -> DataFrame:
+def cell_totals(cells: DataFrame, keys: list[str], aggregates: list[Column], cell: str = "__cell") -> DataFrame:
     """Aggregates per key and cell over all columns of ``cells``, so that they share its exchange."""
     whole = F.bit_xor(F.xxhash64(*cells.columns)).alias("__all")
-    return cells.groupBy(*keys, "__cell").agg(*aggregates, whole).where("__all is not null").drop("__all")
+    return cells.groupBy(*keys, cell).agg(*aggregates, whole).where("__all is not null").drop("__all")
+
+
+def _earlier(totals: DataFrame, keys: list[str], place: str, specs: list[Spec], prefix: str) -> list[Column]:
+    """For each spec its total ``__t_`` over the rows with a lower ``place``, as ``prefix`` and its name."""
+    w = Window.partitionBy(*keys).orderBy(place).rowsBetween(Window.unboundedPreceding, -1)
+    return [_running(Spec(s.out, s.added, f"__t_{s.out}"), F.col(f"__t_{s.out}"), w).alias(f"{prefix}{s.out}") for s in specs]
+
+
+def carried_totals(totals: DataFrame, keys: list[str], specs: list[Spec], block: int = BLOCK) -> DataFrame:
+    """Per key and cell what is carried into it: ``__c_`` and the name of each spec, over the earlier cells."""
+    if keys:
+        return totals.select(*keys, "__cell", *_earlier(totals, keys, "__cell", specs, "__c_"))
+    blocks = totals.withColumn("__block", F.floor(F.col("__cell") / F.lit(block))).repartition("__block")
+    inside = blocks.select("__block", "__cell", *_earlier(blocks, ["__block"], "__cell", specs, "__i_"))
+    merge = {"sum": F.sum, "max": F.max, "min": F.min,
+             "last": lambda t: F.max_by(t, F.when(t.isNotNull(), F.col("__cell")))}
+    whole = cell_totals(blocks, [], [merge[s.added](F.col(f"__t_{s.out}")).alias(f"__t_{s.out}") for s in specs], "__block")
+    outside = whole.select("__block", *_earlier(whole, [], "__block", specs, "__o_"))
+    return inside.join(outside, "__block", "left").select("__cell", *[
+        combined(s.added, F.col(f"__i_{s.out}"), F.col(f"__o_{s.out}")).alias(f"__c_{s.out}") for s in specs])
 
 
 def _running(spec: Spec, value: Column | None, w) -> Column:
@@ -123,11 +155,7 @@ def prefix_scan(df: DataFrame, keys: list[str], order: list[Column], time_col: s
     upto, before = (w.rowsBetween(Window.unboundedPreceding, last) for last in (Window.currentRow, -1))
     local = cells.select("*", *[_running(s, s.column(), before if s.before else upto).alias(f"__l_{s.out}") for s in specs])
     totals = cell_totals(cells, keys, [_total(s, order).alias(f"__t_{s.out}") for s in specs])
-    earlier = Window.partitionBy(*keys).orderBy("__cell").rowsBetween(Window.unboundedPreceding, -1)
-    carried = totals.select(*part, *[
-        _running(Spec(s.out, "sum" if s.op == "count" else s.op, f"__t_{s.out}"), F.col(f"__t_{s.out}"), earlier)
-        .alias(f"__c_{s.out}") for s in specs])
-    joined = local.join(carried, on=part, how="left")
+    joined = local.join(carried_totals(totals, keys, specs), on=part, how="left")
     return joined.select(*df.columns, *[combined(s.op, F.col(f"__l_{s.out}"), F.col(f"__c_{s.out}")).alias(s.out)
                                         for s in specs])
 

@@ -10,7 +10,7 @@ from rows import at
 from encore.operators.enrich import enrich_asof, enrich_latest
 from encore.operators.keyed import arg_max_first, latest_by_key
 from encore.operators.route import route, split
-from encore.operators.running import Spec, prefix_scan
+from encore.operators.running import Spec, carried_totals, prefix_scan
 from encore.operators.sketch import combined_counters, counters, frequent, slots
 from encore.operators.tables import outer_changelog, withdrawn_sum
 from encore.operators.topk import top_k_per_group
@@ -48,6 +48,26 @@ def test_prefix_scan_equals_window(spark, keys):
         assert prefix_scan(df, keys, order, "t", specs, cell=seconds * 1_000_000).orderBy("i").collect() == want
 
 
+@pytest.mark.parametrize("block", [1, 3, 1 << 12])
+def test_totals_are_carried_over_blocks_of_cells(spark, block):
+    rnd = random.Random(17)
+    cells = sorted(rnd.sample(range(-20, 60), 40))
+    rows = [(c, rnd.randrange(5), rnd.choice([None, rnd.randrange(-9, 9)]), rnd.choice([None, rnd.randrange(9)]),
+             rnd.choice([None, f"x{c}"])) for c in cells]
+    totals = spark.createDataFrame(rows, "__cell bigint, __t_n bigint, __t_s bigint, __t_m bigint, __t_l string")
+    specs = [Spec("n", "count"), Spec("s", "sum", "v"), Spec("m", "max", "v"), Spec("l", "last", "v")]
+    got = carried_totals(totals, [], specs, block).orderBy("__cell").collect()
+
+    def over(values, of):
+        there = [v for v in values if v is not None]
+        return of(there) if there else None
+
+    for i, r in enumerate(got):
+        n, s, m, l = ([row[j] for row in rows[:i]] for j in range(1, 5))
+        assert tuple(r) == (cells[i], over(n, sum), over(s, sum), over(m, max), over(l, lambda x: x[-1]))
+    assert len(got) == len(rows) and carried_totals(totals.limit(0), [], specs, block).count() == 0
+
+
 def test_prefix_scan_drops_null_keys_and_takes_empty_input(spark):
     df = spark.createDataFrame([("a", 1), (None, 2), ("a", 3)], "k string, pos bigint")
     rows = prefix_scan(df, ["k"], [F.col("pos")], "pos", [Spec("n", "count")], cell=1).collect()
