@@ -54,13 +54,27 @@ def candidates(host: Column, path: Column, shapes: list[tuple[int, int]]) -> lis
     return out
 
 
+def bits_for(n: int, rate: float) -> int:
+    """Bits of a filter of ``n`` keys with a false positive rate."""
+    return max(64, math.ceil(1.45 * n * -math.log2(rate)))
+
+
+def first_rate(n_in: int, n_out: int) -> float:
+    """False positive rate of level 1."""
+    return min(0.5, n_in / (math.sqrt(2) * n_out)) if n_out else 0.5
+
+
 class Cascade:
-    """Exact membership in a list for every key of a universe, as a column expression."""
+    """Exact membership in a list for every key of a universe, as a column expression.
+
+    A list whose first level would need more than ``max_bits`` is split into
+    ``parts`` by a hash of the key, each with a cascade of its own. ``contains``
+    takes one part, so that its filters alone are sent with the rows.
+    """
 
     def __init__(self, universe: DataFrame, listed: list[str], name: str, max_bits: int = MAX_BITS):
         """``universe``: distinct values in a column ``key``. ``listed``: the list, which may have keys beyond it."""
         spark = universe.sparkSession
-        self.levels: list[tuple[DataFrame, int, int, int]] = []
         given = spark.createDataFrame([(k,) for k in listed], "key string")
         # One grouping marks the listed keys of the universe.
         marked = (universe.select("key", F.lit(False).alias("listed"), F.lit(True).alias("asked"))
@@ -69,29 +83,44 @@ class Cascade:
                   .filter("asked").select("key", "listed"))
         marked = cut(marked, f"{name}-universe")
         counts = {r["listed"]: r["n"] for r in marked.groupBy("listed").agg(F.count("*").alias("n")).collect()}
-        inside, outside = marked.filter("listed").select("key"), marked.filter("not listed").select("key")
         n_in, n_out = counts.get(True, 0), counts.get(False, 0)
-        level = 0
+        whole = bits_for(n_in, first_rate(n_in, n_out)) if n_in else 0
+        # A fifth is left free, as a hash does not split evenly.
+        self.parts = 1 if whole <= max_bits else math.ceil(1.25 * whole / max_bits)
+        self.levels: list[list[tuple[DataFrame, int, int, int]]] = []
+        for part in range(self.parts):
+            own = marked if self.parts == 1 else marked.filter(self.part_of(F.col("key")) == part)
+            if self.parts > 1:
+                counts = {r["listed"]: r["n"] for r in own.groupBy("listed").agg(F.count("*").alias("n")).collect()}
+            self.levels.append(self._levels(own, counts.get(True, 0), counts.get(False, 0), f"{name}-{part}"))
+
+    def part_of(self, key: Column) -> Column:
+        return F.pmod(F.xxhash64(F.lit(-1), key), F.lit(self.parts))
+
+    def _levels(self, marked: DataFrame, n_in: int, n_out: int, name: str) -> list[tuple[DataFrame, int, int, int]]:
+        inside, outside = marked.filter("listed").select("key"), marked.filter("not listed").select("key")
+        levels: list[tuple[DataFrame, int, int, int]] = []
         while n_in:
-            level += 1
-            rate = min(0.5, n_in / (math.sqrt(2) * n_out)) if level == 1 and n_out else 0.5
-            hashes = max(1, round(-math.log2(rate)))
-            bits = max(64, math.ceil(1.45 * n_in * -math.log2(rate)))
-            if bits > max_bits:
-                raise ValueError(f"level {level} needs {bits} bits, more than {max_bits}: split the list")
+            level = len(levels) + 1
+            rate = first_rate(n_in, n_out) if level == 1 else 0.5
+            hashes, bits = max(1, round(-math.log2(rate))), bits_for(n_in, rate)
             filter_ = keys_bitmap(inside, "key", bits, hashes, level, f"{name}-{level}")
-            self.levels.append((filter_, bits, hashes, level))
+            levels.append((filter_, bits, hashes, level))
             # What the level wrongly takes for one of its own is the next level's set.
             wrong = cut(outside.filter(may_contain(filter_, F.col("key"), bits, hashes, level)), f"{name}-wrong{level}")
             inside, outside, n_in, n_out = wrong, inside, wrong.count(), n_in
-
-    def contains(self, key: Column) -> Column:
-        """Whether a key of the universe is listed; false for null."""
-        found = F.lit(len(self.levels) % 2 == 1)
-        for at in range(len(self.levels) - 1, -1, -1):
-            filter_, bits, hashes, seed = self.levels[at]
+        return levels
+
+    def contains(self, key: Column, part: int = 0) -> Column:
+        """Whether a key of the universe is listed, in a part of the list; false for null."""
+        if part >= self.parts:
+            return F.lit(False)
+        levels = self.levels[part]
+        found = F.lit(len(levels) % 2 == 1)
+        for at in range(len(levels) - 1, -1, -1):
+            filter_, bits, hashes, seed = levels[at]
             found = F.when(may_contain(filter_, key, bits, hashes, seed), found).otherwise(F.lit(at % 2 == 1))
-        return key.isNotNull() & found
+        return key.isNotNull() & found if self.parts == 1 else key.isNotNull() & (self.part_of(key) == part) & found
 
 
 def judge_urls(pages: DataFrame, rules: Mapping[str, str], blocked: list[str], url: str = "url",
@@ -103,7 +132,9 @@ def judge_urls(pages: DataFrame, rules: Mapping[str, str], blocked: list[str], u
     url is blocked if an entry of ``blocked`` (same syntax) fits, else allowed.
     A null url, one without ``://`` and one without a host fit nothing and are
     allowed. Repeated rows and ties are judged alike; an empty table gives an
-    empty result; other columns, whatever their names, stay in ``row``.
+    empty result; other columns, whatever their names, stay in ``row``. A list
+    whose filter would need more than ``max_bits`` takes one pass for each of
+    its parts, so that no more is ever sent to an executor at once.
     """
     for rule, verdict in rules.items():
         if verdict not in ("allow", "block"):
@@ -119,15 +150,21 @@ def judge_urls(pages: DataFrame, rules: Mapping[str, str], blocked: list[str], u
     lists = {"allow": [r for r, v in rules.items() if v == "allow"],
              "block": [r for r, v in rules.items() if v == "block"], "default": list(blocked)}
     cascades = {k: Cascade(universe, v, f"urls-{k}", max_bits) for k, v in lists.items()}
-    asked = split.select("*", *[k.alias(f"k{i}") for i, k in enumerate(keys)])
     names = [F.col(f"k{i}") for i in range(len(keys))]
-    rule_of = {v: F.coalesce(*[F.when(cascades[v].contains(k), F.struct(F.lit(-i).alias("at"), k.alias("rule")))
-                               for i, k in enumerate(names)]) for v in ("allow", "block")}
-    by_default = F.coalesce(*[F.when(cascades["default"].contains(k), F.lit("block")) for k in names], F.lit("allow"))
-    found = asked.select("row", "host", "path", rule_of["allow"].alias("allow"), rule_of["block"].alias("block"),
-                         by_default.alias("by_default"))
+    found = split.select("*", *[k.alias(f"k{i}") for i, k in enumerate(keys)])
+    passes = max(c.parts for c in cascades.values())
+    for part in range(passes):
+        fits = {v: F.coalesce(*[F.when(cascades[v].contains(k, part), F.struct(F.lit(-i).alias("at"), k.alias("rule")))
+                                for i, k in enumerate(names)]) for v in lists}
+        if part:  # the longest of all parts
+            fits = {v: F.greatest(F.col(v), best) for v, best in fits.items()}
+        last = part == passes - 1
+        found = found.select("row", "host", "path", *([] if last else names), *[best.alias(v) for v, best in fits.items()])
+        if not last:
+            found = cut(found, f"urls-part{part}")
+    by_default = F.when(F.col("default").isNotNull(), F.lit("block")).otherwise(F.lit("allow"))
     allowed = F.col("block.at").isNull() | (F.col("allow.at") > F.col("block.at"))
     verdict = (F.when(F.col("allow.at").isNotNull() & allowed, F.lit("allow"))
-               .when(F.col("block.at").isNotNull(), F.lit("block")).otherwise(F.col("by_default")))
+               .when(F.col("block.at").isNotNull(), F.lit("block")).otherwise(by_default))
     rule = F.when(F.col("allow.at").isNotNull() & allowed, F.col("allow.rule")).otherwise(F.col("block.rule"))
     return found.select("row", F.struct("host", "path", rule.alias("rule"), verdict.alias("verdict")).alias("judged"))

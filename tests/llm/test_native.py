@@ -1,6 +1,7 @@
 """URL filter cascade, exact dedup and line dedup."""
 
 import hashlib
+import random
 import re
 from collections import Counter
 
@@ -43,15 +44,39 @@ def test_cascade_is_exact_over_its_universe(spark):
     universe = cut(spark.range(20_000).select(F.concat(F.lit("k"), "id").alias("key")), "test-universe")
     listed = [f"k{i}" for i in range(0, 20_000, 37)] + ["elsewhere"]
     cascade = url_cascade.Cascade(universe, listed, "test")
-    assert len(cascade.levels) > 2
+    assert cascade.parts == 1 and len(cascade.levels[0]) > 2
     found = {r["key"] for r in universe.filter(cascade.contains(F.col("key"))).collect()}
     assert found == set(listed) - {"elsewhere"}
 
 
-def test_filter_bound_is_checked(spark):
+def test_cascade_above_the_bound_is_split(spark):
     universe = cut(prepare(spark).range(1000).select(F.col("id").cast("string").alias("key")), "test-universe")
-    with pytest.raises(ValueError):
-        url_cascade.Cascade(universe, [str(i) for i in range(500)], "test", max_bits=64)
+    listed = [str(i) for i in range(0, 1000, 9)]
+    cascade = url_cascade.Cascade(universe, listed, "test", max_bits=256)
+    assert cascade.parts > 2 and all(bits <= 256 for levels in cascade.levels for _, bits, _, _ in levels)
+    found = [r["key"] for part in range(cascade.parts) for r in universe.filter(cascade.contains(F.col("key"), part)).collect()]
+    assert sorted(found) == sorted(listed)
+
+
+def test_urls_against_brute_force_by_split_lists(spark):
+    rng = random.Random(3)
+    hosts = [f"{rng.choice('abc')}{rng.randrange(60)}.{rng.choice(['net', 'org'])}" for _ in range(150)]
+    rules = {h + rng.choice(["", "/", "/en/"]): rng.choice(["allow", "block"]) for h in hosts}
+    urls = [f"http://{rng.choice(['', 'x.', 'y.z.'])}{rng.choice('abc')}{rng.randrange(60)}.{rng.choice(['net', 'org'])}{rng.choice(['', '/', '/en/'])}" for _ in range(400)] + URLS
+    blocked = ["spam.org", *{f"a{i}.net" for i in range(60)}]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id int, url string")
+    columns = ["row.page_id", "judged.*"]
+    got = url_cascade.judge_urls(pages, rules, blocked, max_bits=200).select(*columns).collect()
+    assert sorted(got) == sorted(url_cascade.judge_urls(pages, rules, blocked).select(*columns).collect())
+
+    def fits(host, path, rule):
+        h, slash, rest = rule.partition("/")
+        return bool(host) and (host == h or host.endswith("." + h)) and path.startswith(slash + rest)
+
+    for r in got:
+        rule = max((x for x in rules if fits(r["host"], r["path"], x)), key=lambda x: (x.partition("/")[0].count("."), len(x.partition("/")[2]), "/" in x), default=None)
+        verdict = rules[rule] if rule else "block" if any(fits(r["host"], r["path"], b) for b in blocked) else "allow"
+        assert (r["rule"], r["verdict"]) == (rule, verdict), r
 
 
 def lowered(text):
