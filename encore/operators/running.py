@@ -13,6 +13,11 @@ cells of the key, and the two are combined. A cell's rows depend on the rate
 of arrival and the width, not on how long the history is. Without a key all
 cells belong together, so their totals are summed up in two steps, within
 blocks of cells and over the blocks, and no task orders the totals of all.
+With a key, the caller can name the hot keys, counted from its source table by
+``hot_keys``: the ``MOST_HOT`` keys with the most rows, of those with more than
+``HOT_ROWS``. Only they are cut into cells then; any other key is one cell and
+carries nothing. It pays where the source is counted cheaply, as rows that come
+from other scans would have to be computed once more.
 Nothing is computed while the plan is built, and no statistics are kept.
 
 The rows are shuffled once: the window and the totals read the same exchange.
@@ -36,6 +41,8 @@ MINUTE, DAY = 60 * 1_000_000, 86_400 * 1_000_000
 RECORDS, KEYED_RECORDS = 1 << 12, 1 << 20
 #: Cells in a block, where rows have no key.
 BLOCK = 1 << 12
+#: Rows up to which a key is one cell, and how many keys can have cells of their own.
+HOT_ROWS, MOST_HOT = 1 << 20, 1 << 16
 
 OPS = ("count", "sum", "max", "min", "last")
 
@@ -78,15 +85,31 @@ def cell_of(df: DataFrame, name: str, width: int | None, keyed: bool) -> Column:
     return F.floor(value / F.lit(width)).cast("bigint")
 
 
-def in_cells(df: DataFrame, keys: list[str], time_col: str, width: int | None) -> DataFrame:
-    """``df`` with ``__cell``, shuffled by key and cell."""
-    return df.withColumn("__cell", cell_of(df, time_col, width, bool(keys))).repartition(*keys, "__cell")
+def hot_keys(df: DataFrame, keys: list[str], rows: int = HOT_ROWS, most: int = MOST_HOT) -> DataFrame:
+    """The ``most`` keys that have the most rows, of those with more than ``rows``: a key that is not among them has at
+    most ``rows`` rows or 1 in ``most`` of all."""
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > rows)
+    return counts.orderBy(F.desc("__n")).limit(most).select(*keys, F.lit(True).alias("__hot"))
+
+
+def in_cells(df: DataFrame, keys: list[str], time_col: str, width: int | None, hot: DataFrame | None = None) -> DataFrame:
+    """``df`` with ``__cell``, shuffled by key and cell. With ``hot`` the other keys are one cell, and ``__hot`` tells."""
+    cell = cell_of(df, time_col, width, bool(keys))
+    if hot is None:
+        return df.withColumn("__cell", cell).repartition(*keys, "__cell")
+    marked = df.join(F.broadcast(hot), keys, "left").select(*df.columns, F.col("__hot").isNotNull().alias("__hot"))
+    return marked.withColumn("__cell", F.when(F.col("__hot"), cell).otherwise(F.lit(0))).repartition(*keys, "__cell")
 
 
 def cell_totals(cells: DataFrame, keys: list[str], aggregates: list[Column], cell: str = "__cell") -> DataFrame:
-    """Aggregates per key and cell over all columns of ``cells``, so that they share its exchange."""
-    whole = F.bit_xor(F.xxhash64(*cells.columns)).alias("__all")
-    return cells.groupBy(*keys, cell).agg(*aggregates, whole).where("__all is not null").drop("__all")
+    """Aggregates per key and cell over all columns of ``cells``, so that they share its exchange. Of keys that are one
+    cell there is nothing to carry, and so no total."""
+    whole = [F.bit_xor(F.xxhash64(*cells.columns)).alias("__all")]
+    kept = "__all is not null"
+    if "__hot" in cells.columns:
+        whole.append(F.max("__hot").alias("__hot"))
+        kept += " and __hot"
+    return cells.groupBy(*keys, cell).agg(*aggregates, *whole).where(kept).drop("__all", "__hot")
 
 
 def _earlier(totals: DataFrame, keys: list[str], place: str, specs: list[Spec], prefix: str) -> list[Column]:
@@ -139,17 +162,18 @@ def combined(op: str, here: Column, before: Column) -> Column:
 
 
 def prefix_scan(df: DataFrame, keys: list[str], order: list[Column], time_col: str, specs: list[Spec],
-                cell: int | None = None) -> DataFrame:
+                cell: int | None = None, hot: DataFrame | None = None) -> DataFrame:
     """Add one column per ``Spec`` holding its running value.
 
     ``order`` must be a total order whose leading column is ``time_col`` (a
     timestamp or a number), so cells respect it. Rows with a null key have no
-    place in a keyed table and are dropped. ``cell`` is the width of a cell.
+    place in a keyed table and are dropped. ``cell`` is the width of a cell,
+    and ``hot`` are the keys that have cells (``hot_keys``), by default all.
     """
     rows = df
     for k in keys:
         rows = rows.where(F.col(k).isNotNull())
-    cells = in_cells(rows, keys, time_col, cell)
+    cells = in_cells(rows, keys, time_col, cell, hot)
     part = [*keys, "__cell"]
     w = Window.partitionBy(*part).orderBy(*order)
     upto, before = (w.rowsBetween(Window.unboundedPreceding, last) for last in (Window.currentRow, -1))

@@ -20,7 +20,7 @@ from encore import functions as fx
 from encore.operators.enrich import enrich_asof, tagged
 from encore.operators.keyed import arg_max_first, first_seen
 from encore.operators.route import route
-from encore.operators.running import RECORDS, Spec, prefix_scan, running_leader
+from encore.operators.running import RECORDS, Spec, hot_keys, prefix_scan, running_leader
 from encore.operators.sketch import TRACKED, counters, frequent
 from encore.operators.tables import outer_changelog, withdrawn_sum
 from encore.operators.topk import top_k_per_group
@@ -226,8 +226,13 @@ def ticket_and_event_records(tickets: DataFrame, events: DataFrame, event_time:
                   ["id", "price"], ["id"], ["capacity"], tombstone=F.col("capacity").isNull())
 
 
+def hot_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events with so many tickets that their running values are computed in cells."""
+    return hot_keys(domain.ticket(spark, sf_dir, with_customer=False).where("eventid is not null"), ["eventid"])
+
+
 def purchase_event_ticket(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return confirm_tickets(_tickets_with_event(spark, sf_dir))
+    return confirm_tickets(_tickets_with_event(spark, sf_dir), whole_table(hot={"requests": hot_events(spark, sf_dir)}))
 
 
 def purchase_event_ticket_asof(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -54,7 +54,8 @@ def customers_by_top_artist(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ticket_sequence(spark: SparkSession, sf_dir: str, cell: int | None = None) -> DataFrame:
     """Tickets joined to their event, with the running count per event."""
     t = J._tickets_with_event(spark, sf_dir, with_customer=False).select("eventid", "id", "price", "arrival", "artistid", "capacity")
-    return prefix_scan(t, ["eventid"], J.ticket_pos(), "arrival", [Spec("sold", "count")], cell=cell).drop("price")
+    return prefix_scan(t, ["eventid"], J.ticket_pos(), "arrival", [Spec("sold", "count")], cell=cell,
+                       hot=J.hot_events(spark, sf_dir)).drop("price")
 
 
 def event_near_capacity_alert(spark: SparkSession, sf_dir: str, cell: int | None = None) -> DataFrame:

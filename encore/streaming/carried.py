@@ -37,9 +37,10 @@ COMPACT_EVERY = 16
 BUCKETS = 32
 
 
-def whole_table(cell: int | None = None) -> Scan:
-    """The scan over a static table."""
-    return lambda name, rows, keys, order, time_col, specs: prefix_scan(rows, keys, order, time_col, specs, cell=cell)
+def whole_table(cell: int | None = None, hot: dict[str, DataFrame] | None = None) -> Scan:
+    """The scan over a static table. ``hot[name]`` are the keys of a scan that have cells (``hot_keys``), by default all."""
+    return lambda name, rows, keys, order, time_col, specs: prefix_scan(rows, keys, order, time_col, specs, cell=cell,
+                                                                        hot=(hot or {}).get(name))
 
 
 @dataclass(frozen=True)

@@ -10,7 +10,7 @@ from rows import at
 from encore.operators.enrich import enrich_asof, enrich_latest
 from encore.operators.keyed import arg_max_first, latest_by_key
 from encore.operators.route import route, split
-from encore.operators.running import Spec, carried_totals, prefix_scan
+from encore.operators.running import Spec, carried_totals, hot_keys, in_cells, prefix_scan
 from encore.operators.sketch import combined_counters, counters, frequent, slots
 from encore.operators.tables import outer_changelog, withdrawn_sum
 from encore.operators.topk import top_k_per_group
@@ -48,6 +48,24 @@ def test_prefix_scan_equals_window(spark, keys):
         assert prefix_scan(df, keys, order, "t", specs, cell=seconds * 1_000_000).orderBy("i").collect() == want
 
 
+@pytest.mark.parametrize("rows, most", [(0, 1 << 16), (20, 1 << 16), (20, 1), (1 << 40, 1)])
+def test_cells_for_hot_keys_alone(spark, rows, most):
+    """Whatever keys have cells, the running values are the same; a key outside the hot ones is one cell."""
+    df = _rows(spark, n=400, keys=30)
+    specs = [Spec("c", "count"), Spec("s", "sum", "v"), Spec("mx", "max", "v"), Spec("lst", "last", "v"), Spec("c0", "count", before=True)]
+    order = [F.col("t"), F.col("i")]
+    hot = hot_keys(df, ["k"], rows, most)
+    counts = {r["k"]: r["count"] for r in df.groupBy("k").count().collect()}
+    named = {r["k"] for r in hot.collect()}
+    assert len(named) == min(most, sum(n > rows for n in counts.values()))
+    assert all(n <= max(rows, min((counts[k] for k in named), default=0)) for k, n in counts.items() if k not in named)
+    got = prefix_scan(df, ["k"], order, "t", specs, cell=9_000_000, hot=hot).orderBy("i").collect()
+    assert got == plain(df, ["k"], order, specs).orderBy("i").collect()
+    cells = {r["k"]: r["n"] for r in in_cells(df, ["k"], "t", 9_000_000, hot).groupBy("k").agg(
+        F.countDistinct("__cell").alias("n")).collect()}
+    assert all(cells[k] == 1 for k in counts if k not in named) and ("hot" not in named or cells["hot"] > 5)
+
+
 @pytest.mark.parametrize("block", [1, 3, 1 << 12])
 def test_totals_are_carried_over_blocks_of_cells(spark, block):
     rnd = random.Random(17)
