@@ -10,9 +10,11 @@ verbatim match every hit is compared with every place that its window has in
 the benchmark, by one suffix array over the hits and those places together:
 of all places, the next ones in its order share most words with a hit.
 
-Documents never shuffle. What is sent to the tasks is a block of the benchmark
-of at most ``block_bytes``; a larger benchmark is passed over block by block,
-the annotated documents being stored between two blocks.
+Documents never shuffle. The benchmark is sent to the tasks in blocks of about
+``block_bytes`` of text, each made into arrays by itself; only a longer item
+makes a larger block, as it stays whole for its longest matches. The documents
+are passed over once for every ``blocks_a_pass`` blocks, a task taking one block
+after the other, and are stored between two passes.
 """
 
 from __future__ import annotations
@@ -27,8 +29,8 @@ from pyspark.sql import functions as F
 from encore.llm.common import annotate, cut, prepare, texts_of, words_of
 
 WINDOW = 10
-#: Most bytes of benchmark text in one pass.
-BLOCK_BYTES = 32 << 20
+#: Bytes of benchmark text in a block, some 200,000 windows, and blocks in one pass over the documents.
+BLOCK_BYTES, BLOCKS_A_PASS = 1 << 20, 8
 #: Bytes of text in a shard. A longer document is a shard of its own.
 SHARD_BYTES = 4 << 20
 
@@ -66,59 +68,55 @@ class Benchmark:
 
     def __init__(self, items: list[tuple[str, bytes | None]], window: int):
         self.window, self.vocabulary, self.names = window, {}, []
-        ids, starts, lengths, owner, seen = [0], [], [], [], {}
-        place, of, name_at, start_at = [], [], [], []
+        numbered, sizes = [np.zeros(1, np.int32)], []
+        number = self.vocabulary.setdefault
         for name, text in items:
-            words = words_of(text)
-            if not words:
-                continue
-            item, base = len(self.names), len(ids)
-            self.names.append(name)
-            numbers = [self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in words]
-            ids += [*numbers, 0]
-            take = min(window, len(numbers))
-            for j in range(len(numbers) - take + 1):
-                w = seen.setdefault(tuple(numbers[j:j + take]), len(starts))
-                if w == len(starts):
-                    starts.append(base + j)
-                    lengths.append(take)
-                    owner.append(set())
-                owner[w].add(item)
-                place.append(base + j)
-                of.append(w)
-                name_at.append(item)
-                start_at.append(j)
-        self.ids = np.array([*ids, *[0] * window], np.int64)
-        self.starts, self.lengths = np.array(starts, np.int64), np.array(lengths, np.int64)
-        self.owners = np.array([i for s in owner for i in sorted(s)], np.int64)
-        self.owner_at = np.concatenate([[0], np.cumsum([len(s) for s in owner])]).astype(np.int64)
-        # All places of every window, window by window, and each place's rank by item id and then by its word in the item.
-        of, name_at, start_at = np.array(of, np.int64), np.array(name_at, np.int64), np.array(start_at, np.int64)
+            if words := words_of(text):
+                self.names.append(name)
+                sizes.append(len(words))
+                item = np.zeros(len(words) + 1, np.int32)
+                item[:-1] = [number(w, len(self.vocabulary) + 1) for w in words]
+                numbered.append(item)
+        self.ids = np.concatenate([*numbered, np.zeros(window, np.int32)])
+        del numbered
+        # Every place of a window, the item that it is in and its word there.
+        size = np.array(sizes, np.int64)
+        start_at, name_at = _ranges(np.zeros(len(size), np.int64), np.maximum(size - window, 0) + 1)
+        place = (np.cumsum(size + 1) - size)[name_at] + start_at
+        length = np.minimum(size, window)[name_at]
+        rows = np.where(np.arange(window) < length[:, None], self.ids[place[:, None] + np.arange(window)], 0)
+        _, first, of = np.unique(rows, axis=0, return_index=True, return_inverse=True)
+        del rows
+        of = of.reshape(-1)
+        self.starts, self.lengths = place[first], length[first]
+        # Items by window, and the places of every window, window by window, with each place's rank by item id and then
+        # by its word in the item.
+        owned = np.unique(of * max(len(size), 1) + name_at)
+        self.owners = owned % max(len(size), 1)
+        self.owner_at = np.searchsorted(owned // max(len(size), 1), np.arange(len(first) + 1))
         by_window = np.argsort(of, kind="stable")
-        self.places = np.array(place, np.int64)[by_window]
-        self.place_at = np.searchsorted(of[by_window], np.arange(len(starts) + 1))
-        new = [i == 0 or self.names[i] != self.names[i - 1] for i in range(len(self.names))]
-        by_rank = np.lexsort((start_at, np.cumsum(new)[name_at])) if len(of) else of
+        self.places = place[by_window]
+        self.place_at = np.searchsorted(of[by_window], np.arange(len(first) + 1))
+        new = np.array([i == 0 or self.names[i] != self.names[i - 1] for i in range(len(self.names))], bool)
+        by_rank = np.lexsort((start_at, np.cumsum(new)[name_at]))
         rank = np.empty(len(of), np.int64)
         rank[by_rank] = np.arange(len(of))
         self.place_rank = rank[by_window]
         self.name_of_rank, self.start_of_rank = name_at[by_rank], start_at[by_rank]
-        # The first words of every window, in columns; where it is shorter, nothing is compared.
-        columns = np.arange(window)
-        self.heads = self.ids[self.starts[:, None] + columns] if starts else np.zeros((0, window), np.int64)
-        self.inside = columns < self.lengths[:, None]
 
     def search(self, ids: np.ndarray, sa: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """For every window the range of the suffix array that starts with it."""
         padded = np.concatenate([ids, np.full(self.window, np.iinfo(np.int64).max)])
         columns = np.arange(self.window)
+        # The words of every window, in columns; where it is shorter, nothing is compared.
+        heads, inside = self.ids[self.starts[:, None] + columns], columns < self.lengths[:, None]
 
         def bound(upper: bool) -> np.ndarray:
             lo, hi = np.zeros(len(self.starts), np.int64), np.full(len(self.starts), len(sa), np.int64)
             while (open_ := np.flatnonzero(lo < hi)).size:
                 mid = (lo[open_] + hi[open_]) // 2
-                own, asked = padded[sa[mid][:, None] + columns], self.heads[open_]
-                differ = (own != asked) & self.inside[open_]
+                own, asked = padded[sa[mid][:, None] + columns], heads[open_]
+                differ = (own != asked) & inside[open_]
                 first = differ.argmax(axis=1)
                 row = np.arange(len(open_))
                 less = differ[row, first] & (own[row, first] < asked[row, first])
@@ -308,7 +306,7 @@ def merged(a: dict, b: dict) -> dict:
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", window: int = WINDOW,
-                       block_bytes: int = BLOCK_BYTES) -> DataFrame:
+                       block_bytes: int = BLOCK_BYTES, blocks_a_pass: int = BLOCKS_A_PASS) -> DataFrame:
     """Every row of ``docs`` with what it shares with the benchmark, in a struct ``found`` beside ``row``.
 
     ``benchmark`` has ``item_id`` and ``text``. ``found`` holds ``n_words``,
@@ -331,27 +329,32 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text"
     blocks = int(total // max(1, block_bytes)) + 1
     of_block = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
     out = None
-    for block in range(blocks):
-        items = benchmark.filter(of_block == block).select(
-            F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("i"), F.col("text").cast("binary").alias("t"))
-        sent = spark.sparkContext.broadcast(Benchmark(sorted((r["i"], bytes(r["t"] or b"")) for r in items.collect()), window))
+    for done in range(0, blocks, blocks_a_pass):
+        sent = []
+        for block in range(done, min(done + blocks_a_pass, blocks)):
+            items = benchmark.filter(of_block == block).select(
+                F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("i"), F.col("text").cast("binary").alias("t"))
+            sent.append(spark.sparkContext.broadcast(
+                Benchmark(sorted((r["i"], bytes(r["t"] or b"")) for r in items.collect()), window)))
         found = annotate(docs if out is None else out, text if out is None else F.col("row").getField(text),
                          _searcher(sent), f"found struct<{FOUND}>")
         out = found if out is None else _merge(found.select("row.*", F.col("found").alias("next")))
-        if blocks > 1:
-            out = cut(out, f"contamination-{block}")
+        if blocks > blocks_a_pass:
+            out = cut(out, f"contamination-{done}")
     return out
 
 
-def _searcher(sent):
+def _searcher(sent: list):
     schema = _found_type()
 
     def search(batches):
-        bench = sent.value
         for b in batches:
             out = []
             for part in shards(texts_of(b, "text"), SHARD_BYTES):
-                out += search_shard(part, bench)
+                found = search_shard(part, sent[0].value)
+                for block in sent[1:]:
+                    found = [merged(x, y) for x, y in zip(found, search_shard(part, block.value))]
+                out += found
             yield pa.RecordBatch.from_arrays([pa.array(out, schema)], names=["found"])
 
     return search

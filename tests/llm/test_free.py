@@ -4,9 +4,11 @@ import collections
 import hashlib
 import math
 import pathlib
+import pickle
 import random
 import re
 import time
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -101,6 +103,42 @@ def test_longest_match_of_items_that_share_windows(spark, block_bytes):
         assert (tuple(r["longest"]) if r["longest"] else None) == longest(texts[r["doc_id"]], items, suffix_decontam.WINDOW), r
 
 
+@pytest.mark.parametrize("blocks_a_pass", [1, 3])
+def test_blocks_and_passes_change_nothing(spark, blocks_a_pass):
+    """Several blocks in a pass and several passes, with a text of 60,000 words and items that share passages."""
+    rnd = random.Random(23)
+    items = [(f"i{i}", " ".join(rnd.choices("abcdefgh", k=rnd.choice([4, 12, 30])))) for i in range(40)]
+    long = " ".join(rnd.choices("abcdefghijklmnop", k=60_000)) + " " + items[7][1] + " " + items[3][1]
+    docs = spark.createDataFrame([(0, long), (1, items[9][1]), (2, "z y x"), (3, None), (4, "")], "doc_id int, text string")
+    bench = spark.createDataFrame(items, "item_id string, text string")
+
+    def rows(**kw):
+        found = suffix_decontam.find_contamination(docs, bench, **kw)
+        return sorted(map(repr, found.select("row.doc_id", "found.n_words", "found.spans", F.sort_array("found.items"), "found.longest").collect()))
+
+    whole = rows()
+    assert any("n_words=60" in r for r in whole)
+    assert rows(block_bytes=300, blocks_a_pass=blocks_a_pass) == whole
+
+
+def test_a_block_of_the_benchmark_is_small():
+    """A block of the default size, whose words are mostly different, is built and sent in bounded memory."""
+    rnd = random.Random(5)
+    items, size = [], 0
+    while size < suffix_decontam.BLOCK_BYTES:
+        text = " ".join(f"{rnd.randrange(10 ** 5):05d}" for _ in range(400))
+        items.append((f"i{len(items)}", text.encode()))
+        size += len(text)
+    tracemalloc.start()
+    try:
+        block = suffix_decontam.Benchmark(items, suffix_decontam.WINDOW)
+        assert tracemalloc.get_traced_memory()[1] < 200 << 20
+    finally:
+        tracemalloc.stop()
+    assert 150_000 < len(block.starts) < 200_000
+    assert len(pickle.dumps(block, 5)) < 24 << 20
+
+
 def test_suffix_array_is_sorted():
     rng = np.random.default_rng(0)
     ids = rng.integers(1, 4, 500)
