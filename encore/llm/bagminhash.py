@@ -239,15 +239,14 @@ def near_classes(docs: DataFrame, threshold: float = SIMILARITY, bands: int = BA
         nodes = light.groupBy("words").agg(F.min(F.struct("key", "n", "bands")).alias("m"))
         nodes = cut(nodes.select("words", "m.key", "m.n", "m.bands"), "near-nodes")
         labels = _labels(docs, nodes, threshold)
-        kept = [light_at]
-        classes = light.select("key", F.col("key").alias("class_key"), "words")
-        if labels is not None:
-            of_node = nodes.select("words", F.col("key").alias("node")).join(labels, "node", "left").select(
-                "words", F.coalesce("label", "node").alias("class_key"))
-            of_node, node_at = stored(of_node, "near-of-node")
-            kept.append(node_at)
-            classes = light.join(of_node, "words").select("key", "class_key", "words")
-    remove(spark, folders, kept)
+        of_node = nodes.select("words", F.col("key").alias("node"))
+        if labels is None:  # no links between different texts: a class is a node
+            of_node = of_node.withColumn("label", F.col("node"))
+        else:
+            of_node = of_node.join(labels, "node", "left")
+        of_node, node_at = stored(of_node.select("words", F.coalesce("label", "node").alias("class_key")), "near-of-node")
+        classes = light.join(of_node, "words").select("key", "class_key", "words")
+    remove(spark, folders, [light_at, node_at])
     return classes
 
 

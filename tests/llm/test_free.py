@@ -484,6 +484,19 @@ def test_variants_of_one_text_against_brute_force(spark):
     assert got == {k[1]: c[1] for k, c in classes(rows).items()}
 
 
+def test_each_class_keeps_one_of_its_repeated_rows(spark):
+    """Rows repeated with id and text, gone ones among them, and a third of the table as one row."""
+    rng = random.Random(31)
+    texts = [" ".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=40)) for _ in range(30)]
+    rows = [(i, t, *[None] * 6) for i, t in enumerate(texts) for _ in range(1 + i % 3)]
+    rows += [(100 + i, texts[i], *[None] * 6) for i in range(0, 30, 2) for _ in range(2)]
+    rows += [(200, "one row that is there very often", *[None] * 6)] * 60 + [(None, None, *[None] * 6)] * 3 + [(None, "", *[None] * 6)]
+    kept = bagminhash.dedup_near(edge_docs(spark, rows)).select("doc_id", "text").collect()
+    assert len(kept) == len(set(kept)) == 32
+    assert {r["doc_id"] for r in kept} == {*range(30), 200, None}
+    assert {r["text"] for r in kept if r["doc_id"] is not None} == {*texts, "one row that is there very often"}
+
+
 def test_scratch_tables_are_removed(spark):
     folder = pathlib.Path(checkpoint_dir(prepare(spark))) / "llm"
     before = set(folder.iterdir()) if folder.exists() else set()
