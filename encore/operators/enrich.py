@@ -37,43 +37,61 @@ def enrich_latest(stream: DataFrame, table: DataFrame, stream_key: str, table_ke
 def enrich_asof(stream: DataFrame, table: DataFrame, stream_key: str, table_key: str,
                 stream_time: str, table_time: str, stream_tie: list[str], table_tie: list[str],
                 table_cols: list[str], tombstone: Column | None = None, prefix: str = "",
-                table_first: bool = True, cell: int | None = None) -> DataFrame:
-    """As-of inner join; see the module text.
+                table_first: bool = True, cell: int | None = None, hot: DataFrame | None = None) -> DataFrame:
+    """As-of inner join; see the module text. ``hot`` are the stream's keys that have cells (``hot_keys``), by default all.
 
     Order is ``(time, side, tie...)``; with ``table_first`` a table row and a
     stream row at the same time see the table row first.
     """
     records = tagged(stream, table, stream_key, table_key, stream_time, table_time, stream_tie, table_tie, table_cols, tombstone,
                      table_first)
-    return as_of(records, table_cols, lambda _, rows, keys, order, time, specs: prefix_scan(rows, keys, order, time, specs, cell=cell),
-                 prefix)
+
+    def scan(_, rows, keys, order, time, specs):
+        return prefix_scan(rows, keys, order, time, specs, cell=cell, hot=None if hot is None else hot.withColumnRenamed(stream_key, "k"))
+
+    return as_of(records, table_cols, scan, stream_key, stream_time, stream_tie, prefix)
 
 
 def tagged(stream: DataFrame, table: DataFrame, stream_key: str, table_key: str, stream_time: str, table_time: str,
            stream_tie: list[str], table_tie: list[str], table_cols: list[str], tombstone: Column | None = None,
            table_first: bool = True) -> DataFrame:
-    """Both sides of an as-of join as records of one stream: ``k, t, side, tie`` and either ``srow`` or ``trow``."""
-    s_cols = stream.columns
+    """Both sides of an as-of join as records of one stream: ``k, t, side`` and either ``srow`` or ``trow``.
+
+    What ``k`` and ``t`` hold is not in ``srow`` again, and a tie of the stream
+    is made of ``srow`` where it is needed (``as_of``).
+    """
+    s_cols = [c for c in stream.columns if c != stream_key and not _same_time(stream, c, stream_time)]
     tside, sside = (0, 1) if table_first else (1, 0)
     dead = tombstone if tombstone is not None else F.lit(False)
-    trow = F.struct(dead.alias("dead"), *[F.col(c) for c in table_cols])
-    n = max(len(stream_tie), len(table_tie))  # the shorter tie is padded, so that both sides union
-
-    def tie(columns: list[str]) -> Column:
-        return F.struct(*[(F.col(columns[i]) if i < len(columns) else F.lit(None)).cast("string").alias(f"t{i}") for i in range(n)])
-
+    n = max(len(stream_tie), len(table_tie))  # the shorter tie is padded, so that both sides compare
+    ties = [(F.col(table_tie[i]) if i < len(table_tie) else F.lit(None)).cast("string").alias(f"t{i}") for i in range(n)]
+    trow = F.struct(dead.alias("dead"), *[F.col(c) for c in table_cols], F.struct(*ties).alias("__tie"))
     s = stream.select(
         F.col(stream_key).alias("k"), F.col(stream_time).cast("timestamp").alias("t"), F.lit(sside).alias("side"),
-        tie(stream_tie).alias("tie"), F.struct(*s_cols).alias("srow"), F.lit(None).cast(table.select(trow).schema[0].dataType).alias("trow"))
+        F.struct(*s_cols).alias("srow"), F.lit(None).cast(table.select(trow).schema[0].dataType).alias("trow"))
     t = table.select(
         F.col(table_key).alias("k"), F.col(table_time).cast("timestamp").alias("t"), F.lit(tside).alias("side"),
-        tie(table_tie).alias("tie"), F.lit(None).cast(stream.select(F.struct(*s_cols)).schema[0].dataType).alias("srow"), trow.alias("trow"))
+        F.lit(None).cast(stream.select(F.struct(*s_cols)).schema[0].dataType).alias("srow"), trow.alias("trow"))
     return s.unionByName(t).where(F.col("k").isNotNull())
 
 
-def as_of(records: DataFrame, table_cols: list[str], scan, prefix: str = "") -> DataFrame:
+def _same_time(stream: DataFrame, column: str, stream_time: str) -> bool:
+    return column == stream_time and stream.schema[column].dataType.typeName() == "timestamp"
+
+
+def as_of(records: DataFrame, table_cols: list[str], scan, stream_key: str, stream_time: str, stream_tie: list[str],
+          prefix: str = "") -> DataFrame:
     """The stream rows among tagged records, each with the table's value at its place. ``scan`` adds the running
     aggregate: over a whole table, or over a micro-batch with what is carried from the batches before."""
-    scanned = scan("table", records, ["k"], [F.col("t"), F.col("side"), F.col("tie")], "t", [Spec("cur", "last", "trow")])
+    inside = records.schema["srow"].dataType.names
+    n = len(records.schema["trow"].dataType["__tie"].dataType.names)
+
+    def own(c: str) -> Column:
+        return F.col("srow")[c] if c in inside else F.col("k" if c == stream_key else "t")
+
+    ties = [(own(stream_tie[i]) if i < len(stream_tie) else F.lit(None)).cast("string").alias(f"t{i}") for i in range(n)]
+    tie = F.when(F.col("srow").isNotNull(), F.struct(*ties)).otherwise(F.col("trow")["__tie"])
+    scanned = scan("table", records, ["k"], [F.col("t"), F.col("side"), tie], "t", [Spec("cur", "last", "trow")])
     out = scanned.where(F.col("srow").isNotNull() & F.col("cur").isNotNull() & ~F.col("cur.dead"))
-    return out.select("srow.*", *[F.col(f"cur.{c}").alias(prefix + c) for c in table_cols])
+    placed = [F.col("k").alias(stream_key)] + ([] if stream_time in inside else [F.col("t").alias(stream_time)])
+    return out.select("srow.*", *placed, *[F.col(f"cur.{c}").alias(prefix + c) for c in table_cols])

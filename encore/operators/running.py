@@ -43,6 +43,9 @@ RECORDS, KEYED_RECORDS = 1 << 12, 1 << 20
 BLOCK = 1 << 12
 #: Rows up to which a key is one cell, and how many keys can have cells of their own.
 HOT_ROWS, MOST_HOT = 1 << 20, 1 << 16
+#: The cell of a key that is not hot, and that of a hot key's rows without a time, before all others.
+QUIET = -(1 << 62)
+FIRST = QUIET + 1
 
 OPS = ("count", "sum", "max", "min", "last")
 
@@ -93,23 +96,25 @@ def hot_keys(df: DataFrame, keys: list[str], rows: int = HOT_ROWS, most: int = M
 
 
 def in_cells(df: DataFrame, keys: list[str], time_col: str, width: int | None, hot: DataFrame | None = None) -> DataFrame:
-    """``df`` with ``__cell``, shuffled by key and cell. With ``hot`` the other keys are one cell, and ``__hot`` tells."""
+    """``df`` with ``__cell``, shuffled by key and cell. With ``hot`` the other keys are one cell, ``QUIET``."""
     cell = cell_of(df, time_col, width, bool(keys))
     if hot is None:
         return df.withColumn("__cell", cell).repartition(*keys, "__cell")
-    marked = df.join(F.broadcast(hot), keys, "left").select(*df.columns, F.col("__hot").isNotNull().alias("__hot"))
-    return marked.withColumn("__cell", F.when(F.col("__hot"), cell).otherwise(F.lit(0))).repartition(*keys, "__cell")
+    marked = df.join(F.broadcast(hot), keys, "left")
+    # Never null, or the join's filter on it would come between the shuffle and one of its two readers.
+    placed = F.coalesce(F.when(F.col("__hot").isNull(), F.lit(QUIET)).otherwise(cell), F.lit(FIRST))
+    return marked.select(*df.columns, placed.alias("__cell")).repartition(*keys, "__cell")
 
 
-def cell_totals(cells: DataFrame, keys: list[str], aggregates: list[Column], cell: str = "__cell") -> DataFrame:
-    """Aggregates per key and cell over all columns of ``cells``, so that they share its exchange. Of keys that are one
-    cell there is nothing to carry, and so no total."""
+def cell_totals(cells: DataFrame, keys: list[str], aggregates: list[Column], cell: str = "__cell", quiet: bool = False) -> DataFrame:
+    """Aggregates per key and cell over all columns of ``cells``, so that they share its exchange. With ``quiet`` some keys
+    are one cell: of them there is nothing to carry, and so no total."""
     whole = [F.bit_xor(F.xxhash64(*cells.columns)).alias("__all")]
     kept = "__all is not null"
-    if "__hot" in cells.columns:
-        whole.append(F.max("__hot").alias("__hot"))
-        kept += " and __hot"
-    return cells.groupBy(*keys, cell).agg(*aggregates, *whole).where(kept).drop("__all", "__hot")
+    if quiet:  # asked of an aggregate, as a filter on the cell itself would go below the exchange
+        whole.append(F.max(cell).alias("__last"))
+        kept += f" and __last <> {QUIET}"
+    return cells.groupBy(*keys, cell).agg(*aggregates, *whole).where(kept).drop("__all", "__last")
 
 
 def _earlier(totals: DataFrame, keys: list[str], place: str, specs: list[Spec], prefix: str) -> list[Column]:
@@ -178,12 +183,22 @@ def prefix_scan(df: DataFrame, keys: list[str], order: list[Column], time_col: s
     w = Window.partitionBy(*part).orderBy(*order)
     upto, before = (w.rowsBetween(Window.unboundedPreceding, last) for last in (Window.currentRow, -1))
     local = cells.select("*", *[_running(s, s.column(), before if s.before else upto).alias(f"__l_{s.out}") for s in specs])
-    totals = cell_totals(cells, keys, [_total(s, order).alias(f"__t_{s.out}") for s in specs])
+    totals = cell_totals(cells, keys, [_total(s, order).alias(f"__t_{s.out}") for s in specs], quiet=hot is not None)
     joined = local.join(carried_totals(totals, keys, specs), on=part, how="left")
     return joined.select(*df.columns, *[combined(s.op, F.col(f"__l_{s.out}"), F.col(f"__c_{s.out}")).alias(s.out)
                                         for s in specs])
 
 
+def quiet_scan(df: DataFrame, keys: list[str], order: list[Column], specs: list[Spec]) -> DataFrame:
+    """``prefix_scan`` for keys of which none is hot: one window per key, without cells and their totals. The rows stay
+    shuffled by the key, so that a join on the key that follows moves none of them, and what the window orders by and
+    adds up is made of their columns behind the shuffle."""
+    w = Window.partitionBy(*keys).orderBy(*order)
+    upto, before = (w.rowsBetween(Window.unboundedPreceding, last) for last in (Window.currentRow, -1))
+    placed = df.repartition(*keys)
+    return placed.select("*", *[_running(s, s.column(), before if s.before else upto).alias(s.out) for s in specs])
+
+
 def running_count(df: DataFrame, keys: list[str], order: list[Column], time_col: str,
                   out: str = "n", **kw) -> DataFrame:
     return prefix_scan(df, keys, order, time_col, [Spec(out, "count")], **kw)

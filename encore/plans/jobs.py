@@ -209,15 +209,16 @@ def confirmations(numbered: DataFrame) -> DataFrame:
 
 
 def confirm_tickets_asof(tickets: DataFrame, events: DataFrame, event_time: str = "updated",
-                         cell: int | None = None) -> DataFrame:
+                         cell: int | None = None, hot: DataFrame | None = None) -> DataFrame:
     """P2 with the event table as a changelog joined *as of* each ticket's
     arrival (a stream-table join): a ticket that arrives before its event
     exists, or after it was deleted (a row with a null ``capacity``), is
     dropped. The first ticket that sees the event fixes its capacity; later
-    changes of the table do not. ``events``: ``id, capacity, <event_time>``."""
+    changes of the table do not. ``events``: ``id, capacity, <event_time>``. ``hot``
+    are the events that have cells, by default all."""
     j = enrich_asof(tickets.select("id", "customerid", "eventid", "price", "arrival"), events, "eventid", "id", "arrival",
-                    event_time, ["id", "price"], ["id"], ["capacity"], tombstone=F.col("capacity").isNull(), cell=cell)
-    return confirm_tickets(j, whole_table(cell))
+                    event_time, ["id", "price"], ["id"], ["capacity"], tombstone=F.col("capacity").isNull(), cell=cell, hot=hot)
+    return confirm_tickets(j, whole_table(cell, None if hot is None else {"requests": hot}))
 
 
 def ticket_and_event_records(tickets: DataFrame, events: DataFrame, event_time: str = "updated") -> DataFrame:
@@ -237,7 +238,7 @@ def purchase_event_ticket(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def purchase_event_ticket_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P2 over an event table that changes while tickets arrive."""
-    return confirm_tickets_asof(domain.ticket(spark, sf_dir), domain.event_changes(spark, sf_dir))
+    return confirm_tickets_asof(domain.ticket(spark, sf_dir), domain.event_changes(spark, sf_dir), hot=hot_events(spark, sf_dir))
 
 
 def confirmation_records(confirmations: DataFrame, events: DataFrame) -> DataFrame:

@@ -107,7 +107,7 @@ def windowed_counts_changelog(size_seconds: int = J.WINDOW_SECONDS, grace_second
 def purchase_event_ticket_asof(records: DataFrame, scan: Scan) -> DataFrame:
     """P2 over tickets and changes of the event table in one stream (``J.ticket_and_event_records``): the event's last
     value is carried between batches, and a ticket sees it as of its arrival."""
-    return J.confirm_tickets(as_of(records, ["capacity"], scan), scan)
+    return J.confirm_tickets(as_of(records, ["capacity"], scan, "eventid", "arrival", ["id", "price"]), scan)
 
 
 # ---------------------------------------------------------------- snapshots per micro-batch (built-in state)

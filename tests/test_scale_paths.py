@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from encore.operators.running import DAY, Spec, in_cells, prefix_scan
+from encore.operators.running import DAY, Spec, hot_keys, in_cells, prefix_scan
 from encore.plans import jobs as J
 from encore.sources import domain
 from encore.streaming.carried import whole_table
@@ -55,6 +55,17 @@ def test_one_pass_over_the_input(spark):
     assert len(scans) == 1
 
 
+def test_one_shuffle_where_some_keys_are_hot(spark):
+    """Also with cells for the hot keys alone, the window and the totals read one shuffle of the rows."""
+    rows = domain.listen(spark, SF).select(F.when(F.col("pos") % 3 == 0, F.lit(-1)).otherwise(F.col("customerid")).alias("customerid"), "pos")
+    df = prefix_scan(rows, ["customerid"], [F.col("pos")], "pos", [Spec("n", "count")], cell=500, hot=hot_keys(rows, ["customerid"], 1000))
+    w = Window.partitionBy("customerid").orderBy("pos")
+    _same(df, rows.where("customerid is not null").withColumn("n", F.row_number().over(w).cast("bigint")))
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("+- == Initial Plan ==")[0]
+    assert final.count("REPARTITION_BY_COL") == 2 and "ReusedExchange" in final
+
+
 def test_no_job_runs_while_a_plan_is_built(spark):
     queries = (J.purchase_event_ticket, J.revenue_leader_changelog, J.thank_you_top_streamer_changelog, J.late_stream_counts)
     for query in queries:  # a table's schema is read from its footers once
