@@ -27,6 +27,7 @@ from encore.operators.keyed import latest_by_key
 from encore.streaming import jobs as SJ
 from encore.streaming import sinks
 from encore.streaming.carried import in_batches
+from encore.streaming.files import file_system
 
 
 def table_stream(spark: SparkSession, sf_dir: str, name: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -54,30 +55,34 @@ BATCHES = 3
 
 
 def stretch(time_col: str, df: DataFrame, batches: int) -> Column:
-    """0, 1, ... : which of ``batches`` equal stretches of ``time_col`` a row is in."""
+    """0, 1, ... : which of ``batches`` equal stretches of ``time_col``, over the times of ``df``, a row is in."""
     at = F.unix_micros(time_col) if df.schema[time_col].dataType.typeName() == "timestamp" else F.col(time_col)
-    least, most = (df.select(f(at)).scalar() for f in (F.min, F.max))
-    return F.least(F.floor((at - least) * batches / (most - least + 1)), F.lit(batches - 1)).cast("int")
+    span = df.select(F.struct(F.min(at).alias("least"), F.max(at).alias("most"))).scalar()
+    width = (span["most"] - span["least"] + 1)
+    return F.least(F.floor((at - span["least"]) * batches / width), F.lit(batches - 1)).cast("int")
 
 
-def run_in_batches(spark: SparkSession, name: str, rows: DataFrame, time_col: str, job, windows=None, batches: int = BATCHES) -> DataFrame:
+def run_in_batches(spark: SparkSession, name: str, rows: DataFrame, time_col: str, job, windows=None, batches: int = BATCHES,
+                   times: DataFrame | None = None) -> DataFrame:
     """Stream ``rows`` as ``batches`` micro-batches, in the order of ``time_col``, through a changelog job.
 
     The stretches are added to the source's folder one by one, and the query is
     started anew after each: it goes on from its checkpoint, and the job's
-    totals are carried from batch to batch.
+    totals are carried from batch to batch. ``times`` holds all times of
+    ``rows``, maybe more, where they come from fewer tables than the rows.
     """
     root = f"{checkpoint_dir(spark).rstrip('/')}/encore-streams/{name}-{uuid.uuid4().hex}"
-    return stream_in_batches(spark, root, rows, time_col, job, windows, batches)
+    return stream_in_batches(spark, root, rows, time_col, job, windows, batches, times)
 
 
-def stream_in_batches(spark: SparkSession, root: str, rows: DataFrame, time_col: str, job, windows=None, batches: int = BATCHES) -> DataFrame:
-    staged = rows.withColumn("part", stretch(time_col, rows, batches))
-    staged.write.partitionBy("part").parquet(f"{root}/staged")
+def stream_in_batches(spark: SparkSession, root: str, rows: DataFrame, time_col: str, job, windows=None, batches: int = BATCHES,
+                      times: DataFrame | None = None) -> DataFrame:
+    staged = rows.withColumn("part", stretch(time_col, rows if times is None else times, batches))
+    staged.write.options(**sinks.COMPRESSED).partitionBy("part").parquet(f"{root}/staged")
     for part in batch_parts(spark, f"{root}/staged"):
-        piece = spark.read.schema(rows.schema).parquet(f"{root}/staged/part={part}")
-        piece.write.mode("append").parquet(f"{root}/in")
-        q = sinks.start_batches(spark.readStream.schema(rows.schema).parquet(f"{root}/in"), f"stream_{uuid.uuid4().hex[:8]}",
+        publish(spark, f"{root}/staged/part={part}", f"{root}/in/part={part}")
+        source = spark.readStream.schema(rows.schema).option("recursiveFileLookup", "true").parquet(f"{root}/in")
+        q = sinks.start_batches(source, f"stream_{uuid.uuid4().hex[:8]}",
                                 in_batches(root, job, windows), mode="append", trigger={"availableNow": True},
                                 checkpoint=f"{root}/checkpoint")
         q.awaitTermination()
@@ -86,7 +91,18 @@ def stream_in_batches(spark: SparkSession, root: str, rows: DataFrame, time_col:
 
 def batch_parts(spark: SparkSession, path: str) -> list[int]:
     """The stretches that have rows, in order."""
-    return sorted(r["part"] for r in spark.read.parquet(path).select("part").distinct().collect())
+    fs, p = file_system(spark, path)
+    names = [s.getPath().getName() for s in fs.listStatus(p)]
+    return sorted(int(n.split("=", 1)[1]) for n in names if n.startswith("part=") and n.split("=", 1)[1].isdigit())
+
+
+def publish(spark: SparkSession, folder: str, to: str) -> None:
+    """Hand a written folder on to a source, as a whole and without another copy."""
+    fs, p = file_system(spark, folder)
+    target = spark._jvm.org.apache.hadoop.fs.Path(to)
+    fs.mkdirs(target.getParent())
+    if not fs.rename(p, target):
+        raise OSError(f"cannot move {folder} to {to}")
 
 
 def stream_customer_stream_count_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,14 +118,25 @@ def stream_artist_ticket_count_changelog(spark: SparkSession, sf_dir: str) -> Da
     return run_in_batches(spark, "p9", _tickets(spark, sf_dir), "arrival", SJ.artist_ticket_count_changelog(domain.event(spark, sf_dir)))
 
 
+def _arrivals(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """When tickets arrive, without looking up their customers."""
+    return _tickets(spark, sf_dir).select(F.col("arrival").alias(name))
+
+
+def _conversion_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return domain.listen(spark, sf_dir).select(F.col("streamtime").alias("time")).unionByName(_arrivals(spark, sf_dir, "time"))
+
+
 def stream_purchase_event_ticket(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return run_in_batches(spark, "p2", domain.ticket(spark, sf_dir), "arrival", SJ.purchase_event_ticket(domain.event(spark, sf_dir)))
+    return run_in_batches(spark, "p2", domain.ticket(spark, sf_dir), "arrival", SJ.purchase_event_ticket(domain.event(spark, sf_dir)),
+                          times=_arrivals(spark, sf_dir, "arrival"))
 
 
 def stream_purchase_event_ticket_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P2 over tickets and an event table that changes between and within the batches."""
     records = J.ticket_and_event_records(domain.ticket(spark, sf_dir), domain.event_changes(spark, sf_dir))
-    return run_in_batches(spark, "p2-asof", records, "t", SJ.purchase_event_ticket_asof)
+    times = _arrivals(spark, sf_dir, "t").unionByName(domain.event_changes(spark, sf_dir).select(F.col("updated").alias("t")))
+    return run_in_batches(spark, "p2-asof", records, "t", SJ.purchase_event_ticket_asof, times=times)
 
 
 #: Micro-batches of the windowed stream, so that most of its windows close on the way.
@@ -137,7 +164,8 @@ def stream_partition_late_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_customer_conversion_tally_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return run_in_batches(spark, "p3", J.conversion_events(spark, sf_dir), "time", SJ.conversion_tally)
+    return run_in_batches(spark, "p3", J.conversion_events(spark, sf_dir), "time", SJ.conversion_tally,
+                          times=_conversion_times(spark, sf_dir))
 
 
 def stream_customer_conversion_tally(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -146,7 +174,8 @@ def stream_customer_conversion_tally(spark: SparkSession, sf_dir: str) -> DataFr
 
 
 def stream_customer_match_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return run_in_batches(spark, "p3-match", J.conversion_events(spark, sf_dir), "time", SJ.customer_match_changelog)
+    return run_in_batches(spark, "p3-match", J.conversion_events(spark, sf_dir), "time", SJ.customer_match_changelog,
+                          times=_conversion_times(spark, sf_dir))
 
 
 def stream_artist_rank_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:

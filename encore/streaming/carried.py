@@ -4,7 +4,10 @@ A job is written once, over a ``Scan``: a function that adds running
 aggregates to rows. ``prefix_scan`` is the scan over a whole table. ``Carried``
 is the scan over one micro-batch: the prefix scan inside the batch, combined
 with each key's totals of all batches before. Both run as Spark plans, with a
-key's rows spread over cells, so no key is one task or one Python worker.
+hot key's rows spread over cells, so no such key is one task or one Python worker.
+A batch counts its rows by slots of a hash of the key first. Keys of slots with
+few rows are not hot: they have no cells, whose totals would be as many as the
+rows, and their rows are shuffled once, for the window and the join alike.
 
 The totals are a table in buckets, of a hash of the key or, for totals of time
 windows, one per window. A batch writes its own totals as increments, finds in
@@ -20,14 +23,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, replace
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from encore.operators.running import Spec, _total, combined, prefix_scan
+from encore.operators.running import HOT_ROWS, Spec, _total, combined, hot_keys, prefix_scan, quiet_scan
 from encore.streaming.files import batch_ids, expire, file_system
-from encore.streaming.sinks import write_batch
+from encore.streaming.sinks import COMPRESSED, write_batch
 
 #: ``scan(name, rows, keys, order, time_col, specs)``: rows with one column per spec. ``name`` tells the scans of a job apart.
 Scan = Callable[[str, DataFrame, list[str], list[Column], str, list[Spec]], DataFrame]
@@ -35,6 +40,8 @@ Scan = Callable[[str, DataFrame, list[str], list[Column], str, list[Spec]], Data
 COMPACT_EVERY = 16
 #: Buckets of totals whose key has no window.
 BUCKETS = 32
+#: Slots of a hash of the key by which the rows of a batch are counted: of all of it, and of each window.
+SLOTS, WINDOW_SLOTS = 1 << 14, 1 << 6
 
 
 def whole_table(cell: int | None = None, hot: dict[str, DataFrame] | None = None) -> Scan:
@@ -98,29 +105,67 @@ class Carried:
             return None
         return spark.read.schema(schema).parquet(*paths).groupBy(*keys).agg(*[_merged(s).alias(f"t_{s.out}") for s in specs])
 
+    def spread(self, rows: DataFrame, name: str, keys: list[str]) -> tuple[list[int], DataFrame | None]:
+        """The buckets of the keys of a batch, and its hot keys, if it has any: those with more than ``HOT_ROWS`` rows,
+        counted among the slots that have so many."""
+        if not keys:
+            return [0], None
+        slot = F.pmod(F.xxhash64(*keys), F.lit(WINDOW_SLOTS if name in self.windows else SLOTS))
+        placed = rows.select(*keys, self.bucket(name, keys).alias("__bucket"), slot.alias("__slot"))
+        slots = placed.groupBy("__bucket", "__slot").agg(F.count(F.lit(1)).alias("__rows"))
+        found = slots.groupBy("__bucket").agg(F.max("__rows").alias("most")).collect()
+        hot = None
+        if any(r["most"] > HOT_ROWS for r in found):
+            full = slots.where(F.col("__rows") > HOT_ROWS).drop("__rows")
+            hot = hot_keys(placed.join(F.broadcast(full), ["__bucket", "__slot"], "left_semi"), keys, HOT_ROWS)
+            listed = hot.collect()
+            hot = rows.sparkSession.createDataFrame(listed, hot.schema).select(*keys) if listed else None
+        return sorted(r["__bucket"] for r in found), hot
+
     def __call__(self, name: str, rows: DataFrame, keys: list[str], order: list[Column], time_col: str,
                  specs: list[Spec]) -> DataFrame:
         spark, root = rows.sparkSession, f"{self.path}/{name}"
         for k in keys:
             rows = rows.where(F.col(k).isNotNull())
         if self.added:  # what an earlier scan gave
-            rows.write.mode("overwrite").parquet(f"{root}/rows/batch_id={self.batch_id}")
+            rows.write.mode("overwrite").options(**COMPRESSED).parquet(f"{root}/rows/batch_id={self.batch_id}")
             rows = spark.read.schema(rows.schema).parquet(f"{root}/rows/batch_id={self.batch_id}")
-        totals = rows.groupBy(*keys).agg(*[_kept(s, order).alias(f"t_{s.out}") for s in specs], F.count(F.lit(1)).alias("rows"))
+        buckets, hot = self.spread(rows, name, keys)
+        self.read[name] = buckets
+        kept = _kept_once(specs)
+        stored = [s for s in specs if kept[s.out] is s]
+        counting = rows
+        if all(s.value is not None for s in specs):  # rows without any value add nothing to a total
+            counting = rows.where(reduce(or_, [s.column().isNotNull() for s in stored]))
+        aggregates = [_kept(s, order).alias(f"t_{s.out}") for s in stored] + [F.count(F.lit(1)).alias("rows")]
+        totals = counting.groupBy(*keys).agg(*aggregates)
+        if keys and hot is None and any(isinstance(f.dataType, T.StructType) for f in totals.schema.fields[len(keys):]):
+            # Records that are made of a row's columns are wider than the row, and of a few rows per key not fewer.
+            totals = counting.repartition(*keys).groupBy(*keys).agg(*aggregates)
         totals = totals.where("rows > 0").drop("rows")
-        self.added.append((name, keys, specs, totals.schema))
+        self.added.append((name, keys, stored, totals.schema))
         own = f"{root}/steps/batch_id={self.batch_id}"
-        bucketed = totals.withColumn("bucket", self.bucket(name, keys))
-        (bucketed.repartition("bucket") if keys else bucketed).write.mode("overwrite").partitionBy("bucket").parquet(own)
-        self.read[name] = _buckets(spark, own)
-        here = prefix_scan(rows, keys, order, time_col, [replace(s, out=f"h_{s.out}") for s in specs], cell=self.cell)
-        before = self.totals_before(spark, name, keys, specs, totals.schema, self.read[name], self.batch_id)
-        if before is None:
-            return here.select(*rows.columns, *[F.col(f"h_{s.out}").alias(s.out) for s in specs])
-        joined = here.join(before, keys, "left") if keys else here
-        carried = {s.out: F.col(f"t_{s.out}") if keys else before.select(f"t_{s.out}").scalar() for s in specs}
-        value = {s.out: carried[s.out]["value"] if s.op == "last" else carried[s.out] for s in specs}
-        return joined.select(*rows.columns, *[combined(s.op, F.col(f"h_{s.out}"), value[s.out]).alias(s.out) for s in specs])
+        totals.withColumn("bucket", self.bucket(name, keys)).write.mode("overwrite").options(**COMPRESSED).partitionBy("bucket").parquet(own)
+        here = [replace(s, out=f"h_{s.out}") for s in specs]
+        before = self.totals_before(spark, name, keys, stored, totals.schema, buckets, self.batch_id)
+
+        def with_before(scanned: DataFrame, before: DataFrame | None) -> DataFrame:
+            if before is None:
+                return scanned.select(*rows.columns, *[F.col(f"h_{s.out}").alias(s.out) for s in specs])
+            joined = scanned.join(before, keys, "left") if keys else scanned
+            total = {s.out: F.col(f"t_{s.out}") if keys else before.select(f"t_{s.out}").scalar() for s in stored}
+            value = {s.out: total[kept[s.out].out]["value"] if s.op == "last" else total[kept[s.out].out] for s in specs}
+            return joined.select(*rows.columns, *[combined(s.op, F.col(f"h_{s.out}"), value[s.out]).alias(s.out) for s in specs])
+
+        if not keys:
+            return with_before(prefix_scan(rows, keys, order, time_col, here, cell=self.cell), before)
+        if hot is None:
+            return with_before(quiet_scan(rows, keys, order, here), before)
+        hot = F.broadcast(hot)
+        busy = prefix_scan(rows.join(hot, keys, "left_semi").select(*rows.columns), keys, order, time_col, here, cell=self.cell)
+        quiet = quiet_scan(rows.join(hot, keys, "left_anti").select(*rows.columns), keys, order, here)
+        few = None if before is None else F.broadcast(before.join(hot, keys, "left_semi"))
+        return with_before(quiet, before).unionByName(with_before(busy, few))
 
     def commit(self, spark: SparkSession) -> None:
         """Delete what is no longer needed, and from time to time add up the increments."""
@@ -138,7 +183,7 @@ class Carried:
         whole = self.totals_before(spark, name, keys, specs, schema, sorted(fresh), self.batch_id + 1)
         if whole is not None:
             whole = whole.withColumn("bucket", self.bucket(name, keys))
-            (whole.repartition("bucket") if keys else whole).write.mode("overwrite").partitionBy("bucket").parquet(
+            (whole.repartition("bucket") if keys else whole).write.mode("overwrite").options(**COMPRESSED).partitionBy("bucket").parquet(
                 f"{base}/batch_id={self.batch_id}")
         # A replay of this batch starts from the newest base before it, and from the increments after that.
         expire(spark, steps, last + 1)
@@ -164,6 +209,12 @@ class Carried:
                     _delete(spark, f"{folder}/bucket={b}")
 
 
+def _kept_once(specs: list[Spec]) -> dict[str, Spec]:
+    """For each spec's name the one whose total it uses: the first with the same aggregate of the same column."""
+    first: dict[tuple, Spec] = {}
+    return {s.out: first.setdefault((s.op, s.value if s.value is None or isinstance(s.value, str) else id(s.value)), s) for s in specs}
+
+
 def _kept(spec: Spec, order: list[Column]) -> Column:
     """A batch's total as it is stored: the last value has its place with it."""
     if spec.op != "last":

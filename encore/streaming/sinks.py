@@ -23,6 +23,10 @@ from encore.session import checkpoint_dir
 from encore.streaming.files import batch_ids, is_complete
 
 
+#: Tables that a stream writes for itself and its results.
+COMPRESSED = {"compression": "zstd"}
+
+
 def checkpoint_for(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/encore-streams/{name}"
 
@@ -60,7 +64,7 @@ def start_batches(df: DataFrame, name: str, fn: Callable[[DataFrame, int], None]
 
 def write_batch(batch: DataFrame, path: str, batch_id: int) -> None:
     """Idempotent per-batch write: the batch's own partition is overwritten."""
-    (batch.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
+    (batch.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").options(**COMPRESSED)
           .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
 
 

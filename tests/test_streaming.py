@@ -120,6 +120,54 @@ def test_a_batch_reads_only_the_buckets_of_its_keys(spark, tmp_path):
     assert files and all(f"bucket={scan.read['listens'][0]}/" in f and "batch_id=0" in f for f in files)
 
 
+def test_quiet_keys_move_once_and_hot_ones_in_cells(spark, tmp_path, monkeypatch):
+    """Without hot keys a batch's rows are in one shuffle, joined to the earlier totals where they are; with hot ones
+    the counts are the same."""
+    rows = [[(c, b * 1000 + i) for i, c in enumerate(["busy", f"c{b}", "busy", "quiet", "busy", "busy"] * 9)] for b in range(3)]
+    got = {}
+    for limit in (1 << 20, 20):
+        monkeypatch.setattr(carried, "HOT_ROWS", limit)
+        path = str(tmp_path / f"p8-{limit}")
+        for b, batch in enumerate(rows):
+            scan = carried.Carried(f"{path}/state", b, cell=16)
+            _, hot = scan.spread(_plays(spark, batch), "listens", ["customerid"])
+            assert (hot is None) == (limit > 20) and (hot is None or [r["customerid"] for r in hot.collect()] == ["busy"])
+            out = SJ.customer_stream_count_changelog(_plays(spark, batch), scan)
+            if hot is None:
+                out.collect()
+                plan = out._jdf.queryExecution().executedPlan().toString().split("+- == Initial Plan ==")[0]
+                assert "__cell" not in plan and plan.count("REPARTITION_BY_COL") == 1
+            sinks.write_batch(out, f"{path}/out", b)
+            scan.commit(spark)
+        got[limit] = sorted((r["customerid"], r["listen_id"], r["n"]) for r in spark.read.parquet(f"{path}/out").collect())
+    seen, want = {}, []
+    for c, p in (x for batch in rows for x in batch):
+        seen[c] = seen.get(c, 0) + 1
+        want.append((c, str(p), seen[c]))
+    assert got[20] == got[1 << 20] == sorted(want)
+
+
+def test_equal_totals_are_stored_once(spark, tmp_path):
+    """The values before and after a row have one total; rows without a value are not counted for it."""
+    rows = spark.createDataFrame([("a", 1, "x"), ("a", 2, None), ("b", 3, None)], "k string, pos bigint, v string")
+    value, scan = F.col("v"), carried.Carried(str(tmp_path), 0)
+    scan("x", rows, ["k"], [F.col("pos")], "pos", [Spec("old", "last", value, before=True), Spec("new", "last", value)])
+    steps = spark.read.parquet(str(tmp_path / "x/steps/batch_id=0"))
+    assert steps.columns == ["k", "t_old", "bucket"] and [r["k"] for r in steps.collect()] == ["a"]
+    again = carried.Carried(str(tmp_path), 1)
+    later = spark.createDataFrame([("a", 4, None), ("b", 5, "y")], "k string, pos bigint, v string")
+    out = again("x", later, ["k"], [F.col("pos")], "pos", [Spec("old", "last", value, before=True), Spec("new", "last", value)])
+    assert sorted((r["k"], r["old"], r["new"]) for r in out.collect()) == [("a", "x", "x"), ("b", None, "y")]
+
+
+def test_stretches_are_written_once(spark, tmp_path):
+    """A stretch goes from the staged table into the source as it is, and all of them are counted."""
+    rows = _plays(spark, [("u", i) for i in range(30)])
+    out = ST.stream_in_batches(spark, str(tmp_path / "s"), rows, "pos", SJ.customer_stream_count_changelog)
+    assert sorted(r["n"] for r in out.collect()) == list(range(1, 31))
+    assert ST.batch_parts(spark, str(tmp_path / "s/staged")) == [] and ST.batch_parts(spark, str(tmp_path / "s/in")) == [0, 1, 2]
+
+
 def test_buckets_without_increments_keep_their_base(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(carried, "COMPACT_EVERY", 2)
     path, base = str(tmp_path / "p8"), str(tmp_path / "p8/state/listens/base")
