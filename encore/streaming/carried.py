@@ -10,8 +10,8 @@ few rows are not hot: they have no cells, whose totals would be as many as the
 rows, and their rows are shuffled once, for the window and the join alike.
 
 The totals are a table in buckets, of a hash of the key or, for totals of time
-windows, one per window. A batch writes its own totals as increments, finds in
-what it wrote which buckets its keys are in, and reads those buckets alone.
+windows, one per window. A batch finds which buckets its keys are in as it
+counts its rows, writes its own totals as increments, and reads those buckets alone.
 Every ``COMPACT_EVERY`` batches the buckets with increments are added up into
 bases of their own; increments and bases that no replay can ask for any more
 are deleted, and so are, with every batch, the buckets of closed windows. A
