@@ -185,12 +185,17 @@ def similarity(a: np.ndarray, b: np.ndarray) -> float:
     return float(least / (len(a) + len(b) - least)) if len(a) + len(b) else 0.0
 
 
-def _holding(texts: DataFrame, keys: DataFrame, count: int) -> DataFrame:
-    """The texts whose ``key`` is among ``keys`` (and a few more), by a filter on the scan: only those shuffle."""
-    hashed = F.xxhash64("key")
+def _among(keys: DataFrame, count: int, column: str = "key") -> Column:
+    """Whether ``column`` is among the ``count`` ones of ``keys`` (true for a few more), for a filter on a scan."""
+    hashed = F.xxhash64(column)
     bits = int(min(MAX_BITS, max(64, 16 * count)))
     known = keys_bitmap(keys.select(hashed.alias("h")), "h", bits, 3, 0, "near-known")
-    return texts.filter(may_contain(known, hashed, bits, 3))
+    return may_contain(known, hashed, bits, 3)
+
+
+def _holding(texts: DataFrame, keys: DataFrame, count: int) -> DataFrame:
+    """The texts whose ``key`` is among ``keys`` (and a few more): only those shuffle."""
+    return texts.filter(_among(keys, count))
 
 
 def _verify(pairs: DataFrame, count: int, texts: DataFrame, threshold: float) -> DataFrame:
@@ -252,9 +257,7 @@ def near_classes(docs: DataFrame, threshold: float = SIMILARITY, bands: int = BA
 
 def _labels(docs: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame | None:
     """``node, label`` of the nodes that are linked with others; None if there are none."""
-    buckets = nodes.select("key", "n", F.explode("bands").alias("bucket"))
-    shared = buckets.groupBy("bucket").agg(F.min("key").alias("hub"), F.count("*").alias("size")).filter("size > 1")
-    member = cut(buckets.join(shared.select("bucket", "hub"), "bucket").select("bucket", "key", "n", "hub"), "near-members")
+    member = _members(nodes)
     texts = _texts(docs, cut(member.select("key").distinct(), "near-wanted"))
     links = tested = labels = None
 
@@ -276,15 +279,28 @@ def _labels(docs: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame |
     apart = cut(apart, "near-open")
     texts = cut(_holding(texts, apart.select("key"), apart.count()).join(apart.select("key"), "key", "left_semi"), "near-open-texts")
     first = _first_shingles(apart, texts, threshold)
-    settle(_central_pairs(_meeting(first, None), threshold), texts, "central")
-    settle(_all_pairs(cut(_meeting(first, labels), "near-meeting"), threshold), texts, "rest")
+    met = cut(_meeting(first, None), "near-met")
+    settle(_central_pairs(met, threshold), texts, "central")
+    # Classes only grow: where one class met before, several do not meet now.
+    met = met.drop("size")
+    settle(_all_pairs(cut(_meeting(met, labels), "near-meeting"), threshold), texts, "rest")
     return labels
 
 
+def _members(nodes: DataFrame) -> DataFrame:
+    """``bucket, key, n, hub`` of the buckets with several nodes, ``hub`` being the smallest. Buckets are counted
+    first by themselves: of the others, which are most, no row shuffles with its key."""
+    buckets = nodes.select("key", "n", F.explode("bands").alias("bucket"))
+    several = cut(buckets.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1").select("bucket"), "near-shared")
+    buckets = buckets.filter(_among(several, several.count(), "bucket"))
+    shared = buckets.groupBy("bucket").agg(F.min("key").alias("hub"), F.count("*").alias("size")).filter("size > 1")
+    return cut(buckets.join(shared.select("bucket", "hub"), "bucket").select("bucket", "key", "n", "hub"), "near-members")
+
+
 def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """``key, text`` of the wanted rows."""
     rows = _holding(docs.select(row_key().alias("key"), "text"), wanted, wanted.count())
-    return cut(rows.join(wanted, "key", "left_semi").groupBy("key").agg(F.first("text").alias("text")), "near-texts")
+    return cut(rows.groupBy("key").agg(F.first("text").alias("text")).join(wanted, "key", "left_semi"), "near-texts")
 
 
 def _first_pairs(member: DataFrame, threshold: float) -> DataFrame:
@@ -442,9 +458,11 @@ def dedup_near(docs: DataFrame, **settings) -> DataFrame:
     classes = near_classes(docs, **settings)
     gone = cut(classes.filter("key <> class_key").select("key").distinct(), "near-gone")
     rows = docs.select(F.struct("*").alias("row"), row_key().alias("key"))
-    # What is left of a class agrees in id and text: repeated rows, of which one stays.
-    left = rows.join(gone, "key", "left_anti")
     repeated = cut(rows.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key"), "near-repeated")
-    single = left.join(repeated, "key", "left_anti").select("row")
-    several = left.join(repeated, "key", "left_semi").groupBy("key").agg(F.first("row").alias("row")).select("row")
+    touched = gone.unionByName(repeated)
+    maybe = _among(touched, touched.count())
+    # A row that surely is neither gone nor repeated stays where it is; the others are looked up with their texts.
+    # What is left of a class agrees in id and text: repeated rows, of which one stays.
+    single = rows.filter(~maybe).select("row")
+    several = rows.filter(maybe).groupBy("key").agg(F.first("row").alias("row")).join(gone, "key", "left_anti").select("row")
     return single.unionByName(several).select("row.*")

@@ -406,6 +406,19 @@ def classes(rows):
     return {k: root(k) for k in keys}
 
 
+def test_rows_without_near_copies_do_not_shuffle(spark):
+    rng = random.Random(11)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    docs = [(i, " ".join(rng.choice(vocabulary) for _ in range(40))) for i in range(300)]
+    copies = [(1000, docs[5][1]), (1001, docs[5][1]), (7, docs[7][1]), (None, docs[9][1]), (None, "only here"), (None, "only here")]
+    rows = spark.createDataFrame(docs + copies, "doc_id bigint, text string")
+    kept = bagminhash.dedup_near(rows)
+    got = collections.Counter((r["doc_id"], r["text"]) for r in kept.collect())
+    assert got == collections.Counter([*docs, (None, "only here")])
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1 and plan.index("Filter") < plan.index("Join")  # rows that surely stay are in none
+
+
 def test_near_classes_against_brute_force(spark):
     rng = random.Random(7)
     vocabulary = [f"w{i}" for i in range(300)]
