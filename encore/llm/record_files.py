@@ -34,6 +34,8 @@ from encore.llm.common import prepare, scratch
 MASK_DELTA, MASK_ROTATE = 0xA282EAD8, 15
 #: Words whose ids a task keeps; twice as many at most.
 CACHED_WORDS = 300_000
+#: Lower-cased runs of letters whose ids are kept, twice as many at most, and runs of punctuation.
+CACHED_RUNS, CACHED_MARKS = 400_000, 10_000
 #: Bytes of text to one file, about.
 FILE_BYTES = 64 << 20
 #: First characters of a text by which rows of a repeated id are dealt over files.
@@ -84,8 +86,9 @@ class WordEncoder:
     """Encodes texts with a tokenizer whose pre-tokens never cross white space.
 
     Such a tokenizer gives a text the ids of its white-space separated words,
-    one after the other, so the ids of frequent words are kept. The words that
-    are new in a batch are encoded together.
+    one after the other. A word of plain letters, maybe between punctuation, has
+    those of its runs, and the ids of frequent runs in lower case are kept; so are
+    those of frequent other words. What is new in a batch is encoded together.
     """
 
     def __init__(self, path: str):
@@ -101,6 +104,39 @@ class WordEncoder:
             self.ends[[i for t, i in vocabulary.items() if t.endswith(suffix)]] = True
         self.recent: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        #: Ids of runs of letters, and of runs of punctuation (None: not apart from letters beside it).
+        self.runs: dict[str, bytes] = {}
+        self.older_runs: dict[str, bytes] = {}
+        self.marks: dict[str, bytes | None] = {"": b""}
+        #: Words of plain letters between punctuation; none if their ids cannot be told apart.
+        self.simple = None
+        special = self.tokenizer.get_added_tokens_decoder().values()
+        if suffix and self.tokenizer.pre_tokenizer and all("<|" in t.content for t in special):
+            if plain := "".join(filter(self.is_plain, map(chr, LETTER_CODES))):
+                self.simple = f"^(?P<a>{MARKS}*)(?P<run>[{plain}]+)(?P<b>{MARKS}*)$"
+
+    def normal(self, text: str) -> str:
+        return self.tokenizer.normalizer.normalize_str(text) if self.tokenizer.normalizer else text
+
+    def is_plain(self, c: str) -> bool:
+        """Whether the tokenizer takes a character as its lower case, and that as part of a run of letters."""
+        low = c.lower()
+        same = c.isalpha() and self.normal(c) == low == pc.utf8_lower(pa.scalar(c)).as_py()
+        return same and self.cut_at(f"a{low}a") == [(0, 3)]
+
+    def cut_at(self, text: str) -> list[tuple[int, int]]:
+        return [at for _, at in self.tokenizer.pre_tokenizer.pre_tokenize_str(self.normal(text))]
+
+    def mark(self, run: str) -> bytes | None:
+        """The ids of a run of punctuation; None if it is not a pre-token of its own beside letters."""
+        if run not in self.marks:
+            if len(self.marks) >= CACHED_MARKS:
+                self.marks = {"": b""}
+            n = len(run)
+            apart = "<|" not in run and self.cut_at(f"{run}ab") == [(0, n), (n, n + 2)] and (
+                self.cut_at(f"ab{run}") == [(0, 2), (2, n + 2)])
+            self.marks[run] = self.plain(run) if apart else None
+        return self.marks[run]
 
     def plain(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, f"<u{self.width}").tobytes()
@@ -110,7 +146,7 @@ class WordEncoder:
         simple = LETTERS.fullmatch(word)
         if simple and simple[2].isalpha():
             return 1 + bool(simple[1]) + bool(simple[3])
-        normal = self.tokenizer.normalizer.normalize_str(word) if self.tokenizer.normalizer else word
+        normal = self.normal(word)
         return 1 if normal.isalpha() else len(self.tokenizer.pre_tokenizer.pre_tokenize_str(normal))
 
     def cuts(self, words: list[str], done) -> np.ndarray:
@@ -141,6 +177,65 @@ class WordEncoder:
             raw, cuts = np.array(done.ids, f"<u{self.width}").tobytes(), (self.cuts(part, done) * self.width).tolist()
             self.recent.update((w, raw[a:b]) for w, a, b in zip(part, cuts, cuts[1:]))
 
+    def known_runs(self, wanted: list[str]) -> list[bytes]:
+        """The ids of distinct runs of plain letters in lower case, each of them one pre-token."""
+        if len(self.runs) + len(wanted) > CACHED_RUNS:
+            self.older_runs, self.runs = self.runs, {}
+        held, older, new = self.runs, self.older_runs, []
+        found = list(map(held.get, wanted))
+        for i, ids in enumerate(found):
+            if ids is None:
+                ids = found[i] = older.get(wanted[i])
+                if ids is None:
+                    new.append(i)
+                else:
+                    held[wanted[i]] = ids
+        for at in range(0, len(new), 10_000):
+            which = new[at:at + 10_000]
+            part = [wanted[i] for i in which]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, f"<u{self.width}")
+            after = np.flatnonzero(self.ends[ids]) + 1
+            if len(after) == len(part) and after[-1] == len(ids):
+                raw, cuts = ids.tobytes(), [0, *(after * self.width).tolist()]
+                cut = [raw[a:b] for a, b in zip(cuts, cuts[1:])]
+            else:
+                cut = [self.plain(run) for run in part]
+            for i, run, one in zip(which, part, cut):
+                found[i] = held[run] = one
+        return found
+
+    def lists(self, found: list[bytes]) -> tuple[pa.ListArray, np.ndarray]:
+        """Ids as a column of lists, and the length of each."""
+        length = np.fromiter(map(len, found), np.int64, len(found)) // self.width
+        values = pa.array(np.frombuffer(b"".join(found), f"<u{self.width}"))
+        return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(length)]), pa.int32()), values), length
+
+    def of_words(self, words: pa.Array) -> tuple[pa.ListArray, np.ndarray]:
+        """``lists`` of distinct words."""
+        if not self.simple:
+            return self.lists(self.known(words.to_pylist()))
+        parts = pc.extract_regex(words, self.simple)
+        first, run, last = parts.flatten()
+        first, last = first.dictionary_encode(), last.dictionary_encode()
+        firsts, lasts = ([self.mark(m) for m in c.dictionary.to_pylist()] for c in (first, last))
+        # Which words are made of runs; null is the place of a word that is not, and the end of the lists.
+        first_at, last_at = (c.indices.fill_null(len(c.dictionary)).to_numpy() for c in (first, last))
+        simple = np.ones(len(words), bool)
+        for found, at in ((firsts, first_at), (lasts, last_at)):
+            simple &= np.array([ids is not None for ids in found] + [False])[at]
+        run = pc.utf8_lower(run.filter(pa.array(simple))).dictionary_encode()
+        runs = self.known_runs(run.dictionary.to_pylist())
+        rest = self.known(words.filter(pa.array(~simple)).to_pylist())
+        at = np.zeros((len(words), 3), np.int64)
+        at[simple, 0] = 1 + first_at[simple]
+        at[simple, 1] = 1 + len(firsts) + run.indices.to_numpy()
+        at[simple, 2] = 1 + len(firsts) + len(runs) + last_at[simple]
+        at[~simple, 0] = 1 + len(firsts) + len(runs) + len(lasts) + np.arange(len(rest))
+        table, length = self.lists([b"", *(ids or b"" for ids in firsts), *runs, *(ids or b"" for ids in lasts), *rest])
+        length = length[at].sum(axis=1)
+        values = table.take(pa.array(at.reshape(-1))).flatten()
+        return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(length)]), pa.int32()), values), length
+
     def known(self, words: list[str]) -> list[bytes]:
         """The ids of distinct words."""
         held, older = self.recent, self.older
@@ -162,17 +257,14 @@ class WordEncoder:
     def encode(self, texts: pa.Array) -> list[bytes]:
         """The ids of every text of a column, null counting as empty.
 
-        Arrow splits the column and numbers its distinct words; only those are
-        looked up one by one, and their ids are gathered in the order of the words.
+        Arrow splits the column, numbers its distinct words and those words' distinct
+        runs; only runs are looked up one by one, and ids are gathered in their order.
         """
         texts = texts.fill_null("")
         odd = pc.match_substring_regex(texts, "[\x1c-\x1f]")  # Arrow splits at these, tokenizers do not call them white space
         split = pc.utf8_split_whitespace(pc.if_else(odd, "", texts))
         words = split.flatten().dictionary_encode()
-        found = self.known(words.dictionary.to_pylist())
-        length = np.fromiter(map(len, found), np.int64, len(found)) // self.width
-        values = pa.array(np.frombuffer(b"".join(found), f"<u{self.width}"))
-        lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(length)]), pa.int32()), values)
+        lists, length = self.of_words(words.dictionary)
         raw = memoryview(lists.take(words.indices).flatten().to_numpy(zero_copy_only=False).tobytes())
         at = words.indices.to_numpy()
         ends = np.concatenate([[0], np.cumsum(length[at])])[np.cumsum(split.value_lengths().to_numpy(zero_copy_only=False))]
@@ -185,6 +277,20 @@ class WordEncoder:
 
 #: Letters, maybe between ASCII punctuation; without apostrophes and the one letter that has two in lower case.
 LETTERS = re.compile(r"([!-&(-/:-@\[-`{-~]*)([^\W\d_\u0130]+)([!-&(-/:-@\[-`{-~]*)")
+#: ASCII punctuation without apostrophes, and the codes of Latin and Cyrillic letters (no case that depends on the place).
+MARKS, LETTER_CODES = r"[!-&(-/:-@\[-`{-~]", [*range(0x41, 0x250), *range(0x400, 0x530)]
+#: The encoder of a Python worker, which serves one task after the other.
+_ENCODER: dict[str, WordEncoder] = {}
+
+
+def encoder_of(tokenizer: str) -> WordEncoder:
+    """The worker's encoder, with the ids of words that it has kept."""
+    if tokenizer not in _ENCODER:
+        _ENCODER.clear()
+        _ENCODER[tokenizer] = WordEncoder(tokenizer)
+    return _ENCODER[tokenizer]
+
+
 def file_system(path: str):
     """(pyarrow file system, path in it) of a folder that the cluster shares."""
     from pyarrow import fs
@@ -222,7 +328,7 @@ def write_records(docs: DataFrame, tokenizer: str, name: str = "tokens", files:
         files_.create_dir(base, recursive=True)
         number = TaskContext.get().partitionId()
         file = f"{number:08d}-{uuid.uuid4().hex}.rec"
-        encoder = WordEncoder(tokenizer)
+        encoder = encoder_of(tokenizer)
         end = np.array([END_ID], f"<u{encoder.width}").tobytes()
         offset = nth = 0
         with files_.open_output_stream(f"{base}/{file}") as out:

@@ -363,6 +363,27 @@ def test_small_cache_gives_the_same_ids(monkeypatch):
         assert encoder.encode(pa.array([t, None, t])) == [encoder.plain(t), b"", encoder.plain(t)]
 
 
+def test_words_share_the_ids_of_their_runs(monkeypatch):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    encoder = record_files.WordEncoder(path)
+    asked, whole = [], encoder.tokenizer
+    monkeypatch.setattr(encoder, "tokenizer", type("Counted", (), {
+        "encode_batch_fast": lambda _, texts, **kw: asked.extend(texts) or whole.encode_batch_fast(texts, **kw),
+        "__getattr__": lambda _, name: getattr(whole, name)})())
+    words = ["zubrelon", "Zubrelon", "ZUBRELON.", "(zubrelon)", "zubrelon###", "Ünglivo,", "ünglivo", "жабрун", "«Жабрун»"]
+    encoder.encode(pa.array([" ".join(words)]))
+    assert " ".join(asked).split() == ["zubrelon", "ünglivo", "жабрун", "«Жабрун»"]  # no run is encoded twice
+    words += ["it's", "'tis", "a<|b", "<|endoftext|>", "x<|", "ΑΣ", "ΣΑΣ", "İa", "J\u030c", "e\u0301e", "ǅ", "ŉa", "a1b", "..a..b", "ſß", "\u212a",
+              "漢字", "a\u200bb", "__a__", "a_b", "...", "4.0."]
+    texts = [*words, " ".join(words), ""]
+    assert encoder.encode(pa.array(texts)) == [encoder.plain(t) for t in texts]
+    monkeypatch.setattr(record_files, "CACHED_RUNS", 3)
+    monkeypatch.setattr(record_files, "CACHED_MARKS", 1)
+    small = record_files.WordEncoder(path)
+    for t in texts * 2:
+        assert small.encode(pa.array([t, t + " " + t])) == [small.plain(t), small.plain(t + " " + t)]
+
+
 def test_damaged_records_are_found():
     import io
     record = record_files.frame(b"payload")
