@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from encore.llm.bitmaps import MAX_BITS, keys_bitmap, may_contain
-from encore.llm.common import annotate, collected, cut, mix64, prepare, remove, row_key, stored, texts_of, words_of
+from encore.llm.common import annotate, collected, cut, give_back, mix64, prepare, remove, row_key, stored, texts_of, words_of
 from encore.llm.components import components
 
 SHINGLE, SIMILARITY = 5, 0.8
@@ -48,13 +48,15 @@ GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 FREQUENT, MAX_FREQUENT = 8, 1_000_000
 #: Texts from which on those that meet at a shingle are joined by steps of their number of shingles, and the step's ratio.
 MANY, SIZE_STEP = 8, 1.02
+#: Words whose hashes a task keeps.
+CACHED_HASHES = 200_000
 
 
 class WordHashes(dict):
     """64-bit hashes of words, kept for the frequent ones; emptied when large."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) >= CACHED_HASHES:
             self.clear()
         h = self[word] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
         return h
@@ -338,6 +340,7 @@ def _first_shingles(apart: DataFrame, texts: DataFrame, threshold: float) -> Dat
             parts = [np.unique(shingles(words_of(t), hashes)) for t in texts_of(b, "text")]
             found, n = np.unique(np.concatenate([np.zeros(0, np.uint64), *parts]), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n.astype(np.int64))], names=["s", "n"])
+        give_back()
 
     often = texts.select("text").mapInArrow(count, "s bigint, n bigint").groupBy("s").agg(F.sum("n").alias("n"))
     often = often.filter(F.col("n") >= FREQUENT).orderBy(F.desc("n"), "s").limit(MAX_FREQUENT).toArrow()
@@ -364,6 +367,7 @@ def _first_shingles(apart: DataFrame, texts: DataFrame, threshold: float) -> Dat
                 rows_.append(np.full(len(first), i, np.int64))
             at, *numbers = (pa.array(np.concatenate([np.zeros(0, np.int64), *x])) for x in (rows_, tokens, places, before))
             yield pa.RecordBatch.from_arrays([*(b.column(c).take(at) for c in ("key", "n", "label")), *numbers], names=schema.names)
+        give_back()
 
     zero = F.lit(0).cast("bigint")
     schema = rows.select("key", "n", "label", zero.alias("token"), zero.alias("pos"), zero.alias("prev")).schema

@@ -18,17 +18,24 @@ from encore.session import checkpoint_dir, configure
 WORD_BYTES = bytes(
     b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
-#: Rows in one Arrow batch handed to Python. With texts of a few kB on average a batch holds a few MB.
-ARROW_ROWS = 1024
+#: Rows, and bytes (about), in one Arrow batch handed to Python: whichever comes first.
+ARROW_ROWS, ARROW_BYTES = 1024, 2 << 20
 
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Session settings of these operators: those of the library, and small Arrow batches."""
     configure(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
     return spark
 
 
+def give_back() -> None:
+    """Return the memory that Arrow keeps in reserve. A Python worker outlives its tasks, and what it
+    holds between them counts against its executor."""
+    pa.default_memory_pool().release_unused()
+
+
 #: Folders made inside the open ``collected`` blocks, the innermost last.
 _COLLECTED: list[list[str]] = []
 
@@ -108,6 +115,7 @@ def annotate(df: DataFrame, text: str | Column, fn, schema: str) -> DataFrame:
         for r in fn(only_text()):
             row = kept.pop(0)
             yield pa.RecordBatch.from_arrays([row, *r.columns], names=["row", *r.schema.names])
+        give_back()
 
     return rows.mapInArrow(run, out)
 

@@ -28,14 +28,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from encore.llm.common import prepare, scratch
+from encore.llm.common import give_back, prepare, scratch
 
 #: Fixed values of the framing.
 MASK_DELTA, MASK_ROTATE = 0xA282EAD8, 15
 #: Words whose ids a task keeps; twice as many at most.
-CACHED_WORDS = 300_000
+CACHED_WORDS = 100_000
 #: Lower-cased runs of letters whose ids are kept, twice as many at most, and runs of punctuation.
-CACHED_RUNS, CACHED_MARKS = 400_000, 10_000
+CACHED_RUNS, CACHED_MARKS = 150_000, 10_000
 #: Bytes of text to one file, about.
 FILE_BYTES = 64 << 20
 #: First characters of a text by which rows of a repeated id are dealt over files.
@@ -344,6 +344,7 @@ def write_records(docs: DataFrame, tokenizer: str, name: str = "tokens", files:
                 if index:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*index), schema.types)],
                                                      schema=schema)
+        give_back()
 
     ordered.mapInArrow(run, INDEX).write.parquet(f"{folder}/index")
     return folder, spark.read.schema(INDEX).parquet(f"{folder}/index")

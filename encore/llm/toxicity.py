@@ -22,13 +22,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from encore.llm.common import annotate, cut, prepare, texts_of, words_of
+from encore.llm.common import annotate, cut, give_back, prepare, texts_of, words_of
 
 MAX_LABELLED, MAX_FEATURES = 20_000, 20_000
 #: Lengths, in characters, of the beginnings of words that are features.
 PREFIXES = (3, 4, 5, 6, 7, 8)
 #: A feature counts if it is in so many toxic texts, and its rates in the two classes lie so many standard errors apart.
 LEAST_TOXIC, LEAST_Z = 5, 4.0
+#: Words whose features a task keeps, and features of texts in one batch that it hands on (of the last text more).
+CACHED_FEATURES, BATCH_FEATURES = 50_000, 250_000
 L2, COUNTERFACTUAL = 0.02, 20.0
 THRESHOLD = 0.7
 
@@ -63,7 +65,7 @@ class Features(dict):
         self.only = only
 
     def __missing__(self, word: bytes) -> tuple[int, ...]:
-        if len(self) > 200_000:
+        if len(self) >= CACHED_FEATURES:
             self.clear()
         found = features_of_word(word)
         out = self[word] = tuple(f for f in found if self.only is None or f in self.only)
@@ -106,19 +108,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_labelled:
     rows = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id")
     rows = rows.groupBy("doc_id").agg(F.first("y").alias("y"), F.min("text").alias("text")).select("doc_id", "y", "text")
 
-    def extract(batches):
-        all_of = Features()
-        for b in batches:
-            own, other = [], []
-            for t in texts_of(b, "text"):
-                words = words_of(t)
-                own.append(sorted(all_of.of(words)))
-                other.append([sorted(all_of.of(x)) for x in swapped(words, terms)])
-            yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), b.column("y").cast(pa.int32()), pa.array(own, pa.list_(pa.int64())),
-                 pa.array(other, pa.list_(pa.list_(pa.int64())))], names=["doc_id", "y", "own", "other"])
-
-    seen = cut(rows.mapInArrow(extract, "doc_id bigint, y int, own array<bigint>, other array<array<bigint>>"), "toxic-rows")
+    seen = cut(rows.mapInArrow(_extract(terms), "doc_id bigint, y int, own array<bigint>, other array<array<bigint>>"), "toxic-rows")
     n = {r["y"]: r["n"] for r in seen.groupBy("y").agg(F.count("*").alias("n")).collect()}
     n1, n0 = n.get(1, 0), n.get(0, 0)
     if not n1 or not n0:
@@ -152,6 +142,33 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_labelled:
     return Model({f: float(w) for f, w in zip(index, weights) if abs(w) > 1e-6}, float(bias))
 
 
+def _extract(terms: tuple[tuple[str, ...], ...]):
+    """The features of every text, and those of its swapped forms, in batches of about ``BATCH_FEATURES``."""
+    def run(batches):
+        all_of = Features()
+        for b in batches:
+            ids, ys, at = b.column("doc_id"), b.column("y").cast(pa.int32()), 0
+            own, other, held = [], [], 0
+
+            def batch():
+                arrays = [ids.slice(at, len(own)), ys.slice(at, len(own)), pa.array(own, pa.list_(pa.int64())),
+                          pa.array(other, pa.list_(pa.list_(pa.int64())))]
+                return pa.RecordBatch.from_arrays(arrays, names=["doc_id", "y", "own", "other"])
+
+            for t in texts_of(b, "text"):
+                words = words_of(t)
+                own.append(sorted(all_of.of(words)))
+                other.append([sorted(all_of.of(x)) for x in swapped(words, terms)])
+                held += len(own[-1]) + sum(map(len, other[-1]))
+                if held >= BATCH_FEATURES:
+                    yield batch()
+                    at, own, other, held = at + len(own), [], [], 0
+            if own:
+                yield batch()
+        give_back()
+    return run
+
+
 def _sparse(rows: list[list[int]]) -> tuple[np.ndarray, np.ndarray, int]:
     """(row numbers, columns, rows) of a 0/1 matrix."""
     sizes = [len(r) for r in rows]

@@ -19,7 +19,7 @@ from edge import SF, documents, edge_docs, edge_rows
 from pyspark.sql import functions as F
 
 from encore.llm import bagminhash, components, hd_langid, record_files, suffix_decontam, temperature_mix, token_secrets, toxicity
-from encore.llm.common import prepare
+from encore.llm.common import ARROW_BYTES, prepare
 from encore.session import checkpoint_dir
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -623,3 +623,38 @@ def test_mixing_odd_tables(spark):
     assert temperature_mix.mix(edge_docs(spark)).count() >= 5
     with pytest.raises(ValueError):
         temperature_mix.mix(edge_docs(spark), budget=10**9)
+
+
+def test_batches_are_bounded_by_bytes(spark):
+    prepare(spark)
+    docs = spark.range(2000, numPartitions=1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("word "), 4000).alias("text"))
+
+    def largest(batches):
+        rows, size = zip(*((b.num_rows, b.nbytes) for b in batches))
+        yield pa.RecordBatch.from_arrays([pa.array([sum(rows)]), pa.array([max(size)])], names=["n", "size"])
+
+    n, size = docs.mapInArrow(largest, "n bigint, size bigint").first()
+    assert n == 2000 and size < ARROW_BYTES + (1 << 18)
+
+
+def test_toxicity_hands_on_bounded_batches_of_all_rows(monkeypatch):
+    terms = (("women", "men", "girls"),)
+    texts = [" ".join(f"w{i}x{k}" for k in range(40)) + " women" * (i % 2) for i in range(300)] + ["", None]
+    rows = pa.RecordBatch.from_arrays([pa.array(range(302), pa.int64()), pa.array([0, 1] * 151, pa.int64()), pa.array(texts)],
+                                      names=["doc_id", "y", "text"])
+    whole, = toxicity._extract(terms)([rows])
+    monkeypatch.setattr(toxicity, "BATCH_FEATURES", 1000)
+    monkeypatch.setattr(toxicity, "CACHED_FEATURES", 7)
+    parts = list(toxicity._extract(terms)([rows, rows.slice(0, 0)]))
+    assert len(parts) > 10 and max(len(p.column("own").flatten()) for p in parts) < 2000
+    assert pa.Table.from_batches(parts).combine_chunks() == pa.Table.from_batches([whole])
+
+
+def test_caches_of_a_worker_are_bounded():
+    features, hashes = toxicity.Features(), bagminhash.WordHashes()
+    for i in range(210_000):
+        hashes[b"%d" % i]
+        if i < 60_000:
+            features[b"%d" % i]
+    assert len(features) <= 50_000 and len(hashes) <= 200_000
+    assert record_files.CACHED_WORDS + record_files.CACHED_RUNS <= 250_000
